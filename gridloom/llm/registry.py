@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from gridloom.llm import maxscore, mixing, order_minhash, substring_dedup, warc
+from gridloom.llm import maxscore, mixing, ngram_join, order_minhash, substring_dedup, warc
 
 QUERIES = {
+    "op2_ngram_jaccard": ngram_join.op2_ngram_jaccard,
     "op5_maxscore": maxscore.op5_maxscore,
     "op6_order_minhash": order_minhash.op6_order_minhash,
     "op7_substring_dedup": substring_dedup.op7_substring_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
 }
-SQL = {"op5_maxscore": maxscore.SQL, "op7_substring_dedup": substring_dedup.SQL, "op8_mixing": mixing.SQL, "op9_warc": warc.SQL}
+SQL = {"op2_ngram_jaccard": ngram_join.SQL, "op5_maxscore": maxscore.SQL, "op7_substring_dedup": substring_dedup.SQL, "op8_mixing": mixing.SQL, "op9_warc": warc.SQL}
