@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text handled at once by the numpy kernels; only bounds memory, no result depends on it.
@@ -51,7 +52,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHU
     """Slices of at least one row and about ``limit`` bytes of ``column``; nulls read as empty."""
     for batch in batches:
         k = batch.schema.get_field_index(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > limit:

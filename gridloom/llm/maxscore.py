@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def _pack(size: int):
         def out() -> pa.RecordBatch:
             ids = np.concatenate([a for a, _ in held])
             lists = pa.concat_arrays([b for _, b in held])
-            width = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
+            width = np.asarray(pc.list_value_length(lists)).astype(np.int64)
             dense = np.zeros((len(ids), int(width.max(initial=0))), np.int64)
             at = np.arange(dense.shape[1]) < width[:, None]
             dense[at] = np.floor(256.0 * np.asarray(lists.flatten()).astype(np.float64)).astype(np.int64)
