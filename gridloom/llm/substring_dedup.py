@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +63,7 @@ def _salt(doc: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _ids(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return pa.compute.fill_null(batch.column(batch.schema.get_field_index(name)), int(_LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
+    return pc.fill_null(batch.column(batch.schema.get_field_index(name)), int(_LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -81,8 +84,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows under a document's shared fingerprints; those known to repeat a smaller document have many = true."""
     for batch in text_chunks(batches, "text"):
         full, text, _, low = _prints(Words(batch.column(1)))
-        lists = pa.compute.fill_null(batch.column(2), [])
-        size = np.asarray(pa.compute.list_value_length(lists))
+        lists = pc.fill_null(batch.column(2), [])
+        size = np.asarray(pc.list_value_length(lists))
         spread = np.uint64(0x9E3779B97F4A7C15)
         have = np.asarray(lists.flatten()).astype(np.int64).view(np.uint64) * spread + np.repeat(np.arange(len(size)), size).astype(np.uint64)
         keep = np.isin(low * spread + text.astype(np.uint64), have)
@@ -94,8 +97,8 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches, "text"):
         words = Words(batch.column(1))
         full, text, at = words.windows(words.hashes(), WIDTH)
-        lists = pa.compute.fill_null(batch.column(2), [])
-        size = np.asarray(pa.compute.list_value_length(lists))
+        lists = pc.fill_null(batch.column(2), [])
+        size = np.asarray(pc.list_value_length(lists))
         flat, edge = np.asarray(lists.flatten()).astype(np.int64).view(np.uint64), np.concatenate([[0], np.cumsum(size)])
         gone = np.zeros(len(words.starts) + 1, np.int32)
         for i in np.flatnonzero(size):
@@ -123,8 +126,8 @@ _ROWS = "print long, salt int, doc long, many boolean"
 class SubstringIndex:
     """Removes words that lie in a window of 13 words which also starts in a document with a smaller doc_id.
 
-    The index holds sorted immutable runs, one for each batch that was appended: (fingerprint, document) rows in the
-    shared folder. ``append`` writes the batch's run, merges it with the older runs by fingerprint, and verifies: the
+    The index holds sorted immutable runs, one for each batch that was appended: (fingerprint, document) rows, bucketed
+    by fingerprint, in the shared folder. ``append`` writes the batch's run, merges it with the older runs by fingerprint, and verifies: the
     windows under fingerprints that several documents share are compared by an independent 64-bit hash of all 13 words,
     and a window's smallest document is found. With more than ``fanout`` runs the index is compacted to one.
 
@@ -134,51 +137,56 @@ class SubstringIndex:
     """
 
     def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
-        self.spark, self.fanout, self.runs = spark, fanout, []
-
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(_ROWS + ", shared boolean").parquet(*paths)
+        self.spark, self.fanout, self.runs, self.buckets = spark, fanout, [], 0
 
     def _write_run(self, rows: DataFrame) -> str:
-        path = new_path(self.spark, "substring-run")
+        """A table in buckets by key, each sorted: runs of one index are merge-joined without another shuffle."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions")) if not self.buckets else self.buckets
+        self.buckets = n
         by = Window.partitionBy("print", "salt")
-        rows = rows.withColumn("shared", F.col("many") | (F.col("salt") > 0) | (F.count("*").over(by) > 1))
-        rows.sortWithinPartitions("print", "salt", "doc").write.parquet(path)
-        return path
+        rows = rows.repartition(n, "print", "salt").withColumn("shared", F.col("many") | (F.col("salt") > 0) | (F.count("*").over(by) > 1))
+        name = f"gridloom_run_{uuid.uuid4().hex}"
+        rows.write.bucketBy(n, "print", "salt").sortBy("print", "salt", "doc").option("path", new_path(self.spark, "substring-run")).saveAsTable(name)
+        return name
 
     def compact(self) -> None:
         """Merges all runs into one."""
         if len(self.runs) > 1:
-            self.runs = [self._write_run(self._read(self.runs).select("print", "salt", "doc", "many"))]
-
-    def _candidates(self, new: str) -> DataFrame:
-        """(doc, print) of documents, old and new, with a fingerprint that the new batch shares with another document."""
-        run = self._read([new])
-        found = run.where("shared").select("doc", "print")
-        if self.runs:
-            old = self._read(self.runs)
-            one = lambda df, gen: df.where("salt = 0").select("print", "doc", "many", F.lit(gen).alias("gen"))
-            by = Window.partitionBy("print")
-            both = one(old, 0).unionByName(one(run, 1)).withColumn("low", F.min("gen").over(by)).withColumn("high", F.max("gen").over(by)).where("low < high")
-            both = materialize(both, "substring-cross")
+            merged = reduce(DataFrame.unionByName, [self.spark.table(r).select("print", "salt", "doc", "many") for r in self.runs])
+            self.runs = [self._write_run(merged)]
+
+    def _candidates(self, new: str) -> tuple[DataFrame, DataFrame | None]:
+        """(doc, print) of the batch's, and of older, documents with a fingerprint that the batch shares with others."""
+        run = self.spark.table(new)
+        found, older = run.where("shared").select("doc", "print"), None
+        keys = ["print", "salt"]
+        lead = run.where("salt = 0")
+        for r in self.runs:
+            old = self.spark.table(r)
+            front = old.where("salt = 0")
+            found = found.unionByName(lead.join(front.select(*keys), keys, "left_semi").select("doc", "print"))
+            met = front.join(lead.select(*keys), keys, "left_semi")
             # documents that a chunk's first one stood for
-            hot = both.where("gen = 0 and many").select("print").distinct()
-            rest = old.where("salt > 0").join(hot, "print", "left_semi").select("doc", "print")
-            found = found.unionByName(both.select("doc", "print")).unionByName(rest)
-        return found
+            rest = old.where("salt > 0").join(met.where("many").select("print").distinct(), "print", "left_semi")
+            both = met.select("doc", "print").unionByName(rest.select("doc", "print"))
+            older = both if older is None else older.unionByName(both)
+        return found, older
 
     def append(self, batch: DataFrame, history: DataFrame | None = None) -> DataFrame:
         """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by a space) for each row of ``batch``."""
         docs = batch.select("doc_id", "text")
         new = self._write_run(docs.mapInArrow(_fingerprint_rows, _ROWS))
         key = F.coalesce("doc_id", F.lit(int(_LAST)))
-        shared = self._candidates(new).groupBy("doc").agg(F.collect_set("print").alias("prints"))
-        texts = docs if history is None or not self.runs else history.select("doc_id", "text").unionByName(docs)
-        texts = texts.withColumn("doc", key)
-        windows = texts.join(shared, "doc").select("doc_id", "text", "prints").mapInArrow(_window_rows, _ROWS)
+        keyed = docs.withColumn("doc", key)
+        listed = lambda rows: rows.groupBy("doc").agg(F.collect_set("print").alias("prints"))
+        under = lambda texts, rows: texts.join(listed(rows), "doc").select("doc_id", "text", "prints").mapInArrow(_window_rows, _ROWS)
+        found, older = self._candidates(new)
+        windows = under(keyed, found)
+        if older is not None and history is not None:
+            windows = windows.unionByName(under(history.select("doc_id", "text").withColumn("doc", key), older))
         least = F.min("doc").over(Window.partitionBy("print", "salt"))
         gone = windows.withColumn("least", least).where(F.col("many") | (F.col("doc") > F.col("least"))).groupBy("doc").agg(F.collect_set("print").alias("windows"))
-        out = docs.withColumn("doc", key).join(gone, "doc", "left").select("doc_id", "text", "windows").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+        out = keyed.join(gone, "doc", "left").select("doc_id", "text", "windows").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
         out = materialize(out, "substring-kept")
         self.runs.append(new)
         if len(self.runs) > self.fanout:
