@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize, text_chunks
+from gridloom.llm._shared import materialize, release_shuffles, text_chunks
 from gridloom.llm._text import Words, mix
 from gridloom.llm.components import components
 
@@ -128,9 +128,13 @@ class JaccardJoin:
         self.docs, self.k, self.percent = docs.select("doc_id", "text"), k, percent
         self.near = 1 - percent / 100
 
-    def _fits(self, n: Column, m: Column, rest: Column, other: Column) -> Column:
-        """Sizes n <= m allow a link, and so does what is left after the positions."""
-        return (n * 100 >= m * self.percent) & (F.least(rest, other) * (100 + self.percent) >= (n + m) * self.percent)
+    def _fits(self, n: Column, m: Column) -> Column:
+        """Sizes n <= m allow a link."""
+        return n * 100 >= m * self.percent
+
+    def _room(self, rest: Column, low: Column, high: Column) -> Column:
+        """Whether enough is left of both sets from the first n-gram that they share; ``low`` and ``high`` are their least sizes."""
+        return rest * (100 + self.percent) >= (low + high) * self.percent
 
     def _compare(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b, both, sizes for each distinct pair of ids."""
@@ -141,62 +145,98 @@ class JaccardJoin:
     def _linked(self) -> Column:
         return F.col("both") * (100 + self.percent) >= F.col("sizes") * self.percent
 
-    def run(self) -> DataFrame:
-        """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and the number of the document's set's verified links."""
+    def _lists(self) -> DataFrame:
+        """gram, id, n, rest, m: the prefix lists of n-grams that some sets of fitting sizes share; m is a list's length."""
         k, percent, texts = self.k, self.percent, self.docs.select("text")
-        heads = materialize(self.docs.mapInArrow(_heads(k), "doc_id long, n long, id long"), "jaccard-heads")
         frequent = texts.mapInArrow(_frequent(k), "gram long, sets long").groupBy("gram").agg(F.sum("sets").alias("sets")).orderBy(F.desc("sets"), "gram").limit(COMMON)
         common = {r["gram"]: r["sets"] for r in frequent.collect()}
         posts = texts.mapInArrow(_postings(k, percent, common), "gram long, id long, n int, rest int").repartition("gram").groupBy("gram", "id").agg(F.min("n").alias("n"), F.min("rest").alias("rest"))
         by_size = Window.partitionBy("gram").orderBy("n", "id")
         close = (F.lag("n").over(by_size) * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.lead("n").over(by_size) * percent)
         lists = posts.withColumn("close", close).withColumn("m", F.count("*").over(Window.partitionBy("gram"))).where("close").drop("close")
-        lists = materialize(lists, "jaccard-lists")
+        return materialize(lists, "jaccard-lists")
 
-        key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
-        wanted = lists.select("id").distinct().join(heads.where("n > 0").groupBy("id").agg(F.min(key).alias("key")), "id").select("key")
-        sets = self.docs.select("text", key).join(wanted, "key", "left_semi").select("text").mapInArrow(_grams(k), "id long, grams binary").dropDuplicates(["id"])
-        sets = materialize(sets, "jaccard-sets")
+    def _enough(self, shared: Column, low: Column, high: Column) -> Column:
+        """Whether sets of ``low`` <= ``high`` n-grams whose prefixes share so many can link: beyond its prefix, a set of
+        n has less than ``percent`` % of n left."""
+        p = self.percent
+        return shared * (100 * (100 + p)) >= low * (100 * p) - high * (p * p)
 
+    def _likely(self, lists: DataFrame) -> DataFrame:
+        """a, b: for each set the smaller neighbour with which it shares most lists."""
         salt = F.when(F.col("m") > LONG_LIST, F.pmod(F.xxhash64("id"), F.floor(F.col("m") / 1024))).otherwise(F.lit(0))
         w = Window.partitionBy("gram", "salt").orderBy("n", "id")
-        pairs = lists.withColumn("salt", salt).withColumn("p", F.lag(F.struct("id", "n", "rest")).over(w)).where(self._fits(F.col("p.n"), F.col("n"), F.col("p.rest"), F.col("rest")))
-        pairs = pairs.groupBy(F.col("p.id").alias("a"), F.col("id").alias("b")).count().groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
-        first = self._compare(pairs, sets).where(self._linked())
-        comps = materialize(components(first, "a", "b"), "jaccard-comps")
+        pairs = lists.withColumn("salt", salt).withColumn("p", F.lag(F.struct("id", "n", "rest")).over(w)).where(self._fits(F.col("p.n"), F.col("n")))
+        pairs = pairs.groupBy(F.col("p.id").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("c"), F.first("p.n").alias("n"), F.first("n").alias("m"))
+        pairs = pairs.where(self._enough(F.col("c"), F.col("n"), F.col("m")))
+        return materialize(pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b"), "jaccard-likely")
 
+    def _named(self, lists: DataFrame, comps: DataFrame) -> DataFrame:
         named = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        named = materialize(named.select("gram", "id", "n", "rest", "comp"), "jaccard-named")
+        return materialize(named.select("gram", "id", "n", "rest", "comp"), "jaccard-named")
+
+    def _meet(self, named: DataFrame) -> DataFrame:
+        """a, b: components of which some sets may link, by the lists in which they meet."""
+        percent = self.percent
         groups = named.groupBy("gram", "comp").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"))
         several = groups.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
         groups = materialize(groups.join(several, "gram", "left_semi"), "jaccard-groups")
         x, y = groups.alias("x"), groups.alias("y")
-        meets = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") < F.col("y.comp"))
-        room = F.least("x.rest", "y.rest") * (100 + percent) >= (F.col("x.low") + F.col("y.low")) * percent
         fit = (F.col("x.high") * 100 >= F.col("y.low") * percent) & (F.col("y.high") * 100 >= F.col("x.low") * percent)
-        meet = materialize(x.join(y, meets & fit & room).select(F.col("x.comp").alias("a"), F.col("y.comp").alias("b")).distinct(), "jaccard-meet")
-        heads_pairs = self._compare(meet, sets)
-
+        pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") < F.col("y.comp")) & fit)
+        pairs = pairs.groupBy(F.col("x.comp").alias("a"), F.col("y.comp").alias("b")).agg(F.count("*").alias("c"), F.max(F.least("x.rest", "y.rest")).alias("rest"), F.min(F.least("x.low", "y.low")).alias("low"), F.max(F.greatest("x.high", "y.high")).alias("high"))
+        return materialize(pairs.where(self._enough(F.col("c"), F.col("low"), F.col("high")) & self._room(F.col("rest"), F.col("low"), F.col("low"))).select("a", "b"), "jaccard-meet")
+
+    def _sets(self, heads: DataFrame, lists: DataFrame, likely: DataFrame) -> DataFrame:
+        """id, grams of all sets that may be compared: those of likely pairs, and of groups of these that meet in lists."""
+        groups = components(likely, "a", "b")
+        meet = self._meet(self._named(lists, groups))
+        met = meet.select(F.explode(F.array("a", "b")).alias("comp")).distinct()
+        ids = groups.select("id").unionByName(met.select(F.col("comp").alias("id"))).unionByName(groups.join(met, "comp", "left_semi").select("id")).distinct()
+        key = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key")
+        wanted = heads.where("n > 0").groupBy("id").agg(F.min(key).alias("key")).join(ids, "id", "left_semi").select("key")
+        sets = self.docs.select("text", key).join(wanted, "key", "left_semi").select("text").mapInArrow(_grams(self.k), "id long, grams binary")
+        return materialize(sets, "jaccard-sets")
+
+    def _between(self, named: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+        """a, b: the links between components, at least one for any two that some link joins."""
+        meet = self._meet(named)
+        heads = self._compare(meet, sets)
         distance = 1 - F.col("both") / (F.col("sizes") - F.col("both"))
-        involved = meet.select(F.col("a").alias("comp")).unionByName(meet.select(F.col("b").alias("comp"))).distinct()
+        involved = meet.select(F.explode(F.array("a", "b")).alias("comp")).distinct()
         spokes = comps.where("id <> comp").join(involved, "comp", "left_semi").select(F.col("comp").alias("a"), F.col("id").alias("b"))
         spokes = self._compare(spokes, sets).select(F.col("a").alias("comp"), F.col("b").alias("id"), distance.alias("d"))
         radius = spokes.groupBy("comp").agg(F.max("d").alias("r"))
-        open_ = heads_pairs.where(~self._linked()).withColumn("d", distance)
+        open_ = heads.where(~self._linked()).withColumn("d", distance)
         for side in "ab":
             open_ = open_.join(radius.select(F.col("comp").alias(side), F.col("r").alias(f"r_{side}")), side, "left").fillna(0.0, [f"r_{side}"])
         open_ = open_.where("r_a + r_b > 0").where(F.col("d") - F.col("r_a") - F.col("r_b") <= self.near + 1e-9).select("a", "b", "d")
+        open_ = materialize(open_, "jaccard-open")
         member = named.join(spokes, ["comp", "id"], "left").fillna(0.0, ["d"])
-        member = member.join(open_.select(F.col("a").alias("comp")).unionByName(open_.select(F.col("b").alias("comp"))).distinct(), "comp", "left_semi")
+        member = member.join(open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct(), "comp", "left_semi")
         x, y = member.alias("x"), member.alias("y")
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        last = x.join(y, meets & self._fits(small, large, F.col("x.rest"), F.col("y.rest")))
+        last = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") < F.col("y.comp")) & self._fits(small, large))
         last = last.join(open_.alias("o"), (F.col("x.comp") == F.col("o.a")) & (F.col("y.comp") == F.col("o.b")))
-        last = last.where(F.col("o.d") - F.col("x.d") - F.col("y.d") <= self.near + 1e-9).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        last = self._compare(last, sets).where(self._linked())
+        last = last.where(F.col("o.d") - F.col("x.d") - F.col("y.d") <= self.near + 1e-9)
+        last = last.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("c"), F.max(F.least("x.rest", "y.rest")).alias("rest"), F.first(small).alias("n"), F.first(large).alias("m"))
+        last = self._compare(last.where(self._enough(F.col("c"), F.col("n"), F.col("m")) & self._room(F.col("rest"), F.col("n"), F.col("m"))), sets).where(self._linked())
+        return heads.where(self._linked()).select("a", "b").unionByName(last.select("a", "b"))
 
-        links = first.select("a", "b").unionByName(heads_pairs.where(self._linked()).select("a", "b")).unionByName(last.select("a", "b"))
+    def run(self) -> DataFrame:
+        """doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
+        spark = self.docs.sparkSession
+        heads = materialize(self.docs.mapInArrow(_heads(self.k), "doc_id long, n long, id long"), "jaccard-heads")
+        lists = self._lists()
+        release_shuffles(spark)
+        likely = self._likely(lists)
+        sets = self._sets(heads, lists, likely)
+        release_shuffles(spark)
+        first = self._compare(likely, sets).where(self._linked()).select("a", "b")
+        comps = materialize(components(first, "a", "b"), "jaccard-comps")
+        links = first.unionByName(self._between(self._named(lists, comps), comps, sets))
         merged = components(links, "a", "b")
+        release_shuffles(spark)
         rows = heads.join(merged, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         least = rows.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
         rows = rows.join(least, "comp", "left")
