@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -32,6 +34,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
@@ -41,11 +50,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of plans that are no longer referenced."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark's cleaner, which works in the background, drop the shuffle files of plans that are no longer referenced."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize, release_shuffles, text_chunks
+from gridloom.llm._shared import CHUNK_BYTES, materialize, release_shuffles, text_chunks
 from gridloom.llm._text import Words, mix
 from gridloom.llm.components import components
 
 #: Frequent n-grams whose counts order the others after them: a bound on what is broadcast; results don't depend on it.
-COMMON = 65_536
+COMMON = 1 << 19
 #: Lists longer than this are cut for the first round, which only looks for likely links.
 LONG_LIST = 4096
 
@@ -59,20 +59,19 @@ def _frequent(k: int):
     """N-grams that several of a chunk's sets have, with the number of these sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches, "text"):
+        for batch in text_chunks(batches, "text", 4 * CHUNK_BYTES):
             gram, count = np.unique(Sets(batch.column(0), k).grams, return_counts=True)
-            keep = count >= max(4, batch.num_rows // 300)
+            keep = count >= max(2, batch.num_rows // 2500)
             yield pa.RecordBatch.from_arrays([pa.array(gram[keep].view(np.int64)), pa.array(count[keep].astype(np.int64))], names=["gram", "sets"])
 
     return run
 
 
-def _postings(k: int, percent: int, common: dict[int, int]):
+def _postings(k: int, percent: int, common):
     """Each set's first n-grams, frequent ones last: two sets that link share one of these."""
-    key = np.array(sorted(common), np.int64)
-    weight = np.array([common[x] for x in key.tolist()], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, weight = common.value
         for batch in text_chunks(batches, "text"):
             sets = Sets(batch.column(0), k)
             ids = sets.ids()
@@ -149,7 +148,10 @@ class JaccardJoin:
         """gram, id, n, rest, m: the prefix lists of n-grams that some sets of fitting sizes share; m is a list's length."""
         k, percent, texts = self.k, self.percent, self.docs.select("text")
         frequent = texts.mapInArrow(_frequent(k), "gram long, sets long").groupBy("gram").agg(F.sum("sets").alias("sets")).orderBy(F.desc("sets"), "gram").limit(COMMON)
-        common = {r["gram"]: r["sets"] for r in frequent.collect()}
+        table = frequent.toArrow()  # at most COMMON rows
+        key, weight = (table.column(c).to_numpy() for c in ("gram", "sets"))
+        order = np.argsort(key)
+        common = self.docs.sparkSession.sparkContext.broadcast((key[order], weight[order]))
         posts = texts.mapInArrow(_postings(k, percent, common), "gram long, id long, n int, rest int").repartition("gram").groupBy("gram", "id").agg(F.min("n").alias("n"), F.min("rest").alias("rest"))
         by_size = Window.partitionBy("gram").orderBy("n", "id")
         close = (F.lag("n").over(by_size) * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.lead("n").over(by_size) * percent)
@@ -168,7 +170,8 @@ class JaccardJoin:
         w = Window.partitionBy("gram", "salt").orderBy("n", "id")
         pairs = lists.withColumn("salt", salt).withColumn("p", F.lag(F.struct("id", "n", "rest")).over(w)).where(self._fits(F.col("p.n"), F.col("n")))
         pairs = pairs.groupBy(F.col("p.id").alias("a"), F.col("id").alias("b")).agg(F.count("*").alias("c"), F.first("p.n").alias("n"), F.first("n").alias("m"))
-        pairs = pairs.where(self._enough(F.col("c"), F.col("n"), F.col("m")))
+        # neighbours in some lists aren't in all that they share
+        pairs = pairs.where(self._enough(F.col("c") * 4, F.col("n"), F.col("m")))
         return materialize(pairs.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b"), "jaccard-likely")
 
     def _named(self, lists: DataFrame, comps: DataFrame) -> DataFrame:
