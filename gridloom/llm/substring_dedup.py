@@ -176,6 +176,7 @@ class SubstringIndex:
         """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by a space) for each row of ``batch``."""
         docs = batch.select("doc_id", "text")
         new = self._write_run(docs.mapInArrow(_fingerprint_rows, _ROWS))
+        release_shuffles(self.spark)
         key = F.coalesce("doc_id", F.lit(int(_LAST)))
         keyed = docs.withColumn("doc", key)
         listed = lambda rows: rows.groupBy("doc").agg(F.collect_set("print").alias("prints"))
