@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import language, mixing, ngram_join, pieces, secrets_scan
-from gridloom.llm._shared import materialize
+from gridloom.llm._shared import free, materialize
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +18,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of documents that links of Jaccard similarity 0.8 over five-word n-grams join, the one with the smallest doc_id stays."""
     found = ngram_join.jaccard_components(docs, k=5, percent=80)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    gone = materialize(gone, "near-duplicates").withColumnRenamed("doc_id", "_gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = free(docs, "_gone")
+    gone = materialize(gone, "near-duplicates").withColumnRenamed("doc_id", name)
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +30,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, zero to three times."""
-    taken = mixing.mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "copies").dropDuplicates(["_id", "_source", "size"])
-    here = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (mixing.word_count(F.col("text")) == F.col("size"))
-    rows = docs.join(taken, here).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    key, source, size, copies, copy = (free(docs, f"_mix_{x}") for x in ("id", "source", "size", "copies", "copy"))
+    taken = mixing.mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias(key), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(copies)).dropDuplicates([key, source, size])
+    here = F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source)) & (mixing.word_count(F.col("text")) == F.col(size))
+    rows = docs.join(taken, here).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
     return rows.select(*docs.columns)
 
 

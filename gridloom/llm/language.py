@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize, text_chunks
+from gridloom.llm._shared import free, materialize, text_chunks
 from gridloom.llm._text import Words, buffer
 
 #: Hashed byte trigrams of a language model, languages at most, and the share of labelled rows that fits it.
@@ -176,8 +176,9 @@ def keep_identified(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     names, table = fit(docs, rows)
     key = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.col("lang").alias("declared"), F.lit(None).cast("string").alias("url"), F.col("source").alias("host"))
     found = identify(key, ["doc_id", "text_key"], names, table).where("rejected").select("doc_id", "text_key").distinct()
-    gone = materialize(found, "language-rejected").withColumnsRenamed({"doc_id": "_gone", "text_key": "_gone_text"})
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_gone_text")), "left_anti")
+    a, b = free(docs, "_gone"), free(docs, "_gone_text")
+    gone = materialize(found, "language-rejected").withColumnsRenamed({"doc_id": a, "text_key": b})
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(a)) & (F.xxhash64("text") == F.col(b)), "left_anti")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize
+from gridloom.llm._shared import free, materialize
 
 EMAIL = r"[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
@@ -136,22 +136,23 @@ def replace_entities(docs: DataFrame, key: str = "gridloom") -> DataFrame:
     with 0 mentions; n_chars, where there is one, isn't changed. Equal texts get equal results.
     """
     has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
+    _text, _map, _found, _gaps = (free(docs, f"_pii_{x}") for x in ("text", "map", "found", "gaps"))
     plain = docs.where(~has).withColumn("n_entities", F.lit(0).cast("long"))
     docs = docs.where(has)
     found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     # a text's own hash is its key, so that copies are looked up once
-    mentions = docs.select(F.sha2("text", 256).alias("_text"), F.explode(F.array_distinct(found)).alias("mention")).distinct()
+    mentions = docs.select(F.sha2("text", 256).alias(_text), F.explode(F.array_distinct(found)).alias("mention")).distinct()
     mentions = mentions.withColumn("kind", kind_of(F.col("mention"))).withColumn("entity", canonical(F.col("kind"), F.col("mention")))
     mentions = materialize(mentions, "surrogate-mentions")
     table = assign(mentions, key)
-    named = mentions.join(table, ["kind", "entity"]).select("_text", "mention", render(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("to"))
-    maps = named.groupBy("_text").agg(F.map_from_entries(F.collect_set(F.struct("mention", "to"))).alias("_map"))
-    docs = docs.withColumn("_text", F.sha2("text", 256)).join(maps, "_text")
+    named = mentions.join(table, ["kind", "entity"]).select(_text, "mention", render(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("to"))
+    maps = named.groupBy(_text).agg(F.map_from_entries(F.collect_set(F.struct("mention", "to"))).alias(_map))
+    docs = docs.withColumn(_text, F.sha2("text", 256)).join(maps, _text)
     gaps = F.split("text", ANY, -1)
-    new = F.transform("_found", lambda m: F.try_element_at("_map", m))
-    docs = docs.withColumn("_found", found).withColumn("_gaps", gaps)
-    whole = F.array_join(F.transform("_gaps", lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), "")
-    docs = docs.withColumn("text", whole).withColumn("n_entities", F.size("_found").cast("long")).drop("_text", "_map", "_found", "_gaps")
+    new = F.transform(_found, lambda m: F.try_element_at(_map, m))
+    docs = docs.withColumn(_found, found).withColumn(_gaps, gaps)
+    whole = F.array_join(F.transform(_gaps, lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), "")
+    docs = docs.withColumn("text", whole).withColumn("n_entities", F.size(_found).cast("long")).drop(_text, _map, _found, _gaps)
     return plain.unionByName(docs.select(*plain.columns))
 
 

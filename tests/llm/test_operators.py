@@ -1,0 +1,253 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from gridloom.llm import language, maxscore, mixing, ngram_join, order_minhash, pieces, secrets_scan, substring_dedup, surrogates, warc
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _text string"
+
+
+def _texts(seed=1, n=40):
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+    base = [" ".join(r.choice(vocabulary) for _ in range(r.randint(1, 90))) for _ in range(n)]
+    near = [" ".join("zz" if r.random() < 0.01 else w for w in base[i % 12].split()) for i in range(12)]
+    return [*base, *near, base[0], base[0].upper(), None, "", "   ", "one", "a\tb", base[1] + " tail", base[3] * 40]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i if i != 5 else None, t, "en" if i % 3 else None, None if i % 7 == 0 else f"s{i % 4}", 0, "clash") for i, t in enumerate(_texts())]
+    return spark.createDataFrame([*rows, rows[2]], SCHEMA).repartition(5)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def _words(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+def _brute_components(rows, k, percent):
+    sets = []
+    for _, t in rows:
+        w = _words("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        least[find(i)].append(d)
+    low = lambda ids: min((x for x in ids if x is not None), default=None)
+    return [(d, len(sets[i]), low(least[find(i)]) if sets[i] else d) for i, (d, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80)])
+def test_jaccard_components(docs, k, percent):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = [tuple(r) for r in ngram_join.jaccard_components(docs, k, percent).select("doc_id", "n_shingles", "component_id").collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, _brute_components(rows, k, percent)))
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_substring_dedup(docs, batches):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    order = lambda d: float("inf") if d is None else d
+    first = {}
+    for d, t in rows:
+        w = _words(t)
+        for i in range(len(w) - 12):
+            key = tuple(w[i : i + 13])
+            first[key] = min(first.get(key, order(d)), order(d))
+    want = []
+    for d, t in rows:
+        w = _words(t)
+        gone = {j for i in range(len(w) - 12) if first[tuple(w[i : i + 13])] < order(d) for j in range(i, i + 13)}
+        want.append((d, len(w), len(gone), hashlib.sha256(" ".join(x for j, x in enumerate(w) if j not in gone).encode()).hexdigest()))
+    got = [tuple(r) for r in substring_dedup.remove_repeats(docs, batches).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_index_compacts(spark, docs):
+    index = substring_dedup.SubstringIndex(spark, fanout=1)
+    parts = [docs.where("doc_id < 20"), docs.where("doc_id >= 20 and doc_id < 40"), docs.where("doc_id >= 40 or doc_id is null")]
+    before, got = None, []
+    for p in parts:
+        got += index.append(p, before).collect()
+        before = p if before is None else before.unionByName(p)
+    assert len(index.runs) == 1
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr(tuple(r)) for r in substring_dedup.remove_repeats(docs, 1).collect())
+
+
+def test_top_k(spark):
+    r = random.Random(2)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(8)], 0) for i in range(300)]
+    rows += [(300, None, 0), (350, [None] + [0.1] * 7, 0), (400, [float("nan")] * 8, 0), (450, [], 0), (500, rows[0][1], 0), (None, rows[0][1], 0), (501, rows[0][1][:3], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
+    valid = [(r["vec_id"], [int((256.0 * x) // 1) for x in r["embedding"]]) for r in df.collect() if r["vec_id"] is not None and r["embedding"] is not None and all(x is not None and x == x for x in r["embedding"])]
+    want = []
+    for q, a in valid:
+        if q % 50 == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), v) for v, b in valid if v != q)[:5]
+            want += [(q, i + 1, v, -s) for i, (s, v) in enumerate(best)]
+    assert sorted(map(tuple, maxscore.top_k(df).collect())) == sorted(want)
+    assert maxscore.top_k(df.limit(0)).count() == 0
+
+
+def test_order_minhash(docs, empty):
+    rows = docs.collect()
+    got = order_minhash.fingerprints(docs).collect()
+    assert len(got) == len(rows) and order_minhash.fingerprints(empty).count() == 0
+    order = sorted(rows, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["text"] or ""))
+    want = Counter()
+    for i, r in enumerate(order):
+        t, n = r["text"] or "", order[(i + 1) % len(order)]["text"] or ""
+        cut = len(t) // 3
+        want[(r["doc_id"], len(t), hashlib.sha256((t[: len(t) - cut] + n[:cut]).encode()).hexdigest())] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
+    prints = defaultdict(set)
+    text = {r["doc_id"]: r["text"] or "" for r in rows}
+    for r in got:
+        prints[text[r["doc_id"]]].add(r["fingerprint"])
+    assert all(len(x) == 1 for x in prints.values())
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    long = [r for r in got if r["n_chars"] > 100]
+    assert sum(r["near_edited"] for r in long) > sum(r["near_next"] for r in long)
+
+
+def test_mixing(docs, empty):
+    got = mixing.mix_sources(docs).collect()
+    again = mixing.mix_sources(docs.repartition(3)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, again))) and mixing.mix_sources(empty).count() == 0
+    by = defaultdict(list)
+    for r in got:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        by[r["source"]].append(r)
+    assert sum(rs[0]["target"] for rs in by.values()) == pytest.approx(sum(r["size"] for r in got))
+    for rs in by.values():
+        assert rs[0]["target"] <= 3 * rs[0]["source_size"] and abs(sum(r["taken"] for r in rs) - rs[0]["target"]) <= max(r["size"] for r in rs)
+
+
+def test_warc(spark, tmp_path):
+    rows = [(3, "http://a/ b", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "http://c", None), (9, "http://d", ""), (4, "http://e", "x\r\n\r\ny" * 5000), (None, "http://f", "<p>é</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in warc.page_archive(pages, str(tmp_path / "w")).collect()}
+    assert {k: (r["record_type"], r["refers_to"]) for k, r in got.items()} == {1: ("response", None), 3: ("revisit", 1), None: ("revisit", 1), 2: ("response", None), 9: ("revisit", 2), 4: ("response", None)}
+    for k, _, html in rows:
+        raw = (html or "").encode()
+        assert got[k]["payload_bytes"] == len(raw) and got[k]["payload_digest"] == warc.digest(raw)
+    kept = spark.read.format("warc").option("path", str(tmp_path / "w")).load().where(F.col("target_uri").startswith("http://e")).collect()
+    assert [bytes(r["payload"]).decode() for r in kept] == [rows[4][2]]
+    assert warc.page_archive(pages.limit(0), str(tmp_path / "none")).count() == 0
+
+
+def test_pieces_round_trip_and_viterbi(docs, empty):
+    extra = ["▁ mark", "  two  spaces ", "日本語 🙂 é", "aaaa" * 500, "\n\t", "x" * 3000 + " y"]
+    rows = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame([(900 + i, t) for i, t in enumerate(extra)], "doc_id long, text string"))
+    got = pieces.encode(rows).collect()
+    assert len(got) == rows.count() and all(r["exact"] for r in got) and pieces.encode(empty).count() == 0
+    coder = pieces.Encoder(pieces.Vocabulary())
+    for text in ["the whole answer", "internationalization", "x" * 200, "日本 é"]:
+        whole = "▁" + text.replace(" ", "▁")
+        best = [(0.0, [])] + [(None, [])] * len(whole)
+        for i in range(1, len(whole) + 1):
+            options = [(best[s][0] + coder.v.pieces[whole[s:i]][0], best[s][1] + [coder.v.pieces[whole[s:i]][1]]) for s in range(max(0, i - coder.v.longest), i) if whole[s:i] in coder.v.pieces]
+            if whole[i - 1] not in coder.v.pieces:
+                options.append((best[i - 1][0] + coder.v.unknown, best[i - 1][1] + [coder.v.byte_ids[b] for b in whole[i - 1].encode()]))
+            best[i] = max(options, key=lambda o: o[0])
+        assert coder.encode(text) == best[-1][1]
+        assert coder.decode(coder.encode(text)) == text
+
+
+def test_language(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names, table = language.fit(d.where("doc_id % 2 = 0"))
+    held = d.where("doc_id % 2 = 1").select("doc_id", "text", F.lit(None).cast("string").alias("declared"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("host"))
+    truth = {r["doc_id"]: r["lang"] for r in d.select("doc_id", "lang").collect()}
+    got = language.identify(held, ["doc_id"], names, table).collect()
+    assert len(got) == held.count() and sum(r["lang"] == truth[r["doc_id"]] for r in got) >= 0.95 * len(got)
+    odd = spark.createDataFrame([(1, None, None, None, None), (2, "123 456", "en", "http://x.de/", None), (3, "", "de", "::", "h")], "doc_id long, text string, declared string, url string, host string")
+    assert all(r["rejected"] for r in language.identify(odd, ["doc_id"], names, table).collect())
+    assert language.keep_identified(d).count() >= 0.97 * d.count()
+    assert language.keep_identified(d.limit(0)).count() == 0
+
+
+def test_secrets(spark, empty):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secrets_scan.fit(d)
+    key = "AKIA" + "Q7" * 8
+    rows = spark.createDataFrame([(1, f'set token = "{"0a9f" * 10}" now', "a"), (2, f"é {key} end", None), (3, "paid 4041894974608795 today", "a"), (4, None, None), (5, "a token: internationalization of", "a")], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secrets_scan.scan(rows, model, ["doc_id"]).collect()}
+    assert [len(got[i]["findings"]) for i in (1, 2, 3, 4, 5)] == [1, 1, 0, 0, 0] and got[4]["clean"] is None
+    assert got[2]["clean"] == "é [SECRET] end" and (got[2]["findings"][0]["start"], got[2]["findings"][0]["end"]) == (2, 2 + len(key))
+    named = d.where(F.col("text").rlike(r'token = "[0-9a-f]{40}"|AKIA[0-9A-Z]{16}'))
+    clean = secrets_scan.mask_secrets(d).where(F.col("text").rlike(r'token = "[0-9a-f]{40}"|AKIA[0-9A-Z]{16}'))
+    assert named.count() > 0 and clean.count() == 0
+    assert secrets_scan.mask_secrets(empty).columns == empty.columns
+
+
+def test_surrogates(spark, empty):
+    rows = [(1, "mail Ann.Lee42@mail8.example.com or ANN.LEE42@MAIL8.EXAMPLE.COM", "x"), (2, "call +1 (988) 555-2485, card 4041894974608795 and 10.20.30.40", "x"), (3, "Mrs. Mary Stone met Herr Klaus Berg and Mary Stone", "x"), (4, None, "x"), (5, "plain", "x"), (6, "mail ann.lee42@mail8.example.com", "x"), (7, "Анна Петрова", "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, _text string")
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(d).collect()}
+    assert len(got) == 7 and got[4]["text"] is None and got[5]["text"] == "plain" and [got[i]["n_entities"] for i in range(1, 8)] == [2, 3, 3, 0, 0, 1, 1]
+    a, b = re.findall(r"\S+@\S+", got[1]["text"])
+    assert a.lower() == b.lower() == re.findall(r"\S+@\S+", got[6]["text"])[0].lower() and "lee42" not in a.lower() and b.isupper()
+    assert re.fullmatch(r"call \+1 \([2-9]\d\d\) 555-\d{4}, card 4\d{15} and \d+\.\d+\.\d+\.\d+", got[2]["text"]) and "988" not in got[2]["text"][:14]
+    digits = [int(c) for c in re.search(r"card (\d+)", got[2]["text"])[1]][::-1]
+    assert sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(digits)) % 10 == 0
+    m = re.fullmatch(r"Mrs\. (\w+ \w+) met Herr (\w+) \w+ and (\w+ \w+)", got[3]["text"])
+    assert m and m[1] == m[3] and m[1].split()[0] in surrogates.FEMALE and m[2] in surrogates.MALE
+    assert re.fullmatch(r"[А-Яа-яё]+ [А-Яа-яё]+", got[7]["text"])
+    assert surrogates.replace_entities(empty).count() == 0
+
+
+def test_colliding_surrogates_stay_distinct(spark):
+    entities = spark.createDataFrame([("phone", f"{i}") for i in range(10)] + [("phone", f"{i:02d}") for i in range(90)], "kind string, entity string")
+    got = surrogates.assign(entities, "k").collect()
+    assert len(got) == 100 and len({r["surrogate"] for r in got}) == 100 and not {r["surrogate"] for r in got} & {r["entity"] for r in got}
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    n = docs.count()
+    kept = c.STAGES[0][1](spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() >= 0.97 * n
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    want = {d for d, _, low in _brute_components(rows, 5, 80) if d == low}
+    one = c.STAGES[1][1](spark, docs, "")
+    assert {r["doc_id"] for r in one.collect()} == want and one.columns == docs.columns
+    mixed = c.STAGES[3][1](spark, docs, "")
+    taken = {r["doc_id"]: r["copies"] for r in mixing.mix_sources(docs).collect() if r["copies"]}
+    assert Counter(r["doc_id"] for r in mixed.collect()) == taken and mixed.columns == docs.columns
+
+
+@pytest.mark.parametrize("name", ["op2_ngram_jaccard", "op5_maxscore", "op7_substring_dedup", "op8_mixing", "op9_warc"])
+def test_queries_match_sql(spark, name):
+    from gridloom.llm.registry import QUERIES, SQL
+
+    con, sf = duckdb.connect(), "/root/testdata/sf0.001"
+    for t in ("documents", "embeddings", "pages"):
+        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+    df, want = QUERIES[name](spark, sf), con.sql(SQL[name])
+    cols = sorted(df.columns)
+    at = [list(want.columns).index(c) for c in cols]
+    assert sorted(repr(tuple(r[c] for c in cols)) for r in df.collect()) == sorted(repr(tuple(r[i] for i in at)) for r in want.fetchall())
