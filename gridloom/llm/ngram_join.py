@@ -213,15 +213,16 @@ class JaccardJoin:
         open_ = heads.where(~self._linked()).withColumn("d", distance)
         for side in "ab":
             open_ = open_.join(radius.select(F.col("comp").alias(side), F.col("r").alias(f"r_{side}")), side, "left").fillna(0.0, [f"r_{side}"])
-        open_ = open_.where("r_a + r_b > 0").where(F.col("d") - F.col("r_a") - F.col("r_b") <= self.near + 1e-9).select("a", "b", "d")
+        open_ = open_.where("r_a + r_b > 0").where(F.col("d") - F.col("r_a") - F.col("r_b") <= self.near + 1e-9).select("a", "b", "d", "r_b")
         open_ = materialize(open_, "jaccard-open")
         member = named.join(spokes, ["comp", "id"], "left").fillna(0.0, ["d"])
-        member = member.join(open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct(), "comp", "left_semi")
-        x, y = member.alias("x"), member.alias("y")
+        member = materialize(member.join(open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct(), "comp", "left_semi"), "jaccard-members")
+        # only members far enough from their representative, towards the other component, can have a link
+        x, y, o = member.alias("x"), member.alias("y"), open_.alias("o")
+        ahead = x.join(o, (F.col("x.comp") == F.col("o.a")) & (F.col("o.d") - F.col("x.d") - F.col("o.r_b") <= self.near + 1e-9))
+        ahead = ahead.select("gram", "id", "n", "rest", F.col("o.b").alias("to"), (F.col("o.d") - F.col("x.d")).alias("gap")).alias("x")
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        last = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") < F.col("y.comp")) & self._fits(small, large))
-        last = last.join(open_.alias("o"), (F.col("x.comp") == F.col("o.a")) & (F.col("y.comp") == F.col("o.b")))
-        last = last.where(F.col("o.d") - F.col("x.d") - F.col("y.d") <= self.near + 1e-9)
+        last = ahead.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.to") == F.col("y.comp")) & self._fits(small, large) & (F.col("x.gap") - F.col("y.d") <= self.near + 1e-9))
         last = last.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("c"), F.max(F.least("x.rest", "y.rest")).alias("rest"), F.first(small).alias("n"), F.first(large).alias("m"))
         last = self._compare(last.where(self._enough(F.col("c"), F.col("n"), F.col("m")) & self._room(F.col("rest"), F.col("n"), F.col("m"))), sets).where(self._linked())
         return heads.where(self._linked()).select("a", "b").unionByName(last.select("a", "b"))
