@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm._shared import text_chunks
+from gridloom.llm._text import buffer
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Segments that a worker remembers; bounds its memory.
-MEMO = 300_000
-_SEGMENT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Short segments that a worker remembers, twice at most; bounds its memory.
+MEMO = 400_000
 
 
 class Vocabulary:
@@ -47,6 +50,9 @@ class Vocabulary:
         self.unknown = min(s for s, _ in self.pieces.values()) - 10.0
         #: No piece runs into a space mark, so all paths meet there.
         self.meets = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
+        #: ASCII characters that no longer piece contains, so that all paths meet before and behind them.
+        joined = set(chain.from_iterable(p for p in self.pieces if len(p) > 1))
+        self.alone = np.array([b < 128 and b != 32 and chr(b) not in joined for b in range(256)])
 
 
 class Encoder:
@@ -57,28 +63,29 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[bytes, bytes] = {}
+        self.former: dict[bytes, bytes] = {}
+        #: Each end of a piece, with the score and id where it is a piece itself; no longer piece ends where this has nothing.
+        self.ends: dict[str, tuple[float, int] | None] = {p[i:]: None for p in vocabulary.pieces for i in range(1, len(p))} | vocabulary.pieces
 
     def stream(self, characters: Iterable[str]) -> Iterator[int]:
         """Viterbi over a stream of characters. Only positions since the last commit are kept: whenever the paths to all
         positions from which a piece can still start (as many as the longest piece has characters) meet in one boundary,
         the ids before it are final and leave the window."""
-        v, longest = self.v, self.v.longest
+        v, longest, ends = self.v, self.v.longest, self.ends.get
         window, base = "", 0  # characters since position ``base``, the last committed boundary
         score, back = [0.0], [(-1, 0)]  # of each position since base: best sum, and (start, id; -1 for unknown)
         due = 2 * longest
         for c in characters:
             window += c
             i = len(window)
-            best, at, piece = None, 0, -1
-            for start in range(max(0, i - longest), i):
-                hit = v.pieces.get(window[start:i])
-                if hit is not None:
-                    total = score[start] + hit[0]
-                    if best is None or total > best:
-                        best, at, piece = total, start, hit[1]
-            if c not in v.pieces and (best is None or score[i - 1] + v.unknown > best):
-                best, at, piece = score[i - 1] + v.unknown, i - 1, -1
+            best, at, piece = (score[-1] + v.unknown, i - 1, -1) if c not in v.pieces else (-math.inf, 0, -1)
+            for start in range(i - 1, max(-1, i - 1 - longest), -1):
+                hit = ends(window[start:i], 0)
+                if hit == 0:
+                    break
+                if hit is not None and score[start] + hit[0] >= best:
+                    best, at, piece = score[start] + hit[0], start, hit[1]
             score.append(best)
             back.append((at, piece))
             if i >= due:
@@ -112,33 +119,62 @@ class Encoder:
             end = start
         return out[::-1]
 
-    def segment(self, text: str) -> tuple[int, ...]:
-        got = self.memo.get(text)
+    def segment(self, raw: bytes) -> bytes:
+        """Ids of a segment as 32-bit numbers. A mark in the text, which decoding would take for a space, is written as bytes."""
+        got = self.memo.get(raw) or self.former.get(raw)
         if got is None:
-            got = tuple(self.stream(text))
-            if len(text) <= 64:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[text] = got
+            mark = [self.v.byte_ids[b] for b in SPACE.encode()]
+            ids: list[int] = []
+            for i, part in enumerate(raw.decode().split(SPACE)):
+                ids += [*(mark if i else []), *self.stream(part.replace(" ", SPACE))]
+            got = array("i", ids).tobytes()
+        if len(raw) <= 64:
+            if len(self.memo) >= MEMO:
+                self.former, self.memo = self.memo, {}
+            self.memo[raw] = got
         return got
 
-    def parts(self, text: str) -> list[tuple[int, ...]]:
-        if not text:
-            return []
-        if SPACE in text:  # the mark itself, which decoding would take for a space, is written as bytes
-            mark = tuple(self.v.byte_ids[b] for b in SPACE.encode())
-            head, *rest = text.split(SPACE)
-            return list(chain(self._marked(SPACE + head.replace(" ", SPACE)), *([mark, *self._marked(x.replace(" ", SPACE))] for x in rest)))
-        return self._marked(SPACE + text.replace(" ", SPACE))
-
-    def _marked(self, text: str) -> list[tuple[int, ...]]:
-        return list(map(self.segment, _SEGMENT.findall(text) if self.v.meets else [text] if text else []))
+    def raw(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.v.raw.__getitem__, ids))
+
+    def segments(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The segments of the texts, between boundaries that lie on every path, and the n + 1 edges of texts among them. Texts get a leading space."""
+        texts = pc.fill_null(texts, "")
+        data, off = buffer(pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, "")))
+        begin = np.zeros(len(data), bool)
+        if self.v.meets:
+            begin = data == 32
+            begin[1:] &= data[:-1] != 32
+        alone = self.v.alone[data]
+        begin |= alone
+        begin[1:] |= alone[:-1]
+        begin[off[:-1][off[1:] > off[:-1]]] = True
+        starts = np.flatnonzero(begin)
+        edges = np.append(starts, len(data))
+        cut = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        return cut, np.searchsorted(starts, off)
+
+    def coded(self, texts: pa.Array) -> tuple[pa.ListArray, list[bytes]]:
+        """Ids of each text and what they decode to. Each distinct segment is encoded once."""
+        cut, first = self.segments(texts)
+        coded = cut.dictionary_encode()
+        code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        ids = list(map(self.segment, distinct))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
+        edge = np.concatenate([[0], np.cumsum(size[code])])
+        where = np.repeat((np.cumsum(size) - size)[code] - edge[:-1], size[code]) + np.arange(edge[-1])
+        lists = pa.ListArray.from_arrays(pa.array(edge[first].astype(np.int32)), pa.array(flat[where]))
+        flat_ids = flat.tolist()
+        parts = [self.raw(flat_ids[b - n : b]) for b, n in zip(np.cumsum(size).tolist(), size.tolist(), strict=True)]
+        decoded = [b"".join([parts[c] for c in code[a:b].tolist()])[1:] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+        return lists, decoded
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self.parts(text)))
+        return self.coded(pa.array([text]))[0][0].as_py()
 
     def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.v.raw.__getitem__, ids)).decode("utf-8", "replace")[1:]
+        return self.raw(ids).decode("utf-8", "replace")[1:]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -147,20 +183,11 @@ _encoders: dict[str, Encoder] = {}
 def _encode_rows(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoders.get(key) or _encoders.setdefault(key, Encoder(shared.value))
-        raw = coder.v.raw.__getitem__
         for batch in text_chunks(batches, "text"):
-            parts: list[tuple[int, ...]] = []
-            sizes, exact, sums = [], [], []
-            for text in batch.column(1).to_pylist():
-                own = coder.parts(text or "")
-                parts += own
-                sizes.append(sum(map(len, own)))
-                back = b"".join(map(raw, chain.from_iterable(own)))[1:]
-                exact.append(back == (text or "").encode())
-                sums.append(hashlib.sha256(back).hexdigest())
-            ids = np.fromiter(chain.from_iterable(parts), np.int32, sum(sizes))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(sizes, np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), pa.array(sums, pa.string()), pa.array(exact, pa.bool_())], names=["doc_id", "n_ids", "ids", "decoded_sha256", "exact"])
+            lists, decoded = coder.coded(batch.column(1))
+            exact = [x == (t or "").encode() for x, t in zip(decoded, batch.column(1).to_pylist(), strict=True)]
+            sums = [hashlib.sha256(x).hexdigest() for x in decoded]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.list_value_length(lists).cast(pa.int64()), lists, pa.array(sums, pa.string()), pa.array(exact, pa.bool_())], names=["doc_id", "n_ids", "ids", "decoded_sha256", "exact"])
 
     return run
 
