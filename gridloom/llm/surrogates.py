@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm._shared import free, materialize
 
-EMAIL = r"[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}"
+EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 PHONE = r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d)|(?<!\d)\d{3}[.-]\d{3}[.-]\d{4}(?!\d)"
@@ -21,8 +21,10 @@ SYLLABLES = ("ba", "den", "fal", "gor", "hin", "kel", "lum", "mor", "nes", "pol"
 SYLLABLES_CYRILLIC = ("ба", "вол", "гор", "дин", "жар", "зим", "кал", "лев", "мор", "нов", "пет", "рос", "сав", "тих", "чер", "шум")
 _TITLE = "|".join((*MALE_TITLES, *FEMALE_TITLES, "Dr", "Prof"))
 _GIVEN = "|".join((*MALE, *FEMALE, *MALE_CYRILLIC, *FEMALE_CYRILLIC))
-NAME = rf"(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?\p{{Lu}}\p{{Ll}}{{2,20}}|(?:{_GIVEN}) \p{{Lu}}\p{{Ll}}{{2,20}})(?!\p{{L}})"
-ANY = f"(?:{EMAIL})|(?:{PHONE})|(?:{CARD})|(?:{IP})|(?:{NAME})"
+NAME = rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?\p{{Lu}}\p{{Ll}}{{2,20}}|(?:{_GIVEN}) \p{{Lu}}\p{{Ll}}{{2,20}})(?!\p{{L}})"
+#: Looking ahead for a digit, sign or capital spares most positions of a text the other tries.
+NO_EMAIL = rf"(?=[\d+(])(?:{PHONE}|{CARD}|{IP})|(?:{NAME})"
+ANY = f"(?:{EMAIL})|{NO_EMAIL}"
 #: Rounds in which a surrogate keeps its entity's format; later ones get longer, so that there is always a free one.
 ROUNDS = 8
 _LOWER, _UPPER, _ACCENTS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àâäçéèêëíîïñóôöúûü"
@@ -135,7 +137,7 @@ def replace_entities(docs: DataFrame, key: str = "gridloom") -> DataFrame:
     ones. Names keep gender and script, letters their script and case, cards a valid check digit. Null text stays null
     with 0 mentions; n_chars, where there is one, isn't changed. Equal texts get equal results.
     """
-    has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
+    has = F.coalesce(F.when(F.col("text").contains("@"), F.col("text").rlike(ANY)).otherwise(F.col("text").rlike(NO_EMAIL)), F.lit(False))
     _text, _map, _found, _gaps = (free(docs, f"_pii_{x}") for x in ("text", "map", "found", "gaps"))
     plain = docs.where(~has).withColumn("n_entities", F.lit(0).cast("long"))
     docs = docs.where(has)
