@@ -14,18 +14,20 @@ def _rewire(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     joined = both.join(least, "u")
     out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")) if large else joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node either has smaller neighbours, and then just one, or larger ones."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up + down > 1").isEmpty()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """id, comp for every node of an edge: comp is the least id of its component. Loops, repeats and nulls don't matter."""
     edges = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     edges = materialize(edges, "edges")
-    state = None
-    while True:
-        edges = materialize(_rewire(_rewire(edges, True), False), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+    while not _stars(edges):
+        edges = materialize(_rewire(_rewire(edges, True), False).distinct(), "edges")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
