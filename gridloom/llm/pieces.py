@@ -1,4 +1,4 @@
-"""SentencePiece encoding by streaming Viterbi, and decoding."""
+"""SentencePiece encoding in a stream, by Viterbi (unigram models) or merges (BPE models), and decoding."""
 
 from __future__ import annotations
 
@@ -22,6 +22,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Short segments that a worker remembers, twice at most; bounds its memory.
 MEMO = 400_000
+#: Characters of a segment that are merged at once; longer ones are streamed. No result depends on it.
+WINDOW = 512
 
 
 class Vocabulary:
@@ -29,8 +31,13 @@ class Vocabulary:
 
     def __init__(self, path: str = MODEL) -> None:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2 as proto
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        spec = proto.ModelProto.FromString(model.serialized_model_proto()).trainer_spec
+        if spec.model_type not in (spec.UNIGRAM, spec.BPE):
+            raise ValueError(f"{path} is neither a unigram nor a BPE model")
+        self.merges = spec.model_type == spec.BPE
         n = model.get_piece_size()
         self.byte_ids = [0] * 256
         self.pieces: dict[str, tuple[float, int]] = {}
@@ -177,12 +184,89 @@ class Encoder:
         return self.raw(ids).decode("utf-8", "replace")[1:]
 
 
+class MergeEncoder(Encoder):
+    """Ids of a BPE model, whose scores rank merges: of all neighbours that form a piece, those of the highest score are
+    joined first, of equal ones the leftmost, until none form a piece. A character that is no piece is written as bytes."""
+
+    def __init__(self, vocabulary: Vocabulary, window: int = WINDOW) -> None:
+        self.v, self.window = vocabulary, window
+        self.memo: dict[bytes, bytes] = {}
+        self.former: dict[bytes, bytes] = {}
+        self.pairs: dict[tuple[str, str], bool] = {}
+        self.rank = {p: score for p, (score, _) in vocabulary.pieces.items() if len(p) > 1}
+
+    def merged(self, text: str) -> list[str]:
+        get, none = self.rank.get, -math.inf
+        parts = list(text)
+        scores = [get(text[i : i + 2], none) for i in range(len(text) - 1)]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            parts[i] += parts.pop(i + 1)
+            del scores[i]
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], none)
+        return parts
+
+    def fits(self, left: str, right: str) -> bool:
+        """Whether the parts stay as they are when merged side by side; ``left`` may be empty."""
+        got = self.pairs.get((left, right))
+        if got is None:
+            if len(self.pairs) >= MEMO:
+                self.pairs.clear()
+            got = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+        return got
+
+    def stream(self, characters: Iterable[str]) -> Iterable[int]:
+        if isinstance(characters, str) and len(characters) <= self.window:
+            out: list[int] = []
+            for x in self.merged(characters):
+                hit = self.v.pieces.get(x)
+                out.extend((hit[1],) if hit else map(self.v.byte_ids.__getitem__, x.encode("utf-8", "replace")))
+            return out
+        return self.windowed(characters)
+
+    def windowed(self, characters: Iterable[str]) -> Iterator[int]:
+        """Merges over a stream of characters, of which only those since the last commit are kept.
+
+        No merge crosses a boundary of the result, so what is before a boundary is merged as if alone; and parts are the
+        result for their text just where each two neighbours fit, as the first merge across a boundary would happen between
+        the two alone, too. So exactly one part ends each prefix: the one that fits the part that ends the prefix before it.
+        Where the paths to all live positions meet, the ids before are final, as in Viterbi."""
+        v, longest, pieces = self.v, self.v.longest, self.v.pieces.get
+        window, due = "", 2 * longest
+        last, back = [""], [(-1, 0)]  # of each position since the last commit: the part that ends there, and (start, id; -1 for unknown)
+        for c in characters:
+            window += c
+            i = len(window)
+            for start in range(max(0, i - longest), i):
+                part = window[start:i]
+                if (i - start == 1 or part in self.rank) and self.fits(last[start], part):
+                    break
+            last.append(part)
+            back.append((start, pieces(part, (0, -1))[1]))
+            if i >= due:
+                cut = self._meeting(back, i)
+                due = i + longest
+                if cut:
+                    yield from self._path(window, back, cut)
+                    window, last = window[cut:], last[cut:]
+                    back = [(max(a - cut, -1), p) for a, p in back[cut:]]
+                    due -= cut
+        yield from self._path(window, back, len(window))
+
+
+def encoder(vocabulary: Vocabulary) -> Encoder:
+    return MergeEncoder(vocabulary) if vocabulary.merges else Encoder(vocabulary)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
 def _encode_rows(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoders.get(key) or _encoders.setdefault(key, Encoder(shared.value))
+        coder = _encoders.get(key) or _encoders.setdefault(key, encoder(shared.value))
         for batch in text_chunks(batches, "text"):
             lists, decoded = coder.coded(batch.column(1))
             exact = [x == (t or "").encode() for x, t in zip(decoded, batch.column(1).to_pylist(), strict=True)]
@@ -195,7 +279,9 @@ def _encode_rows(shared, key: str):
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_ids, ids, decoded_sha256 (of the text decoded from the ids) and exact (it is the text) for each row of ``docs``.
 
-    The text gets a leading space mark, as the model asks for; spaces become marks. Null and empty text have no ids.
+    The ids are those of the model, by merges or by Viterbi as its kind asks for. The text gets a leading space mark, as
+    the model asks for; spaces become marks. Only a mark in the text itself differs: it is written as bytes, so that it
+    isn't decoded to a space. Null and empty text have no ids.
     Long texts are encoded in a window of bounded size. Equal texts have equal ids. Other columns are ignored.
     """
     spark = docs.sparkSession

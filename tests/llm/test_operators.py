@@ -175,6 +175,22 @@ def test_pieces_round_trip_and_viterbi(docs, empty):
         assert coder.decode(coder.encode(text)) == text
 
 
+def test_pieces_are_the_models(spark):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    r = random.Random(5)
+    texts = [x["text"] for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    texts += ["the distributed processing", "  two  spaces ", "\n\t\x00", "日本語 🙂 é", "a" * 3001, " " * 1500, "ab" * 2000, "é" * 900, "=-" * 700]
+    texts += ["".join(r.choice(a) for _ in range(n)) for a in ("ab", "theraino", "internatiol", "аеионт", "=-*_ ", "日本人大 ") for n in (7, 90, 2500)]
+    got = {x["doc_id"]: x for x in pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = model.encode([t or "" for t in texts])
+    assert [i for i, w in enumerate(want) if got[i]["ids"] != w] == [] and all(x["exact"] for x in got.values())
+    streamed = pieces.MergeEncoder(pieces.Vocabulary(), window=0)
+    for t in [*texts[:20], *texts[-27:]]:
+        assert list(streamed.stream("▁" + t.replace(" ", "▁"))) == model.encode(t)
+
+
 def test_language(spark):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     names, table = language.fit(d.where("doc_id % 2 = 0"))
