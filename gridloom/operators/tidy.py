@@ -48,10 +48,10 @@ def duplicates(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def raster(cells: DataFrame, longitudes: list[float], label=lambda x: f"lon_{x:g}") -> DataFrame:
-    """One row a latitude, one column a longitude; a point that occurs twice is an error."""
+def raster(cells: DataFrame, longitudes: list[float], label=lambda x: f"lon_{x:g}", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row a latitude of each field, one column a longitude; a point that occurs twice in a field is an error. ``keys`` tell fields apart."""
     columns = [F.when(F.count(F.when(F.col("longitude") == x, 1)) > 1, F.raise_error(F.lit("duplicate cell")).cast("float")).otherwise(F.max(F.when(F.col("longitude") == x, F.col("value")))).alias(label(x)) for x in longitudes]
-    return cells.groupBy("latitude").agg(*columns).orderBy(F.desc("latitude"))
+    return cells.groupBy(*keys, "latitude").agg(*columns).orderBy(*keys, F.desc("latitude"))
 
 
 def tensors(blocks: DataFrame) -> DataFrame:

@@ -122,10 +122,20 @@ def tidy_scan_filter(spark, d):
 
 @query(_with(X.FIELDS_SQL, f"SELECT {_TIDY} FROM z WHERE cycle = 0"))
 def union_chunks(spark, d):
-    b = X.blocks(spark, d).where("cycle = 0")
+    """Of the first cycle, as its SQL; ``union_chunks_all`` takes all."""
+    return _chunks(X.blocks(spark, d).where("cycle = 0"))
+
+
+def _chunks(b):
     return T.surface(b).unionByName(T.upper(b, ("z",))).unionByName(T.upper(b, B.UPPER_RAW))
 
 
+@query(_with(X.FIELDS_SQL, f"SELECT {_TIDY} FROM z {_COMPLETE}"))
+def union_chunks_all(spark, d):
+    """The chunks of all complete cycles."""
+    return _chunks(B.complete_only(X.blocks(spark, d)))
+
+
 @query("SELECT lat, lon, 'msl' AS variable, msl AS value FROM (SELECT l_orderkey AS lat, l_linenumber AS lon, min(l_quantity) AS msl, min(l_extendedprice) AS u10, min(l_discount) AS v10, min(l_tax) AS t2m FROM lineitem GROUP BY ALL) UNION ALL SELECT lat, lon, v, x FROM (SELECT l_orderkey AS lat, l_linenumber AS lon, unnest(['u10','v10','t2m']) AS v, unnest([min(l_extendedprice), min(l_discount), min(l_tax)]) AS x FROM lineitem GROUP BY l_orderkey, l_linenumber)")
 def unpivot_surface(spark, d):
     wide = X.surface_rows(spark, d).groupBy("lat", "lon").agg(*[F.min(v).alias(v) for v in B.SURFACE])
@@ -144,9 +154,16 @@ def broadcast_long(spark, d):
 
 @query(_with(X.FIELDS_SQL, "SELECT latitude, " + ", ".join(f"max(CASE WHEN longitude = {45 * i} THEN value END) AS lon_{45 * i}" for i in range(8)) + " FROM c WHERE cycle = 0 AND variable = 't2m' GROUP BY latitude"))
 def raster_pivot(spark, d):
+    """Of one field, as its SQL; ``raster_pivot_all`` takes all."""
     return T.raster(B.cells(X.blocks(spark, d).where("cycle = 0 AND variable = 't2m'")), [45.0 * i for i in range(8)])
 
 
+@query(_with(X.FIELDS_SQL, "SELECT cycle, variable, level, latitude, " + ", ".join(f"max(CASE WHEN longitude = {45 * i} THEN value END) AS lon_{45 * i}" for i in range(8)) + " FROM c GROUP BY cycle, variable, level, latitude"))
+def raster_pivot_all(spark, d):
+    """All fields."""
+    return T.raster(B.cells(X.blocks(spark, d)), [45.0 * i for i in range(8)], keys=("cycle", "variable", "level"))
+
+
 def _tensor_rows(spark, d, which):
     t = T.tensors(B.complete_only(X.blocks(spark, d))).where(F.col("tensor") == which)
     return t.select("cycle", "channel", "level_idx", F.posexplode("values").alias("pos", "value"))

@@ -46,6 +46,17 @@ def test_duplicate_cell_is_an_error(spark):
         T.raster(rows, [0.0]).collect()
 
 
+def test_all_fields_have_rasters_and_all_cycles_chunks(spark):
+    blocks = X.blocks(spark, SF)
+    rows = QUERIES["raster_pivot_all"](spark, SF).collect()
+    assert len(rows) == 8 * blocks.count() and len({(r["cycle"], r["variable"], r["level"]) for r in rows}) == blocks.count()
+    dates = {(r["date"], r["run"]) for r in B.complete_only(blocks).select("date", "run").collect()}
+    got = QUERIES["union_chunks_all"](spark, SF)
+    assert len(dates) > 1 and {(r["date"], r["run"]) for r in got.select("date", "run").distinct().collect()} == dates
+    two = spark.createDataFrame([("a", 1.0, 0.0, 1.0), ("b", 1.0, 0.0, 2.0)], "variable string, latitude double, longitude double, value float")
+    assert [tuple(r) for r in T.raster(two, [0.0], keys=("variable",)).collect()] == [("a", 1.0, 1.0), ("b", 1.0, 2.0)]
+
+
 def test_bad_date(spark):
     rows = spark.createDataFrame([("20240230",)], "d string")
     assert rows.select(K.parse_date(F.col("d"))).first()[0] is None
