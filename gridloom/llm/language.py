@@ -6,14 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm._shared import free, materialize, text_chunks
 from gridloom.llm._text import Words, buffer
 
-#: Hashed byte trigrams of a language model, languages at most, and the share of labelled rows that fits it.
-TRIGRAMS, LANGUAGES, FIT_ROWS = 1 << 14, 64, 20_000
+#: Hashed byte trigrams of a language model, labelled rows that fit all models, and those that fit each language at least.
+TRIGRAMS, FIT_ROWS, LEAST_ROWS = 1 << 14, 20_000, 200
+#: A text is in a language if its mean log likelihood of a trigram is at most so far below the expected one, and so many
+#: standard errors for its length. For a model of few rows, half the way to trigrams it hasn't seen counts, if that is less.
+MARGIN, ERRORS = 1.6, 3.0
 #: Overlapping trigrams are no independent evidence: their log likelihoods count by this much.
 TEMPER = 0.2
 #: Chances that a declared language, or one that the address tells, is the text's.
@@ -50,25 +54,35 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_chunks(batches, "text"):
         code, off = _codes(batch.column(0))
         names = batch.column(1).to_pylist()
-        for name in sorted(set(names)):
-            own = np.repeat(np.array([x == name for x in names]), np.diff(off))
-            count = np.bincount(code[own & (code >= 0)], minlength=TRIGRAMS)
-            some = np.flatnonzero(count)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(count[some].astype(np.int64))], names=["lang", "code", "n"])
+        kinds = sorted(set(names))
+        at = {name: i for i, name in enumerate(kinds)}
+        own = np.repeat(np.array([at[x] for x in names], np.int64), np.diff(off)) * TRIGRAMS
+        count = np.bincount((own + code)[code >= 0], minlength=len(kinds) * TRIGRAMS)
+        some = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array([kinds[i] for i in some // TRIGRAMS], pa.string()), pa.array((some % TRIGRAMS).astype(np.int32)), pa.array(count[some].astype(np.int64))], names=["lang", "code", "n"])
+
+
+def code_of(declared: Column) -> Column:
+    """A declared language's first subtag in lower case; null where there is none."""
+    return F.nullif(F.lower(F.split(F.trim(declared), "[-_]")[0]), F.lit(""))
 
 
 def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and their trigram log likelihoods, from about ``rows`` rows of ``labelled`` (text, lang), chosen by hash."""
-    labelled = labelled.select("text", F.lower("lang").alias("lang")).where("text is not null and lang is not null")
-    share = min(1.0, rows / max(1, labelled.count()))
-    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    """All labelled languages and their trigram log likelihoods, from about ``rows`` rows of ``labelled`` (text, lang),
+    chosen by hash, as many of each language. As much probability as trigrams seen once have goes to those not seen."""
+    labelled = labelled.select("text", code_of(F.col("lang")).alias("lang")).where("text is not null and lang is not null")
+    each = materialize(labelled.groupBy("lang").count(), "languages")
+    quota = max(LEAST_ROWS, rows // max(1, each.count()))
+    share = each.select("lang", (F.least(F.lit(1.0), F.lit(quota) / F.col("count")) * (1 << 20) + 1).alias("share"))
+    chosen = labelled.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share")).select("text", "lang")
     counts = chosen.mapInArrow(_counted, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "language-counts")
-    names = sorted(r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
-    table = np.full((len(names), TRIGRAMS), 0.5)
-    for r in counts.where(F.col("lang").isin(names)).collect():  # at most LANGUAGES x TRIGRAMS rows
-        table[names.index(r["lang"]), r["code"]] += r["n"]
-    return names, np.log(table / table.sum(1, keepdims=True)).astype(np.float32)
+    counts = materialize(counts, "language-counts").toArrow()  # at most languages x TRIGRAMS rows
+    names = sorted(pc.unique(counts["lang"]).to_pylist())
+    table = np.zeros((len(names), TRIGRAMS))
+    table[pc.index_in(counts["lang"], pa.array(names, pa.string())).to_numpy(), counts["code"].to_numpy()] = counts["n"].to_numpy()
+    total, new = table.sum(1, keepdims=True), np.maximum(1, (table == 0).sum(1, keepdims=True))
+    unseen = np.clip(((table == 1).sum(1, keepdims=True) + 1) / (total + 1), 0.01, 0.9)
+    return names, np.log(np.where(table > 0, (1 - unseen) * table / total, unseen / new)).astype(np.float32)
 
 
 def _scored(shared):
@@ -106,8 +120,8 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     Languages' log odds add up: the text's trigrams, the declared language, the language that the address' suffix or
     path tells, and the host's prior. Priors are shares of languages over a host's rows, smoothed by those of its domain,
     which are smoothed by those of all rows; the rows' own posteriors without priors are summed by grouped aggregation.
-    A row is rejected, with lang und, where text has no letters in a row of three or no language reaches one half.
-    Null or empty text, url, host or declared language are no evidence; rows without host share one. Languages that the
+    A row is rejected, with lang und, where text has no letters in a row of three, no language reaches one half, or the
+    text is too unlikely under its language for one of the model's. Null or empty text, url, host or declared language are no evidence; rows without host share one. Languages that the
     model doesn't know are no evidence. Without any fitted language all rows are rejected.
     """
     n = len(names)
@@ -115,28 +129,27 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     tail = F.split(host, r"\.")
     rows = rows.withColumn("host", host).withColumn("domain", F.array_join(F.slice(tail, F.greatest(F.size(tail) - 1, F.lit(1)), 2), "."))
     told = F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair])
-    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\w+://[^/]*/([a-z]{2})(?:[/?#]|$)", 1)
+    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\w+://[^/]*/([a-z]{2,3})(?:[/?#]|$)", 1)
     rows = rows.withColumn("address", F.when(path.isin(names or [""]), path).otherwise(F.try_element_at(told, F.element_at(tail, -1))))
-    rows = rows.withColumn("declared", F.lower(F.substring("declared", 1, 2)))
+    rows = rows.withColumn("declared", code_of(F.col("declared")))
     if not n:
         return rows.select(*key, F.lit("und").alias("lang"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_lang"), F.lit(True).alias("rejected"))
-    shared = rows.sparkSession.sparkContext.broadcast(table)  # at most LANGUAGES x TRIGRAMS numbers
+    shared = rows.sparkSession.sparkContext.broadcast(table)  # languages x TRIGRAMS numbers
     extra = [f for f in rows.schema.fields if f.name in key]
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
     scored = rows.select(*key, "host", "domain", "declared", "address", "text").mapInArrow(_scored(shared), f"{keys}, host string, domain string, declared string, address string, ll array<double>, trigrams long, words long")
     lang = F.array(*map(F.lit, names))
 
-    def witness(column: str, trust: float) -> Column:
-        fits = F.when(lang_at == F.col(column), F.lit(float(np.log(trust)))).otherwise(F.lit(float(np.log((1 - trust) / max(1, n - 1)))))
-        return F.when(F.col(column).isin(names), fits).otherwise(F.lit(0.0))
+    def witness(column: str, trust: float, i: Column) -> Column:
+        at = F.col(f"{column}_at")
+        return F.when(at == 0, F.lit(0.0)).when(at == i + 1, F.lit(float(np.log(trust)))).otherwise(F.lit(float(np.log((1 - trust) / max(1, n - 1)))))
 
-    logs = []
-    for i, name in enumerate(names):
-        lang_at = F.lit(name)
-        logs.append(F.get("ll", F.lit(i)) * TEMPER + witness("declared", DECLARED) + witness("address", ADDRESS))
-    scored = scored.withColumn("own", F.array(*logs)).withColumn("share", _normal(F.col("own")))
+    for column in ("declared", "address"):
+        scored = scored.withColumn(f"{column}_at", F.coalesce(F.array_position(lang, F.col(column)), F.lit(0)))
+    own = F.transform("ll", lambda x, i: x * TEMPER + witness("declared", DECLARED, i) + witness("address", ADDRESS, i))
+    scored = scored.withColumn("own", own).withColumn("share", _normal(F.col("own")))
     text_best = F.get(lang, (F.array_position("ll", F.array_max("ll")) - 1).cast("int"))
-    scored = scored.select(*key, "host", "domain", "own", "share", F.when(F.col("trigrams") > 0, text_best).otherwise("und").alias("text_lang"), "trigrams")
+    scored = scored.select(*key, "host", "domain", "own", "share", F.when(F.col("trigrams") > 0, text_best).otherwise("und").alias("text_lang"), "ll", "trigrams")
     scored = materialize(scored, "language-scores")
     sums = [F.sum(F.get("share", F.lit(i))).alias(f"s{i}") for i in range(n)]
     hosts = materialize(scored.groupBy("host", "domain").agg(*sums), "language-hosts")
@@ -147,16 +160,23 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     whole = [x / sum(whole) for x in whole]
 
     def smoothed(under: Column) -> Column:
-        every = sum((F.col(f"s{i}") for i in range(1, n)), F.col("s0"))
-        return F.array(*[(F.col(f"s{i}") + SMOOTH * F.get(under, F.lit(i))) / (every + SMOOTH) for i in range(n)])
+        every = F.aggregate(F.array(*[f"s{i}" for i in range(n)]), F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(F.array(*[f"s{i}" for i in range(n)]), under, lambda x, u: (x + SMOOTH * u) / (every + SMOOTH))
 
     domains = domains.select("domain", smoothed(F.array(*map(F.lit, whole))).alias("over"))
     priors = materialize(hosts.join(domains, "domain").select("host", smoothed(F.col("over")).alias("prior")), "language-priors")
     out = scored.join(priors, "host")
     post = _normal(F.zip_with("own", "prior", lambda x, p: x + F.log(p)))
     out = out.withColumn("post", post).withColumn("posterior", F.array_max("post"))
-    rejected = (F.col("trigrams") == 0) | (F.col("posterior") < 0.5)
-    best = F.get(lang, (F.array_position("post", F.col("posterior")) - 1).cast("int"))
+    p, t = np.exp(table.astype(np.float64)), table.astype(np.float64)
+    mean = (p * t).sum(1)
+    spread = np.sqrt(np.maximum(0.0, (p * t * t).sum(1) - mean * mean))
+    floor = mean - np.minimum(MARGIN, (mean - t.min(1)) / 2)
+    at = (F.array_position("post", F.col("posterior")) - 1).cast("int")
+    of = lambda values: F.get(F.array(*[F.lit(float(x)) for x in values]), at)
+    strange = F.get("ll", at) / F.col("trigrams") < of(floor) - ERRORS * of(spread) / F.sqrt("trigrams")
+    rejected = (F.col("trigrams") == 0) | (F.col("posterior") < 0.5) | F.coalesce(strange, F.lit(False))
+    best = F.get(lang, at)
     return out.select(*key, F.when(rejected, "und").otherwise(best).alias("lang"), F.round("posterior", 6).alias("posterior"), "text_lang", rejected.alias("rejected"))
 
 
@@ -164,7 +184,7 @@ def page_rows(pages: DataFrame) -> DataFrame:
     """page_id, text, declared, url, host of html pages: tags, scripts, styles and comments are no text."""
     html = F.coalesce("html", F.lit(""))
     text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&\w{1,8};", " ")
-    declared = F.nullif(F.regexp_extract(html, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})""", 1), F.lit(""))
+    declared = F.nullif(F.regexp_extract(html, r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([a-z]+(?:[-_]\w+)*)""", 1), F.lit(""))
     return pages.select("page_id", text.alias("text"), declared.alias("declared"), "url", F.lit(None).cast("string").alias("host"))
 
 

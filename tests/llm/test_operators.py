@@ -204,6 +204,24 @@ def test_language(spark):
     assert language.keep_identified(d.limit(0)).count() == 0
 
 
+def test_all_labelled_languages_count_and_others_are_rejected(spark):
+    r = random.Random(7)
+
+    def made(i):
+        letters = r.sample("abcdefghijklmnopqrstuvwxyz", 8)
+        words = ["".join(r.choice(letters) for _ in range(r.randint(3, 7))) for _ in range(40)]
+        return lambda: " ".join(r.choice(words) for _ in range(60))
+
+    kinds = [made(i) for i in range(71)]
+    names = [f"x{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(70)]
+    rows = [(kinds[i](), f"{names[i].upper()}-Zz" if k % 2 else names[i]) for i in range(70) for k in range(60 if i < 64 else 12)]
+    known, table = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert known == names
+    held = [(i, kinds[i](), f"{names[i]}_ZZ", names[i]) for i in range(70)] + [(100 + i, kinds[70](), None, "und") for i in range(5)] + [(200, "".join(r.choice("日本人大国会年月一二三四") for _ in range(200)), names[0], "und")]
+    got = {x["doc_id"]: x for x in language.identify(spark.createDataFrame([(i, t, d, None, f"h{i}") for i, t, d, _ in held], "doc_id long, text string, declared string, url string, host string"), ["doc_id"], known, table).collect()}
+    assert [(i, got[i]["lang"]) for i, _, _, _ in held] == [(i, want) for i, _, _, want in held]
+
+
 def test_secrets(spark, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = secrets_scan.fit(d)
