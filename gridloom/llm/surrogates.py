@@ -10,7 +10,7 @@ from gridloom.llm._shared import free, materialize
 EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
-PHONE = r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d)|(?<!\d)\d{3}[.-]\d{3}[.-]\d{4}(?!\d)"
+PHONE = r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d)|(?<![\d.-])(?<!\d )\d{3}[ .-]\d{3}[ .-]\d{4}(?![ .-]?\d)|(?<![\d.-])(?<!\d )0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,4}){0,2}(?![ .-]?\d)"
 MALE_TITLES, FEMALE_TITLES = ("Mr", "Herr", "Señor", "Sr", "Monsieur"), ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme")
 #: Given names (fixed values) by gender; a name behind a title or of these lists is a person's.
 MALE = ("James", "John", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Paul", "Hans", "Karl", "Pierre", "Jean", "Carlos", "Juan", "Luis", "Miguel", "Klaus", "Stefan", "Henri")
@@ -21,7 +21,11 @@ SYLLABLES = ("ba", "den", "fal", "gor", "hin", "kel", "lum", "mor", "nes", "pol"
 SYLLABLES_CYRILLIC = ("ба", "вол", "гор", "дин", "жар", "зим", "кал", "лев", "мор", "нов", "пет", "рос", "сав", "тих", "чер", "шум")
 _TITLE = "|".join((*MALE_TITLES, *FEMALE_TITLES, "Dr", "Prof"))
 _GIVEN = "|".join((*MALE, *FEMALE, *MALE_CYRILLIC, *FEMALE_CYRILLIC))
-NAME = rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.? (?:(?:{_GIVEN}) )?\p{{Lu}}\p{{Ll}}{{2,20}}|(?:{_GIVEN}) \p{{Lu}}\p{{Ll}}{{2,20}})(?!\p{{L}})"
+#: A capitalised part of a name: O'Brien, McDonald, Smith-Jones, Wu; initials and small words may stand before one.
+PART = r"\p{Lu}(?:\p{L}|['’](?=\p{Lu})|-(?=\p{L}))++"
+_MORE = rf"(?: (?:\p{{Lu}}\. ?){{0,3}}(?:(?:van|von|der|den|de|da|di|del|du|la|le|bin|ibn|al|el|zu|zur) ){{0,3}}{PART})"
+NAME = rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.?{_MORE}{{1,4}}|(?:{_GIVEN})(?!\p{{L}}){_MORE}{{1,4}})"
+_MR, _MRS = "Mr ", "Mrs "  # before an entity whose title alone tells the gender
 #: Looking ahead for a digit, sign or capital spares most positions of a text the other tries.
 NO_EMAIL = rf"(?=[\d+(])(?:{PHONE}|{CARD}|{IP})|(?:{NAME})"
 ANY = f"(?:{EMAIL})|{NO_EMAIL}"
@@ -39,7 +43,29 @@ def kind_of(m: Column) -> Column:
 def canonical(kind: Column, m: Column) -> Column:
     """What all mentions of an entity have in common."""
     bare = F.regexp_replace(m, rf"^(?:{_TITLE})\.? ", "")
-    return F.when(kind.isin("card", "phone"), F.regexp_replace(m, r"\D", "")).when(kind == "ip", m).when(kind == "email", F.lower(m)).otherwise(bare)
+    title, given = F.regexp_extract(m, rf"^({_TITLE})\.? ", 1), F.substring_index(bare, " ", 1)
+    name = F.when(given.isin(*MALE, *FEMALE, *MALE_CYRILLIC, *FEMALE_CYRILLIC) & (given != bare), bare).when(title.isin(*MALE_TITLES), F.concat(F.lit(_MR), bare)).when(title.isin(*FEMALE_TITLES), F.concat(F.lit(_MRS), bare)).otherwise(bare)
+    return F.when(kind.isin("card", "phone"), F.regexp_replace(m, r"\D", "")).when(kind == "ip", m).when(kind == "email", F.lower(m)).otherwise(name)
+
+
+def _bare(entity: Column) -> Column:
+    return F.regexp_replace(entity, f"^(?:{_MR}|{_MRS})", "")
+
+
+def linked(mentions: DataFrame, text: str) -> DataFrame:
+    """``mentions`` (text's key, mention, kind, entity) in which a surname, or a name of unknown gender, has the entity of
+    the one full name of its text that it fits: of the same surname (or name) and no other gender."""
+    given = F.substring_index(_bare(F.col("entity")), " ", 1)
+    gender = F.when(F.col("entity").startswith(_MR) | given.isin(*MALE, *MALE_CYRILLIC), "m").when(F.col("entity").startswith(_MRS) | given.isin(*FEMALE, *FEMALE_CYRILLIC), "f")
+    names = mentions.where("kind = 'name'").withColumn("bare", _bare(F.col("entity"))).withColumn("family", F.substring_index("bare", " ", -1)).withColumn("gender", F.when(F.col("bare").contains(" ") | F.col("entity").startswith(_MR) | F.col("entity").startswith(_MRS), gender))
+    full = names.where(F.col("bare").contains(" ")).select(text, "family", F.col("entity").alias("to"), F.col("bare").alias("to_bare"), F.col("gender").alias("to_gender")).distinct()
+    alone, other = ~F.col("bare").contains(" "), F.col("gender") != F.col("to_gender")
+    fits = F.when(alone, ~F.coalesce(other, F.lit(False))).otherwise(F.col("gender").isNull() & F.col("to_gender").isNotNull() & (F.col("bare") == F.col("to_bare")))
+    # a name of unknown gender is no candidate where the same name has one
+    told = F.max(F.when(F.col("to_gender").isNotNull(), F.lit(1))).over(Window.partitionBy(text, "mention", "to_bare"))
+    pairs = names.join(full, [text, "family"]).where(fits).withColumn("told", told).where("to_gender is not null or told is null")
+    one = pairs.groupBy(text, "mention").agg(F.min("to").alias("to"), F.max("to").alias("last")).where("to = last").drop("last")
+    return mentions.join(one, [text, "mention"], "left").withColumn("entity", F.coalesce("to", "entity")).drop("to")
 
 
 def _pick(values: tuple[str, ...] | str, h: Column) -> Column:
@@ -84,27 +110,30 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     area = F.concat((F.pmod(part(2), F.lit(8)) + 2).cast("string"), tail.substr(F.lit(2), F.lit(2)))
     exchange = F.when(entity.substr(head + 4, F.lit(3)) == "555", F.lit("555")).otherwise(tail.substr(F.lit(4), F.lit(3)))
     phone = F.when(n >= 10, F.concat(entity.substr(F.lit(1), head), area, exchange, tail.substr(F.lit(7), n), longer)).otherwise(F.concat(body, longer))
-    given, family = F.regexp_extract(entity, r"^(\S+) ", 1), F.regexp_extract(entity, r"(\S+)$", 1)
+    mark = F.regexp_extract(entity, f"^({_MR}|{_MRS})", 1)
+    given, family = F.regexp_extract(_bare(entity), r"^(\S+) ", 1), F.regexp_extract(entity, r"(\S+)$", 1)
     chosen = (
         F.when(given == "", "").when(given.isin(*MALE_CYRILLIC), _pick(MALE_CYRILLIC, part(3))).when(given.isin(*FEMALE_CYRILLIC), _pick(FEMALE_CYRILLIC, part(3)))
-        .when(given.isin(*FEMALE), _pick(FEMALE, part(3))).otherwise(_pick(MALE, part(3)))
+        .when(given.isin(*FEMALE) | (mark == _MRS), _pick(FEMALE, part(3))).otherwise(_pick(MALE, part(3)))
     )
     latin = F.concat(_pick(SYLLABLES, part(4)), _pick(SYLLABLES, part(5)), _pick(SYLLABLES, part(6)))
     cyrillic = F.concat(_pick(SYLLABLES_CYRILLIC, part(4)), _pick(SYLLABLES_CYRILLIC, part(5)), _pick(SYLLABLES_CYRILLIC, part(6)))
     made = F.initcap(F.concat(F.when(family.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin), F.translate(longer, "0123456789", "abcdefghij")))
-    name = F.when(chosen == "", made).otherwise(F.concat(chosen, F.lit(" "), made))
+    name = F.concat(mark, F.when(chosen == "", made).otherwise(F.concat(chosen, F.lit(" "), made)))
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).otherwise(name)
 
 
 def render(kind: Column, mention: Column, canon: Column) -> Column:
     """The canonical surrogate in the mention's own format."""
     title = F.regexp_extract(mention, rf"^((?:{_TITLE})\.? )", 1)
+    alone = ~F.regexp_replace(mention, rf"^(?:{_TITLE})\.? ", "").contains(" ")
+    named = F.when(alone, F.substring_index(canon, " ", -1)).otherwise(_bare(canon))
     chars = F.split(mention, "")
     count = lambda i: F.size(F.filter(F.slice(chars, F.lit(1), i), lambda c: c.rlike(r"\d")))
     last = F.size(F.filter(chars, lambda c: c.rlike(r"\d")))
     poured = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"\d"), canon.substr(count(i) + 1, F.lit(1))).otherwise(c)), "")
     cased = F.when(mention == F.upper(mention), F.upper(canon)).otherwise(canon)
-    return F.when(kind.isin("card", "phone"), F.concat(poured, canon.substr(last + 1, F.length(canon)))).when(kind == "email", cased).when(kind == "name", F.concat(title, canon)).otherwise(canon)
+    return F.when(kind.isin("card", "phone"), F.concat(poured, canon.substr(last + 1, F.length(canon)))).when(kind == "email", cased).when(kind == "name", F.concat(title, named)).otherwise(canon)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -134,7 +163,7 @@ def replace_entities(docs: DataFrame, key: str = "gridloom") -> DataFrame:
 
     Emails, phone and card numbers, IPv4 addresses and persons' names are found by form. An entity has the same surrogate
     wherever it is mentioned, in the mention's own format (separators, case, title); different entities have different
-    ones. Names keep gender and script, letters their script and case, cards a valid check digit. Null text stays null
+    ones. A surname behind a title is the person of the one full name of its text that it fits. Names keep gender and script, letters their script and case, cards a valid check digit. Null text stays null
     with 0 mentions; n_chars, where there is one, isn't changed. Equal texts get equal results.
     """
     has = F.coalesce(F.when(F.col("text").contains("@"), F.col("text").rlike(ANY)).otherwise(F.col("text").rlike(NO_EMAIL)), F.lit(False))
@@ -145,7 +174,7 @@ def replace_entities(docs: DataFrame, key: str = "gridloom") -> DataFrame:
     # a text's own hash is its key, so that copies are looked up once
     mentions = docs.select(F.sha2("text", 256).alias(_text), F.explode(F.array_distinct(found)).alias("mention")).distinct()
     mentions = mentions.withColumn("kind", kind_of(F.col("mention"))).withColumn("entity", canonical(F.col("kind"), F.col("mention")))
-    mentions = materialize(mentions, "surrogate-mentions")
+    mentions = materialize(linked(materialize(mentions, "surrogate-found"), _text), "surrogate-mentions")
     table = assign(mentions, key)
     named = mentions.join(table, ["kind", "entity"]).select(_text, "mention", render(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("to"))
     maps = named.groupBy(_text).agg(F.map_from_entries(F.collect_set(F.struct("mention", "to"))).alias(_map))

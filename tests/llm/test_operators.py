@@ -265,6 +265,22 @@ def test_surrogates(spark, empty):
     assert surrogates.replace_entities(empty).count() == 0
 
 
+def test_names_are_replaced_whole(spark):
+    texts = ["Dr Angela Merkel spoke", "Mr Smith-Jones, Ms Wu, Mr McDonald and Mr O'Brien.", "Mr Taylor and Mrs Taylor", "Klaus Berg came; Mr Berg and Mrs Berg left", "Mary Stone's car", "Mrs Angela Merkel or Dr Angela Merkel", "call 555 123 4567 or 030 1234567 now", "Frau Ursula von der Leyen spoke"]
+    got = [r["text"] for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert re.fullmatch(r"Dr \w+ \w+ spoke", got[0]) and not re.search("Angela|Merkel", got[0])
+    assert re.fullmatch(r"Mr \w+, Ms \w+, Mr \w+ and Mr \w+\.", got[1]) and not re.search("Smith|Jones|Wu|Donald|Brien", got[1])
+    m = re.fullmatch(r"Mr (\w+) and Mrs (\w+)", got[2])
+    assert m and m[1] != m[2] and "Taylor" not in got[2]
+    m = re.fullmatch(r"(\w+) (\w+) came; Mr (\w+) and Mrs (\w+) left", got[3])
+    assert m and m[1] in surrogates.MALE and m[2] == m[3] != m[4] and "Berg" not in got[3]
+    assert re.fullmatch(r"\w+ \w+'s car", got[4]) and "Stone" not in got[4]
+    m = re.fullmatch(r"Mrs (\w+ \w+) or Dr (\w+ \w+)", got[5])
+    assert m and m[1] == m[2] and m[1].split()[0] in surrogates.FEMALE
+    assert re.fullmatch(r"call \d{3} \d{3} \d{4} or \d{3} \d{7} now", got[6]) and "4567" not in got[6]
+    assert re.fullmatch(r"Frau \w+ \w+ spoke", got[7]) and got[7].split()[1] in surrogates.FEMALE
+
+
 def test_colliding_surrogates_stay_distinct(spark):
     entities = spark.createDataFrame([("phone", f"{i}") for i in range(10)] + [("phone", f"{i:02d}") for i in range(90)], "kind string, entity string")
     got = surrogates.assign(entities, "k").collect()
