@@ -115,7 +115,7 @@ class JaccardJoin:
     """Links document sets whose intersection is at least ``percent`` % of their union, and finds the components of the links.
 
     Equal sets become one node first. Prefix lists of rare n-grams hold each node with its size and position; in a list
-    sorted by size, blocks of sizes that can't link are skipped, and so are positions after which too little is left.
+    sorted by size, pairs of sizes that can't link are left out in the join, and after it those whose positions leave too little; nothing is skipped by blocks.
 
     Relations between sets spare the rest. Each set is compared with the neighbour it shares most lists with; linked
     sets get one component, and a pair within a component needs no answer of its own. Between components that meet in
