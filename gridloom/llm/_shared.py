@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -49,12 +47,32 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner, which works in the background, drop the shuffle files of plans that are no longer referenced."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
+class Scratch:
+    """Owns the intermediate tables of one operator call: ``keep`` writes one, ``finish`` writes the result elsewhere and
+    deletes all others, so only the result's files stay for the caller."""
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self.spark, self.label, self.base, self.count = spark, label, new_path(spark, label), 0
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.base}/{label}-{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def finish(self, df: DataFrame) -> DataFrame:
+        out = materialize(df, f"{self.label}-result")
+        self.clear()
+        return out
+
+    def clear(self) -> None:
+        remove(self.spark, self.base)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, by Spark's own file systems."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

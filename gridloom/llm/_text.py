@@ -12,6 +12,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
+#: Bytes that are hashed together.
+_BLOCK = 1 << 18
 _STEP, _WIDE = np.uint64(0x9E3779B97F4A7C13), np.uint64(0xD6E8FEB86659FD93)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -22,6 +24,24 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_BLOCK, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
+_POWER, _INVERSE = _powers(int(_STEP)), _powers(pow(int(_STEP), -1, 1 << 64))
+
+
+def _long_word(data: np.ndarray) -> np.uint64:
+    total = 0
+    for i in range(0, len(data), _BLOCK):
+        part = _BYTE[data[i : i + _BLOCK]]
+        part *= _POWER[: len(part)]
+        total += int(part.sum(dtype=np.uint64)) * pow(int(_STEP), i, 1 << 64)
+    return np.uint64(total % (1 << 64))
+
+
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, and the n + 1 offsets of the texts; null is empty."""
     column = pc.fill_null(column, "")
@@ -49,18 +69,26 @@ class Words:
         self.starts, self.ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
         self.first = np.searchsorted(self.starts, off)
         self.counts = np.diff(self.first)
-        self._solid = solid
 
     def hashes(self) -> np.ndarray:
-        size = self.ends - self.starts
-        if not len(size):
-            return np.empty(0, np.uint64)
-        at = np.cumsum(size) - size
-        power = np.full(int(size.max()), _STEP)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        where = np.arange(int(size.sum())) - np.repeat(at, size)
-        return mix(np.add.reduceat(_BYTE[self.data[self._solid]] * power[where], at) ^ size.astype(np.uint64))
+        """A 64-bit hash of each word: a polynomial of its bytes, from prefix sums over blocks that stay in the cache."""
+        out = np.empty(len(self.starts), np.uint64)
+        at = 0
+        while at < len(out):
+            base = int(self.starts[at])
+            stop = int(np.searchsorted(self.ends, base + _BLOCK, "right"))
+            if stop == at:  # one word longer than a block
+                out[at] = _long_word(self.data[base : self.ends[at]])
+                at += 1
+                continue
+            part = _BYTE[self.data[base : self.ends[stop - 1]]]
+            part *= _POWER[: len(part)]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part, out=sums[1:])
+            begin = self.starts[at:stop] - base
+            out[at:stop] = (sums[self.ends[at:stop] - base] - sums[begin]) * _INVERSE[begin]
+            at = stop
+        return mix(out ^ (self.ends - self.starts).astype(np.uint64))
 
     def windows(self, hashes: np.ndarray, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, text and first word of all windows of k words that lie in one text."""

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize, new_path, release_shuffles, text_chunks
+from gridloom.llm._shared import materialize, new_path, text_chunks
 from gridloom.llm._text import Words
 
 WIDTH = 13
@@ -176,7 +176,6 @@ class SubstringIndex:
         """doc_id, n_words, n_removed and kept_sha256 (of the kept words joined by a space) for each row of ``batch``."""
         docs = batch.select("doc_id", "text")
         new = self._write_run(docs.mapInArrow(_fingerprint_rows, _ROWS))
-        release_shuffles(self.spark)
         key = F.coalesce("doc_id", F.lit(int(_LAST)))
         keyed = docs.withColumn("doc", key)
         listed = lambda rows: rows.groupBy("doc").agg(F.collect_set("print").alias("prints"))
@@ -207,7 +206,6 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
         if high is not None:
             part = part & (F.col("doc_id") <= high)
         done = index.append(docs.where(part), before)
-        release_shuffles(docs.sparkSession)
         before = docs.where(F.col("doc_id") <= high) if high is not None else None
         out = done if out is None else out.unionByName(done)
     return out
