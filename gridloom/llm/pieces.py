@@ -20,8 +20,10 @@ from gridloom.llm._text import buffer
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Short segments that a worker remembers, twice at most; bounds its memory.
+#: Segments and pairs of parts that a worker remembers, twice at most; bounds its memory.
 MEMO = 400_000
+#: Bytes of the segments that are merged side by side.
+SHORT = 64
 #: Characters of a segment that are merged at once; longer ones are streamed. No result depends on it.
 WINDOW = 512
 
@@ -53,6 +55,9 @@ class Vocabulary:
             else:
                 self.pieces[piece] = (model.get_score(i), i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
+        self.raw_bytes = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_size = np.fromiter(map(len, self.raw), np.int64, n)
+        self.raw_edge = np.cumsum(self.raw_size) - self.raw_size
         self.longest = max(map(len, self.pieces))
         self.unknown = min(s for s, _ in self.pieces.values()) - 10.0
         #: No piece runs into a space mark, so all paths meet there.
@@ -62,6 +67,67 @@ class Vocabulary:
         self.alone = np.array([b < 128 and b != 32 and chr(b) not in joined for b in range(256)])
 
 
+def _spans(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of all elements of the spans, one span behind the other, and the n + 1 offsets of the spans among them."""
+    to = np.concatenate([[0], np.cumsum(size)])
+    return np.repeat(start - to[:-1], size) + np.arange(to[-1]), to
+
+
+class Merges:
+    """Which neighbours form a piece: a hash table from two symbols to the piece and its rank (least first, as its score is highest).
+
+    Symbols are pieces, by id, and further characters that occur in pieces."""
+
+    SLOTS = 1 << 21
+
+    def __init__(self, pieces: dict[str, tuple[float, int]], size: int) -> None:
+        self.symbol = {p: i for p, (_, i) in pieces.items()}
+        for c in sorted(set(chain.from_iterable(pieces))):
+            self.symbol.setdefault(c, size + len(self.symbol))
+        rank = {x: i for i, x in enumerate(sorted({s for s, _ in pieces.values()}, reverse=True))}
+        found = [
+            (self.symbol[p[:i]] << 32 | self.symbol[p[i:]], rank[score], number)
+            for p, (score, number) in pieces.items() for i in range(1, len(p)) if p[:i] in self.symbol and p[i:] in self.symbol
+        ]
+        pair, order, piece = (np.array(x, np.int64) for x in zip(*found, strict=True))
+        self.key = np.full(self.SLOTS, -1, np.int64)
+        self.rank, self.piece = np.zeros(self.SLOTS, np.int32), np.zeros(self.SLOTS, np.int32)
+        slot, left = self._slot(pair), np.arange(len(pair))
+        while len(left):
+            free = left[self.key[slot[left]] < 0]
+            self.key[slot[free]] = pair[free]  # of several for one slot the last stays
+            own = left[self.key[slot[left]] == pair[left]]
+            self.rank[slot[own]], self.piece[slot[own]] = order[own], piece[own]
+            left = np.setdiff1d(left, own, assume_unique=True)
+            slot[left] = (slot[left] + 1) % self.SLOTS
+        #: The symbol of each code point; -1 for one that is in no piece, and for the mark, which stands for itself in texts.
+        self.of = np.full(0x110000, -1, np.int32)
+        for c, i in self.symbol.items():
+            if len(c) == 1:
+                self.of[ord(c)] = i
+        self.of[32], self.of[ord(SPACE)] = self.of[ord(SPACE)], -1
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        h = pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (h >> np.uint64(43)).astype(np.int64)
+
+    def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of each two symbols; rank NONE where they form none."""
+        pair = left.astype(np.int64) << 32 | right
+        pair[(left < 0) | (right < 0)] = -2
+        slot = self._slot(pair)
+        open_ = np.flatnonzero((self.key[slot] != pair) & (self.key[slot] >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) % self.SLOTS
+            seen = self.key[slot[open_]]
+            open_ = open_[(seen != pair[open_]) & (seen >= 0)]
+        hit = self.key[slot] == pair
+        return np.where(hit, self.rank[slot], NONE), self.piece[slot]
+
+
+NONE = np.int32(2**31 - 1)
+
+
 class Encoder:
     """Ids of the segmentation with the highest sum of scores; of equal sums, that whose last piece starts first.
 
@@ -161,21 +227,28 @@ class Encoder:
         cut = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
         return cut, np.searchsorted(starts, off)
 
-    def coded(self, texts: pa.Array) -> tuple[pa.ListArray, list[bytes]]:
-        """Ids of each text and what they decode to. Each distinct segment is encoded once."""
+    def batch(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the segments, one behind the other, and the n + 1 offsets of the segments among them."""
+        ids = list(map(self.segment, segments.to_pylist()))
+        edge = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]) // 4
+        return np.frombuffer(b"".join(ids), np.int32), edge
+
+    def coded(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, np.ndarray]:
+        """Ids of each text; the bytes that all decode to, and the n + 1 offsets of the texts in them. Each distinct
+        segment is encoded once."""
         cut, first = self.segments(texts)
         coded = cut.dictionary_encode()
-        code, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
-        ids = list(map(self.segment, distinct))
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.int32)
-        edge = np.concatenate([[0], np.cumsum(size[code])])
-        where = np.repeat((np.cumsum(size) - size)[code] - edge[:-1], size[code]) + np.arange(edge[-1])
-        lists = pa.ListArray.from_arrays(pa.array(edge[first].astype(np.int32)), pa.array(flat[where]))
-        flat_ids = flat.tolist()
-        parts = [self.raw(flat_ids[b - n : b]) for b, n in zip(np.cumsum(size).tolist(), size.tolist(), strict=True)]
-        decoded = [b"".join([parts[c] for c in code[a:b].tolist()])[1:] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-        return lists, decoded
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        flat, edge = self.batch(coded.dictionary)
+        where, at = _spans(edge[code], np.diff(edge)[code])
+        ids = flat[where]
+        lists = pa.ListArray.from_arrays(pa.array(at[first].astype(np.int32)), pa.array(ids))
+        where, to = _spans(self.v.raw_edge[ids], self.v.raw_size[ids])
+        decoded, off = self.v.raw_bytes[where], to[at[first]]
+        full = np.diff(off) > 0  # the leading space
+        keep = np.ones(len(decoded), bool)
+        keep[off[:-1][full]] = False
+        return lists, decoded[keep], off - np.concatenate([[0], np.cumsum(full)])
 
     def encode(self, text: str) -> list[int]:
         return self.coded(pa.array([text]))[0][0].as_py()
@@ -194,6 +267,70 @@ class MergeEncoder(Encoder):
         self.former: dict[bytes, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.rank = {p: score for p, (score, _) in vocabulary.pieces.items() if len(p) > 1}
+        self.merges = Merges(vocabulary.pieces, len(vocabulary.raw))
+
+    def batch(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Short segments are merged side by side, long ones are streamed."""
+        size = np.asarray(pc.binary_length(segments)).astype(np.int64)
+        short = size <= SHORT
+        flat, edge = self.side_by_side(segments.filter(pa.array(short)))
+        if short.all():
+            return flat, edge
+        rest, to = super().batch(segments.filter(pa.array(~short)))
+        count, start = np.empty(len(size), np.int64), np.empty(len(size), np.int64)
+        count[short], count[~short] = np.diff(edge), np.diff(to)
+        start[short], start[~short] = edge[:-1], to[:-1] + len(flat)
+        where, edge = _spans(start, count)
+        return np.concatenate([flat, rest])[where], edge
+
+    def side_by_side(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """One merge in each segment at a time: the pair of the best rank, the leftmost of equal ones, becomes a symbol
+        until no pair is left."""
+        raw, off = buffer(segments.cast(pa.large_binary()).cast(pa.large_string()))
+        head = np.flatnonzero((raw & 0xC0) != 0x80)  # characters' first bytes
+        wide = np.diff(np.append(head, len(raw)))
+        point = raw[head].astype(np.int32)
+        for n, mask in ((2, 0x1F), (3, 0x0F), (4, 0x07)):
+            some = np.flatnonzero(wide == n)
+            value = point[some] & mask
+            for j in range(1, n):
+                value = value << 6 | (raw[head[some] + j] & 0x3F)
+            point[some] = value
+        symbol, byte = self.merges.of[point], head
+        home = np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(head, off)))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # symbols, first bytes and segments
+        rank, piece = np.full(len(symbol), NONE), np.zeros(len(symbol), np.int32)
+        inner = np.flatnonzero(home[1:] == home[:-1])
+        rank[inner], piece[inner] = self.merges.look(symbol[inner], symbol[inner + 1])
+        while len(symbol):
+            new = np.flatnonzero(np.diff(home, prepend=-1))
+            best = np.minimum.reduceat(rank.astype(np.int64) << 32 | np.arange(len(rank)), new)
+            live = best >> 32 != NONE
+            at = best[live] & 0xFFFFFFFF
+            symbol[at], gone = piece[at], np.zeros(len(symbol), bool)
+            gone[at + 1] = True
+            ended = np.repeat(~live, np.diff(np.append(new, len(symbol))))
+            done.append((symbol[ended], byte[ended], home[ended]))
+            keep = ~(gone | ended)
+            moved = np.cumsum(keep) - 1
+            at = moved[at]
+            symbol, byte, home, rank, piece = symbol[keep], byte[keep], home[keep], rank[keep], piece[keep]
+            last = len(symbol) - 1
+            for left in (at, at[at > 0] - 1):
+                right = np.minimum(left + 1, last)
+                r, p = self.merges.look(symbol[left], symbol[right])
+                rank[left], piece[left] = np.where((right > left) & (home[left] == home[right]), r, NONE), p
+        symbol, byte, home = (np.concatenate([x[i] for x in done] or [np.empty(0, np.int64)]) for i in range(3))
+        order = np.argsort(byte)
+        symbol, byte, home = symbol[order], byte[order], home[order]
+        # characters that are no piece become bytes
+        odd = (symbol < 0) | (symbol >= len(self.v.raw))
+        count = np.where(odd, np.diff(np.append(byte, len(raw))), 1)
+        where, to = _spans(byte, count)
+        ids = np.repeat(symbol, count)
+        spelled = np.repeat(odd, count)
+        ids[spelled] = np.array(self.v.byte_ids, np.int32)[raw[where[spelled]]]
+        return ids.astype(np.int32), to[np.searchsorted(home, np.arange(len(off)))]
 
     def merged(self, text: str) -> list[str]:
         get, none = self.rank.get, -math.inf
@@ -268,9 +405,13 @@ def _encode_rows(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoders.get(key) or _encoders.setdefault(key, encoder(shared.value))
         for batch in text_chunks(batches, "text"):
-            lists, decoded = coder.coded(batch.column(1))
-            exact = [x == (t or "").encode() for x, t in zip(decoded, batch.column(1).to_pylist(), strict=True)]
-            sums = [hashlib.sha256(x).hexdigest() for x in decoded]
+            lists, decoded, off = coder.coded(batch.column(1))
+            data, to = buffer(batch.column(1))
+            if len(data) == len(decoded) and np.array_equal(off, to) and np.array_equal(data, decoded):
+                exact = [True] * batch.num_rows
+            else:
+                exact = [np.array_equal(decoded[off[i] : off[i + 1]], data[to[i] : to[i + 1]]) for i in range(batch.num_rows)]
+            sums = [hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip(off, off[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pc.list_value_length(lists).cast(pa.int64()), lists, pa.array(sums, pa.string()), pa.array(exact, pa.bool_())], names=["doc_id", "n_ids", "ids", "decoded_sha256", "exact"])
 
     return run
