@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from gridloom.llm import language, maxscore, mixing, ngram_join, order_minhash, pieces, secrets_scan, substring_dedup, surrogates, warc
 
 QUERIES = {
@@ -16,7 +15,6 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
     "op10_pieces": pieces.op10_pieces,
-    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op2_ngram_jaccard": ngram_join.SQL,
