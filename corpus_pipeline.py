@@ -14,13 +14,22 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return language.keep_identified(docs)
 
 
+def _numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` as a table with a number for each row, and the number's name: repeated rows and null ids are told apart."""
+    name = free(docs, "_row")
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of Jaccard similarity 0.8 over five-word n-grams join, the one with the smallest doc_id stays."""
-    found = ngram_join.jaccard_components(docs, k=5, percent=80)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    name = free(docs, "_gone")
-    gone = materialize(gone, "near-duplicates").withColumnRenamed("doc_id", name)
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    """Of the rows that links of Jaccard similarity 0.8 over five-word n-grams join, one with the smallest doc_id stays
+    (null is the largest). Rows without words stay."""
+    rows, name = _numbered(docs, "near-duplicates")
+    found = ngram_join.jaccard_components(rows.select(F.col(name).alias("doc_id"), "text"), k=5, percent=80).where("n_shingles > 0")
+    ids = rows.select(F.col(name).alias("_number"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(name).alias("number")).alias("_order"))
+    found = found.join(ids, F.col("doc_id") == F.col("_number")).select("component_id", "_order")
+    best = found.groupBy("component_id").agg(F.min("_order").alias("_best"))
+    gone = found.join(best, "component_id").where("_order.number <> _best.number").select(F.col("_order.number").alias("_gone"))
+    return rows.join(gone, F.col(name) == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +38,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, zero to three times."""
-    key, source, size, copies, copy = (free(docs, f"_mix_{x}") for x in ("id", "source", "size", "copies", "copy"))
-    taken = mixing.mix_sources(docs).where("copies > 0").select(F.col("doc_id").alias(key), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(copies)).dropDuplicates([key, source, size])
-    here = F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(source)) & (mixing.word_count(F.col("text")) == F.col(size))
-    rows = docs.join(taken, here).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    """Each row as often as the mix takes it, zero to three times."""
+    rows, name = _numbered(docs, "mix")
+    copies = free(rows, "_copies")
+    taken = mixing.mix_sources(rows, keep=(name,)).where("copies > 0").select(name, F.col("copies").alias(copies))
+    rows = rows.join(taken, name).withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
     return rows.select(*docs.columns)
 
 
