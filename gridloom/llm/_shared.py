@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text handled at once by the numpy kernels; only bounds memory, no result depends on it.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -60,6 +60,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, label: str) -> None:
+        """Deletes the tables kept as ``label``, which nothing reads any more."""
+        for i in range(1, self.count + 1):
+            remove(self.spark, f"{self.base}/{label}-{i}")
+
     def finish(self, df: DataFrame) -> DataFrame:
         out = materialize(df, f"{self.label}-result")
         self.clear()

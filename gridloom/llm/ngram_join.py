@@ -17,7 +17,7 @@ from gridloom.llm.components import components, roots
 #: Frequent n-grams whose counts order the others after them: a bound on what is broadcast; results don't depend on it.
 COMMON = 1 << 19
 #: N-grams of several chunks that are counted together before those that occur in one set only are dropped.
-COUNTED = 2_500_000
+COUNTED = 1_500_000
 #: Postings that a task sorts at once, about; an n-gram of at least so many sets is dealt with apart, by rows.
 LIST_ROWS, LONG_LIST = 1 << 17, 1 << 16
 #: Entries of a list's block of one size band in which sets look for likely links.
@@ -276,7 +276,9 @@ class JaccardJoin:
         short = posts.where("bucket >= 0").groupBy("bucket").applyInArrow(_bucket_lists(self.percent), _LIST)
         long = posts.where("bucket < 0").select("rows").mapInArrow(_long_lists(common), _LIST)
         long = long.groupBy("gram", "id").agg(*[F.min(c).alias(c) for c in ("n", "place", "m")])
-        return self.scratch.keep(short.unionByName(long), "lists")
+        lists = self.scratch.keep(short.unionByName(long), "lists")
+        self.scratch.drop("postings")
+        return lists
 
     def _likely(self, lists: DataFrame) -> DataFrame:
         """a, b: for each set one more central one that it may link with, the head of its blocks or that before it in them,
@@ -315,6 +317,17 @@ class JaccardJoin:
         pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b").select("a", "b", "x", "y")
         return self.scratch.keep(pairs.mapInArrow(_common_size, "a long, b long, both long, sizes long"), "pairs")
 
+    def _marks(self, heads: DataFrame) -> DataFrame:
+        """id and signature of each set."""
+        return heads.where("n > 0").groupBy("id").agg(*[F.first(c).alias(c) for c in _SIGNATURE])
+
+    def _differ(self) -> Column:
+        """Bits in which the signatures of rows x and y differ."""
+        out = F.lit(0)
+        for s in _SIGNATURE:
+            out = out + F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}")))
+        return out
+
     def _named(self, lists: DataFrame, comps: DataFrame) -> DataFrame:
         named = lists.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         return self.scratch.keep(named.select("gram", "id", "n", "place", "comp"), "named")
@@ -328,17 +341,13 @@ class JaccardJoin:
             F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("rest"), F.max("place").alias("place"))
         several = blocks.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("gram")
         blocks = blocks.join(several, "gram", "left_semi")
-        marks = heads.where("n > 0").groupBy("id").agg(*[F.first(c).alias(c) for c in _SIGNATURE]).withColumnRenamed("id", "comp")
-        blocks = blocks.join(marks, "comp").join(radius.select("comp", "apart"), "comp", "left").fillna(0, ["apart"])
+        blocks = blocks.join(self._marks(heads).withColumnRenamed("id", "comp"), "comp").join(radius.select("comp", "apart"), "comp", "left").fillna(0, ["apart"])
         blocks = self.scratch.keep(blocks, "blocks")
         x = blocks.withColumn("at", F.explode(F.array(F.col("band"), F.col("band") + 1))).alias("x")
         y = blocks.alias("y")
         both = lambda f, c: f(F.col(f"x.{c}"), F.col(f"y.{c}"))
-        differ = F.lit(0)
-        for s in _SIGNATURE:
-            differ = differ + F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}")))
         sum_of = lambda c: F.col(f"x.{c}") + F.col(f"y.{c}")
-        alike = (differ - sum_of("apart")) * (100 + p) <= sum_of("high") * (100 - p)
+        alike = (self._differ() - sum_of("apart")) * (100 + p) <= sum_of("high") * (100 - p)
         order = F.when(F.col("x.band") == F.col("y.band"), F.col("x.comp") < F.col("y.comp")).otherwise(F.col("x.comp") != F.col("y.comp"))
         fit = self._fits(F.col("x.high"), F.col("y.low")) & self._fits(F.col("y.high"), F.col("x.low"))
         room = self._room(both(F.least, "place") + both(F.least, "rest"), F.col("x.low"), F.col("y.low"))
@@ -348,19 +357,21 @@ class JaccardJoin:
         pairs = pairs.where(self._enough(F.col("c"), F.least("n", "m"), F.col("high")) & self._room(F.col("rest"), F.col("n"), F.col("m")))
         return self.scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "meet")
 
-    def _undecided(self, named: DataFrame, spokes: DataFrame, open_: DataFrame) -> DataFrame:
+    def _undecided(self, heads: DataFrame, named: DataFrame, spokes: DataFrame, open_: DataFrame) -> DataFrame:
         """a, b, x_comp, y_comp: pairs of members of the ``open_`` components that may still link."""
         member = named.join(spokes.select("comp", "id", "d"), ["comp", "id"], "left").fillna(0.0, ["d"])
-        member = self.scratch.keep(member.join(open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct(), "comp", "left_semi"), "members")
+        member = member.join(open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct(), "comp", "left_semi")
+        member = self.scratch.keep(member.join(self._marks(heads), "id"), "members")
         # only members far enough from their representative, towards the other component, can have a link
         x, y, o = member.alias("x"), member.alias("y"), open_.alias("o")
         far = F.col("o.d") - F.col("x.d")
         ahead = x.join(o, (F.col("x.comp") == F.col("o.a")) & (far - F.col("o.r_b") <= self.near + 1e-9))
-        ahead = ahead.select("gram", "id", "n", "place", F.col("x.comp").alias("comp"), F.col("o.b").alias("to"), far.alias("gap")).alias("x")
+        ahead = ahead.select("gram", "id", "n", "place", *_SIGNATURE, F.col("x.comp").alias("comp"), F.col("o.b").alias("to"), far.alias("gap")).alias("x")
         small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
         rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
         on = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.to") == F.col("y.comp")) & self._fits(small, large) & (F.col("x.gap") - F.col("y.d") <= self.near + 1e-9)
         on = on & self._room(F.least("x.place", "y.place") + rest, small, large)
+        on = on & (self._differ() * (100 + self.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - self.percent))
         pairs = ahead.join(y, on).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.comp").alias("x_comp"), F.col("y.comp").alias("y_comp")).agg(
             F.count("*").alias("c"), F.max(rest).alias("rest"), F.first(small).alias("n"), F.first(large).alias("m"))
         return pairs.where(self._enough(F.col("c"), F.col("n"), F.col("m")) & self._room(F.col("rest"), F.col("n"), F.col("m"))).select("a", "b", "x_comp", "y_comp")
@@ -379,7 +390,7 @@ class JaccardJoin:
         for side in "ab":
             open_ = open_.join(radius.select(F.col("comp").alias(side), F.col("r").alias(f"r_{side}")), side, "left").fillna(0.0, [f"r_{side}"])
         open_ = open_.where("r_a + r_b > 0").where(F.col("d") - F.col("r_a") - F.col("r_b") <= self.near + 1e-9).select("a", "b", "d", "r_b")
-        last = self.scratch.keep(self._undecided(named, spokes, self.scratch.keep(open_, "open")), "undecided")
+        last = self.scratch.keep(self._undecided(heads, named, spokes, self.scratch.keep(open_, "open")), "undecided")
         found = self._compare(last, sets).where(self._linked()).select("a", "b")
         found = last.join(found, ["a", "b"]).select(F.col("x_comp").alias("a"), F.col("y_comp").alias("b"))
         return first.where(self._linked()).select("a", "b").unionByName(found)

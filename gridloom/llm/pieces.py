@@ -26,6 +26,8 @@ MEMO = 400_000
 SHORT = 64
 #: Characters of a segment that are merged at once; longer ones are streamed. No result depends on it.
 WINDOW = 512
+#: Bytes of text whose distinct segments are encoded together; no result depends on it.
+CHUNK = 4 << 20
 
 
 class Vocabulary:
@@ -404,7 +406,7 @@ _encoders: dict[str, Encoder] = {}
 def _encode_rows(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoders.get(key) or _encoders.setdefault(key, encoder(shared.value))
-        for batch in text_chunks(batches, "text"):
+        for batch in text_chunks(batches, "text", CHUNK):
             lists, decoded, off = coder.coded(batch.column(1))
             data, to = buffer(batch.column(1))
             if len(data) == len(decoded) and np.array_equal(off, to) and np.array_equal(data, decoded):
