@@ -14,22 +14,21 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return language.keep_identified(docs)
 
 
-def _numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``docs`` as a table with a number for each row, and the number's name: repeated rows and null ids are told apart."""
-    name = free(docs, "_row")
-    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), label), name
-
-
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the rows that links of Jaccard similarity 0.8 over five-word n-grams join, one with the smallest doc_id stays
-    (null is the largest). Rows without words stay."""
-    rows, name = _numbered(docs, "near-duplicates")
+    (null is the largest); of rows with one doc_id and text, one. Rows without words stay."""
+    name = free(docs, "_row")
+    rows = docs.withColumn(name, F.xxhash64("doc_id", "text"))
     found = ngram_join.jaccard_components(rows.select(F.col(name).alias("doc_id"), "text"), k=5, percent=80).where("n_shingles > 0")
-    ids = rows.select(F.col(name).alias("_number"), F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(name).alias("number")).alias("_order"))
-    found = found.join(ids, F.col("doc_id") == F.col("_number")).select("component_id", "_order")
-    best = found.groupBy("component_id").agg(F.min("_order").alias("_best"))
-    gone = found.join(best, "component_id").where("_order.number <> _best.number").select(F.col("_order.number").alias("_gone"))
-    return rows.join(gone, F.col(name) == F.col("_gone"), "left_anti").select(*docs.columns)
+    keys = found.groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("comp"), F.count("*").alias("n"))
+    ids = rows.groupBy(F.col(name).alias("key")).agg(F.min("doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    best = keys.join(ids, "key").groupBy("comp").agg(F.min(order).alias("best"))
+    marked = keys.join(best, "comp").select("key", (F.col("key") == F.col("best.key")).alias("stays"), "n")
+    marked = materialize(marked.where("not stays or n > 1"), "near-duplicates")
+    rest = rows.join(marked.select(F.col("key").alias(name)), name, "left_anti")
+    repeated = rows.join(marked.where("stays").select(F.col("key").alias(name)), name, "left_semi").dropDuplicates([name])
+    return rest.unionByName(repeated).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +38,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, zero to three times."""
-    rows, name = _numbered(docs, "mix")
+    name = free(docs, "_row")
+    # a table, so that rows keep their number: repeated rows and null ids are told apart
+    rows = materialize(docs.withColumn(name, F.monotonically_increasing_id()), "mix")
     copies = free(rows, "_copies")
     taken = mixing.mix_sources(rows, keep=(name,)).where("copies > 0").select(name, F.col("copies").alias(copies))
     rows = rows.join(taken, name).withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
