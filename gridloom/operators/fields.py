@@ -94,6 +94,28 @@ def align(cells_: DataFrame, keys: list[str] = ["cycle"]) -> DataFrame:  # noqa:
     return grid.alias("g").join(held.alias("h"), on, "left").select(*[F.col(f"g.{c}").alias(c) for c in (*keys, "variable", "level", "latitude", "longitude")], "h.value")
 
 
+def align_blocks(blocks: DataFrame, keys: list[str] = ["cycle"]) -> DataFrame:  # noqa: B006
+    """All blocks of a cycle on the union of its grids (rows from the north, columns from the least longitude), null where a
+    block has no value. Labels match to a millionth of a degree.
+
+    Works at block grain: a cycle's grids are gathered as distinct label arrays, one where all agree, and then the blocks
+    pass unchanged; cells never cross a shuffle."""
+    micro = lambda c: F.transform(c, lambda x: F.round(x * 1_000_000).cast("long"))
+    union = lambda c: F.array_distinct(F.flatten(F.collect_set(micro(F.col(c)))))
+    one = lambda c: F.count_distinct(c) == 1
+    grids = blocks.groupBy(*keys).agg(union("lats").alias("_lats"), union("lons").alias("_lons"), (one("lats") & one("lons")).alias("_same"))
+    out = blocks.join(grids, keys).withColumn("_lats", F.sort_array("_lats", asc=False)).withColumn("_lons", F.sort_array("_lons"))
+    out = out.withColumn("_own_lats", micro("lats")).withColumn("_own_lons", micro("lons")).withColumn("_n", F.size("lons"))
+    out = out.withColumn("_row", F.transform("_lats", lambda x: F.array_position("_own_lats", x))).withColumn("_column", F.transform("_lons", lambda x: F.array_position("_own_lons", x)))
+    cell = lambda i, j: F.when((i > 0) & (j > 0), F.get("values", ((i - 1) * F.col("_n") + j - 1).cast("int")))
+    lats, lons = F.col("_lats"), F.col("_lons")
+    values = F.flatten(F.transform("_row", lambda i: F.transform("_column", lambda j: cell(i, j))))
+    degrees = lambda c: F.transform(c, lambda x: x / 1_000_000)
+    moved = lambda new, old: F.when(F.col("_same"), F.col(old)).otherwise(new).alias(old)
+    new = {"values": moved(values, "values"), "lats": moved(degrees(lats), "lats"), "lons": moved(degrees(lons), "lons")}
+    return out.select(*[new.get(c, F.col(c)) for c in blocks.columns])
+
+
 def lat_descending(blocks: DataFrame) -> DataFrame:
     """Grid rows from north to south; nothing changes where they are already."""
     n, rows = F.size("lons"), F.size("lats")

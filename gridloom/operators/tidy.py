@@ -55,9 +55,10 @@ def raster(cells: DataFrame, longitudes: list[float], label=lambda x: f"lon_{x:g
 
 
 def tensors(blocks: DataFrame) -> DataFrame:
-    """cycle, date, run, tensor, channel, level_idx, n_lat, n_lon, values: blocks in the models' order, rows from the north."""
+    """cycle, date, run, lead (if there is one), tensor, channel, level_idx, n_lat, n_lon, values: blocks in the models' order, rows from the north."""
     blocks = B.lat_descending(blocks)
-    keep = ["cycle", "date", "run", "tensor", "channel", "level_idx", F.size("lats").alias("n_lat"), F.size("lons").alias("n_lon"), "values"]
+    lead = ["lead"] if "lead" in blocks.columns else []
+    keep = ["cycle", "date", "run", *lead, "tensor", "channel", "level_idx", F.size("lats").alias("n_lat"), F.size("lons").alias("n_lon"), "values"]
     order = lambda names: (F.array_position(F.array(*map(F.lit, names)), F.col("variable")) - 1).cast("int")
     low = blocks.where(F.col("level").isNull() & F.col("variable").isin(*B.SURFACE)).withColumn("tensor", F.lit("surface")).withColumn("channel", order(B.SURFACE)).withColumn("level_idx", F.lit(None).cast("int"))
     high = B.geopotential(B.select_levels(blocks)).where(F.col("variable").isin(*B.UPPER)).withColumn("tensor", F.lit("upper")).withColumn("channel", order(B.UPPER))

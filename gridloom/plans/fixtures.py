@@ -26,6 +26,11 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def named_files(fields: DataFrame) -> DataFrame:
+    """With the names that forecast files have."""
+    return fields.withColumn("source_file", F.concat("date", F.substring("run", 1, 2), F.lit("0000-0h-oper-fc.grib2")))
+
+
 def overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset 0 lacks a third of the variables and the northmost row of vec_id % 5 = 0; dataset 1 has all, negated."""
     base = blocks(spark, sf_dir)

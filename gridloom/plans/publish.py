@@ -17,29 +17,39 @@ PARTITIONS = ("year", "month", "day", "run", "source_file")
 def publish(tidy: DataFrame, base: str, sort: tuple[str, ...] = ("variable", "isobaricInhPa")) -> None:
     """Writes tidy rows (with date, run and source_file) below ``base``; only the partitions of these source files are replaced.
 
-    Rows are sorted by variable and level, so that row groups can be skipped by their statistics.
+    Rows are dealt by source file and variable, so a partition gets one file a variable, and sorted by variable and level,
+    so that row groups can be skipped by their statistics.
     """
     day = K.parse_date(F.col("date"), strict=True)
     out = tidy.withColumn("year", F.date_format(day, "yyyy")).withColumn("month", F.date_format(day, "MM")).withColumn("day", F.date_format(day, "dd"))
-    out = out.sortWithinPartitions(*PARTITIONS, *sort, F.desc("latitude"), "longitude")
+    out = out.repartition("source_file", "variable").sortWithinPartitions(*PARTITIONS, *sort, F.desc("latitude"), "longitude")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*PARTITIONS).parquet(base)
 
 
 def read_published(spark: SparkSession, base: str) -> DataFrame:
     """The published rows; partition values stay text (month 03)."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    return spark.read.parquet(base)
+    rows = spark.read.parquet(base)
+    parts = ", ".join(f"`{c}` string" for c in PARTITIONS)
+    kinds = [f for f in rows.schema.fields if f.name not in PARTITIONS]
+    return spark.read.schema(", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds), parts])).parquet(base)
 
 
 def manifest(tidy: DataFrame) -> DataFrame:
-    """One row a source file."""
-    return tidy.groupBy("source_file", "date", "run").agg(F.count("*").alias("n_rows"), F.count("value").alias("n_values"), F.count_distinct("variable").alias("n_variables")).withColumn("status", F.when(F.col("n_rows") > 0, "ok").otherwise("empty"))
+    """One row a source file that has rows."""
+    return tidy.groupBy("source_file", "date", "run").agg(F.count("*").alias("n_rows"), F.count("value").alias("n_values"), F.count_distinct("variable").alias("n_variables")).withColumn("status", F.lit("ok"))
+
+
+def published_bytes(spark: SparkSession, base: str) -> DataFrame:
+    """source_file, bytes and files below ``base``, from a listing: no file is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(base)
+    source = F.url_decode(F.regexp_extract("path", r"/source_file=([^/]+)/", 1))
+    return files.select(source.alias("source_file"), "length").groupBy("source_file").agg(F.sum("length").alias("bytes"), F.count("*").alias("files"))
 
 
 def export_npy(tensors: DataFrame, base: str) -> DataFrame:
     """Writes input_<tensor>.npy of each cycle below ``base``, a folder that all executors reach: date, run, tensor, path, shape.
 
-    A tensor of at most 65 fields is one task's work.
+    Lead times of a run go to folders of their own. A tensor of at most 65 fields is one task's work.
     """
     from pyarrow import fs
 
@@ -51,12 +61,12 @@ def export_npy(tensors: DataFrame, base: str) -> DataFrame:
             data = data.reshape(first["channel"].nunique(), -1, n_lat, n_lon)
         date, run, name = (str(first[c].iloc[0]) for c in ("date", "run", "tensor"))
         path = f"{base}/year={date[:4]}/month={date[4:6]}/day={date[6:8]}/run={run}"
+        if "lead" in first and first["lead"].iloc[0]:
+            path += f"/lead={first['lead'].iloc[0]}"
         store, local = fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
         store.create_dir(local)
         with store.open_output_stream(f"{local}/input_{name}.npy") as f:
             np.lib.format.write_array(f, data)
         return pd.DataFrame({"date": [date], "run": [run], "tensor": [name], "path": [f"{path}/input_{name}.npy"], "shape": [",".join(map(str, data.shape))]})
 
-    return tensors.groupBy("date", "run", "tensor").applyInPandas(write, "date string, run string, tensor string, path string, shape string")
-
-
+    return tensors.groupBy("cycle", "tensor").applyInPandas(write, "date string, run string, tensor string, path string, shape string")

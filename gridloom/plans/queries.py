@@ -12,9 +12,11 @@ from gridloom.operators import fields as B
 from gridloom.operators import quality as Q
 from gridloom.operators import tidy as T
 from gridloom.plans import fixtures as X
+from gridloom.plans import job as J
 from gridloom.plans import publish as P
 from gridloom.plans.scratch import scratch_path
 from gridloom.sources import catalog as C
+from gridloom.sources import grib as G
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -200,7 +202,7 @@ def merge_first_wins(spark, d):
 SELECT n.cycle, n.variable, n.level, p.latitude, p.longitude, w.value FROM p JOIN n ON p.cycle = n.cycle
 LEFT JOIN w ON w.cycle = n.cycle AND w.variable = n.variable AND w.level IS NOT DISTINCT FROM n.level AND w.latitude = p.latitude AND w.longitude = p.longitude"""))
 def merge_align(spark, d):
-    return B.align(B.cells(B.first_wins(X.overlapping(spark, d)))).select(*CELLS, "value")
+    return B.cells(B.align_blocks(B.first_wins(X.overlapping(spark, d)))).select(*CELLS, "value")
 
 
 def _qa_cells(spark, d):
@@ -364,7 +366,8 @@ def coerce_numeric(spark, d):
     return orders.select("o_orderkey", T.coerce(F.split_part("o_orderpriority", F.lit("-"), F.lit(1))).alias("head"), T.coerce(F.col("o_orderpriority")).alias("whole"))
 
 
-@query()
+@query(_with(X.OBJECTS_SQL, """, n AS (SELECT key, row_number() OVER (ORDER BY md5(key)[1:2], encode(key)) - 1 AS no FROM g WHERE key LIKE '%.grib2')
+SELECT r AS draw, key FROM range(1000) t(r) JOIN n ON n.no = CAST('0x' || md5('7:' || r)[1:12] AS BIGINT) % (SELECT count(*) FROM n)"""))
 def sample_files(spark, d):
     return C.sample(X.objects(spark, d), 1000)
 
@@ -373,3 +376,41 @@ def sample_files(spark, d):
 def export_npy(spark, d):
     """Tensor files of all complete cycles, written by tasks."""
     return P.export_npy(T.tensors(B.complete_only(X.blocks(spark, d))), scratch_path(spark, "npy"))
+
+
+def _archive(spark, d):
+    """The blocks' cycles as GRIB2 files in a shared folder."""
+    base = scratch_path(spark, "archive")
+    J.write_files(X.named_files(X.blocks(spark, d)), base).write.format("noop").mode("overwrite").save()
+    return base
+
+
+_NAME = "strftime(DATE '2024-01-01' + CAST(cycle // 4 AS INTEGER), '%Y%m%d') || run[:2] || '0000-0h-oper-fc.grib2'"
+
+
+@query(_with(X.FIELDS_SQL, f"SELECT {_TIDY}, date[:4] AS year, date[5:6] AS month, date[7:8] AS day, {_NAME} AS source_file FROM z {_COMPLETE}"))
+def forecast_job(spark, d):
+    """Files are written, decoded, merged, published and read back."""
+    base = scratch_path(spark, "job")
+    J.run(spark, _archive(spark, d), base).write.format("noop").mode("overwrite").save()
+    return P.read_published(spark, base)
+
+
+@query(_with(X.FIELDS_SQL, f"""SELECT {_NAME} AS source_file, date, run, '0h' AS lead, n_fields, CASE WHEN n_fields = 69 THEN 'ok' ELSE 'incomplete' END AS status, CAST(0 AS BIGINT) AS n_errors,
+ CAST(CASE WHEN n_fields = 69 THEN 69 * 64 ELSE 0 END AS BIGINT) AS n_rows, CAST(CASE WHEN n_fields = 69 THEN 9 ELSE 0 END AS BIGINT) AS n_variables, n_fields = 69 AS has_bytes
+ FROM (SELECT cycle, date, run, count(*) AS n_fields FROM b GROUP BY ALL)"""))
+def job_manifest(spark, d):
+    """The job's manifest: an incomplete file has no rows."""
+    m = J.run(spark, _archive(spark, d), scratch_path(spark, "job"))
+    return m.select("source_file", "date", "run", "lead", "n_fields", "status", "n_errors", "n_rows", "n_variables", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query(_with(X.FIELDS_SQL, f"""SELECT {_NAME} AS source_file, variable, level AS "isobaricInhPa", count(*) AS n, round(avg(value::DOUBLE), 6) AS src_mean, CAST(0 AS FLOAT) AS max_abs_diff, 'ok' AS status
+ FROM z {_COMPLETE} WHERE variable = 't2m' OR (variable = 'z' AND level = 500) GROUP BY ALL"""))
+def verify_published(spark, d):
+    """Published rows against the fields of the files."""
+    source, base = _archive(spark, d), scratch_path(spark, "job")
+    J.run(spark, source, base).write.format("noop").mode("overwrite").save()
+    blocks = B.complete_only(G.read_merged(spark, source)).withColumn("source_file", K.base_name(F.col("source_file")))
+    r = J.verify(blocks, P.read_published(spark, base))
+    return r.select("source_file", "variable", "isobaricInhPa", "n", F.round("src_mean", 6).alias("src_mean"), "max_abs_diff", "status")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import keys as K
@@ -49,9 +49,10 @@ def download_key(date, run):
 
 
 def sample(objects: DataFrame, n: int, seed: int = 7) -> DataFrame:
-    """n draws with replacement: draw, key. Files get a dense number by key within hash ranges, so no task orders all files."""
+    """n draws with replacement: draw, key. The draws depend on the seed only; files get a dense number by key within hash
+    ranges, so no task orders all files."""
     files = forecasts(objects).select("key")
-    parts = files.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(256)))
+    parts = files.withColumn("part", F.substring(F.md5("key"), 1, 2))
     sizes = parts.groupBy("part").count().orderBy("part").collect()  # at most 256 rows
     total = sum(r["count"] for r in sizes)
     if not total:
@@ -59,9 +60,8 @@ def sample(objects: DataFrame, n: int, seed: int = 7) -> DataFrame:
     start, at = {}, 0
     for r in sizes:
         start[r["part"]], at = at, at + r["count"]
-    from pyspark.sql import Window
-
-    offset = F.element_at(F.create_map(*[F.lit(x) for p in start.items() for x in p]), F.col("part").cast("int"))
+    offset = F.element_at(F.create_map(*[F.lit(x) for p in start.items() for x in p]), F.col("part"))
     numbered = parts.withColumn("no", F.row_number().over(Window.partitionBy("part").orderBy("key")) - 1 + offset)
-    draws = objects.sparkSession.range(n).select(F.col("id").alias("draw"), F.floor(F.rand(seed) * total).cast("long").alias("no"))
+    number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string"))), 1, 12), 16, 10).cast("long")
+    draws = objects.sparkSession.range(n).select(F.col("id").alias("draw"), (number % total).alias("no"))
     return draws.join(numbered, "no").select("draw", "key")

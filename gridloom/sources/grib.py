@@ -42,15 +42,12 @@ def message(raw: bytes) -> dict:
     la1, lo1, la2, lo2 = _signed(grid[46:50]), _signed(grid[50:54]), _signed(grid[55:59]), _signed(grid[59:63])
     out["lats"] = (np.linspace(la1, la2, n_lat) / 1e6).tolist()
     out["lons"] = (np.linspace(lo1, lo2 if lo2 >= lo1 else lo2 + 360_000_000, n_lon) / 1e6).tolist()
+    if grid[71] & 0xB0:  # rows from west to east only, from the north or the south
+        return out | {"decode_error": f"scanning mode {grid[71]}"}
     template, count = struct.unpack(">H", packing[9:11])[0], struct.unpack(">I", packing[5:9])[0]
     if template == 0:
         reference, binary, decimal, width = struct.unpack(">f", packing[11:15])[0], _signed(packing[15:17]), _signed(packing[17:19]), packing[19]
-        if width:
-            flat = np.unpackbits(np.frombuffer(data[5:], np.uint8))[: count * width].reshape(count, width)
-            packed = flat.astype(np.float64) @ (2.0 ** np.arange(width - 1, -1, -1))
-        else:
-            packed = np.zeros(count)
-        values = (reference + packed * 2.0**binary) / 10.0**decimal
+        values = (reference + _integers(data[5:], count, width) * 2.0**binary) / 10.0**decimal
     elif template == 4 and packing[11] in (1, 2):
         values = np.frombuffer(data[5:], ">f4" if packing[11] == 1 else ">f8")[:count].astype(np.float64)
     else:
@@ -60,17 +57,59 @@ def message(raw: bytes) -> dict:
         full = np.full(n_lat * n_lon, np.nan)
         full[present] = values
         values = full
-    return out | {"values": values.astype(np.float32).tolist()}
+    return out | {"values": values.astype(np.float32)}
+
+
+def _integers(raw: bytes, count: int, width: int) -> np.ndarray:
+    """``count`` numbers of ``width`` bits each, the highest bit first."""
+    if width in (8, 16, 32):
+        return np.frombuffer(raw, f">u{width // 8}")[:count].astype(np.float64)
+    if not width:
+        return np.zeros(count)
+    if width > 32:
+        raise ValueError(f"numbers of {width} bits")
+    data = np.concatenate([np.frombuffer(raw, np.uint8), np.zeros(8, np.uint8)])
+    start = np.arange(count, dtype=np.int64) * width
+    at, held = start >> 3, np.zeros(count, np.uint64)
+    for j in range(5):  # five bytes hold any 32 bits
+        held = held << np.uint64(8) | data[at + j].astype(np.uint64)
+    return (held >> (40 - width - (start & 7)).astype(np.uint64) & np.uint64((1 << width) - 1)).astype(np.float64)
+
+
+def encode(variable: str, level: float | None, lats: list[float], lons: list[float], values: np.ndarray) -> bytes:
+    """A message of one field on a regular grid, its values in single precision (IEEE): what it holds is read back unchanged."""
+    discipline, category, number, kind = next(k for k, v in NAMES.items() if v == variable)
+    section = lambda no, body: struct.pack(">IB", len(body) + 5, no) + body
+    signed = lambda x: (1 << 31 | -x) if x < 0 else x
+    micro = lambda x: signed(round(x * 1_000_000))
+    grid = struct.pack(">BIBBH", 0, len(lats) * len(lons), 0, 0, 0) + bytes([6]) + bytes(15) + struct.pack(">II", len(lons), len(lats)) + bytes(8)
+    step = lambda x: abs(round((x[-1] - x[0]) / max(1, len(x) - 1) * 1_000_000))
+    north = lats[0] >= lats[-1]
+    grid += struct.pack(">IIBIIIIB", micro(lats[0]), micro(lons[0]), 48, micro(lats[-1]), micro(lons[-1]), step(lons), step(lats), 0 if north else 0x40)
+    product = struct.pack(">HHBB", 0, 0, category, number) + bytes(11) + struct.pack(">BBI", kind, 0, int(level * 100) if level is not None else 0) + bytes(6)
+    packing = struct.pack(">IHB", len(values), 4, 1)
+    body = section(1, bytes(16)) + section(3, grid) + section(4, product) + section(5, packing) + section(6, b"\xff")
+    body += section(7, np.asarray(values, ">f4").tobytes())
+    return b"GRIB\0\0" + bytes([discipline, 2]) + struct.pack(">Q", 16 + len(body) + 4) + body + b"7777"
 
 
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.string(), pa.int32(), pa.string(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.list_(pa.float32()), pa.string()]
+    """A batch for each message: a task holds one file and one field."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
+    lists = {"lats": pa.float64(), "lons": pa.float64(), "values": pa.float32()}
+    kinds = {"dataset_ord": pa.int32(), "level": pa.float64()}
+
+    def cell(row: dict, name: str) -> pa.Array:
+        if name in lists and row[name] is not None:
+            flat = pa.array(row[name], lists[name])
+            return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
+        return pa.array([row[name]], pa.list_(lists[name]) if name in lists else kinds.get(name, pa.string()))
+
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            raw, at, seen = content.as_py(), 0, {}
+            raw, at, seen = content.as_py() or b"", 0, {}
             while (at := raw.find(b"GRIB", at)) >= 0:
-                size = struct.unpack(">Q", raw[at + 8 : at + 16])[0]
+                size = struct.unpack(">Q", raw[at + 8 : at + 16])[0] if len(raw) >= at + 16 else 0
                 try:
                     row = message(raw[at : at + size])
                 except (struct.error, IndexError, ValueError) as e:
@@ -78,13 +117,32 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key = (row["variable"], row["level"])
                 seen[key] = seen.get(key, -1) + 1
                 row |= {"source_file": path, "dataset_ord": seen[key]}
-                yield pa.RecordBatch.from_arrays([pa.array([row[n]], k) for n, k in zip(names, kinds, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([cell(row, n) for n in names], names=names)
                 at += max(size, 4)
 
 
-def read_fields(spark: SparkSession, path: str, default_date: str = "19700101") -> DataFrame:
-    """Blocks of all GRIB2 files below ``path``, one task a file or more: a repeated field gets the next dataset_ord."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(path).select("path", "content")
-    out = files.mapInArrow(_decode, SCHEMA)
+def decode(files: DataFrame, default_date: str = "19700101") -> DataFrame:
+    """Blocks of GRIB2 files (path, content): a repeated field gets the next dataset_ord. A file is a cycle of its own, so
+    lead times of one run stay apart; date, run and lead come from its key."""
+    out = files.select("path", "content").mapInArrow(_decode, SCHEMA)
     date, run = K.effective_date_run(F.col("source_file"), F.lit(""), F.lit(""), default_date)
-    return out.withColumn("date", date).withColumn("run", run).withColumn("cycle", F.concat("date", "run"))
+    lead = F.split_part(K.base_name(F.col("source_file")), F.lit("-"), F.lit(2))
+    return out.withColumn("date", date).withColumn("run", run).withColumn("lead", lead).withColumn("cycle", F.col("source_file"))
+
+
+def read_fields(spark: SparkSession, path: str, default_date: str = "19700101") -> DataFrame:
+    """Blocks of all GRIB2 files below ``path``, one task a file or more."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(path)
+    return decode(files, default_date)
+
+
+def read_merged(spark: SparkSession, path: str, default_date: str = "19700101") -> DataFrame:
+    """The merged dataset of each file: decoded fields without dropped coordinates, of the first dataset that has them, on
+    one grid, from north to south."""
+    return merged(read_fields(spark, path, default_date))
+
+
+def merged(blocks: DataFrame) -> DataFrame:
+    from gridloom.operators import fields as B
+
+    return B.lat_descending(B.align_blocks(B.first_wins(B.drop_coords(blocks.where("decode_error is null").drop("decode_error")))))

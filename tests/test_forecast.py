@@ -10,9 +10,12 @@ from gridloom.operators import fields as B
 from gridloom.operators import quality as Q
 from gridloom.operators import tidy as T
 from gridloom.plans import fixtures as X
+from gridloom.plans import job
 from gridloom.plans import publish as P
 from gridloom.plans.queries import QUERIES, SQL
+from gridloom.sources import catalog as C
 from gridloom.sources import grib
+from gridloom.streaming import arrivals
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,6 +137,84 @@ def test_grib_scan(spark, tmp_path):
     assert rows[850.0]["decode_error"] == "packing template 41"
 
 
+def _two_leads(spark, base):
+    """Two lead times of one run, each a complete cycle."""
+    blocks = X.named_files(X.blocks(spark, SF).where("cycle < 2")).withColumn("date", F.lit("20240101")).withColumn("run", F.lit("06z"))
+    lead = F.concat(F.lit("20240101060000-"), (F.col("cycle") * 6).cast("string"), F.lit("h-oper-fc.grib2"))
+    job.write_files(blocks.withColumn("source_file", lead), base).collect()
+    return blocks
+
+
+def test_two_leads_of_a_run_stay_apart(spark, tmp_path):
+    blocks = _two_leads(spark, f"{tmp_path}/in")
+    got = job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/npy").collect()
+    assert sorted((r["lead"], r["n_fields"], r["n_rows"], r["status"]) for r in got) == [("0h", 69, 69 * 64, "ok"), ("6h", 69, 69 * 64, "ok")]
+    assert all(r["bytes"] > 0 for r in got)
+    want = {r["vec_id"]: r for r in B.geopotential(blocks).collect()}
+    for cycle, lead in ((0, "0h"), (1, "6h")):
+        data = np.load(f"{tmp_path}/npy/year=2024/month=01/day=01/run=06z/lead={lead}/input_upper.npy")
+        assert data.shape == (5, 13, 8, 8)
+        assert np.array_equal(data[0, 0].reshape(-1), np.array(want[69 * cycle + 4]["values"], np.float32))
+
+
+def test_arriving_files_are_published_once(spark, tmp_path):
+    _two_leads(spark, f"{tmp_path}/in")
+    for _ in range(2):
+        arrivals.ingest(spark, f"{tmp_path}/in", f"{tmp_path}/check", f"{tmp_path}/out")
+    assert P.read_published(spark, f"{tmp_path}/out").count() == 2 * 69 * 64
+
+
+def test_verify_fails_where_nothing_was_published(spark, tmp_path):
+    _two_leads(spark, f"{tmp_path}/in")
+    job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()
+    source = grib.read_merged(spark, f"{tmp_path}/in").withColumn("source_file", K.base_name(F.col("source_file")))
+    rows = P.read_published(spark, f"{tmp_path}/out")
+    assert {r["status"] for r in job.verify(source, rows).collect()} == {"ok"}
+    with pytest.raises(Exception, match="nothing published for t2m"):
+        job.verify(source, rows.where("variable <> 't2m'")).collect()
+
+
+def test_an_incomplete_file_is_listed_but_not_published(spark, tmp_path):
+    _two_leads(spark, f"{tmp_path}/in")
+    one = X.named_files(X.blocks(spark, SF).where("cycle = 2 and not (variable = 'q' and level = 850)"))
+    job.write_files(one, f"{tmp_path}/in").collect()
+    (bad,) = [r for r in job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect() if r["status"] != "ok"]
+    assert (bad["missing"], bad["n_rows"], bad["bytes"], bad["n_fields"]) == ("q@850", 0, 0, 68)
+
+
+@pytest.mark.parametrize("width", [1, 7, 8, 12, 16, 24, 29, 32])
+def test_packed_integers(width):
+    r = np.random.default_rng(width)
+    want = r.integers(0, 1 << width, 100)
+    bits = "".join(format(int(x), f"0{width}b") for x in want)
+    raw = int(bits + "0" * (-len(bits) % 8), 2).to_bytes(-(-len(bits) // 8), "big")
+    assert np.array_equal(grib._integers(raw, 100, width), want)
+
+
+def test_scanning_mode_and_damage_are_reported(spark):
+    good = grib.encode("t", 500.0, [90.0, 0.0], [0.0, 90.0], np.arange(4))
+    at = good.index(struct.pack(">IB", 72, 3)) + 71
+    turned = good[:at] + b"\x80" + good[at + 1 :]
+    assert grib.message(turned)["decode_error"] == "scanning mode 128"
+    files = spark.createDataFrame([("a/20240105/06z/x-0h-y.grib2", good[:60] + good), ("b.grib2", b""), ("c.grib2", None)], "path string, content binary")
+    rows = grib.decode(files).collect()
+    assert [r["decode_error"] is None for r in rows].count(True) <= 1 and len(rows) >= 1
+
+
+def test_missing_path_and_keys(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        C.listing(spark, str(tmp_path / "none"))
+    row = spark.range(1).select(C.download_key(F.lit("20240101"), F.lit("12z"))).first()
+    assert row[0] == "20240101/12z/ifs/0p25/oper/20240101120000-0h-oper-fc.grib2"
+
+
+def test_sample_depends_on_the_seed_only(spark):
+    objects = X.objects(spark, SF)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(C.sample(objects, 50)) == rows(C.sample(objects.repartition(3), 50)) != rows(C.sample(objects, 50, seed=8))
+    assert C.sample(objects.limit(0), 5).count() == 0
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as e
 
