@@ -7,37 +7,48 @@ from pyspark.sql import functions as F
 
 #: A token is a run of at most 16 code points that are no space; longer runs are cut, so text without spaces has tokens too.
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
-BINS, STRIDE, K = 64, 21, 3
+K = 3
+#: Permutations, and the minimal k-mers that are selected under each.
+PERMUTATIONS, LEAST = 8, 2
+#: Permutations that one 40-bit hash gives, by rotation, and the bits of a rotation.
+ROTATIONS, TURN = 4, 10
+#: Rows between two cuts of the descending order, about.
+RANGE_ROWS = 2048
+#: Positions of k-mers in a text; more share the last one.
 _POS = (1 << 24) - 1
 #: Doublings by which a k-mer's occurrences are counted: up to 2^20 in one text, more share the last numbers.
 DOUBLINGS = 20
 
 
-def _bin(x: Column) -> Column:
-    """The top six bits, in the order in which longs are sorted."""
-    return F.shiftrightunsigned(x.bitwiseXOR(F.lit(-(1 << 63))), 58).cast("int")
-
-
 def _kmer(x: Column) -> Column:
     return F.shiftright(x, 24)
 
 
+def _packed(h: Column, pos: Column) -> Column:
+    return h.bitwiseAND(F.lit(~_POS)).bitwiseOR(F.least(pos.cast("long"), F.lit(_POS)))
+
+
+def _hashed(seed: int):
+    """The packed k-mer with another hash, its position kept."""
+    return lambda x: F.xxhash64(_kmer(x), F.lit(seed)).bitwiseAND(F.lit(~_POS)).bitwiseOR(x.bitwiseAND(F.lit(_POS)))
+
+
 def _doubled(counts: Column, step: int) -> Column:
     return F.transform(counts, lambda x, i: x + F.when(x == step, F.get(counts, i - step)).otherwise(F.lit(0)))
 
 
 def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``, the text's signature: an array of 64 shorts, empty for a text without tokens or null.
+    """Adds ``out``, the text's signature: an array of PERMUTATIONS ints, empty for a text without tokens or null.
 
-    K-mers of three tokens (all tokens, where there are fewer) get their occurrence number in the text. Their hashes'
-    top bits deal them to 64 bins; of each bin the minimal (k-mer, occurrence) is selected, an empty bin takes that of the
-    next bin that has one. Bins b and b + 21 make a tuple, in the order of the two k-mers in the text, whose hash is entry b.
+    K-mers of three tokens (all tokens, where there are fewer) get their occurrence number in the text. Under each
+    permutation the LEAST minimal (k-mer, occurrence) are selected and put in the order that they have in the text; the
+    hash of this tuple is the permutation's entry. A permutation orders by a 40-bit hash, rotated: four come from one hash.
     """
     kept = df.columns
     t, s, c, m = (f"_omh_{x}" for x in "tscm")
     df = df.withColumn(t, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), F.lit(0)))
     tokens = F.col(t)
-    packed = lambda h, pos: h.bitwiseAND(F.lit(~_POS)).bitwiseOR(F.least(pos.cast("long"), F.lit(_POS)))
+    packed = _packed
     many = F.transform(F.sequence(F.lit(0), F.size(tokens) - K), lambda i: packed(F.xxhash64(*[F.get(tokens, i + j) for j in range(K)]), i))
     few = F.array(packed(F.xxhash64(tokens), F.lit(0)))
     df = df.withColumn(s, F.when(F.size(tokens) >= K, F.sort_array(many)).when(F.size(tokens) > 0, few)).drop(t)
@@ -52,33 +63,52 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
     n = F.col(c)
     numbered = F.sort_array(F.transform(a, lambda x, i: F.when(F.get(n, i) == 0, x).otherwise(packed(F.xxhash64(_kmer(x), F.get(n, i)), x.bitwiseAND(F.lit(_POS))))))
     df = df.withColumn(t, F.when(F.col(m) > 0, numbered).otherwise(a)).drop(s, c, m)
-    p = F.col(t)
-    df = df.withColumn(s, F.filter(p, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(p, i - 1))))).drop(t)
-    least = F.col(s)
-    gap = lambda x, i: _bin(x) - F.when(i == 0, F.lit(-1)).otherwise(_bin(F.get(least, i - 1)))
-    filled = F.flatten(F.transform(least, lambda x, i: F.array_repeat(x, gap(x, i))))
-    df = df.withColumn(c, F.concat(filled, F.array_repeat(F.get(least, F.lit(0)), BINS - 1 - _bin(F.element_at(least, -1))))).drop(s)
-    d = F.col(c)
-
-    def entry(x: Column, b: Column) -> Column:
-        y = F.get(d, (b + STRIDE) % BINS)
-        first = x.bitwiseAND(F.lit(_POS)) <= y.bitwiseAND(F.lit(_POS))
-        h = F.when(first, F.xxhash64(_kmer(x), _kmer(y))).otherwise(F.xxhash64(_kmer(y), _kmer(x)))
-        return F.pmod(h, F.lit(1 << 15)).cast("short")
-
-    empty = F.array().cast("array<short>")
-    return df.withColumn(out, F.coalesce(F.transform(d, entry), empty)).select(*kept, out)
+    slices = (1 << TURN) - 1
+    n = F.size(t)
+    # of n hashes, about eight times as many as are wanted have a leading slice below this
+    below = F.least(F.lit(slices + 1), F.ceil(F.lit((slices + 1) * 8 * LEAST) / F.greatest(n, F.lit(1)))).cast("long")
+    df = df.withColumn(m, below)
+    entries = []
+    for j in range(PERMUTATIONS // ROTATIONS):
+        df = df.withColumn(f"{s}{j}", F.transform(t, _hashed(j)))
+        for r in range(ROTATIONS):
+            entries.append(_entry(F.col(f"{s}{j}"), F.col(m), r))
+    empty = F.array().cast("array<int>")
+    return df.withColumn(out, F.when(n > 0, F.array(*entries)).otherwise(empty)).select(*kept, out)
+
+
+def _entry(hashes: Column, below: Column, turn: int) -> Column:
+    """The entry of the permutation that orders the packed ``hashes`` by their bits from slice ``turn`` on."""
+    low, width = 24 + TURN * turn, 24 + 40
+    leading = lambda x: F.shiftrightunsigned(x, low).bitwiseAND(F.lit((1 << TURN) - 1))
+    few = F.filter(hashes, lambda x: leading(x) < below)
+    chosen = F.when(F.size(few) >= LEAST, few).otherwise(hashes)
+
+    def turned(x: Column) -> Column:  # the slice to the top of the 40 bits, position below
+        if turn == ROTATIONS - 1:
+            return x
+        up = TURN * (ROTATIONS - 1 - turn)
+        front = F.shiftleft(x.bitwiseAND(F.lit((1 << (width - up)) - 1 - _POS)), up)
+        back = F.shiftrightunsigned(x, width - up).bitwiseAND(F.lit((1 << up) - 1))
+        return front.bitwiseOR(F.shiftleft(back, 24)).bitwiseOR(x.bitwiseAND(F.lit(_POS)))
+
+    sign = F.lit(-(1 << 63))
+    order = lambda x: turned(x).bitwiseXOR(sign)  # noqa: E731  longs are sorted as signed
+    least = F.slice(F.sort_array(F.transform(chosen, order)), 1, LEAST)
+    placed = lambda x: F.shiftleft(x.bitwiseAND(F.lit(_POS)), 39).bitwiseOR(F.shiftrightunsigned(x.bitwiseXOR(sign), 25))
+    bits = F.transform(F.sort_array(F.transform(least, placed)), lambda x: x.bitwiseAND(F.lit((1 << 39) - 1)))
+    return F.xxhash64(F.array_join(F.transform(bits, lambda x: F.hex(x)), ",")).bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
 
 
 def as_text(signature: Column) -> Column:
-    return F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(x.cast("long")), 4, "0")), "")
+    return F.array_join(F.transform(signature, lambda x: F.lpad(F.hex(x.cast("long")), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal entries; two empty signatures are alike, an empty one and another aren't."""
     equal = F.size(F.filter(F.transform(a, lambda x, i: x == F.get(b, i)), lambda x: F.coalesce(x, F.lit(False))))
     both = (F.size(a) == 0) & (F.size(b) == 0)
-    return F.when(both, F.lit(1.0)).otherwise(equal / F.lit(float(BINS)))
+    return F.when(both, F.lit(1.0)).otherwise(equal / F.lit(float(PERMUTATIONS)))
 
 
 def with_next(docs: DataFrame, order: str, columns: list[str]) -> DataFrame:
@@ -88,12 +118,10 @@ def with_next(docs: DataFrame, order: str, columns: list[str]) -> DataFrame:
     window within each range finds all successors. Only one row a range is broadcast.
     """
     key = F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 63)))
-    spark = docs.sparkSession
-    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = min(64, ranges)
-    cuts = docs.select(F.percentile_approx(key, [i / steps for i in range(steps + 1)], 10_000).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    fine = max(1, -(-ranges // max(1, len(cuts))))
+    steps = 64
+    found = docs.select(F.percentile_approx(key, [i / steps for i in range(steps + 1)], 10_000).alias("c"), F.count("*").alias("n")).first()
+    cuts = sorted(set(found["c"] or []))
+    fine = max(1, -(-found["n"] // RANGE_ROWS // max(1, len(cuts))))
     at = F.array(*[F.lit(x) for x in cuts]) if cuts else F.array().cast("array<long>")
     coarse = F.size(F.filter(at, lambda c: c <= key))
     low, high = F.get(at, coarse - 1), F.get(at, coarse)

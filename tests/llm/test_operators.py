@@ -131,6 +131,61 @@ def test_order_minhash(docs, empty):
     assert sum(r["near_edited"] for r in long) > sum(r["near_next"] for r in long)
 
 
+def _spark_hash(*values):
+    import xxhash
+
+    h = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else (v % (1 << 64)).to_bytes(8, "little")
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h
+
+
+def _plain_signature(text):
+    """Order MinHash by the book: sort all numbered k-mers under each permutation."""
+    import xxhash
+
+    tokens = re.findall(r"[^\x20\x09-\x0D]{1,16}", text or "")
+    if not tokens:
+        return []
+    k, m40 = order_minhash.K, (1 << 40) - 1
+    grams = [tokens[i : i + k] for i in range(len(tokens) - k + 1)] if len(tokens) >= k else [tokens]
+    base = [(_spark_hash(*g) >> 24, i) for i, g in enumerate(grams)]
+    signed = lambda h: h - (1 << 40) if h >> 39 else h
+    seen, numbered = Counter(), []
+    for h, i in base:
+        n, seen[h] = seen[h], seen[h] + 1
+        numbered.append((h if n == 0 else xxhash.xxh64_intdigest(n.to_bytes(4, "little"), _spark_hash(signed(h))) >> 24, i))
+    out = []
+    for j in range(order_minhash.PERMUTATIONS // order_minhash.ROTATIONS):
+        hashed = [(xxhash.xxh64_intdigest(j.to_bytes(4, "little"), _spark_hash(signed(h))) >> 24, i) for h, i in numbered]
+        for turn in range(order_minhash.ROTATIONS):
+            up = order_minhash.TURN * (order_minhash.ROTATIONS - 1 - turn)
+            turned = sorted(((h << up | h >> (40 - up)) & m40, i) for h, i in hashed)[: order_minhash.LEAST]
+            in_text = [h >> 1 for h, i in sorted(turned, key=lambda x: x[1])]
+            out.append(_spark_hash(",".join(f"{h:X}" for h in in_text)) & (1 << 31) - 1)
+    return out
+
+
+def test_order_minhash_is_that_of_all_permutations(docs):
+    texts = ["a b c d e f g a b c d", "one", "", None, "x x x x x x x", "a b", " ".join(f"w{i % 37}" for i in range(3000)), *(t for t in _texts() if t)]
+    df = docs.sparkSession.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r["i"]: list(r["sig"]) for r in order_minhash.with_signature(df, "text", "sig").collect()}
+    assert [i for i, t in enumerate(texts) if got[i] != _plain_signature(t)] == []
+
+
+def test_order_minhash_tells_edits_from_other_orders(docs):
+    r = random.Random(3)
+    words = [f"v{r.randrange(400)}" for _ in range(400)]
+    swapped = [w for i in range(0, 400, 4) for w in words[(i + 200) % 400 : (i + 200) % 400 + 4]]
+    few = ["zz" if r.random() < 0.01 else w for w in words]
+    df = docs.sparkSession.createDataFrame([(" ".join(words), " ".join(few), " ".join(reversed(words)), " ".join(swapped))], "a string, b string, c string, d string")
+    for c in "abcd":
+        df = order_minhash.with_signature(df, c, f"s{c}")
+    row = df.select(*[order_minhash.likeness(F.col("sa"), F.col(f"s{c}")) for c in "bcd"]).first()
+    assert row[0] > 0.5 and row[1] == 0.0 and row[0] > row[2]
+
+
 def test_mixing(docs, empty):
     got = mixing.mix_sources(docs).collect()
     again = mixing.mix_sources(docs.repartition(3)).collect()
