@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,12 +40,32 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within, Spark drops a query's shuffle files once it has been written. The session's setting is put back."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def write(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return write(df, new_path(df.sparkSession, label))
 
 
 class Scratch:
@@ -56,9 +77,7 @@ class Scratch:
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         self.count += 1
-        path = f"{self.base}/{label}-{self.count}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return write(df, f"{self.base}/{label}-{self.count}")
 
     def drop(self, label: str) -> None:
         """Deletes the tables kept as ``label``, which nothing reads any more."""

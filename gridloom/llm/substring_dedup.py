@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize, new_path, text_chunks
+from gridloom.llm._shared import materialize, new_path, remove, shuffles_dropped, text_chunks
 from gridloom.llm._text import Words
 
 WIDTH = 13
@@ -138,6 +138,7 @@ class SubstringIndex:
 
     def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
         self.spark, self.fanout, self.runs, self.buckets = spark, fanout, [], 0
+        self.paths: dict[str, str] = {}
 
     def _write_run(self, rows: DataFrame) -> str:
         """A table in buckets by key, each sorted: runs of one index are merge-joined without another shuffle."""
@@ -146,14 +147,27 @@ class SubstringIndex:
         by = Window.partitionBy("print", "salt")
         rows = rows.repartition(n, "print", "salt").withColumn("shared", F.col("many") | (F.col("salt") > 0) | (F.count("*").over(by) > 1))
         name = f"gridloom_run_{uuid.uuid4().hex}"
-        rows.write.bucketBy(n, "print", "salt").sortBy("print", "salt", "doc").option("path", new_path(self.spark, "substring-run")).saveAsTable(name)
+        self.paths[name] = new_path(self.spark, "substring-run")
+        with shuffles_dropped(self.spark):
+            rows.write.bucketBy(n, "print", "salt").sortBy("print", "salt", "doc").option("path", self.paths[name]).saveAsTable(name)
         return name
 
+    def _drop(self, runs: list[str]) -> None:
+        for name in runs:
+            self.spark.sql(f"DROP TABLE {name}")
+            remove(self.spark, self.paths.pop(name))
+
+    def close(self) -> None:
+        """Drops all runs."""
+        self._drop(self.runs)
+        self.runs = []
+
     def compact(self) -> None:
         """Merges all runs into one."""
         if len(self.runs) > 1:
             merged = reduce(DataFrame.unionByName, [self.spark.table(r).select("print", "salt", "doc", "many") for r in self.runs])
-            self.runs = [self._write_run(merged)]
+            old, self.runs = self.runs, [self._write_run(merged)]
+            self._drop(old)
 
     def _candidates(self, new: str) -> tuple[DataFrame, DataFrame | None]:
         """(doc, print) of the batch's, and of older, documents with a fingerprint that the batch shares with others."""
@@ -194,11 +208,12 @@ class SubstringIndex:
         return out
 
 
-def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
-    """Appends ``docs`` to a new index in ``batches`` ranges of doc_id; the result doesn't depend on their number."""
+def remove_repeats(docs: DataFrame, batches: int = 3, fanout: int = 2) -> DataFrame:
+    """Appends ``docs`` to a new index in ``batches`` ranges of doc_id, which is dropped afterwards; the result doesn't
+    depend on their number. With the default numbers the last batch is merged with two runs, and then all are compacted."""
     docs = docs.select("doc_id", "text")
     cuts = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000).alias("c")).first()["c"] if batches > 1 else []
-    index, edges, out, before = SubstringIndex(docs.sparkSession), [None, *sorted(set(cuts or [])), None], None, None
+    index, edges, out, before = SubstringIndex(docs.sparkSession, fanout), [None, *sorted(set(cuts or [])), None], None, None
     for low, high in zip(edges, edges[1:], strict=False):
         part = F.lit(True)
         if low is not None:
@@ -208,6 +223,7 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
         done = index.append(docs.where(part), before)
         before = docs.where(F.col("doc_id") <= high) if high is not None else None
         out = done if out is None else out.unionByName(done)
+    index.close()
     return out
 
 
