@@ -24,6 +24,8 @@ SCHEMA = "record_id string, record_type string, target_uri string, refers_to str
 #: Columns that are known once the headers are parsed.
 HEADERS = ("record_id", "record_type", "target_uri", "refers_to", "payload_digest")
 READ, GROUP_BYTES, BATCH_BYTES = 1 << 20, 32 << 20, 8 << 20
+#: Longest WARC header of a record.
+HEAD_BYTES = 1 << 20
 _GZIP = b"\x1f\x8b\x08"
 
 
@@ -105,24 +107,126 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class _File:
-    """A forward reader that can skip."""
+    """A forward reader that can skip and take back."""
 
     def __init__(self, store: fs.FileSystem, path: str) -> None:
-        self.file, self.held, self.at = store.open_input_file(path), b"", 0
+        self.file, self.held = store.open_input_file(path), b""
 
     def peek(self, n: int) -> bytes:
-        if len(self.held) - self.at < n:
-            self.held = self.held[self.at :] + self.file.read(max(READ, n))
-            self.at = 0
-        return self.held[self.at : self.at + n]
+        if len(self.held) < n:
+            self.held += self.file.read(max(READ, n))
+        return self.held[:n]
+
+    def take(self, n: int) -> bytes:
+        out = self.held[:n] if self.held else self.file.read(n)
+        self.held = self.held[n:]
+        return out
+
+    def untake(self, raw: bytes) -> None:
+        self.held = raw + self.held
 
     def skip(self, n: int) -> None:
-        here = min(n, len(self.held) - self.at)
-        self.at += here
+        here = min(n, len(self.held))
+        self.held = self.held[here:]
         if n > here:
             self.file.seek(n - here, 1)
 
 
+class _Member:
+    """The raw bytes of one gzip member. Of one that tells its length, what isn't read is skipped without inflating it."""
+
+    def __init__(self, file: _File) -> None:
+        self.file, self.z, start = file, zlib.decompressobj(31), file.peek(24)
+        known = len(start) == 24 and start[3] == 4 and start[12:14] == b"sl"
+        self.left = struct.unpack("<I", start[16:20])[0] if known else None
+
+    def read(self) -> bytes:
+        while not self.z.eof:
+            data = self.z.unconsumed_tail
+            if not data:
+                data = self.file.take(65536 if self.left is None else min(65536, self.left))
+                if not data:
+                    raise EOFError("a member is cut off")
+                self.left = None if self.left is None else self.left - len(data)
+            got = self.z.decompress(data, 65536)
+            if got:
+                return got
+        return b""
+
+    def skip(self, n: int) -> int:
+        return 0
+
+    def alone(self) -> bool:
+        """Whether what is left of the member needn't be read to find the next one."""
+        return self.left is not None
+
+    def finish(self) -> None:
+        if self.left is None:
+            while self.read():
+                pass
+            self.file.untake(self.z.unused_data)
+        else:
+            self.file.skip(self.left)
+
+
+class _Plain:
+    """The bytes of an uncompressed file."""
+
+    def __init__(self, file: _File) -> None:
+        self.file = file
+
+    def read(self) -> bytes:
+        return self.file.take(65536)
+
+    def skip(self, n: int) -> int:
+        self.file.skip(n)
+        return n
+
+    def alone(self) -> bool:
+        return False
+
+    def finish(self) -> None:
+        pass
+
+
+class _Bytes:
+    """A window over a source of bytes."""
+
+    def __init__(self, source: _Member | _Plain) -> None:
+        self.source, self.held = source, bytearray()
+
+    def more(self) -> bool:
+        got = self.source.read()
+        self.held += got
+        return bool(got)
+
+    def find(self, mark: bytes, most: int) -> int:
+        """Where ``mark`` begins within the next ``most`` bytes, or -1; each byte is searched once."""
+        seen = 0
+        while (at := self.held.find(mark, seen, most)) < 0 and len(self.held) < most:
+            seen = max(0, len(self.held) - len(mark) + 1)
+            if not self.more():
+                break
+        return at
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self.more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
+
+    def drop(self, n: int) -> None:
+        while n > 0:
+            here = min(n, len(self.held))
+            del self.held[:here]
+            n -= here
+            if n:
+                n -= self.source.skip(n)
+                if n and not self.more():
+                    return
+
+
 @dataclass
 class Files(InputPartition):
     paths: tuple[str, ...] = ()
@@ -147,7 +251,7 @@ class WarcReader(DataSourceReader):
         store, base = _store(self.path)
         out, held, size = [], [], 0
         for info in sorted(store.get_file_info(fs.FileSelector(base, allow_not_found=True)), key=lambda x: x.path):
-            if info.type == fs.FileType.File and info.base_name.endswith(".warc.gz"):
+            if info.type == fs.FileType.File and info.base_name.endswith((".warc.gz", ".warc")):
                 if held and size + info.size > GROUP_BYTES:
                     out.append(Files(tuple(held)))
                     held, size = [], 0
@@ -176,76 +280,68 @@ class WarcReader(DataSourceReader):
             yield batch()
 
     def records(self, file: _File) -> Iterator[dict]:
-        """Inflates each member as far as its headers end; the rest only where the payload is asked for, and of records that pass."""
-        deep = "payload" in self.names or "digest_ok" in self.names
-        while start := file.peek(24):
-            if not start.startswith(_GZIP):
-                raise ValueError("not a gzip member")
-            z, raw, known = zlib.decompressobj(31), b"", start[3] == 4 and start[12:14] == b"sl"
-            length = struct.unpack("<I", start[16:20])[0] if known else 0
-            data = file.peek(length) if known else file.peek(READ)
-            pos, rest = 0, b""
-
-            def more(most: int) -> bytes:  # up to ``most`` further raw bytes of this member
-                nonlocal pos, rest, data
-                while not z.eof:
-                    feed = rest or data[pos : pos + 65536]
-                    if not rest:
-                        pos += len(feed)
-                    if not feed and not known:
-                        file.skip(len(data))
-                        data, pos = file.peek(READ), 0
-                        if not data:
-                            raise EOFError("a member is cut off")
-                        continue
-                    got = z.decompress(feed, most)
-                    rest = z.unconsumed_tail
-                    if got:
-                        return got
-                    if not feed:
-                        raise EOFError("a member is cut off")
-                return b""
-
-            while (end := raw.find(b"\r\n\r\n")) < 0 or (http := raw.find(b"\r\n\r\n", end + 4)) < 0:
-                if not (got := more(2048)):
+        """The records of a file that pass, in members of their own, several in one, or uncompressed. Of others, and where
+        no payload is asked for, nothing behind the headers is kept; nor inflated, if the member tells its length."""
+        while start := file.peek(3):
+            source = _Member(file) if start == _GZIP else _Plain(file)
+            raw = _Bytes(source)
+            while (row := self.record(raw)) is not None:
+                if row:
+                    yield row
+                if source.alone():
                     break
-                raw += got
-            row = self.parse(raw, end)
-            want = row is not None and self.wanted(row)
-            if want:
-                length_left = row.pop("_block") - (http - end)
-                if deep and row["record_type"] == "response":
-                    parts = [raw]
-                    while got := more(1 << 20):
-                        parts.append(got)
-                    raw = b"".join(parts)
-                    row["payload"] = raw[http + 4 : http + 4 + length_left]
-                    row["digest_ok"] = digest(row["payload"]) == row["payload_digest"]
-            if known:
-                file.skip(length)
-            else:
-                while more(1 << 20):
-                    pass
-                file.skip(pos - len(z.unused_data) - len(rest))
-            if want:
-                yield row
+            source.finish()
+
+    def record(self, raw: _Bytes) -> dict | None:
+        """The next record, empty if it isn't wanted; None at the end."""
+        while raw.held[:2] == b"\r\n" or len(raw.held) < 2 and raw.more():
+            if raw.held[:2] == b"\r\n":
+                raw.drop(2)
+        if not raw.held:
+            return None
+        end = raw.find(b"\r\n\r\n", HEAD_BYTES)
+        if end < 0 or not raw.held.startswith(b"WARC/"):
+            raise ValueError("not a WARC record")
+        row = self.parse(raw.take(end + 4))
+        size = row.pop("_block")
+        if not self.wanted(row):
+            if not raw.source.alone():
+                raw.drop(size + 4)
+            return {}
+        while len(raw.held) < min(size, 5) and raw.more():
+            pass
+        if raw.held[:5] == b"HTTP/" and (http := raw.find(b"\r\n\r\n", size)) >= 0:
+            told = re.search(rb"\r\ncontent-length: *(\d+)", raw.take(http + 4), re.IGNORECASE)
+            size -= http + 4
+            # a revisit has no payload: its headers tell the length of the other record's
+            row["payload_length"] = int(told[1]) if told else size
+        elif row["record_type"] != "revisit":
+            row["payload_length"] = size
+        if row["record_type"] != "revisit" and ("payload" in self.names or "digest_ok" in self.names):
+            payload = raw.take(size)
+            if len(payload) < size:
+                raise EOFError("a record is cut off")
+            row["payload"], size = payload, 0
+            row["digest_ok"] = digest(payload) == row["payload_digest"] if row["payload_digest"] else None
+        if not raw.source.alone():
+            raw.drop(size + 4)
+        return row
 
     @staticmethod
-    def parse(raw: bytes, end: int) -> dict | None:
-        if end < 0:
-            return None
-        head = dict(x.split(": ", 1) for x in raw[:end].decode("utf-8", "replace").split("\r\n")[1:] if ": " in x)
-        head = {k.lower(): v for k, v in head.items()}
+    def parse(raw: bytes) -> dict:
+        head = dict(x.split(":", 1) for x in raw.decode("utf-8", "replace").split("\r\n")[1:] if ":" in x)
+        head = {k.strip().lower(): v.strip() for k, v in head.items()}
         bare = lambda x: x[1:-1] if x and x[0] == "<" else x
-        size = re.search(rb"\r\ncontent-length: *(\d+)", raw[end + 2 :], re.IGNORECASE)
         return {
             "record_id": bare(head.get("warc-record-id")), "record_type": head.get("warc-type"), "target_uri": bare(head.get("warc-target-uri")), "refers_to": bare(head.get("warc-refers-to")),
-            "payload_digest": (head.get("warc-payload-digest") or "").removeprefix("sha1:") or None, "payload_length": int(size[1]) if size else None, "_block": int(head.get("content-length", 0)),
+            "payload_digest": (head.get("warc-payload-digest") or "").removeprefix("sha1:") or None, "payload_length": None, "_block": int(head.get("content-length") or 0),
         }
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc")``: gzipped WARC files of a folder. Options: path; for writing also date and level.
+    """``spark.read.format("warc")``: the .warc.gz and .warc files of a folder. Of any record but a revisit the payload is the
+    block, without the HTTP headers where it has them; transfer and content codings are left as they are. A path without
+    scheme is a local one. Options: path; for writing also date and level.
 
     Columns are those of SCHEMA or a part of them given by ``.schema()``; without payload and digest_ok no payload is
     decoded. Equality, IN and prefix predicates on header columns are tested on a record's headers, before its payload.
@@ -266,6 +362,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Makes the format known, and lets predicates reach it: Spark refuses readers that take them while this setting is off."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
@@ -279,9 +376,11 @@ def to_records(pages: DataFrame, least: int = 0) -> DataFrame:
     """
     page = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     page = page.withColumn("sha1", F.sha1("html")).withColumn("bytes", F.octet_length("html").cast("long"))
-    first = page.groupBy("sha1", "bytes").agg(F.min("page_id").alias("first_id")).withColumnsRenamed({"sha1": "f_sha1", "bytes": "f_bytes"})
-    page = page.join(first, (F.col("sha1") == F.col("f_sha1")) & (F.col("bytes") == F.col("f_bytes")))
-    again = (F.col("bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
+    # only digests that occur more than once are joined; a hot one's rows can be split, as they meet one row
+    first = page.where(F.col("bytes") >= least).groupBy("sha1", "bytes").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
+    first = first.select(F.col("sha1").alias("f_sha1"), F.col("bytes").alias("f_bytes"), "first_id", F.lit(True).alias("repeated"))
+    page = page.join(first, (F.col("sha1") == F.col("f_sha1")) & (F.col("bytes") == F.col("f_bytes")), "left")
+    again = F.coalesce("repeated", F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     urn = lambda c: F.concat(F.lit("urn:x-page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")))
     return page.select(
         urn("page_id").alias("record_id"), F.when(again, "revisit").otherwise("response").alias("record_type"), F.col("url").alias("target_uri"), F.when(again, urn("first_id")).alias("refers_to"),

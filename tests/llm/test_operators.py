@@ -212,6 +212,29 @@ def test_warc(spark, tmp_path):
     assert warc.page_archive(pages.limit(0), str(tmp_path / "none")).count() == 0
 
 
+def _warc_record(kind, block, extra=""):
+    head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:x:{kind}{len(block)}>\r\n{extra}Content-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("form", ["plain", "one member", "members"])
+def test_warc_of_others(spark, tmp_path, form):
+    import gzip
+
+    web = b"HTTP/1.1 200 OK\r\nContent-Length: 7\r\n\r\nabc\r\n\r\n"
+    parts = [_warc_record("warcinfo", b"software: x\r\n"), _warc_record("response", web), _warc_record("conversion", b"eighteen plain byte"), _warc_record("resource", b"")]
+    parts += [_warc_record("response", b"dns text", "WARC-Target-URI: dns:x\r\n"), _warc_record("metadata", b"y" * 300_000), _warc_record("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\n")]
+    data = b"".join(parts) if form == "plain" else gzip.compress(b"".join(parts)) if form == "one member" else b"".join(map(gzip.compress, parts))
+    (tmp_path / ("a.warc" if form == "plain" else "a.warc.gz")).write_bytes(data)
+    warc.register(spark)
+    read = spark.read.format("warc").option("path", str(tmp_path))
+    got = [(r["record_type"], bytes(r["payload"]) if r["payload"] is not None else None, r["payload_length"]) for r in read.load().collect()]
+    want = [("warcinfo", b"software: x\r\n", 13), ("response", b"abc\r\n\r\n", 7), ("conversion", b"eighteen plain byte", 19), ("resource", b"", 0), ("response", b"dns text", 8), ("metadata", b"y" * 300_000, 300_000), ("revisit", None, 99)]
+    assert got == want
+    heads = read.schema("record_type string, target_uri string").load().where("record_type = 'response'").collect()
+    assert sorted(r["target_uri"] or "" for r in heads) == ["", "dns:x"]
+
+
 def test_pieces_round_trip_and_viterbi(docs, empty):
     extra = ["▁ mark", "  two  spaces ", "日本語 🙂 é", "aaaa" * 500, "\n\t", "x" * 3000 + " y"]
     rows = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame([(900 + i, t) for i, t in enumerate(extra)], "doc_id long, text string"))
