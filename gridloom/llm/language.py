@@ -25,6 +25,8 @@ DECLARED, ADDRESS = 0.85, 0.7
 #: Pages' worth of the domain's (or of all) languages in a host's (or a domain's) prior.
 SMOOTH = 8.0
 #: Country suffixes that tell a language (fixed values).
+#: Second labels under which a country registers names, so that a domain has three labels (fixed values).
+SECOND = ("ac", "co", "com", "edu", "go", "gob", "gov", "gouv", "ne", "net", "nom", "or", "org")
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja"}
 
 
@@ -120,6 +122,7 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     Languages' log odds add up: the text's trigrams, the declared language, the language that the address' suffix or
     path tells, and the host's prior. Priors are shares of languages over a host's rows, smoothed by those of its domain,
     which are smoothed by those of all rows; the rows' own posteriors without priors are summed by grouped aggregation.
+    A row's own posterior is taken out of its host's and domain's sums, so that no evidence counts twice.
     A row is rejected, with lang und, where text has no letters in a row of three, no language reaches one half, or the
     text is too unlikely under its language for one of the model's. Null or empty text, url, host or declared language are no evidence; rows without host share one. Languages that the
     model doesn't know are no evidence. Without any fitted language all rows are rejected.
@@ -127,17 +130,21 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     n = len(names)
     host = F.lower(F.coalesce(F.col("host"), F.expr("try_parse_url(url, 'HOST')"), F.lit("")))
     tail = F.split(host, r"\.")
-    rows = rows.withColumn("host", host).withColumn("domain", F.array_join(F.slice(tail, F.greatest(F.size(tail) - 1, F.lit(1)), 2), "."))
+    deep = F.coalesce((F.length(F.element_at(tail, -1)) == 2) & F.try_element_at(tail, F.lit(-2)).isin(*SECOND), F.lit(False))
+    parts = F.when(deep, 3).otherwise(2)
+    domain = F.array_join(F.slice(tail, F.greatest(F.size(tail) - parts + 1, F.lit(1)), parts), ".")
     told = F.create_map(*[F.lit(x) for pair in SUFFIXES.items() for x in pair])
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\w+://[^/]*/([a-z]{2,3})(?:[/?#]|$)", 1)
-    rows = rows.withColumn("address", F.when(path.isin(names or [""]), path).otherwise(F.try_element_at(told, F.element_at(tail, -1))))
-    rows = rows.withColumn("declared", code_of(F.col("declared")))
+    address = F.when(path.isin(names or [""]), path).otherwise(F.try_element_at(told, F.element_at(tail, -1)))
     if not n:
         return rows.select(*key, F.lit("und").alias("lang"), F.lit(0.0).alias("posterior"), F.lit("und").alias("text_lang"), F.lit(True).alias("rejected"))
     shared = rows.sparkSession.sparkContext.broadcast(table)  # languages x TRIGRAMS numbers
-    extra = [f for f in rows.schema.fields if f.name in key]
-    keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
-    scored = rows.select(*key, "host", "domain", "declared", "address", "text").mapInArrow(_scored(shared), f"{keys}, host string, domain string, declared string, address string, ll array<double>, trigrams long, words long")
+    # key columns get names of their own meanwhile, so that they may be called as they like
+    named = {c: f"_key{i}" for i, c in enumerate(key)}
+    keys = ", ".join(f"`{named[f.name]}` {f.dataType.simpleString()}" for f in rows.select(*key).schema.fields)
+    wanted = [*[F.col(c).alias(x) for c, x in named.items()], host.alias("host"), domain.alias("domain"), code_of(F.col("declared")).alias("declared"), address.alias("address"), "text"]
+    scored = rows.select(*wanted).mapInArrow(_scored(shared), f"{keys}, host string, domain string, declared string, address string, ll array<double>, trigrams long, words long")
+    key, back = list(named.values()), [F.col(x).alias(c) for c, x in named.items()]
     lang = F.array(*map(F.lit, names))
 
     def witness(column: str, trust: float, i: Column) -> Column:
@@ -159,13 +166,17 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     whole = [float(x or 0.0) + 1.0 for x in total]
     whole = [x / sum(whole) for x in whole]
 
-    def smoothed(under: Column) -> Column:
-        every = F.aggregate(F.array(*[f"s{i}" for i in range(n)]), F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(F.array(*[f"s{i}" for i in range(n)]), under, lambda x, u: (x + SMOOTH * u) / (every + SMOOTH))
-
-    domains = domains.select("domain", smoothed(F.array(*map(F.lit, whole))).alias("over"))
-    priors = materialize(hosts.join(domains, "domain").select("host", smoothed(F.col("over")).alias("prior")), "language-priors")
-    out = scored.join(priors, "host")
+    def smoothed(sums: Column, under: Column) -> Column:
+        """Shares of languages over the other rows, from sums of which the row's own share is taken out."""
+        others = F.zip_with(sums, "share", lambda x, own: F.greatest(x - own, F.lit(0.0)))
+        every = F.aggregate(others, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(others, under, lambda x, u: (x + SMOOTH * u) / (every + SMOOTH))
+
+    both = lambda df: F.array(*[f"s{i}" for i in range(n)])
+    domains = domains.select("domain", both(domains).alias("in_domain"))
+    sums_of = materialize(hosts.select("host", "domain", both(hosts).alias("in_host")).join(domains, "domain").drop("domain"), "language-priors")
+    out = scored.join(sums_of, "host").withColumn("over", smoothed(F.col("in_domain"), F.array(*map(F.lit, whole))))
+    out = out.withColumn("prior", smoothed(F.col("in_host"), F.col("over")))
     post = _normal(F.zip_with("own", "prior", lambda x, p: x + F.log(p)))
     out = out.withColumn("post", post).withColumn("posterior", F.array_max("post"))
     p, t = np.exp(table.astype(np.float64)), table.astype(np.float64)
@@ -177,7 +188,7 @@ def identify(rows: DataFrame, key: list[str], names: list[str], table: np.ndarra
     strange = F.get("ll", at) / F.col("trigrams") < of(floor) - ERRORS * of(spread) / F.sqrt("trigrams")
     rejected = (F.col("trigrams") == 0) | (F.col("posterior") < 0.5) | F.coalesce(strange, F.lit(False))
     best = F.get(lang, at)
-    return out.select(*key, F.when(rejected, "und").otherwise(best).alias("lang"), F.round("posterior", 6).alias("posterior"), "text_lang", rejected.alias("rejected"))
+    return out.select(*back, F.when(rejected, "und").otherwise(best).alias("lang"), F.round("posterior", 6).alias("posterior"), "text_lang", rejected.alias("rejected"))
 
 
 def page_rows(pages: DataFrame) -> DataFrame:

@@ -11,6 +11,11 @@ EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
 PHONE = r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d)|(?<![\d.-])(?<!\d )\d{3}[ .-]\d{3}[ .-]\d{4}(?![ .-]?\d)|(?<![\d.-])(?<!\d )0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,4}){0,2}(?![ .-]?\d)"
+#: Social security numbers, and IPv6 addresses with eight groups or with ::.
+SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
+IP6 = r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}:){0,5}[0-9A-Fa-f]{1,4})(?![\w:.]*\w)"
+#: International bank account numbers, whole or in groups of four.
+IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?!\w)"
 MALE_TITLES, FEMALE_TITLES = ("Mr", "Herr", "Señor", "Sr", "Monsieur"), ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme")
 #: Given names (fixed values) by gender; a name behind a title or of these lists is a person's.
 MALE = ("James", "John", "Robert", "Michael", "William", "David", "Thomas", "Peter", "Paul", "Hans", "Karl", "Pierre", "Jean", "Carlos", "Juan", "Luis", "Miguel", "Klaus", "Stefan", "Henri")
@@ -27,7 +32,7 @@ _MORE = rf"(?: (?:\p{{Lu}}\. ?){{0,3}}(?:(?:van|von|der|den|de|da|di|del|du|la|l
 NAME = rf"(?=\p{{Lu}})(?<!\p{{L}})(?:(?:{_TITLE})\.?{_MORE}{{1,4}}|(?:{_GIVEN})(?!\p{{L}}){_MORE}{{1,4}})"
 _MR, _MRS = "Mr ", "Mrs "  # before an entity whose title alone tells the gender
 #: Looking ahead for a digit, sign or capital spares most positions of a text the other tries.
-NO_EMAIL = rf"(?=[\d+(])(?:{PHONE}|{CARD}|{IP})|(?:{NAME})"
+NO_EMAIL = rf"(?=[\d+(])(?:{SSN}|{PHONE}|{CARD}|{IP})|(?=[0-9A-Fa-f]{{0,4}}:[0-9A-Fa-f:])(?:{IP6})|(?=[A-Z]{{2}}\d)(?:{IBAN})|(?:{NAME})"
 ANY = f"(?:{EMAIL})|{NO_EMAIL}"
 #: Rounds in which a surrogate keeps its entity's format; later ones get longer, so that there is always a free one.
 ROUNDS = 8
@@ -37,7 +42,7 @@ _GREEK, _CYRILLIC, _HAN = "αβγδεζηθικλμνξοπρστυφχψω", "
 
 def kind_of(m: Column) -> Column:
     digits = F.length(F.regexp_replace(m, r"\D", ""))
-    return F.when(m.contains("@"), "email").when(m.rlike(f"^(?:{IP})$"), "ip").when(m.rlike(r"^\d[\d -]*$") & (digits >= 13), "card").when(m.rlike(r"\d"), "phone").otherwise("name")
+    return F.when(m.contains("@"), "email").when(m.rlike(f"^(?:{IP})$"), "ip").when(m.rlike(f"^(?:{IP6})$"), "ip6").when(m.rlike(f"^(?:{SSN})$"), "ssn").when(m.rlike(f"^(?:{IBAN})$"), "iban").when(m.rlike(r"^\d[\d -]*$") & (digits >= 13), "card").when(m.rlike(r"\d"), "phone").otherwise("name")
 
 
 def canonical(kind: Column, m: Column) -> Column:
@@ -45,7 +50,10 @@ def canonical(kind: Column, m: Column) -> Column:
     bare = F.regexp_replace(m, rf"^(?:{_TITLE})\.? ", "")
     title, given = F.regexp_extract(m, rf"^({_TITLE})\.? ", 1), F.substring_index(bare, " ", 1)
     name = F.when(given.isin(*MALE, *FEMALE, *MALE_CYRILLIC, *FEMALE_CYRILLIC) & (given != bare), bare).when(title.isin(*MALE_TITLES), F.concat(F.lit(_MR), bare)).when(title.isin(*FEMALE_TITLES), F.concat(F.lit(_MRS), bare)).otherwise(bare)
-    return F.when(kind.isin("card", "phone"), F.regexp_replace(m, r"\D", "")).when(kind == "ip", m).when(kind == "email", F.lower(m)).otherwise(name)
+    digits = F.regexp_replace(m, r"\D", "")
+    # a number of the North American plan is the same with and without its country code
+    national = F.when(m.startswith("+1") & (F.length(digits) == 11), F.substring(digits, 2, 10)).otherwise(digits)
+    return F.when(kind == "phone", national).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.regexp_replace(m, " ", "")).when(kind == "ip", m).when(kind == "ip6", F.lower(m)).when(kind == "email", F.lower(m)).otherwise(name)
 
 
 def _bare(entity: Column) -> Column:
@@ -88,7 +96,9 @@ def _letters(text: Column, seed: Column) -> Column:
 
 def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     """The entity's ``attempt``-th surrogate in canonical form, of its type and format, from a keyed hash."""
-    seed = F.xxhash64(F.lit(key), kind, entity, F.lit(attempt))
+    # a keyed SHA-256: without the key no surrogate can be recomputed from a guess
+    keyed = F.sha2(F.concat(F.lit(f"{len(key)}:{key}:{attempt}:"), kind, F.lit(":"), entity), 256)
+    seed = F.xxhash64(F.conv(F.substring(keyed, 1, 15), 16, 10).cast("long"), F.conv(F.substring(keyed, 16, 15), 16, 10).cast("long"))
     longer = F.lit("".join(str(i % 10) for i in range(max(0, attempt - ROUNDS + 1))))
     part = lambda i: F.xxhash64(seed, F.lit(i))
     last = F.regexp_extract(entity, r"(\.[^.]+)$", 1)
@@ -120,7 +130,15 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     cyrillic = F.concat(_pick(SYLLABLES_CYRILLIC, part(4)), _pick(SYLLABLES_CYRILLIC, part(5)), _pick(SYLLABLES_CYRILLIC, part(6)))
     made = F.initcap(F.concat(F.when(family.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin), F.translate(longer, "0123456789", "abcdefghij")))
     name = F.concat(mark, F.when(chosen == "", made).otherwise(F.concat(chosen, F.lit(" "), made)))
-    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).otherwise(name)
+    # an address keeps its groups and zeros shortened, a bank account its country, and check digits that are right
+    groups = F.array_join(F.transform(F.split(entity, ":"), lambda g, i: F.when(g == "", "").otherwise(F.substring(F.lower(F.hex(F.xxhash64(seed, i))), 3, 4))), ":")
+    letter = lambda c, i: F.when(c.rlike(r"\d"), F.pmod(F.xxhash64(seed, i), F.lit(10)).cast("string")).otherwise(_pick(_UPPER, F.xxhash64(seed, i)))
+    account = F.array_join(F.transform(F.split(F.substring(entity, 5, 40), ""), letter), "")
+    account = F.concat(account, F.translate(longer, "0123456789", "ABCDEFGHIJ"))
+    value = lambda c: F.when(c.rlike(r"\d"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+    left = F.aggregate(F.split(F.concat(account, F.substring(entity, 1, 2), F.lit("00")), ""), F.lit(0), lambda a, c: F.pmod(F.when(c.rlike(r"\d"), a * 10).otherwise(a * 100) + value(c), F.lit(97)).cast("int"))
+    iban = F.concat(F.substring(entity, 1, 2), F.lpad((98 - left).cast("string"), 2, "0"), account)
+    return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ip6", groups).when(kind == "ssn", F.concat(body, longer)).when(kind == "iban", iban).when(kind == "card", card).when(kind == "phone", phone).otherwise(name)
 
 
 def render(kind: Column, mention: Column, canon: Column) -> Column:
@@ -131,9 +149,15 @@ def render(kind: Column, mention: Column, canon: Column) -> Column:
     chars = F.split(mention, "")
     count = lambda i: F.size(F.filter(F.slice(chars, F.lit(1), i), lambda c: c.rlike(r"\d")))
     last = F.size(F.filter(chars, lambda c: c.rlike(r"\d")))
-    poured = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"\d"), canon.substr(count(i) + 1, F.lit(1))).otherwise(c)), "")
     cased = F.when(mention == F.upper(mention), F.upper(canon)).otherwise(canon)
-    return F.when(kind.isin("card", "phone"), F.concat(poured, canon.substr(last + 1, F.length(canon)))).when(kind == "email", cased).when(kind == "name", F.concat(title, named)).otherwise(canon)
+    # the country code that the entity doesn't have stays
+    code = F.when((kind == "phone") & mention.startswith("+1") & (last == 11), F.lit(1)).otherwise(F.lit(0))
+    canon_digits = F.when(code == 1, F.concat(F.lit("1"), canon)).otherwise(canon)
+    poured = F.array_join(F.transform(chars, lambda c, i: F.when(c.rlike(r"\d"), canon_digits.substr(count(i) + 1, F.lit(1))).otherwise(c)), "")
+    seen = lambda i: F.size(F.filter(F.slice(chars, F.lit(1), i), lambda c: c != " "))
+    spread = F.array_join(F.transform(chars, lambda c, i: F.when(c == " ", c).otherwise(canon.substr(seen(i) + 1, F.lit(1)))), "")
+    signs = F.size(F.filter(chars, lambda c: c != " "))
+    return F.when(kind.isin("card", "phone", "ssn"), F.concat(poured, canon_digits.substr(last + 1, F.length(canon_digits)))).when(kind == "iban", F.concat(spread, canon.substr(signs + 1, F.length(canon)))).when(kind.isin("email", "ip6"), cased).when(kind == "name", F.concat(title, named)).otherwise(canon)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -158,17 +182,19 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         attempt += 1
 
 
-def replace_entities(docs: DataFrame, key: str = "gridloom") -> DataFrame:
-    """``docs`` with personal data in text replaced, and n_entities, the number of mentions. Other columns stay.
+def replace_entities(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with personal data in text replaced, and n_entities, the number of mentions (with an underscore more where
+    ``docs`` has such a column). Other columns stay. ``key`` is secret: who has it can test guesses.
 
-    Emails, phone and card numbers, IPv4 addresses and persons' names are found by form. An entity has the same surrogate
+    Emails, phone, card, social security and bank account (IBAN) numbers, IP addresses and persons' names are found by form. An entity has the same surrogate
     wherever it is mentioned, in the mention's own format (separators, case, title); different entities have different
     ones. A surname behind a title is the person of the one full name of its text that it fits. Names keep gender and script, letters their script and case, cards a valid check digit. Null text stays null
     with 0 mentions; n_chars, where there is one, isn't changed. Equal texts get equal results.
     """
     has = F.coalesce(F.when(F.col("text").contains("@"), F.col("text").rlike(ANY)).otherwise(F.col("text").rlike(NO_EMAIL)), F.lit(False))
     _text, _map, _found, _gaps = (free(docs, f"_pii_{x}") for x in ("text", "map", "found", "gaps"))
-    plain = docs.where(~has).withColumn("n_entities", F.lit(0).cast("long"))
+    number = free(docs, "n_entities")
+    plain = docs.where(~has).withColumn(number, F.lit(0).cast("long"))
     docs = docs.where(has)
     found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     # a text's own hash is its key, so that copies are looked up once
@@ -183,10 +209,14 @@ def replace_entities(docs: DataFrame, key: str = "gridloom") -> DataFrame:
     new = F.transform(_found, lambda m: F.try_element_at(_map, m))
     docs = docs.withColumn(_found, found).withColumn(_gaps, gaps)
     whole = F.array_join(F.transform(_gaps, lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), "")
-    docs = docs.withColumn("text", whole).withColumn("n_entities", F.size(_found).cast("long")).drop(_text, _map, _found, _gaps)
+    docs = docs.withColumn("text", whole).withColumn(number, F.size(_found).cast("long")).drop(_text, _map, _found, _gaps)
     return plain.unionByName(docs.select(*plain.columns))
 
 
+#: The registered query's key; a real one is given by the caller and kept secret.
+QUERY_KEY = "a public key for the registered query"
+
+
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return replace_entities(docs).select("doc_id", "text", "n_entities")
+    return replace_entities(docs, QUERY_KEY).select("doc_id", "text", "n_entities")

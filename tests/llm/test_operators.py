@@ -300,6 +300,62 @@ def test_all_labelled_languages_count_and_others_are_rejected(spark):
     assert [(i, got[i]["lang"]) for i, _, _, _ in held] == [(i, want) for i, _, _, want in held]
 
 
+def test_fusion_is_that_of_brute_force(spark):
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r["text"]]
+    names, table = language.fit(spark.createDataFrame(docs).where("doc_id % 2 = 0"))
+    urls = ["http://a.example.de/x", "http://b.example.de/fr/y", "http://c.co.uk/", "http://d.co.uk/", None]
+    rows = [(r["doc_id"], r["text"][: 40 + 7 * i], [None, "EN_us", "de", "xx"][i % 4], urls[i % 5], 0, "c") for i, r in enumerate(docs[:60])]
+    df = spark.createDataFrame(rows, "host long, text string, declared string, url string, domain int, clean string").withColumn("id", F.col("host")).withColumn("host", F.lit(None).cast("string"))
+    got = {r["id"]: r for r in language.identify(df, ["id", "domain"], names, table).collect()}
+    n = len(names)
+    norm = lambda x: np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+    told, own, share = {}, {}, {}
+    for i, text, declared, url, *_ in rows:
+        code, _ = language._codes(pa.array([text]))
+        ll = table[:, code[code >= 0]].astype(np.float64).sum(1) * language.TEMPER
+        host = (url or "").split("/")[2] if url else ""
+        path = (url or "").split("/")[3] if url else ""
+        address = path if path in names else language.SUFFIXES.get(host.split(".")[-1])
+        for given, trust in ((declared and declared.lower().split("_")[0], language.DECLARED), (address, language.ADDRESS)):
+            if given in names:
+                ll = ll + np.array([math.log(trust) if x == given else math.log((1 - trust) / (n - 1)) for x in names])
+        told[i] = (host, ".".join(host.split(".")[-3:]) if host.endswith("co.uk") else ".".join(host.split(".")[-2:]))
+        own[i], share[i] = ll, norm(ll)
+    whole = sum(share.values()) + 1.0
+    whole = whole / whole.sum()
+    smooth = lambda s, u: (s + language.SMOOTH * u) / (s.sum() + language.SMOOTH)
+    for i in own:
+        rest = lambda k: sum((share[j] for j in own if j != i and told[j][k] == told[i][k]), np.zeros(n))  # noqa: B023, E731
+        post = norm(own[i] + np.log(smooth(rest(0), smooth(rest(1), whole))))
+        assert got[i]["posterior"] == pytest.approx(post.max(), abs=2e-5)
+        assert got[i]["lang"] in ("und", names[int(post.argmax())])
+
+
+def test_language_of_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = language.page_rows(pages).collect()
+    assert len(rows) == pages.count() and not any("<" in r["text"] and "script" in r["text"] for r in rows)
+    from gridloom.llm.registry import QUERIES
+
+    got = {r["page_id"]: r["lang"] for r in QUERIES["op3_language_id"](spark, "/root/testdata/sf0.001").collect()}
+    said = {r["page_id"]: r["declared"].lower().split("-")[0] for r in rows if r["declared"]}
+    assert len(got) == len(rows) and sum(got[i] in (x, "und") for i, x in said.items()) >= 0.9 * len(said)
+
+
+def test_forest_on_held_out_findings(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secrets_scan.fit(docs)
+    precision, recall = secrets_scan.measure(model, secrets_scan.seed_findings(seed=77, each=200))
+    assert precision > 0.9 and recall > 0.9
+    again = secrets_scan.fit(docs.repartition(7))
+    assert again.trees == model.trees
+
+
 def test_secrets(spark, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = secrets_scan.fit(d)
@@ -330,7 +386,7 @@ def test_secrets_are_masked_whole(spark):
 def test_surrogates(spark, empty):
     rows = [(1, "mail Ann.Lee42@mail8.example.com or ANN.LEE42@MAIL8.EXAMPLE.COM", "x"), (2, "call +1 (988) 555-2485, card 4041894974608795 and 10.20.30.40", "x"), (3, "Mrs. Mary Stone met Herr Klaus Berg and Mary Stone", "x"), (4, None, "x"), (5, "plain", "x"), (6, "mail ann.lee42@mail8.example.com", "x"), (7, "Анна Петрова", "x")]
     d = spark.createDataFrame(rows, "doc_id long, text string, _text string")
-    got = {r["doc_id"]: r for r in surrogates.replace_entities(d).collect()}
+    got = {r["doc_id"]: r for r in surrogates.replace_entities(d, "k").collect()}
     assert len(got) == 7 and got[4]["text"] is None and got[5]["text"] == "plain" and [got[i]["n_entities"] for i in range(1, 8)] == [2, 3, 3, 0, 0, 1, 1]
     a, b = re.findall(r"\S+@\S+", got[1]["text"])
     assert a.lower() == b.lower() == re.findall(r"\S+@\S+", got[6]["text"])[0].lower() and "lee42" not in a.lower() and b.isupper()
@@ -340,12 +396,12 @@ def test_surrogates(spark, empty):
     m = re.fullmatch(r"Mrs\. (\w+ \w+) met Herr (\w+) \w+ and (\w+ \w+)", got[3]["text"])
     assert m and m[1] == m[3] and m[1].split()[0] in surrogates.FEMALE and m[2] in surrogates.MALE
     assert re.fullmatch(r"[А-Яа-яё]+ [А-Яа-яё]+", got[7]["text"])
-    assert surrogates.replace_entities(empty).count() == 0
+    assert surrogates.replace_entities(empty, "k").count() == 0
 
 
 def test_names_are_replaced_whole(spark):
     texts = ["Dr Angela Merkel spoke", "Mr Smith-Jones, Ms Wu, Mr McDonald and Mr O'Brien.", "Mr Taylor and Mrs Taylor", "Klaus Berg came; Mr Berg and Mrs Berg left", "Mary Stone's car", "Mrs Angela Merkel or Dr Angela Merkel", "call 555 123 4567 or 030 1234567 now", "Frau Ursula von der Leyen spoke"]
-    got = [r["text"] for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    got = [r["text"] for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
     assert re.fullmatch(r"Dr \w+ \w+ spoke", got[0]) and not re.search("Angela|Merkel", got[0])
     assert re.fullmatch(r"Mr \w+, Ms \w+, Mr \w+ and Mr \w+\.", got[1]) and not re.search("Smith|Jones|Wu|Donald|Brien", got[1])
     m = re.fullmatch(r"Mr (\w+) and Mrs (\w+)", got[2])
@@ -359,6 +415,38 @@ def test_names_are_replaced_whole(spark):
     assert re.fullmatch(r"Frau \w+ \w+ spoke", got[7]) and got[7].split()[1] in surrogates.FEMALE
 
 
+def test_numbers_and_addresses_of_other_forms(spark):
+    texts = ["SSN 123-45-6789 and 123-45-6789", "call +1 988-555-2485 or 988-555-2485", "at 2001:db8:0:0:1:2:3:4 or 2001:DB8::1", "pay DE89 3704 0044 0532 0130 00 or DE89370400440532013000", "at 10:30:45 and a::b"]
+    d = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, n_entities int")
+    rows = surrogates.replace_entities(d, "k").orderBy("doc_id").collect()
+    got = [r["text"] for r in rows]
+    assert all(r["n_entities"] == 7 for r in rows) and [r["n_entities_"] for r in rows][:4] == [2, 2, 2, 2]
+    m = re.fullmatch(r"SSN (\d{3}-\d{2}-\d{4}) and (\d{3}-\d{2}-\d{4})", got[0])
+    assert m and m[1] == m[2] != "123-45-6789"
+    m = re.fullmatch(r"call \+1 (\d{3}-\d{3}-\d{4}) or (\d{3}-\d{3}-\d{4})", got[1])
+    assert m and m[1] == m[2] != "988-555-2485"
+    m = re.fullmatch(r"at ([0-9a-f:]+) or ([0-9A-F:]+)", got[2])
+    assert m and m[1].count(":") == 7 and m[2].count("::") == 1 and "2001" not in got[2]
+    m = re.fullmatch(r"pay (DE\d\d(?: \d{4}){4} \d\d) or (DE\d{20})", got[3])
+    assert m and m[1].replace(" ", "") == m[2] and int(m[2][4:] + "1314" + m[2][2:4]) % 97 == 1 and "3704" not in got[3]
+    assert got[4].startswith("at 10:30:45 and ")
+
+
+def test_surrogates_keep_entities_apart_and_depend_on_the_key(spark):
+    """Brute force over all documents: one surrogate for an entity, one entity for a surrogate, and none of the corpus."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = {k: {r["doc_id"]: r["text"] for r in surrogates.replace_entities(docs, k).collect()} for k in ("k", "l")}
+    email = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+    to, back, n = {}, {}, 0
+    for r in docs.collect():
+        before, after = email.findall(r["text"] or ""), email.findall(out["k"][r["doc_id"]] or "")
+        assert len(before) == len(after)
+        for a, b in zip(before, after, strict=True):
+            n += 1
+            assert to.setdefault(a.lower(), b.lower()) == b.lower() and back.setdefault(b.lower(), a.lower()) == a.lower()
+    assert n > 0 and not set(to) & set(back) and out["k"] != out["l"]
+
+
 def test_colliding_surrogates_stay_distinct(spark):
     entities = spark.createDataFrame([("phone", f"{i}") for i in range(10)] + [("phone", f"{i:02d}") for i in range(90)], "kind string, entity string")
     got = surrogates.assign(entities, "k").collect()
