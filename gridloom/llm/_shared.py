@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -112,3 +113,11 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHU
             held += int(n)
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
+
+
+def give_back() -> None:
+    """Returns a worker's free memory to the system at a task's end: workers are kept for later tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)

@@ -278,6 +278,7 @@ class JaccardJoin:
         long = long.groupBy("gram", "id").agg(*[F.min(c).alias(c) for c in ("n", "place", "m")])
         lists = self.scratch.keep(short.unionByName(long), "lists")
         self.scratch.drop("postings")
+        common.destroy()
         return lists
 
     def _likely(self, lists: DataFrame) -> DataFrame:
@@ -309,7 +310,9 @@ class JaccardJoin:
         table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
         wanted = self.spark.sparkContext.broadcast(table)
         found = self.docs.select(key.alias("key"), "text").mapInArrow(_grams(self.k, wanted), "id long, grams binary")
-        return self.scratch.keep(found.dropDuplicates(["id"]), "sets")
+        sets = self.scratch.keep(found.dropDuplicates(["id"]), "sets")
+        wanted.destroy()
+        return sets
 
     def _compare(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b, both, sizes for each distinct pair of ids."""
@@ -357,24 +360,22 @@ class JaccardJoin:
         pairs = pairs.where(self._enough(F.col("c"), F.least("n", "m"), F.col("high")) & self._room(F.col("rest"), F.col("n"), F.col("m")))
         return self.scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "meet")
 
-    def _undecided(self, heads: DataFrame, named: DataFrame, spokes: DataFrame, open_: DataFrame) -> DataFrame:
-        """a, b, x_comp, y_comp: pairs of members of the ``open_`` components that may still link."""
-        member = named.join(spokes.select("comp", "id", "d"), ["comp", "id"], "left").fillna(0.0, ["d"])
-        member = member.join(open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct(), "comp", "left_semi")
-        member = self.scratch.keep(member.join(self._marks(heads), "id"), "members")
+    def _undecided(self, heads: DataFrame, spokes: DataFrame, open_: DataFrame) -> DataFrame:
+        """a, b, x_comp, y_comp: pairs of members of the ``open_`` components that may still link, by distances from the
+        representatives, sizes and signatures."""
+        involved = open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct()
+        member = spokes.select("comp", "id", "d").join(involved, "comp", "left_semi")
+        member = member.unionByName(involved.select("comp", F.col("comp").alias("id"), F.lit(0.0).alias("d")))
+        sizes = heads.where("n > 0").groupBy("id").agg(F.first("n").alias("n"))
+        member = self.scratch.keep(member.join(sizes, "id").join(self._marks(heads), "id"), "members")
         # only members far enough from their representative, towards the other component, can have a link
         x, y, o = member.alias("x"), member.alias("y"), open_.alias("o")
         far = F.col("o.d") - F.col("x.d")
         ahead = x.join(o, (F.col("x.comp") == F.col("o.a")) & (far - F.col("o.r_b") <= self.near + 1e-9))
-        ahead = ahead.select("gram", "id", "n", "place", *_SIGNATURE, F.col("x.comp").alias("comp"), F.col("o.b").alias("to"), far.alias("gap")).alias("x")
-        small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-        rest = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-        on = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.to") == F.col("y.comp")) & self._fits(small, large) & (F.col("x.gap") - F.col("y.d") <= self.near + 1e-9)
-        on = on & self._room(F.least("x.place", "y.place") + rest, small, large)
+        ahead = ahead.select("id", "n", *_SIGNATURE, F.col("x.comp").alias("comp"), F.col("o.b").alias("to"), far.alias("gap")).alias("x")
+        on = (F.col("x.to") == F.col("y.comp")) & self._fits(F.least("x.n", "y.n"), F.greatest("x.n", "y.n")) & (F.col("x.gap") - F.col("y.d") <= self.near + 1e-9)
         on = on & (self._differ() * (100 + self.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - self.percent))
-        pairs = ahead.join(y, on).groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.comp").alias("x_comp"), F.col("y.comp").alias("y_comp")).agg(
-            F.count("*").alias("c"), F.max(rest).alias("rest"), F.first(small).alias("n"), F.first(large).alias("m"))
-        return pairs.where(self._enough(F.col("c"), F.col("n"), F.col("m")) & self._room(F.col("rest"), F.col("n"), F.col("m"))).select("a", "b", "x_comp", "y_comp")
+        return ahead.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.comp").alias("x_comp"), F.col("y.comp").alias("y_comp"))
 
     def _between(self, heads: DataFrame, named: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b: components that a link joins."""
@@ -390,7 +391,7 @@ class JaccardJoin:
         for side in "ab":
             open_ = open_.join(radius.select(F.col("comp").alias(side), F.col("r").alias(f"r_{side}")), side, "left").fillna(0.0, [f"r_{side}"])
         open_ = open_.where("r_a + r_b > 0").where(F.col("d") - F.col("r_a") - F.col("r_b") <= self.near + 1e-9).select("a", "b", "d", "r_b")
-        last = self.scratch.keep(self._undecided(heads, named, spokes, self.scratch.keep(open_, "open")), "undecided")
+        last = self.scratch.keep(self._undecided(heads, spokes, self.scratch.keep(open_, "open")), "undecided")
         found = self._compare(last, sets).where(self._linked()).select("a", "b")
         found = last.join(found, ["a", "b"]).select(F.col("x_comp").alias("a"), F.col("y_comp").alias("b"))
         return first.where(self._linked()).select("a", "b").unionByName(found)

@@ -27,7 +27,7 @@ SHORT = 64
 #: Characters of a segment that are merged at once; longer ones are streamed. No result depends on it.
 WINDOW = 512
 #: Bytes of text whose distinct segments are encoded together; no result depends on it.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 
 class Vocabulary:
@@ -80,7 +80,7 @@ class Merges:
 
     Symbols are pieces, by id, and further characters that occur in pieces."""
 
-    SLOTS = 1 << 21
+    SLOTS = 1 << 20
 
     def __init__(self, pieces: dict[str, tuple[float, int]], size: int) -> None:
         self.symbol = {p: i for p, (_, i) in pieces.items()}
@@ -111,7 +111,7 @@ class Merges:
 
     def _slot(self, pair: np.ndarray) -> np.ndarray:
         h = pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (h >> np.uint64(43)).astype(np.int64)
+        return (h >> np.uint64(44)).astype(np.int64)
 
     def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of each two symbols; rank NONE where they form none."""
