@@ -100,6 +100,18 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of long texts that Spark hands to Python at once.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Where the session has Spark's default of 10,000 rows a batch, which of whole texts takes tens of MB on either side of
+    each task, sets BATCH_ROWS. Other values are the caller's and stay."""
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of at least one row and about ``limit`` bytes of ``column``; nulls read as empty."""
     for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import free, materialize, text_chunks
+from gridloom.llm._shared import bound_batches, free, materialize, text_chunks
 from gridloom.llm._text import Words, buffer
 
 #: Hashed byte trigrams of a language model, labelled rows that fit all models, and those that fit each language at least.
@@ -72,6 +72,7 @@ def code_of(declared: Column) -> Column:
 def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
     """All labelled languages and their trigram log likelihoods, from about ``rows`` rows of ``labelled`` (text, lang),
     chosen by hash, as many of each language. As much probability as trigrams seen once have goes to those not seen."""
+    bound_batches(labelled.sparkSession)
     labelled = labelled.select("text", code_of(F.col("lang")).alias("lang")).where("text is not null and lang is not null")
     each = materialize(labelled.groupBy("lang").count(), "languages")
     quota = max(LEAST_ROWS, rows // max(1, each.count()))

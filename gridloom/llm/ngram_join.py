@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import Scratch, text_chunks
+from gridloom.llm._shared import Scratch, bound_batches, text_chunks
 from gridloom.llm._text import Words, mix
 from gridloom.llm.components import components, roots
 
@@ -232,6 +232,7 @@ class JaccardJoin:
         self.near = 1 - percent / 100
         self.spark = docs.sparkSession
         self.scratch = Scratch(self.spark, "jaccard")
+        bound_batches(self.spark)
 
     def _fits(self, n: Column, m: Column) -> Column:
         """Sizes n <= m allow a link."""

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import text_chunks
+from gridloom.llm._shared import bound_batches, text_chunks
 from gridloom.llm._text import buffer
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -428,6 +428,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     Long texts are encoded in a window of bounded size. Equal texts have equal ids. Other columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(Vocabulary(model))  # the size of a vocabulary
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode_rows(shared, model), "doc_id long, n_ids long, ids array<int>, decoded_sha256 string, exact boolean")
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import materialize, new_path, remove, shuffles_dropped, text_chunks
+from gridloom.llm._shared import bound_batches, materialize, new_path, remove, shuffles_dropped, text_chunks
 from gridloom.llm._text import Words
 
 WIDTH = 13
@@ -139,6 +139,7 @@ class SubstringIndex:
     def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
         self.spark, self.fanout, self.runs, self.buckets = spark, fanout, [], 0
         self.paths: dict[str, str] = {}
+        bound_batches(spark)
 
     def _write_run(self, rows: DataFrame) -> str:
         """A table in buckets by key, each sorted: runs of one index are merge-joined without another shuffle."""
