@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,27 @@ def test_top_k(spark):
     assert maxscore.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["dense", "sparse", "skewed", "huge", "equal"])
+def test_shard_skips_nothing_that_counts(kind):
+    r = np.random.default_rng(len(kind))
+    rows = {
+        "dense": lambda: r.integers(-256, 257, (700, 16)),
+        "sparse": lambda: r.integers(-256, 257, (700, 40)) * (r.random((700, 40)) < 0.05),
+        "skewed": lambda: (r.integers(-256, 257, (700, 16)) * 4.0 ** -np.arange(16)).astype(np.int64),
+        "huge": lambda: r.integers(-(2**29), 2**29, (700, 4)),
+        "equal": lambda: np.repeat(r.integers(-9, 10, (7, 6)), 100, axis=0),
+    }[kind]()
+    ids = r.permutation(1400)[:700] // 2
+    shard = maxscore.Shard(ids, rows)
+    for q in range(0, 700, 20):
+        score = rows @ rows[q]
+        want = sorted((-int(s), int(i)) for s, i in zip(score, ids, strict=True) if i != ids[q])[:5]
+        found, scores = shard.top(rows[q], int(ids[q]), 5)
+        assert [(-int(s), int(i)) for i, s in zip(found, scores, strict=True)] == want
+    if kind in ("sparse", "skewed"):
+        assert shard.products < 35 * rows.size * 0.7
+
+
 def test_order_minhash(docs, empty):
     rows = docs.collect()
     got = order_minhash.fingerprints(docs).collect()
