@@ -60,9 +60,11 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     columns ``keep`` of the row.
 
     Every document gets floor(target / source_size) certain whole copies. What is left of the target, R words, is a
-    Pareto order sample: documents are ranked by random odds u / (1 - u) over inclusion odds, which are R / (source_size - R)
-    times the document's size over the source's mean size, and taken in that order until R words are reached; the last
-    one only when that comes nearer to R. Ranks are split into buckets whose sums are added up first, so no task sorts a source.
+    Pareto order sample: documents are ranked by random odds u / (1 - u) over inclusion odds p / (1 - p) and taken in that
+    order until R words are reached; the last one only when that comes nearer to R. The inclusion probability is
+    p = o / (1 + o) with o = R / (source_size - R) times the document's size over the source's mean size: R / source_size for
+    a document of mean size, more for longer ones, always below 1, so no document but by whole copies is certain. Ranks
+    are split into buckets whose sums are added up first, so no task sorts a source.
 
     Null text or no words: size 0, nothing taken. Null source: a source of its own, last in order. Null doc_id: the
     text's hash stands for it in the random number. Equal rows: each counts; ties in rank go by doc_id, then size, then the
