@@ -15,6 +15,8 @@ _BYTE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
 #: Bytes that are hashed together.
 _BLOCK = 1 << 18
 _STEP, _WIDE = np.uint64(0x9E3779B97F4A7C13), np.uint64(0xD6E8FEB86659FD93)
+#: Another base for hashes of windows.
+WIDE_TOO = np.uint64(0xA24BAED4963EE407)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -90,14 +92,14 @@ class Words:
             at = stop
         return mix(out ^ (self.ends - self.starts).astype(np.uint64))
 
-    def windows(self, hashes: np.ndarray, k: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, text and first word of all windows of k words that lie in one text."""
+    def windows(self, hashes: np.ndarray, k: int, seed: int = 0, base: np.uint64 = _WIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, text and first word of all windows of k words that lie in one text. Hashes of other bases are independent."""
         n = len(hashes) - k + 1
         if n <= 0:
             return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
         out = np.full(n, np.uint64(seed))
         for j in range(k):
-            out *= _WIDE
+            out *= base
             out += hashes[j : j + n]
         text = np.repeat(np.arange(len(self.counts)), self.counts)[:n]
         keep = np.flatnonzero(np.arange(n) + k <= self.first[text + 1])

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm._shared import bound_batches, materialize, new_path, remove, shuffles_dropped, text_chunks
-from gridloom.llm._text import Words
+from gridloom.llm._text import WIDE_TOO, Words
 
 WIDTH = 13
 GRAM = 5
@@ -23,13 +23,12 @@ SALTS = 64
 _LAST = np.iinfo(np.int64).max
 
 
-def _prints(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _prints(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each window: its hash, its text, its first word and its fingerprint, which is the least hash of its 5-grams.
 
     Equal windows have equal fingerprints, and neighbouring windows mostly share theirs, so that there is about one
     fingerprint for five windows.
     """
-    hashes = words.hashes()
     full, text, at = words.windows(hashes, WIDTH)
     gram = np.full(len(hashes), np.uint64(2**64 - 1))
     some, _, where = words.windows(hashes, GRAM, 1)
@@ -44,18 +43,18 @@ def _prints(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     return full, text, at, low[at] if len(at) else full
 
 
-def _dealt(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, doc) pairs sorted, first of each key, and whether the key has several docs here."""
+def _dealt(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, doc) pairs sorted, first of each key, whether the key has several docs here, and the pairs' places."""
     order = np.lexsort((doc, key))
     key, doc = key[order], doc[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    key, doc = key[new], doc[new]
+    key, doc, order = key[new], doc[new], order[new]
     first = np.ones(len(key), bool)
     first[1:] = key[1:] != key[:-1]
     group = np.cumsum(first) - 1
     many = np.bincount(group, minlength=1)[group] > 1 if len(key) else first
-    return key, doc, first, many
+    return key, doc, first, many, order
 
 
 def _salt(doc: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -73,24 +72,30 @@ def _batch(**columns: np.ndarray) -> pa.RecordBatch:
 def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A chunk's first document of a fingerprint stands for the chunk (salt 0); the others are known to share it."""
     for batch in text_chunks(batches, "text"):
-        _, text, _, low = _prints(Words(batch.column(1)))
+        words = Words(batch.column(1))
+        _, text, _, low = _prints(words, words.hashes())
         change = np.ones(len(low), bool)
         change[1:] = (low[1:] != low[:-1]) | (text[1:] != text[:-1])
-        key, doc, first, many = _dealt(low[change].view(np.int64), _ids(batch, "doc_id")[text[change]])
+        key, doc, first, many, _ = _dealt(low[change].view(np.int64), _ids(batch, "doc_id")[text[change]])
         yield _batch(print=key, salt=_salt(doc, first), doc=doc, many=many)
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows under a document's shared fingerprints; those known to repeat a smaller document have many = true."""
+    """The windows under a document's shared fingerprints; those known to repeat a smaller document have many = true.
+
+    A window is told by 96 bits of two independent hashes of its words: by 64 bits alone, some of 10^12 windows would meet others."""
     for batch in text_chunks(batches, "text"):
-        full, text, _, low = _prints(Words(batch.column(1)))
+        words = Words(batch.column(1))
+        hashes = words.hashes()
+        full, text, _, low = _prints(words, hashes)
+        tag, _, _ = words.windows(hashes, WIDTH, 2, WIDE_TOO)
         lists = pc.fill_null(batch.column(2), [])
         size = np.asarray(pc.list_value_length(lists))
         spread = np.uint64(0x9E3779B97F4A7C15)
         have = np.asarray(lists.flatten()).astype(np.int64).view(np.uint64) * spread + np.repeat(np.arange(len(size)), size).astype(np.uint64)
         keep = np.isin(low * spread + text.astype(np.uint64), have)
-        key, doc, first, _ = _dealt(full[keep].view(np.int64), _ids(batch, "doc_id")[text[keep]])
-        yield _batch(print=key, salt=_salt(doc, first), doc=doc, many=~first)
+        key, doc, first, _, at = _dealt(full[keep].view(np.int64), _ids(batch, "doc_id")[text[keep]])
+        yield _batch(print=key, tag=(tag[keep][at] >> np.uint64(32)).astype(np.uint32).view(np.int32), salt=_salt(doc, first), doc=doc, many=~first)
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,6 +126,7 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _ROWS = "print long, salt int, doc long, many boolean"
+_WINDOWS = "print long, tag int, salt int, doc long, many boolean"
 
 
 class SubstringIndex:
@@ -128,8 +134,8 @@ class SubstringIndex:
 
     The index holds sorted immutable runs, one for each batch that was appended: (fingerprint, document) rows, bucketed
     by fingerprint, in the shared folder. ``append`` writes the batch's run, merges it with the older runs by fingerprint, and verifies: the
-    windows under fingerprints that several documents share are compared by an independent 64-bit hash of all 13 words,
-    and a window's smallest document is found. With more than ``fanout`` runs the index is compacted to one.
+    windows under fingerprints that several documents share are compared by 96 bits of independent hashes of all 13
+    words, and a window's smallest document is found. With more than ``fanout`` runs the index is compacted to one.
 
     Batches must come in ascending order of doc_id; ``history`` gives the texts of all documents appended so far.
     Null text has no words; null doc_id counts as the largest. Rows of equal doc_id don't repeat each other. Empty
@@ -194,12 +200,12 @@ class SubstringIndex:
         key = F.coalesce("doc_id", F.lit(int(_LAST)))
         keyed = docs.withColumn("doc", key)
         listed = lambda rows: rows.groupBy("doc").agg(F.collect_set("print").alias("prints"))
-        under = lambda texts, rows: texts.join(listed(rows), "doc").select("doc_id", "text", "prints").mapInArrow(_window_rows, _ROWS)
+        under = lambda texts, rows: texts.join(listed(rows), "doc").select("doc_id", "text", "prints").mapInArrow(_window_rows, _WINDOWS)
         found, older = self._candidates(new)
         windows = under(keyed, found)
         if older is not None and history is not None:
             windows = windows.unionByName(under(history.select("doc_id", "text").withColumn("doc", key), older))
-        least = F.min("doc").over(Window.partitionBy("print", "salt"))
+        least = F.min("doc").over(Window.partitionBy("print", "tag", "salt"))
         gone = windows.withColumn("least", least).where(F.col("many") | (F.col("doc") > F.col("least"))).groupBy("doc").agg(F.collect_set("print").alias("windows"))
         out = keyed.join(gone, "doc", "left").select("doc_id", "text", "windows").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
         out = materialize(out, "substring-kept")
