@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridloom.llm import language, maxscore, mixing, ngram_join, order_minhash, pieces, secrets_scan, substring_dedup, surrogates, warc
+from gridloom.llm import collocations, language, maxscore, mixing, ngram_join, order_minhash, pieces, secrets_scan, substring_dedup, surrogates, warc
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
     "op10_pieces": pieces.op10_pieces,
+    "op13_collocations": collocations.op13_collocations,
 }
 SQL = {
     "op2_ngram_jaccard": ngram_join.SQL,
@@ -22,4 +23,5 @@ SQL = {
     "op7_substring_dedup": substring_dedup.SQL,
     "op8_mixing": mixing.SQL,
     "op9_warc": warc.SQL,
+    "op13_collocations": collocations.SQL,
 }
