@@ -13,6 +13,7 @@ from contextlib import contextmanager, suppress
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text handled at once by the numpy kernels; only bounds memory, no result depends on it.
 CHUNK_BYTES = 1 << 20
@@ -58,9 +59,9 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def write(df: DataFrame, path: str) -> DataFrame:
+def write(df: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
     with shuffles_dropped(df.sparkSession):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -76,9 +77,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark, self.label, self.base, self.count = spark, label, new_path(spark, label), 0
 
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
+    def keep(self, df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
         self.count += 1
-        return write(df, f"{self.base}/{label}-{self.count}")
+        return write(df, f"{self.base}/{label}-{self.count}", compression)
 
     def drop(self, label: str) -> None:
         """Deletes the tables kept as ``label``, which nothing reads any more."""
@@ -94,6 +95,24 @@ class Scratch:
         remove(self.spark, self.base)
 
 
+def numbered(df: DataFrame, order: list, name: str, scratch: Scratch) -> DataFrame:
+    """Adds ``name``, the row's number from 0 in ``order``, and writes the rows. Tasks sort ranges of the order; only their
+    sizes, a number for each task, come to the driver."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at, part = free(df, "_at"), free(df, "_part")
+    rows = scratch.keep(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn(part, F.shiftrightunsigned(at, 33))
+    sizes = sorted((r[part], r["count"]) for r in rows.groupBy(part).count().collect())
+    starts, total = [], 0
+    for p, size in sizes:
+        starts.append((p, total))
+        total += size
+    first = spark.createDataFrame(starts, f"`{part}` long, _first long")
+    number = F.col("_first") + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(first, part).select(*df.columns, number.alias(name))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared store, by Spark's own file systems."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridloom.llm import collocations, conversations, language, maxscore, mixing, ngram_join, order_minhash, pieces, secrets_scan, substring_dedup, surrogates, warc
+from gridloom.llm import collocations, conversations, language, maxscore, mixing, ngram_join, order_minhash, page_text, pieces, secrets_scan, substring_dedup, surrogates, warc
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_warc": warc.op9_warc,
     "op10_pieces": pieces.op10_pieces,
+    "op11_page_text": page_text.op11_page_text,
     "op12_conversations": conversations.op12_conversations,
     "op13_collocations": collocations.op13_collocations,
 }
