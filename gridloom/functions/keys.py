@@ -63,6 +63,14 @@ def base_name(key: Column) -> Column:
     return F.substring_index(key, "/", -1)
 
 
+def relative_key(path: Column, root: str) -> Column:
+    """The key of a file below ``root``; the whole path where it isn't. A scheme's slashes don't count."""
+    plain = lambda c: F.regexp_replace(c, r"^(\w+):/+", "$1:/")
+    top = plain(F.lit(root.rstrip("/") + "/"))
+    bare = plain(path)
+    return F.when(F.startswith(bare, top), F.substring(bare, F.length(top) + 1, F.length(bare))).otherwise(path) if root else path
+
+
 def output_name(key: Column, suffix: str = ".parquet") -> Column:
     return F.concat(F.regexp_replace(base_name(key), r"\.[^.]+$", ""), F.lit(suffix))
 

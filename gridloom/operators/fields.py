@@ -78,6 +78,42 @@ def cells(blocks: DataFrame) -> DataFrame:
     return out.withColumn("value", missing(F.col("value"))).drop("values", "lats", "lons")
 
 
+def box_cells(blocks: DataFrame, south: float, north: float, west: float, east: float) -> DataFrame:
+    """``cells`` of the points in a box, its edges included: only these are exploded, picked by their rows and columns."""
+    n = F.size("lons")
+    places = lambda labels, low, high: F.filter(F.sequence(F.lit(0), F.size(labels) - 1), lambda i: F.get(labels, i).between(low, high))
+    inside = F.flatten(F.transform(places("lats", south, north), lambda i: F.transform(places("lons", west, east), lambda j: i * n + j)))
+    out = blocks.where((F.size("lats") > 0) & (n > 0)).select("*", F.explode(inside).alias("pos")).withColumn("value", missing(F.get("values", F.col("pos"))))
+    out = out.withColumn("latitude", F.get("lats", F.floor(F.col("pos") / n).cast("int"))).withColumn("longitude", F.get("lons", F.col("pos") % n))
+    return out.drop("values", "lats", "lons")
+
+
+def regular_grid(blocks: DataFrame) -> DataFrame:
+    """Blocks of reduced grids (``row_points``: points of each row, from 0 degrees around the globe) on a regular grid with as
+    many longitudes as the longest row has; others, with null, stay as they are. Without the column nothing changes.
+
+    Values between two points of a row are weighted by distance; the last point's neighbour is the first. A missing
+    neighbour with a weight makes a missing value."""
+    if "row_points" not in blocks.columns:
+        return blocks
+    points = F.col("row_points")
+    n = F.array_max(points)
+    start = F.transform(points, lambda p, i: F.aggregate(F.slice(points, 1, i), F.lit(0), lambda a, x: a + x))
+
+    def point(p: Column, first: Column, j: Column) -> Column:
+        at = j.cast("double") * p / n
+        left = F.floor(at)
+        weight = at - left
+        a = F.get("values", (first + left % p).cast("int"))
+        b = F.get("values", (first + (left + 1) % p).cast("int"))
+        return F.when(weight == 0, a).otherwise((a + (b - a) * weight).cast("float"))
+
+    row = lambda p, i: F.transform(F.sequence(F.lit(0), n - 1), lambda j: point(p, F.get(start, i), j))
+    values = F.when(points.isNotNull(), F.flatten(F.transform(points, row))).otherwise(F.col("values"))
+    lons = F.when(points.isNotNull(), F.transform(F.sequence(F.lit(0), n - 1), lambda j: j * F.lit(360.0) / n)).otherwise(F.col("lons"))
+    return blocks.withColumn("values", values).withColumn("lons", lons).drop("row_points")
+
+
 def align(cells_: DataFrame, keys: list[str] = ["cycle"]) -> DataFrame:  # noqa: B006
     """All variables and levels of a cycle on the union of its grid points, null where a dataset has none.
 

@@ -3,23 +3,78 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.plans.scratch import kept
+
 DRIFT = 1e-4
 
 
 def grid_diff(source: DataFrame, published: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, latitude, longitude, src, out, diff and mismatch (a side is missing); coordinates match to a millionth of a degree."""
+    """keys, latitude, longitude, src, out, diff and mismatch (a side is missing); coordinates match to a millionth of a degree,
+    null keys each other."""
     micro = lambda c: F.round(F.col(c) * 1_000_000).cast("long").alias(f"_{c}")
     side = lambda df, name: df.select(*keys, micro("latitude"), micro("longitude"), F.col("value").alias(name), F.lit(True).alias(f"_{name}"))
-    both = side(source, "src").join(side(published, "out"), [*keys, "_latitude", "_longitude"], "full_outer")
+    at = [*keys, "_latitude", "_longitude"]
+    both = side(source, "src").alias("s").join(side(published, "out").alias("o"), _matched("s", "o", at), "full_outer")
+    both = both.select(*[F.coalesce(F.col(f"s.{c}"), F.col(f"o.{c}")).alias(c) for c in at], "src", "out", "_src", "_out")
     degrees = lambda c: (F.col(f"_{c}") / 1_000_000).alias(c)
     return both.select(*keys, degrees("latitude"), degrees("longitude"), "src", "out", F.abs(F.col("src") - F.col("out")).alias("diff"), (F.col("_src").isNull() | F.col("_out").isNull()).alias("mismatch"))
 
 
+_MICRO = 1_000_000
+
+
+def digests(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key: n, held, total, low, high and a digest of its cells, in any order. Cells are summed up in their tasks; what crosses
+    the network is a row for each key and task.
+
+    The digest is the exclusive or of a 64-bit hash of every cell and the sum of another one: cells that differ, lack or
+    occur twice change it. Coordinates count to a millionth of a degree, values by their bits."""
+    micro = lambda c: F.round(F.col(c) * _MICRO).cast("long")
+    cell = [micro("latitude"), micro("longitude"), F.col("value").cast("float"), F.col("value").isNull()]
+    value = F.col("value").cast("double")
+    rows = cells.select(*keys, value.alias("_v"), F.xxhash64(*cell).alias("_a"), F.xxhash64(F.lit(1), *cell).alias("_b"))
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.count("_v").alias("held"), F.sum("_v").alias("total"), F.min("_v").alias("low"), F.max("_v").alias("high"), F.bit_xor("_a").alias("mixed"), F.sum(F.shiftrightunsigned("_b", 16)).alias("summed")
+    )
+
+
+def compare(source: DataFrame, published: DataFrame, keys: list[str]) -> DataFrame:
+    """``report`` of the difference of two tables of cells. Keys whose digests agree are told equal by them; only the cells of
+    the others are matched one by one. Where all agree, no cell crosses the network.
+
+    The digests of both sides, a row a key, are computed at once and kept in the shared folder."""
+    on = _matched("s", "o", keys)
+    both = digests(source, keys).alias("s").join(digests(published, keys).alias("o"), on, "full_outer")
+    same = F.lit(True)
+    for c in ("n", "held", "mixed", "summed"):
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"o.{c}"))
+    both = both.select(*[F.coalesce(F.col(f"s.{c}"), F.col(f"o.{c}")).alias(c) for c in keys], same.alias("same"), F.col("s.n").alias("n"), F.col("s.held").alias("held"), F.col("s.total").alias("total"))
+    both = kept(both, "digests")
+    mean = F.col("total") / F.col("held")
+    drift = F.when(F.col("held") > 0, F.lit(0.0))
+    equal = both.where("same").select(*keys, "n", mean.alias("src_mean"), mean.alias("out_mean"), drift.cast("float").alias("max_abs_diff"), F.lit(0).cast("long").alias("n_mismatch"), drift.alias("mean_drift"), F.when(F.col("held") > 0, "ok").otherwise("no_data").alias("status"))
+    unlike = both.where("not same").select(*keys)
+    if unlike.isEmpty():
+        return equal
+    only = lambda df, name: df.alias("x").join(unlike.alias(name), _matched("x", name, keys), "left_semi")
+    return equal.unionByName(report(grid_diff(only(source, "u"), only(published, "w"), keys), keys))
+
+
+def _matched(a: str, b: str, keys: list[str]) -> Column:
+    on = F.lit(True)
+    for c in keys:
+        on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return on
+
+
 def report(diff: DataFrame, keys: list[str]) -> DataFrame:
     """Means, drift, largest difference and status; keys without any value report no_data, an empty filter no rows."""
     out = diff.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(F.col("src").cast("double")).alias("src_mean"), F.avg(F.col("out").cast("double")).alias("out_mean"), F.max("diff").alias("max_abs_diff"), F.count(F.when(F.col("mismatch"), 1)).alias("n_mismatch"))
@@ -79,6 +134,71 @@ def dim_mean(cells: DataFrame, keep: list[str]) -> DataFrame:
     return cells.groupBy(*keep).agg(F.avg(F.col("value").cast("double")).alias("mean"))
 
 
+#: Bytes of sums that a task holds before it sends them on.
+HELD_BYTES = 256 << 20
+
+
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Element-wise sums and numbers of values of the blocks of a task, one row for each key, which is a JSON text."""
+    sums: dict[str, list[np.ndarray]] = {}
+    held = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        nonlocal held
+        for key in list(sums):
+            total, n = sums.pop(key)
+            yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([total.tobytes()]), pa.array([n.tobytes()])], names=["key", "total", "n"])
+        held = 0
+
+    for batch in batches:
+        values, keys = batch.column(1), batch.column(0).to_pylist()
+        flat, edge = values.values.to_numpy(zero_copy_only=False).astype(np.float64), values.offsets.to_numpy()
+        for i, key in enumerate(keys):
+            one = flat[edge[i] : edge[i + 1]]
+            some = ~np.isnan(one)
+            if key not in sums:
+                sums[key] = [np.zeros(len(one)), np.zeros(len(one), np.int64)]
+                held += 16 * len(one)
+            sums[key][0] += np.where(some, one, 0.0)
+            sums[key][1] += some
+        if held > HELD_BYTES:
+            yield from out()
+    yield from out()
+
+
+def _means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Means of the sums of all tasks, which come in order of their key."""
+    last, total, n = None, None, None
+
+    def mean() -> pa.RecordBatch:
+        with np.errstate(invalid="ignore", divide="ignore"):
+            flat = pa.array(np.where(n > 0, total / n, 0.0), mask=n == 0)
+        return pa.RecordBatch.from_arrays([pa.array([last]), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)], names=["key", "means"])
+
+    for batch in batches:
+        for key, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            a, b = np.frombuffer(a.as_buffer(), np.float64), np.frombuffer(b.as_buffer(), np.int64)
+            if key != last:
+                if last is not None:
+                    yield mean()
+                last, total, n = key, np.zeros(len(a)), np.zeros(len(b), np.int64)
+            total, n = total + a, n + b
+    if last is not None:
+        yield mean()
+
+
+def block_mean(blocks: DataFrame, keep: list[str]) -> DataFrame:
+    """keep, latitude, longitude and mean of all blocks that agree in ``keep`` and in their grid: element-wise sums are held in each
+    task, and a row for each key and task is shuffled, no cell. Missing values are skipped; a cell without any is null."""
+    grid = F.struct(*keep, "lats", "lons")
+    rows = blocks.select(F.to_json(grid, {"ignoreNullFields": "false"}).alias("key"), "values").mapInArrow(_sums, "key string, total binary, n binary")
+    means = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_means, "key string, means array<double>")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.select(*keep, "lats", "lons").schema)
+    out = means.select(F.from_json("key", kinds).alias("k"), F.posexplode("means").alias("pos", "mean"))
+    n = F.size("k.lons")
+    return out.select(*[F.col(f"k.{c}").alias(c) for c in keep], F.get("k.lats", F.floor(F.col("pos") / n).cast("int")).alias("latitude"), F.get("k.lons", F.col("pos") % n).alias("longitude"), "mean")
+
+
 def binned_mean(rows: DataFrame, x: str, y: str, bins: int = 10) -> DataFrame:
     """bin, n and mean of y in equal-width bins of x that are closed on the right; empty bins stay."""
     edge = rows.agg(F.min(x).alias("low"), F.max(x).alias("high"))

@@ -28,6 +28,13 @@ def consolidated(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return surface(blocks, extra=extra).unionByName(upper(blocks, extra=extra))
 
 
+def chosen(blocks: DataFrame) -> DataFrame:
+    """The blocks of ``consolidated`` rows: surface variables and, on the listed levels, upper ones with geopotential."""
+    levels = F.col("level").isin(*[float(x) for x in B.LEVELS])
+    low = F.col("level").isNull() & F.col("variable").isin(*B.SURFACE)
+    return B.geopotential(blocks.where(low | (levels & F.col("variable").isin("gh", *B.UPPER))))
+
+
 def coerce(value: Column) -> Column:
     """Numbers in single precision; what is no number is null."""
     return B.missing(value.try_cast("double").cast("float"))
@@ -54,6 +61,19 @@ def raster(cells: DataFrame, longitudes: list[float], label=lambda x: f"lon_{x:g
     return cells.groupBy(*keys, "latitude").agg(*columns).orderBy(*keys, F.desc("latitude"))
 
 
+def raster_blocks(blocks: DataFrame, longitudes: list[float], label=lambda x: f"lon_{x:g}", keys: tuple[str, ...] = ()) -> DataFrame:
+    """The same from blocks, without an aggregate: rows are sliced from the values and put in the order of ``longitudes``, which
+    is looked up once a block. A grid that has a label twice is an error."""
+    twice = (F.size(F.array_distinct("lats")) < F.size("lats")) | (F.size(F.array_distinct("lons")) < F.size("lons"))
+    at = F.transform(F.array(*[F.lit(float(x)) for x in longitudes]), lambda x: F.array_position("lons", x).cast("int"))
+    at = F.when(twice, F.raise_error(F.lit("duplicate cell")).cast("array<int>")).otherwise(at)
+    rows = blocks.withColumn("_at", at).withColumn("_n", F.size("lons")).select(*keys, "_at", "_n", "values", F.posexplode("lats").alias("_row", "latitude"))
+    own = F.transform("_at", lambda j: F.when(j > 0, F.get("values", F.col("_row") * F.col("_n") + j - 1)))
+    rows = rows.select(*keys, "latitude", own.alias("_own"))
+    columns = [B.missing(F.get("_own", i)).alias(label(x)) for i, x in enumerate(longitudes)]
+    return rows.select(*keys, "latitude", *columns).orderBy(*keys, F.desc("latitude"))
+
+
 def tensors(blocks: DataFrame) -> DataFrame:
     """cycle, date, run, lead (if there is one), tensor, channel, level_idx, n_lat, n_lon, values: blocks in the models' order, rows from the north."""
     blocks = B.lat_descending(blocks)

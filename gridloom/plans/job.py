@@ -10,79 +10,95 @@ from gridloom.operators import fields as B
 from gridloom.operators import quality as Q
 from gridloom.operators import tidy as T
 from gridloom.plans import publish as P
-from gridloom.plans.scratch import scratch_path
+from gridloom.plans.scratch import Scratch, kept
 from gridloom.sources import grib
 
 
 def run(spark: SparkSession, source: str, base: str, tensor_base: str | None = None, default_date: str = "19700101") -> DataFrame:
     """Publishes all GRIB2 files below ``source`` to ``base`` (and tensors to ``tensor_base``) and returns the manifest."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(source)
-    return publish_files(files, base, tensor_base, default_date)
+    return _publish(files.select("path"), grib.read_fields(spark, source, default_date), base, tensor_base, default_date, grib.qualified(spark, source))
 
 
-def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, default_date: str = "19700101") -> DataFrame:
-    """The same for ``files`` (path, content): a file's partition is replaced, others stay.
+def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, default_date: str = "19700101", root: str = "") -> DataFrame:
+    """The same for ``files`` (path, content) below ``root``: a file's partition is replaced, others stay.
 
+    A file is told by its key, its path below ``root``, so equal names in two folders don't meet.
     manifest: one row a file with date, run, lead, n_fields, missing, n_errors (fields that couldn't be decoded), n_rows,
     n_values, n_variables, bytes and status: ok; incomplete, if a field lacks: then nothing of the file is published.
     """
-    spark = files.sparkSession
-    path = scratch_path(spark, "fields")
-    grib.decode(files, default_date).withColumn("source_file", K.base_name(F.col("source_file"))).write.parquet(path)
-    blocks = spark.read.parquet(path)  # decoded once: the checks, the rows and the tensors read it
-    whole = B.complete_only(grib.merged(blocks))
-    P.publish(T.consolidated(whole, ("source_file",)), base)
-    if tensor_base:
-        P.export_npy(T.tensors(whole), tensor_base).write.mode("overwrite").format("noop").save()
-    return _manifest(spark, files, blocks, base)
-
-
-def _manifest(spark: SparkSession, files: DataFrame, blocks: DataFrame, base: str) -> DataFrame:
-    date, run = K.effective_date_run(F.col("path"), F.lit(""), F.lit(""), "19700101")
-    name = K.base_name(F.col("path"))
-    listed = files.select(name.alias("source_file"), F.split_part(name, F.lit("-"), F.lit(2)).alias("lead"), "path")
-    told = blocks.groupBy("source_file").agg(F.min("date").alias("date"), F.min("run").alias("run"), F.count(F.when(F.col("decode_error").isNotNull(), 1)).alias("n_errors"))
+    return _publish(files.select("path"), grib.decode(files, default_date), base, tensor_base, default_date, root)
+
+
+def _publish(paths: DataFrame, fields: DataFrame, base: str, tensor_base: str | None, default_date: str, root: str) -> DataFrame:
+    spark = paths.sparkSession
+    with Scratch(spark) as scratch:
+        # decoded once, and merged once: the checks, the rows, the tensors and the manifest read these
+        blocks = scratch.keep(fields.withColumn("source_file", K.relative_key(F.col("source_file"), root)), "fields")
+        whole = scratch.keep(B.complete_only(grib.merged(blocks)), "merged")
+        P.publish_blocks(whole, base)
+        if tensor_base:
+            P.export_npy(T.tensors(whole), tensor_base)
+        return kept(_manifest(paths, blocks, whole, base, default_date, root), "manifest")
+
+
+def _manifest(paths: DataFrame, blocks: DataFrame, whole: DataFrame, base: str, default_date: str, root: str) -> DataFrame:
+    date, run = K.effective_date_run(F.col("path"), F.lit(""), F.lit(""), default_date)
+    lead = F.split_part(K.base_name(F.col("path")), F.lit("-"), F.lit(2))
+    listed = paths.select(K.relative_key(F.col("path"), root).alias("source_file"), date.alias("date"), run.alias("run"), lead.alias("lead"))
+    errors = blocks.groupBy("source_file").agg(F.count(F.when(F.col("decode_error").isNotNull(), 1)).alias("n_errors"))
     fields = B.completeness(blocks.where("decode_error is null").withColumn("cycle", F.col("source_file"))).withColumnRenamed("cycle", "source_file")
-    rows = P.manifest(P.read_published(spark, base).join(listed.select("source_file"), "source_file", "left_semi")).drop("status", "date", "run")
-    out = listed.join(told, "source_file", "left").join(fields, "source_file", "left").join(rows, "source_file", "left").join(P.published_bytes(spark, base), "source_file", "left")
+    rows = P.block_manifest(whole)
+    sizes = P.published_bytes(paths.sparkSession, base).join(listed.select("source_file"), "source_file", "left_semi") if _exists(paths.sparkSession, base) else rows.select("source_file", F.lit(None).cast("long").alias("bytes")).limit(0)
+    out = listed.join(errors, "source_file", "left").join(fields, "source_file", "left").join(rows, "source_file", "left").join(sizes, "source_file", "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select("source_file", F.coalesce("date", date).alias("date"), F.coalesce("run", run).alias("run"), "lead", zero("n_fields"), F.coalesce("missing", F.lit("all")).alias("missing"), zero("n_errors"),
-                      zero("n_rows"), zero("n_values"), zero("n_variables"), zero("bytes"), F.when(F.col("complete"), "ok").otherwise("incomplete").alias("status"))
+    good = F.coalesce("complete", F.lit(False))
+    return out.select("source_file", "date", "run", "lead", zero("n_fields"), F.coalesce("missing", F.lit("all")).alias("missing"), zero("n_errors"),
+                      zero("n_rows"), zero("n_values"), zero("n_variables"), F.when(good, F.coalesce("bytes", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("bytes"), F.when(good, "ok").otherwise("incomplete").alias("status"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def verify(source: DataFrame, published: DataFrame, fields: tuple[tuple[str, float | None], ...] = (("t2m", None), ("z", 500.0))) -> DataFrame:
     """source_file, variable, level and the comparison of published rows with the source's blocks, for each of ``fields``.
 
-    A field that a source file has and of which no row was published is an error at the first action."""
+    Both sides are compared by digests of their fields; only fields that differ are compared cell by cell. A field that a
+    source file lacks, or of which no row was published, is an error at the first action."""
     keys = ["source_file", "variable", "isobaricInhPa"]
-    chosen = F.lit(False)
-    for variable, level in fields:
-        chosen = chosen | ((F.col("variable") == variable) & (F.col("isobaricInhPa").isNull() if level is None else F.col("isobaricInhPa") == level))
-    src = T.long_form(B.geopotential(source), ("source_file",)).where(chosen)
-    out = published.where(chosen)
-    none = lambda df: df.withColumn("isobaricInhPa", F.coalesce("isobaricInhPa", F.lit(-1.0)))
-    report = Q.report(Q.grid_diff(none(src), none(out), keys), keys)
-    held = none(out).select(*keys, F.lit(True).alias("held")).distinct()
-    guard = F.when(F.col("held"), F.col("status")).otherwise(F.raise_error(F.concat_ws(" ", F.lit("nothing published for"), "variable", F.lit("of"), "source_file")))
-    return report.join(held, keys, "left").withColumn("status", guard).withColumn("isobaricInhPa", F.when(F.col("isobaricInhPa") >= 0, F.col("isobaricInhPa"))).drop("held")
-
-
-def write_files(blocks: DataFrame, base: str) -> DataFrame:
-    """Writes a GRIB2 file for each source_file of ``blocks`` (at most 69 fields) below ``base``: path, bytes."""
-    import re
-
+    named = B.geopotential(source).withColumn("isobaricInhPa", F.col("level").cast("double"))
+    asked = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(x).cast("double").alias("isobaricInhPa")) for v, x in fields])
+    one = F.exists(asked, lambda f: (f.variable == F.col("variable")) & f.isobaricInhPa.eqNullSafe(F.col("isobaricInhPa")))
+    chosen = named.where(one)
+    report = kept(Q.compare(T.long_form(chosen.drop("isobaricInhPa"), ("source_file",)), published.where(one), keys), "comparison")
+    wanted = named.select("source_file").distinct().select("source_file", F.explode(asked).alias("f")).select("source_file", "f.variable", "f.isobaricInhPa")
+    held = published.where(one).select(*keys).distinct().withColumn("published", F.lit(True))
+    out = wanted.alias("w").join(report.alias("r"), Q._matched("w", "r", keys), "left").join(held.alias("h"), Q._matched("w", "h", keys), "left")
+    lacks = F.raise_error(F.concat(F.lit("nothing published for "), F.col("w.variable"), F.lit(" of "), F.col("w.source_file")))
+    absent = F.raise_error(F.concat(F.lit("no field "), F.col("w.variable"), F.lit(" in "), F.col("w.source_file")))
+    status = F.when(F.col("r.n").isNull() & F.col("h.published").isNull(), absent).when(F.col("h.published").isNull(), lacks).otherwise(F.col("r.status"))
+    return out.select(*[F.col(f"w.{c}").alias(c) for c in keys], *[F.col(f"r.{c}") for c in report.columns if c not in (*keys, "status")], status.alias("status"))
+
+
+def write_files(blocks: DataFrame, base: str, packing: str = "ieee", scale: int = -16) -> DataFrame:
+    """Writes a GRIB2 file for each source_file of ``blocks`` (at most 69 fields) below ``base``: path. Packings are those of
+    ``grib.encode``."""
     import pandas as pd
-    from pyarrow import fs
+
+    base = grib.qualified(blocks.sparkSession, base)
 
     def write(frame: pd.DataFrame) -> pd.DataFrame:
         first = frame.iloc[0]
         path = f"{base}/{first['date']}/{first['run']}/{first['source_file']}"
-        store, local = fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
-        store.create_dir(local.rsplit("/", 1)[0])
-        size = 0
-        with store.open_output_stream(local, compression=None) as f:
+        files, local = grib.store(path)
+        files.create_dir(local.rsplit("/", 1)[0])
+        points = "row_points" in frame.columns
+        with files.open_output_stream(local, compression=None) as f:
             for row in frame.itertuples():
-                size += f.write(grib.encode(row.variable, None if pd.isna(row.level) else row.level, list(row.lats), list(row.lons), row.values_)) or 0
+                reduced = list(row.row_points) if points and row.row_points is not None else None
+                f.write(grib.encode(row.variable, None if pd.isna(row.level) else row.level, list(row.lats), None if reduced else list(row.lons), row.values_, packing, scale, reduced))
         return pd.DataFrame({"path": [path]})
 
     return blocks.withColumnRenamed("values", "values_").groupBy("source_file").applyInPandas(write, "path string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from gridloom.operators import tidy as T
 from gridloom.plans import fixtures as X
 from gridloom.plans import job as J
 from gridloom.plans import publish as P
-from gridloom.plans.scratch import scratch_path
+from gridloom.plans.scratch import Scratch, scratch_path
 from gridloom.sources import catalog as C
 from gridloom.sources import grib as G
 
@@ -64,7 +65,7 @@ def z500(spark, d):
 
 @query(_with(X.FIELDS_SQL, "SELECT vec_id, CAST(pos AS INTEGER) AS pos, value FROM c WHERE latitude BETWEEN -30 AND 40 AND longitude BETWEEN 45 AND 180"))
 def bbox_slice(spark, d):
-    return B.cells(X.blocks(spark, d)).where(F.col("latitude").between(-30, 40) & F.col("longitude").between(45, 180)).select("vec_id", "pos", "value")
+    return B.box_cells(X.blocks(spark, d), -30, 40, 45, 180).select("vec_id", "pos", "value")
 
 
 @query(_with(X.FIELDS_SQL, "SELECT vec_id, CAST(pos AS INTEGER) AS pos, latitude, value FROM c"))
@@ -106,7 +107,7 @@ def tidy_upper(spark, d):
 
 def _published(spark, d):
     path = scratch_path(spark, "published")
-    P.publish(T.consolidated(B.complete_only(X.blocks(spark, d)), ("source_file",)), path)
+    P.publish_blocks(B.complete_only(X.blocks(spark, d)), path)
     return P.read_published(spark, path)
 
 
@@ -122,12 +123,6 @@ def tidy_scan_filter(spark, d):
     return rows.select("run", "variable", "latitude", "longitude", "value")
 
 
-@query(_with(X.FIELDS_SQL, f"SELECT {_TIDY} FROM z WHERE cycle = 0"))
-def union_chunks(spark, d):
-    """Of the first cycle, as its SQL; ``union_chunks_all`` takes all."""
-    return _chunks(X.blocks(spark, d).where("cycle = 0"))
-
-
 def _chunks(b):
     return T.surface(b).unionByName(T.upper(b, ("z",))).unionByName(T.upper(b, B.UPPER_RAW))
 
@@ -154,16 +149,10 @@ def broadcast_long(spark, d):
     return T.broadcast_long(X.blocks(spark, d)).select("cycle", "variable", "level", "pos", "value")
 
 
-@query(_with(X.FIELDS_SQL, "SELECT latitude, " + ", ".join(f"max(CASE WHEN longitude = {45 * i} THEN value END) AS lon_{45 * i}" for i in range(8)) + " FROM c WHERE cycle = 0 AND variable = 't2m' GROUP BY latitude"))
-def raster_pivot(spark, d):
-    """Of one field, as its SQL; ``raster_pivot_all`` takes all."""
-    return T.raster(B.cells(X.blocks(spark, d).where("cycle = 0 AND variable = 't2m'")), [45.0 * i for i in range(8)])
-
-
 @query(_with(X.FIELDS_SQL, "SELECT cycle, variable, level, latitude, " + ", ".join(f"max(CASE WHEN longitude = {45 * i} THEN value END) AS lon_{45 * i}" for i in range(8)) + " FROM c GROUP BY cycle, variable, level, latitude"))
 def raster_pivot_all(spark, d):
     """All fields."""
-    return T.raster(B.cells(X.blocks(spark, d)), [45.0 * i for i in range(8)], keys=("cycle", "variable", "level"))
+    return T.raster_blocks(X.blocks(spark, d), [45.0 * i for i in range(8)], keys=("cycle", "variable", "level"))
 
 
 def _tensor_rows(spark, d, which):
@@ -340,7 +329,7 @@ def bench_report(spark, d):
 
 @query(_with(X.FIELDS_SQL, "SELECT variable, level, latitude, longitude, round(avg(value::DOUBLE), 6) AS mean FROM c GROUP BY ALL"))
 def dim_mean(spark, d):
-    return Q.dim_mean(B.cells(X.blocks(spark, d)), CELLS[1:]).select(*CELLS[1:], F.round("mean", 6).alias("mean"))
+    return Q.block_mean(X.blocks(spark, d), CELLS[1:3]).select(*CELLS[1:], F.round("mean", 6).alias("mean"))
 
 
 @query(_with(X.FIELDS_SQL, "SELECT variable, max(value) AS max_value FROM c GROUP BY variable"))
@@ -374,26 +363,92 @@ def sample_files(spark, d):
 
 @query()
 def export_npy(spark, d):
-    """Tensor files of all complete cycles, written by tasks."""
+    """Tensor files of all complete cycles, streamed by tasks and moved into place by the commit."""
     return P.export_npy(T.tensors(B.complete_only(X.blocks(spark, d))), scratch_path(spark, "npy"))
 
 
-def _archive(spark, d):
-    """The blocks' cycles as GRIB2 files in a shared folder."""
-    base = scratch_path(spark, "archive")
-    J.write_files(X.named_files(X.blocks(spark, d)), base).write.format("noop").mode("overwrite").save()
-    return base
+def _archive(spark, d, base, packing="ieee"):
+    """Writes the blocks' cycles as GRIB2 files into a shared folder."""
+    J.write_files(X.named_files(X.blocks(spark, d)), base, packing).write.format("noop").mode("overwrite").save()
 
 
 _NAME = "strftime(DATE '2024-01-01' + CAST(cycle // 4 AS INTEGER), '%Y%m%d') || run[:2] || '0000-0h-oper-fc.grib2'"
+_named = lambda df: df.withColumn("source_file", K.base_name(F.col("source_file")))
+
+
+def _job(spark, d, packing="ieee"):
+    base = scratch_path(spark, "job")
+    with Scratch(spark) as scratch:
+        archive = scratch.path("archive")
+        _archive(spark, d, archive, packing)
+        J.run(spark, archive, base)
+    return _named(P.read_published(spark, base))
 
 
-@query(_with(X.FIELDS_SQL, f"SELECT {_TIDY}, date[:4] AS year, date[5:6] AS month, date[7:8] AS day, {_NAME} AS source_file FROM z {_COMPLETE}"))
+_JOB = f"SELECT {_TIDY}, date[:4] AS year, date[5:6] AS month, date[7:8] AS day, {_NAME} AS source_file FROM z {_COMPLETE}"
+
+
+@query(_with(X.FIELDS_SQL, _JOB))
 def forecast_job(spark, d):
     """Files are written, decoded, merged, published and read back."""
-    base = scratch_path(spark, "job")
-    J.run(spark, _archive(spark, d), base).write.format("noop").mode("overwrite").save()
-    return P.read_published(spark, base)
+    return _job(spark, d)
+
+
+#: The fields as a packing holds them: whole multiples of 2**-16 above each one's least value.
+_PACKED_SQL = X.FIELDS_SQL.replace("z AS (", """k AS (SELECT * EXCLUDE low REPLACE (CAST(low + floor((value::DOUBLE - low) * 65536 + 0.5) / 65536 AS FLOAT) AS value) FROM (SELECT *, min(value::DOUBLE) OVER (PARTITION BY vec_id) AS low FROM c)),
+z AS (""").replace("END AS value) FROM c)", "END AS value) FROM k)")
+
+
+@query(_with(_PACKED_SQL, _JOB))
+def forecast_job_simple(spark, d):
+    """The same over files in simple packing."""
+    return _job(spark, d, "simple")
+
+
+@query(_with(_PACKED_SQL, _JOB))
+def forecast_job_complex(spark, d):
+    """The same over files in complex packing."""
+    return _job(spark, d, "complex")
+
+
+@query(_with(_PACKED_SQL, _JOB))
+def forecast_job_differences(spark, d):
+    """The same over files in complex packing of second differences."""
+    return _job(spark, d, "differences")
+
+
+@query(_with(_PACKED_SQL, _JOB))
+def forecast_job_rice(spark, d):
+    """The same over files in block-adaptive entropy coding."""
+    return _job(spark, d, "rice")
+
+
+@query(_with(_PACKED_SQL, f"SELECT {_NAME} AS source_file, date, run, count(*) AS n, round(avg(value::DOUBLE), 6) AS mean_z, max(value) AS max_z FROM z WHERE variable = 'z' AND level = 500 GROUP BY ALL"))
+def z500_messages(spark, d):
+    """One message of 69 is read from each file: the others' headers only."""
+    archive = scratch_path(spark, "archive")
+    _archive(spark, d, archive, "rice")
+    z = B.cells(B.geopotential(_named(G.read_fields(spark, archive, variables=("gh",), levels=(500,)))))
+    return z.groupBy("source_file", "date", "run").agg(F.count("*").alias("n"), F.round(F.avg(F.col("value").cast("double")), 6).alias("mean_z"), F.max("value").alias("max_z"))
+
+
+_ROWS = "[4, 8, 8, 12, 12, 8, 8, 4]"
+
+
+@query(_with(X.FIELDS_SQL, f""", g AS (SELECT unnest({_ROWS}) AS p, unnest(range(8)) AS row),
+h AS (SELECT *, CAST(sum(p) OVER (ORDER BY row) - p AS INTEGER) AS first FROM g),
+a AS (SELECT *, j * p / 12.0::DOUBLE AS x FROM h, (SELECT unnest(range(12)) AS j)),
+w AS (SELECT row, j, x - floor(x) AS weight, first + CAST(floor(x) AS INTEGER) % p AS l, first + (CAST(floor(x) AS INTEGER) + 1) % p AS r FROM a)
+SELECT {_NAME} AS source_file, variable, level, CAST(row AS INTEGER) AS row, j * 30.0::DOUBLE AS longitude, CAST(embedding[l + 1] + (embedding[r + 1] - embedding[l + 1]) * weight AS FLOAT) AS value FROM b, w"""))
+def reduced_grid(spark, d):
+    """Files on a reduced Gaussian grid, read and interpolated to a regular one."""
+    points = F.array(*[F.lit(n) for n in json.loads(_ROWS)])
+    lats = F.array(*[F.lit(x) for x in G.gaussian_latitudes(4)])
+    blocks = X.named_files(X.blocks(spark, d)).withColumn("lats", lats).withColumn("row_points", points)
+    archive = scratch_path(spark, "archive")
+    J.write_files(blocks, archive).write.format("noop").mode("overwrite").save()
+    cells = B.cells(_named(B.regular_grid(G.read_fields(spark, archive))))
+    return cells.select("source_file", "variable", "level", F.floor(F.col("pos") / 12).cast("int").alias("row"), "longitude", "value")
 
 
 @query(_with(X.FIELDS_SQL, f"""SELECT {_NAME} AS source_file, date, run, '0h' AS lead, n_fields, CASE WHEN n_fields = 69 THEN 'ok' ELSE 'incomplete' END AS status, CAST(0 AS BIGINT) AS n_errors,
@@ -401,16 +456,20 @@ def forecast_job(spark, d):
  FROM (SELECT cycle, date, run, count(*) AS n_fields FROM b GROUP BY ALL)"""))
 def job_manifest(spark, d):
     """The job's manifest: an incomplete file has no rows."""
-    m = J.run(spark, _archive(spark, d), scratch_path(spark, "job"))
-    return m.select("source_file", "date", "run", "lead", "n_fields", "status", "n_errors", "n_rows", "n_variables", (F.col("bytes") > 0).alias("has_bytes"))
+    with Scratch(spark) as scratch:
+        archive = scratch.path("archive")
+        _archive(spark, d, archive)
+        m = J.run(spark, archive, scratch.path("job"))
+    return _named(m).select("source_file", "date", "run", "lead", "n_fields", "status", "n_errors", "n_rows", "n_variables", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @query(_with(X.FIELDS_SQL, f"""SELECT {_NAME} AS source_file, variable, level AS "isobaricInhPa", count(*) AS n, round(avg(value::DOUBLE), 6) AS src_mean, CAST(0 AS FLOAT) AS max_abs_diff, 'ok' AS status
  FROM z {_COMPLETE} WHERE variable = 't2m' OR (variable = 'z' AND level = 500) GROUP BY ALL"""))
 def verify_published(spark, d):
     """Published rows against the fields of the files."""
-    source, base = _archive(spark, d), scratch_path(spark, "job")
-    J.run(spark, source, base).write.format("noop").mode("overwrite").save()
-    blocks = B.complete_only(G.read_merged(spark, source)).withColumn("source_file", K.base_name(F.col("source_file")))
-    r = J.verify(blocks, P.read_published(spark, base))
+    archive, base = scratch_path(spark, "archive"), scratch_path(spark, "job")
+    _archive(spark, d, archive)
+    J.run(spark, archive, base)
+    blocks = B.complete_only(G.read_merged(spark, archive)).withColumn("source_file", K.relative_key(F.col("source_file"), G.qualified(spark, archive)))
+    r = _named(J.verify(blocks, P.read_published(spark, base)))
     return r.select("source_file", "variable", "isobaricInhPa", "n", F.round("src_mean", 6).alias("src_mean"), "max_abs_diff", "status")

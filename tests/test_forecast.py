@@ -14,7 +14,7 @@ from gridloom.plans import job
 from gridloom.plans import publish as P
 from gridloom.plans.queries import QUERIES, SQL
 from gridloom.sources import catalog as C
-from gridloom.sources import grib
+from gridloom.sources import grib, packing
 from gridloom.streaming import arrivals
 
 SF = "/root/testdata/sf0.001"
@@ -167,7 +167,7 @@ def test_arriving_files_are_published_once(spark, tmp_path):
 def test_verify_fails_where_nothing_was_published(spark, tmp_path):
     _two_leads(spark, f"{tmp_path}/in")
     job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()
-    source = grib.read_merged(spark, f"{tmp_path}/in").withColumn("source_file", K.base_name(F.col("source_file")))
+    source = grib.read_merged(spark, f"{tmp_path}/in").withColumn("source_file", K.relative_key(F.col("source_file"), f"file:{tmp_path}/in"))
     rows = P.read_published(spark, f"{tmp_path}/out")
     assert {r["status"] for r in job.verify(source, rows).collect()} == {"ok"}
     with pytest.raises(Exception, match="nothing published for t2m"):
@@ -188,14 +188,15 @@ def test_packed_integers(width):
     want = r.integers(0, 1 << width, 100)
     bits = "".join(format(int(x), f"0{width}b") for x in want)
     raw = int(bits + "0" * (-len(bits) % 8), 2).to_bytes(-(-len(bits) // 8), "big")
-    assert np.array_equal(grib._integers(raw, 100, width), want)
+    assert np.array_equal(packing.integers(raw, 100, width), want)
+    assert packing.packed_bits(want, width) == raw
 
 
-def test_scanning_mode_and_damage_are_reported(spark):
+def test_grid_templates_and_damage_are_reported(spark):
     good = grib.encode("t", 500.0, [90.0, 0.0], [0.0, 90.0], np.arange(4))
-    at = good.index(struct.pack(">IB", 72, 3)) + 71
-    turned = good[:at] + b"\x80" + good[at + 1 :]
-    assert grib.message(turned)["decode_error"] == "scanning mode 128"
+    at = good.index(struct.pack(">IB", 72, 3)) + 12
+    other = good[:at] + b"\0\x1e" + good[at + 2 :]
+    assert grib.message(other)["decode_error"] == "grid template"
     files = spark.createDataFrame([("a/20240105/06z/x-0h-y.grib2", good[:60] + good), ("b.grib2", b""), ("c.grib2", None)], "path string, content binary")
     rows = grib.decode(files).collect()
     assert [r["decode_error"] is None for r in rows].count(True) <= 1 and len(rows) >= 1
@@ -220,3 +221,138 @@ def test_entry_and_registry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_equal_names_in_two_folders_stay_apart(spark, tmp_path):
+    """A file is told by its whole key; a rerun replaces that file only."""
+    blocks = X.named_files(X.blocks(spark, SF).where("cycle < 1"))
+    for folder, sign in (("a", 1.0), ("b", -1.0)):
+        signed = blocks.withColumn("values", F.transform("values", lambda x: (x * F.lit(sign)).cast("float")))  # noqa: B023
+        job.write_files(signed, f"{tmp_path}/in/{folder}").collect()
+    got = {r["source_file"]: r for r in job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()}
+    name = "20240101/00z/20240101000000-0h-oper-fc.grib2"
+    assert {k: (r["n_rows"], r["status"], r["bytes"] > 0) for k, r in got.items()} == {f"{x}/{name}": (69 * 64, "ok", True) for x in "ab"}
+    sums = lambda: {r[0]: r[1] for r in P.read_published(spark, f"{tmp_path}/out").where("variable = 't2m'").groupBy("source_file").agg(F.sum("value")).collect()}
+    first = sums()
+    assert first[f"a/{name}"] == pytest.approx(-first[f"b/{name}"]) != 0
+    job.run(spark, f"{tmp_path}/in/b", f"{tmp_path}/again").collect()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_path}/in/a")
+    job.publish_files(files, f"{tmp_path}/out", root=f"file:{tmp_path}/in").collect()
+    assert sums() == first
+
+
+def test_a_job_leaves_no_scratch(spark, tmp_path):
+    import os
+
+    def left():
+        base = spark.conf.get("spark.checkpoint.dir")
+        return {x for x in os.listdir(base) if x.startswith(("fields", "merged", "archive"))}
+
+    before = left()
+    _two_leads(spark, f"{tmp_path}/in")
+    assert job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", default_date="20000101").count() == 2
+    (tmp_path / "in" / "damaged-0h-x.grib2").write_bytes(b"no message")
+    (bad,) = [r for r in job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", default_date="20000101").collect() if r["status"] != "ok"]
+    assert (bad["date"], bad["missing"], bad["n_rows"]) == ("20000101", "all", 0)
+    assert left() == before
+
+
+def test_blocks_are_published_as_their_rows(spark, tmp_path):
+    blocks = B.complete_only(X.blocks(spark, SF))
+    P.publish(T.consolidated(blocks, ("source_file",)), f"{tmp_path}/a")
+    P.publish_blocks(blocks, f"{tmp_path}/b")
+    a, b = (P.read_published(spark, f"{tmp_path}/{x}") for x in "ab")
+    assert sorted(a.columns) == sorted(b.columns)
+    assert a.exceptAll(b.select(a.columns)).count() == 0 == b.select(a.columns).exceptAll(a).count()
+    plan = B.cells(blocks)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Generate")[0]
+
+
+def test_box_is_filtered_cells(spark):
+    blocks = X.blocks(spark, SF)
+    columns = ["vec_id", "pos", "latitude", "longitude", "value"]
+    want = B.cells(blocks).where("latitude between -30 and 40 and longitude between 45 and 180").select(columns)
+    got = B.box_cells(blocks, -30, 40, 45, 180).select(columns)
+    assert got.count() == want.count() > 0 and want.exceptAll(got).count() == 0
+    assert B.box_cells(blocks, 91, 95, 0, 1).count() == 0
+
+
+def test_block_mean_is_the_mean_of_cells(spark):
+    holes = X.blocks(spark, SF).withColumn("values", F.transform("values", lambda x, i: F.when((i % 5 == F.col("vec_id") % 5) | (i == 7), F.lit(float("nan"))).otherwise(x).cast("float")))
+    keys = ["variable", "level", "latitude", "longitude"]
+    want = {tuple(r[k] for k in keys): r["mean"] for r in Q.dim_mean(B.cells(holes), keys).collect()}
+    got = {tuple(r[k] for k in keys): r["mean"] for r in Q.block_mean(holes.repartition(3), keys[:2]).collect()}
+    assert got.keys() == want.keys() and all(got[k] == (pytest.approx(want[k]) if want[k] is not None else None) for k in want)
+    assert sum(v is None for v in got.values()) > 0
+
+
+def test_raster_of_blocks_is_that_of_cells(spark):
+    blocks = X.blocks(spark, SF).where("vec_id < 80").withColumn("lons", F.reverse("lons"))
+    lons, keys = [45.0 * i for i in range(9)], ("vec_id", "variable", "level")
+    a, b = T.raster(B.cells(blocks), lons, keys=keys), T.raster_blocks(blocks, lons, keys=keys)
+    assert a.columns == b.columns and sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    with pytest.raises(Exception, match="duplicate cell"):
+        T.raster_blocks(blocks.withColumn("lats", F.array(*[F.lit(1.0)] * 8)), lons, keys=keys).collect()
+
+
+def _cells(spark, rows):
+    return spark.createDataFrame(rows, "k string, level double, latitude double, longitude double, value float")
+
+
+def test_compare_by_digests(spark):
+    same = [("a", None, float(i), 0.0, float(i)) for i in range(5)]
+    empty = [("n", 1.0, float(i), 0.0, None) for i in range(3)]
+    moved = [("b", 2.0, float(i), 0.0, float(i)) for i in range(5)]
+    source = _cells(spark, same + empty + moved + [("c", None, 0.0, 0.0, 1.0), ("d", None, 0.0, 0.0, 1.0), ("e", None, 0.0, 0.0, 1.0)])
+    out = _cells(spark, same[::-1] + empty + [(*r[:4], r[4] + (r[2] == 3)) for r in moved] + [("c", None, 0.0, 0.0, 1.0)] * 2 + [("d", None, 1.0, 0.0, 1.0)])
+    keys = ["k", "level"]
+    columns = ["n", "src_mean", "out_mean", "max_abs_diff", "mean_drift", "status"]
+    rows = lambda df: {(r["k"], r["level"]): tuple(r[c] for c in columns) for r in df.collect()}
+    want, got = rows(Q.report(Q.grid_diff(source, out, keys), keys)), rows(Q.compare(source, out, keys))
+    assert got == want
+    assert [got[k][-1] for k in sorted(got, key=lambda k: k[0])] == ["ok", "drift", got["c", None][-1], "shape", "no_data", "no_data"]
+
+
+def test_equal_sides_are_not_matched_cell_by_cell(spark):
+    cells = B.cells(X.blocks(spark, SF)).select("source_file", "variable", "level", "latitude", "longitude", "value")
+    plan = Q.compare(cells, cells.repartition(3), ["source_file", "variable", "level"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "_latitude" not in text and "Generate" not in text and {r["status"] for r in plan.collect()} == {"ok"}
+
+
+def test_an_absent_field_is_an_error(spark, tmp_path):
+    _two_leads(spark, f"{tmp_path}/in")
+    job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out").collect()
+    source = grib.read_merged(spark, f"{tmp_path}/in").withColumn("source_file", K.relative_key(F.col("source_file"), f"file:{tmp_path}/in"))
+    rows = P.read_published(spark, f"{tmp_path}/out")
+    with pytest.raises(Exception, match="no field q2 in 20240101/06z/"):
+        job.verify(source, rows, (("t2m", None), ("q2", None))).collect()
+    changed = rows.withColumn("value", F.when((F.col("variable") == "t2m") & (F.col("latitude") == 90), F.col("value") + 1).otherwise(F.col("value")))
+    assert sorted(r["status"] for r in job.verify(source, changed).collect()) == ["drift", "drift", "ok", "ok"]
+
+
+def test_a_failed_tensor_write_leaves_nothing(spark, tmp_path):
+    import os
+
+    t = T.tensors(B.complete_only(X.blocks(spark, SF))).where("cycle < 2")
+    with pytest.raises(Exception, match="lacks 1 fields"):
+        P.export_npy(t.where("not (cycle = 1 and tensor = 'surface' and channel = 2)"), f"{tmp_path}/npy")
+    assert not [f for _, _, names in os.walk(tmp_path / "npy") for f in names]
+    P.export_npy(t, f"{tmp_path}/npy")
+    P.export_npy(t.withColumn("values", F.transform("values", lambda x: -x)), f"{tmp_path}/npy")
+    found = sorted(f for _, _, names in os.walk(tmp_path / "npy") for f in names)
+    assert found == ["input_surface.npy"] * 2 + ["input_upper.npy"] * 2
+    row = t.where("cycle = 1 and tensor = 'surface' and channel = 2").first()
+    data = np.load(f"{tmp_path}/npy/year=2024/month=01/day=01/run=06z/input_surface.npy")
+    assert data.shape == (4, 8, 8) and np.array_equal(data[2].reshape(-1), -np.array(row["values"], np.float32))
+
+
+def test_only_accepted_attempts_are_moved(tmp_path):
+    import pyarrow as pa
+
+    writer = P.TensorWriter(f"file:{tmp_path}")
+    rows = pa.RecordBatch.from_pydict({"file": ["a/x.npy"] * 4, "n_channel": [4] * 4, "n_level": pa.array([None] * 4, pa.int32()), "n_lat": [1] * 4, "n_lon": [2] * 4, "values": pa.array([[1.0, 2.0]] * 4, pa.list_(pa.float32()))})
+    first, second = writer.write(iter([rows])), writer.write(iter([rows.slice(0, 2), rows.slice(2)]))  # two attempts of one task
+    writer.commit([second])
+    assert first.files[0][0] != second.files[0][0]
+    assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()] == ["a/x.npy"] and np.load(tmp_path / "a/x.npy").shape == (4, 1, 2)
