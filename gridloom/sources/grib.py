@@ -155,6 +155,8 @@ def fields(read: Read, at: int, columns: tuple[str, ...], wanted: Callable[[dict
                     row["decode_error"] = str(e)
                 yield row
         pos += length
+    if pos != end:
+        raise ValueError("its sections don't end where it does")
 
 
 def message(raw: bytes) -> dict:
@@ -233,7 +235,8 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     key = (row["variable"], row["level"])
                     seen[key] = seen.get(key, -1) + 1
                     yield _batch(row | {"source_file": path, "dataset_ord": seen[key]}, names)
-                at += max(size, 4)
+                # behind a damaged one the next may begin anywhere
+                at += 4 if any((r["decode_error"] or "").startswith("damaged") for r in rows) else max(size, 4)
 
 
 def _told(blocks: DataFrame, default_date: str) -> DataFrame:
@@ -277,12 +280,12 @@ class Range(InputPartition):
 
 
 def _begins(read: _Window, at: int) -> int:
-    """The message's length, if one begins here: its last bytes are the end mark."""
+    """The message's length, if one begins here: its last bytes are the end mark. 0 if none does, -1 if it is cut off."""
     head = read(at, 21)
     if len(head) < 21 or head[:4] != b"GRIB" or head[7] != 2 or head[20] != 1:
         return 0
     size = struct.unpack(">Q", head[8:16])[0]
-    return size if 20 <= size <= read.size - at and read(at + size - 4, 4) == b"7777" else 0
+    return size if 20 <= size <= read.size - at and read(at + size - 4, 4) == b"7777" else -1
 
 
 class MessageReader(DataSourceReader):
@@ -321,7 +324,9 @@ class MessageReader(DataSourceReader):
             read, at = _Window(file, partition.size), partition.start
             while at < min(partition.stop, partition.size):
                 size = _begins(read, at)
-                if not size:  # a range begins in the middle of a message, or bytes between two are no message
+                if size < 0:
+                    yield _batch(_NOTHING | {"source_file": name, "offset": at, "decode_error": "damaged message: its end is missing"}, self.names)
+                if size <= 0:  # a range begins in the middle of a message, or bytes between two are no message
                     step = read(at + 1, PEEK).find(b"GRIB")
                     at += 1 + step if step >= 0 else max(min(PEEK, partition.size - at) - 3, 1)
                     continue

@@ -288,3 +288,10 @@ def test_both_ways_of_reading_agree(spark, tmp_path):
     columns = ["variable", "level", "dataset_ord", "lats", "lons", "values", "date", "run", "lead"]
     rows = lambda df: sorted(map(repr, (tuple(r) for r in df.select(*columns).collect())))
     assert rows(grib.decode(files)) == rows(grib.read_fields(spark, f"{tmp_path}/in"))
+
+
+def test_damage_is_reported_and_passed(spark, tmp_path):
+    good = grib.encode("t", 500.0, LATS, LONS, FIELD.reshape(-1))
+    (tmp_path / "x.grib2").write_bytes(good[:60] + good + good[:-30])
+    rows = grib.messages(spark, str(tmp_path)).orderBy("offset").collect()
+    assert [(r["offset"], r["decode_error"] is None) for r in rows] == [(0, False), (60, True), (60 + len(good), False)]
