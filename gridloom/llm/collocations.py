@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +20,8 @@ from gridloom.llm._text import buffer
 #: Bytes of one language's text that make a chunk of the relations, and bytes of all languages that a task gathers before
 #: it writes them; only bound memory, no result depends on them.
 CHUNK_BYTES, HELD_BYTES = 1 << 22, 1 << 24
+#: Rounds in which the pairs of a length are counted: half of them lies in a shuffle at once.
+ROUNDS = 2
 #: Parts into which a language's candidates are dealt before its first ones are chosen.
 SALTS = 64
 LONGEST = 4
@@ -29,6 +34,7 @@ _LOWER[65:91] += 32
 
 _TEXTS = "chunk long, lang string, words array<string>, counts array<int>, places binary"
 _RELATION = "chunk long, places binary, ids binary"
+_COUNTED = "chunk long, heads binary, tails binary, ids binary, sums binary"
 
 
 def _places(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -69,7 +75,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.bincount(places[places >= 0], minlength=len(words)).astype(np.int32)
         made += 1
         one = lambda flat: pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
-        return pa.RecordBatch.from_arrays([pa.array([base + made]), pa.array([lang]), one(words), one(pa.array(counts)), pa.array([places.tobytes()])], names=["chunk", "lang", "words", "counts", "places"])
+        return pa.RecordBatch.from_arrays([pa.array([base + made]), pa.array([lang]), one(words), one(pa.array(counts)), pa.array([_packed(places)])], names=["chunk", "lang", "words", "counts", "places"])
 
     for batch in batches:
         lang = pc.fill_null(batch.column(0), "und")
@@ -100,22 +106,131 @@ def _joined(places: np.ndarray, n: int) -> np.ndarray:
     return np.where((left >= 0) & (right >= 0), left * max(n, 1) + right, -1)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct pair of a chunk's groups that lie at adjacent positions, with its number of occurrences."""
+def _pairs(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct pair of a chunk's groups that lie at adjacent positions, with its number of occurrences; of the
+    pairs whose turn it is."""
     for batch in batches:
         for chunk, raw, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-            places, ids = np.frombuffer(raw.as_buffer(), np.int32), np.frombuffer(known.as_buffer(), np.int64)
-            code = _joined(places, len(ids))
+            ids = _unpacked(known)
+            code = _joined(_unpacked(raw), len(ids))
             code, n = np.unique(code[code >= 0], return_counts=True)
             left, right = ids[code // max(len(ids), 1)] if len(code) else code, ids[code % max(len(ids), 1)] if len(code) else code
-            for a in range(0, len(code), 1 << 16):
+            mine = (left + right) % ROUNDS == turn
+            left, right, n = left[mine], right[mine], n[mine]
+            for a in range(0, len(n), 1 << 16):
                 part = slice(a, a + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(left[part]), pa.array(right[part]), pa.array(np.full(len(left[part]), chunk)), pa.array(n[part])], names=["head", "tail", "chunk", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(left[part]), pa.array(right[part]), pa.array(np.full(len(left[part]), chunk)), pa.array(n[part].astype(np.int32))], names=["head", "tail", "chunk", "n"])
     give_back()
 
 
+#: Entries that a task gathers before it writes a row for each chunk.
+_GATHER = 1 << 19
+
+
+class _Counter:
+    """Sums of the pairs of a task, which come in order; what is frequent goes back to its chunks.
+
+    A pair's rows wait until ``least`` occurrences are known, so fewer than that many; from then on they pass."""
+
+    def __init__(self, least: int, turn: int) -> None:
+        self.least, self.base, self.made = least, turn << 60 | TaskContext.get().partitionId() << 33, 0
+        self.found, self.groups, self.size = [], [], 0
+
+    def _out(self, keys: list[np.ndarray], chunk: np.ndarray | None) -> pa.RecordBatch:
+        if chunk is None:
+            cuts, chunk, name = [0, len(keys[0])], np.zeros(1, np.int64), [None]
+        else:
+            order = np.argsort(chunk, kind="stable")
+            keys, chunk = [k[order] for k in keys], chunk[order]
+            cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(chunk)]
+            name = chunk[cuts[:-1]].tolist()
+        columns = [pa.array([_packed(k[a:b], True) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()) for k in keys]
+        columns += [pa.nulls(len(name), pa.binary())] * (4 - len(columns))
+        return pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), *columns], names=["chunk", "heads", "tails", "ids", "sums"])
+
+    def _flush(self) -> Iterator[pa.RecordBatch]:
+        if self.found:
+            chunk, *keys = (np.concatenate(x) for x in zip(*self.found, strict=True))
+            if len(chunk):
+                yield self._out(keys, chunk)
+        if self.groups:
+            keys = [np.concatenate(x) for x in zip(*self.groups, strict=True)]
+            if len(keys[0]):
+                yield self._out(keys, None)
+        self.found, self.groups, self.size = [], [], 0
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] | None = None  # head, tail, chunk, n of the pair that may go on; one row of chunk -1, if it is frequent
+        known = -1
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                rows = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)]
+            elif waiting is None:
+                break
+            else:
+                rows = [np.empty(0, np.int64)] * 4
+            if waiting is not None:
+                rows = [np.concatenate(x) for x in zip(waiting, rows, strict=True)]
+            head, tail, chunk, n = rows
+            if not len(head):
+                continue
+            first = np.concatenate([[0], np.flatnonzero((np.diff(head) != 0) | (np.diff(tail) != 0)) + 1])
+            sums = np.add.reduceat(n, first)
+            good = sums >= self.least
+            ids = np.full(len(first), -1, np.int64)
+            ids[good] = self.base + self.made + np.arange(good.sum())
+            self.made += int(good.sum())
+            if known >= 0:
+                ids[0] = known
+            of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(head))))
+            keep = good[of] & (chunk >= 0)
+            self.found.append((chunk[keep], head[keep], tail[keep], ids[of[keep]]))
+            closed = good.copy()
+            if batch is not None:  # the last pair may go on
+                closed[-1], last = False, slice(first[-1], None)
+                known = int(ids[-1]) if good[-1] else -1
+                one = lambda x: np.array([x], np.int64)
+                waiting = [one(head[-1]), one(tail[-1]), one(-1), one(sums[-1])] if good[-1] else [x[last] for x in rows]
+            else:
+                waiting = None
+            self.groups.append((head[first[closed]], tail[first[closed]], ids[closed], sums[closed]))
+            self.size += int(keep.sum())
+            if self.size >= _GATHER:
+                yield from self._flush()
+            if batch is None:
+                break
+        yield from self._flush()
+        give_back()
+
+
+def _count(batches: Iterator[pa.RecordBatch], least: int, turn: int) -> Iterator[pa.RecordBatch]:
+    return _Counter(least, turn)(batches)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in zip(*[batch.column(i) for i in range(4)], strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(_unpacked(x)) for x in row], names=["head", "tail", "id", "f"])
+
+
+def _packed(x: np.ndarray, steps: bool = False) -> bytes:
+    """Integers, or the steps between them, in as few bytes as they need, compressed byte by byte of their significance."""
+    x = np.diff(np.asarray(x, np.int64), prepend=0) if steps else np.asarray(x, np.int64)
+    low, high = (int(x.min()), int(x.max())) if len(x) else (0, 0)
+    size = next(n for n in (1, 2, 4, 8) if -(1 << (8 * n - 1)) <= low and high < 1 << (8 * n - 1))
+    planes = x.astype(f"<i{size}").view(np.uint8).reshape(-1, size).T
+    return bytes([size, steps]) + zlib.compress(planes.tobytes(), 1)
+
+
+def _unpacked(raw: pa.Scalar) -> np.ndarray:
+    raw = raw.as_buffer()
+    size, steps = raw[0], raw[1]
+    x = np.ascontiguousarray(np.frombuffer(zlib.decompress(memoryview(raw)[2:]), np.uint8).reshape(size, -1).T).view(f"<i{size}").reshape(-1).astype(np.int64)
+    return np.cumsum(x) if steps else x
+
+
 def _relation(chunk: int, places: np.ndarray, ids: np.ndarray) -> pa.Table:
-    return pa.table({"chunk": pa.array([chunk]), "places": pa.array([places.astype(np.int32).tobytes()]), "ids": pa.array([ids.astype(np.int64).tobytes()])})
+    return pa.table({"chunk": pa.array([chunk]), "places": pa.array([_packed(places)]), "ids": pa.array([_packed(ids, True)])})
 
 
 _EMPTY = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("ids", pa.binary())]).empty_table()
@@ -129,7 +244,7 @@ def _word_relation(found: pa.Table, texts: pa.Table) -> pa.Table:
     """A chunk's occurrences of frequent words."""
     if not found.num_rows or not texts.num_rows:
         return _EMPTY
-    places = np.frombuffer(texts.column("places")[0].as_buffer(), np.int32)
+    places = _unpacked(texts.column("places")[0])
     local, ids = _column(found, "local"), _column(found, "id")
     new = np.full(max(int(local.max()), int(places.max(initial=-1))) + 2, -1, np.int64)
     new[local] = np.arange(len(local))
@@ -140,14 +255,15 @@ def _longer_relation(found: pa.Table, held: pa.Table) -> pa.Table:
     """A chunk's occurrences of frequent groups that are one word longer than those of ``held``."""
     if not found.num_rows or not held.num_rows:
         return _EMPTY
-    places, ids = np.frombuffer(held.column("places")[0].as_buffer(), np.int32), np.frombuffer(held.column("ids")[0].as_buffer(), np.int64)
+    ids, places = _unpacked(held.column("ids")[0]), _unpacked(held.column("places")[0])
     order = np.argsort(ids)
-    local = lambda name: order[np.searchsorted(ids, _column(found, name), sorter=order)]
-    code = local("head") * len(ids) + local("tail")
+    given = lambda name: np.concatenate([_unpacked(x) for x in found.column(name)])
+    local = lambda name: order[np.searchsorted(ids, given(name), sorter=order)]
+    code = local("heads") * len(ids) + local("tails")
     by = np.argsort(code)
     here = _joined(places, len(ids))
     at = np.minimum(np.searchsorted(code[by], here), len(code) - 1)
-    return _relation(held.column("chunk")[0].as_py(), np.where(code[by][at] == here, by[at], -1), _column(found, "id"))
+    return _relation(held.column("chunk")[0].as_py(), np.where(code[by][at] == here, by[at], -1), given("ids"))
 
 
 def _numbered(groups: DataFrame, scratch: Scratch, label: str) -> DataFrame:
@@ -162,8 +278,8 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 30, longest
 
     Set-oriented mining: the relation of a length holds the occurrences of its frequent groups, sorted by text, piece and
     position, in chunks of some MB of one language. It is merge-joined with itself by piece and adjacent position; pairs
-    are counted in the chunk, then over all chunks; the pairs of a chunk are semi-joined with the frequent ones, and what
-    is left is the next relation. Groups are told by numbers given to their words' text, never by hashes. Relations and
+    are counted in the chunk, then sorted and counted over all chunks, where a pair has a row for each chunk at most; the
+    frequent ones go back to their chunks, whose relation is semi-joined with them: the next relation. Groups are told by numbers given to their words' text, never by hashes. Relations and
     counts are tables in the shared folder.
     """
     spark = docs.sparkSession
@@ -176,12 +292,17 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 30, longest
     none = F.lit(None).cast("long")
     frequent = frequent.select("id", "lang", "phrase", "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
     found = words.join(frequent.select("lang", "phrase", "id"), ["lang", "phrase"]).select(F.col("chunk").alias("of"), "local", "id")
-    held = scratch.keep(found.groupBy("of").cogroup(texts.select("chunk", "places").groupBy("chunk")).applyInArrow(_word_relation, _RELATION), "relation")
+    held = scratch.keep(found.groupBy("of").cogroup(texts.select("chunk", "places").groupBy("chunk")).applyInArrow(_word_relation, _RELATION), "relation-1")
     scratch.drop("texts")
     levels = [frequent]
     for length in range(2, longest + 1):
-        pairs = held.mapInArrow(_pairs, "head long, tail long, chunk long, n long")
-        new = _numbered(pairs.groupBy("head", "tail").agg(F.sum("n").alias("f")).where(F.col("f") >= least), scratch, "counts")
+        counted = None
+        for turn in range(ROUNDS):
+            pairs = held.mapInArrow(partial(_pairs, turn=turn), "head long, tail long, chunk long, n int")
+            sums = pairs.repartition("head", "tail").sortWithinPartitions("head", "tail").mapInArrow(partial(_count, least=least, turn=turn), _COUNTED)
+            sums = scratch.keep(sums, f"pairs-{length}")
+            counted = sums if counted is None else counted.unionByName(sums)
+        new = counted.where("chunk is null").select("heads", "tails", "ids", "sums").mapInArrow(_groups, "head long, tail long, id long, f long")
         side = lambda which, key: frequent.select(F.col("id").alias(which), "lang", "phrase", key) if which == "head" else frequent.select(F.col("id").alias(which), F.col("phrase").alias("last"), key)
         groups = new.join(side("head", "heads"), "head").join(side("tail", "tails"), "tail")
         last = F.substring_index("last", " ", -1)
@@ -189,8 +310,11 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 30, longest
         frequent = scratch.keep(groups.select("id", "lang", F.concat_ws(" ", "phrase", last).alias("phrase"), "f", grown("heads"), grown("tails"), "head", "tail"), "groups")
         levels.append(frequent)
         if length < longest:
-            left = pairs.join(new.select("head", "tail", "id"), ["head", "tail"]).select(F.col("chunk").alias("of"), "head", "tail", "id")
-            held = scratch.keep(left.groupBy("of").cogroup(held.groupBy("chunk")).applyInArrow(_longer_relation, _RELATION), "relation")
+            left = counted.where("chunk is not null").select(F.col("chunk").alias("of"), "heads", "tails", "ids")
+            longer = left.groupBy("of").cogroup(held.groupBy("chunk")).applyInArrow(_longer_relation, _RELATION)
+            held = scratch.keep(longer, f"relation-{length}")
+        scratch.drop(f"pairs-{length}")
+        scratch.drop(f"relation-{length - 1}")
     return total, levels
 
 

@@ -83,6 +83,15 @@ def test_places_are_chunked_by_size(monkeypatch):
     assert len({c["chunk"] for c in chunks}) == len(chunks) > 3
 
 
+def test_packed_numbers():
+    import numpy as np
+    import pyarrow as pa
+
+    for x in ([], [0], [-1, 127], [-1, 128, 3], [2**40, 5, -7], [1 << 60 | 5 << 33, (1 << 60 | 5 << 33) + 1]):
+        for steps in (False, True):
+            assert C._unpacked(pa.scalar(C._packed(np.array(x, np.int64), steps), pa.binary())).tolist() == x
+
+
 def test_empty_table_repeated_rows_and_clashing_names(spark):
     assert C.collocations(spark.createDataFrame([], "lang string, text string")).count() == 0
     assert C.collocations(spark.createDataFrame([(None, None)], "lang string, text string")).count() == 0
