@@ -292,8 +292,10 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, least: int = 30, longest
     none = F.lit(None).cast("long")
     frequent = frequent.select("id", "lang", "phrase", "f", F.array("f").alias("heads"), F.array("f").alias("tails"), none.alias("head"), none.alias("tail"))
     found = words.join(frequent.select("lang", "phrase", "id"), ["lang", "phrase"]).select(F.col("chunk").alias("of"), "local", "id")
+    found = scratch.keep(found, "found")  # the words' shuffles go before the texts are dealt
     held = scratch.keep(found.groupBy("of").cogroup(texts.select("chunk", "places").groupBy("chunk")).applyInArrow(_word_relation, _RELATION), "relation-1")
     scratch.drop("texts")
+    scratch.drop("found")
     levels = [frequent]
     for length in range(2, longest + 1):
         counted = None
