@@ -42,6 +42,17 @@ def overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zero.unionByName(one)
 
 
+def dealt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cycle dealt to three files: the first as dataset 0 of ``overlapping``, the second with every other variable,
+    negated, the third with all, doubled."""
+    first = overlapping(spark, sf_dir).where("dataset_ord = 0").drop("dataset_ord")
+    base = blocks(spark, sf_dir)
+    number = F.array_position(F.array(*map(F.lit, (*B.SURFACE, *NAMES))), F.col("variable"))
+    times = lambda df, k: df.withColumn("values", F.transform("values", lambda x: (x * F.lit(float(k))).cast("float")))
+    name = lambda df, k: df.withColumn("source_file", F.concat("date", F.substring("run", 1, 2), F.lit(f"0000-0h-oper-f{k}.grib2")))
+    return name(first, 0).unionByName(name(times(base.where(number % 2 == 0), -1), 1)).unionByName(name(times(base, 2), 2))
+
+
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as objects of a listing, some without a run in the key, some no forecasts."""
     hour = F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0")

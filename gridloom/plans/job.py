@@ -17,7 +17,8 @@ from gridloom.sources import grib
 def run(spark: SparkSession, source: str, base: str, tensor_base: str | None = None, default_date: str = "19700101") -> DataFrame:
     """Publishes all GRIB2 files below ``source`` to ``base`` (and tensors to ``tensor_base``) and returns the manifest."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(source)
-    return _publish(files.select("path"), grib.read_fields(spark, source, default_date), base, tensor_base, default_date, grib.qualified(spark, source))
+    root = grib.qualified(spark, source)
+    return _publish(_listed(files, default_date, root), _keyed(grib.read_fields(spark, source, default_date), root), base, tensor_base)
 
 
 def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, default_date: str = "19700101", root: str = "") -> DataFrame:
@@ -27,30 +28,49 @@ def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, d
     manifest: one row a file with date, run, lead, n_fields, missing, n_errors (fields that couldn't be decoded), n_rows,
     n_values, n_variables, bytes and status: ok; incomplete, if a field lacks: then nothing of the file is published.
     """
-    return _publish(files.select("path"), grib.decode(files, default_date), base, tensor_base, default_date, root)
+    return _publish(_listed(files, default_date, root), _keyed(grib.decode(files, default_date), root), base, tensor_base)
 
 
-def _publish(paths: DataFrame, fields: DataFrame, base: str, tensor_base: str | None, default_date: str, root: str) -> DataFrame:
-    spark = paths.sparkSession
+def publish_cycles(fields: DataFrame, base: str, tensor_base: str | None = None, each: tuple[str, ...] = ("variable", "level")) -> DataFrame:
+    """The same for the fields of several files, published by cycle: all files of one date, run and lead are one source,
+    ``DATE/RUN/LEAD``. Of files that have the same field (or variable, as ``each`` tells) the one with the least key gives it."""
+    fields = grib.by_cycle(fields)
+    listed = fields.select("source_file", "date", "run", "lead").distinct()
+    return _publish(listed, fields, base, tensor_base, each)
+
+
+def _keyed(fields: DataFrame, root: str) -> DataFrame:
+    return fields.withColumn("source_file", K.relative_key(F.col("source_file"), root))
+
+
+def _listed(files: DataFrame, default_date: str, root: str) -> DataFrame:
+    date, run = K.effective_date_run(F.col("path"), F.lit(""), F.lit(""), default_date)
+    lead = F.split_part(K.base_name(F.col("path")), F.lit("-"), F.lit(2))
+    return files.select(K.relative_key(F.col("path"), root).alias("source_file"), date.alias("date"), run.alias("run"), lead.alias("lead"))
+
+
+def _publish(listed: DataFrame, fields: DataFrame, base: str, tensor_base: str | None, each: tuple[str, ...] = ("variable",)) -> DataFrame:
+    spark = fields.sparkSession
     with Scratch(spark) as scratch:
         # decoded once, and merged once: the checks, the rows, the tensors and the manifest read these
-        blocks = scratch.keep(fields.withColumn("source_file", K.relative_key(F.col("source_file"), root)), "fields")
-        whole = scratch.keep(B.complete_only(grib.merged(blocks)), "merged")
+        blocks = scratch.keep(fields, "fields")
+        whole = scratch.keep(B.complete_only(grib.merged(blocks, each)), "merged")
         P.publish_blocks(whole, base)
         if tensor_base:
             P.export_npy(T.tensors(whole), tensor_base)
-        return kept(_manifest(paths, blocks, whole, base, default_date, root), "manifest")
+        return kept(_manifest(listed, blocks, whole, base), "manifest")
 
 
-def _manifest(paths: DataFrame, blocks: DataFrame, whole: DataFrame, base: str, default_date: str, root: str) -> DataFrame:
-    date, run = K.effective_date_run(F.col("path"), F.lit(""), F.lit(""), default_date)
-    lead = F.split_part(K.base_name(F.col("path")), F.lit("-"), F.lit(2))
-    listed = paths.select(K.relative_key(F.col("path"), root).alias("source_file"), date.alias("date"), run.alias("run"), lead.alias("lead"))
+def _manifest(listed: DataFrame, blocks: DataFrame, whole: DataFrame, base: str) -> DataFrame:
+    spark = listed.sparkSession
     errors = blocks.groupBy("source_file").agg(F.count(F.when(F.col("decode_error").isNotNull(), 1)).alias("n_errors"))
     fields = B.completeness(blocks.where("decode_error is null").withColumn("cycle", F.col("source_file"))).withColumnRenamed("cycle", "source_file")
     rows = P.block_manifest(whole)
-    sizes = P.published_bytes(paths.sparkSession, base).join(listed.select("source_file"), "source_file", "left_semi") if _exists(paths.sparkSession, base) else rows.select("source_file", F.lit(None).cast("long").alias("bytes")).limit(0)
-    out = listed.join(errors, "source_file", "left").join(fields, "source_file", "left").join(rows, "source_file", "left").join(sizes, "source_file", "left")
+    out = listed.join(errors, "source_file", "left").join(fields, "source_file", "left").join(rows, "source_file", "left")
+    if _exists(spark, base):
+        out = out.join(P.published_bytes(spark, base), "source_file", "left")
+    else:
+        out = out.withColumn("bytes", F.lit(0))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     good = F.coalesce("complete", F.lit(False))
     return out.select("source_file", "date", "run", "lead", zero("n_fields"), F.coalesce("missing", F.lit("all")).alias("missing"), zero("n_errors"),

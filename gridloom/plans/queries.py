@@ -451,6 +451,21 @@ def reduced_grid(spark, d):
     return cells.select("source_file", "variable", "level", F.floor(F.col("pos") / 12).cast("int").alias("row"), "longitude", "value")
 
 
+_DEALT = """, k AS (SELECT *, list_position(['msl','u10','v10','t2m','gh','q','t','u','v'], variable) AS no FROM c),
+u AS (SELECT 0 AS o, * FROM k WHERE no % 3 <> 0 AND NOT (vec_id % 5 = 0 AND pos < 8) UNION ALL SELECT 1, * REPLACE (CAST(-value AS FLOAT) AS value) FROM k WHERE no % 2 = 0 UNION ALL SELECT 2, * REPLACE (CAST(2 * value AS FLOAT) AS value) FROM k),
+v AS (SELECT cycle, variable, min(o) AS low FROM u GROUP BY ALL), w AS (SELECT u.* FROM u JOIN v ON u.cycle = v.cycle AND u.variable = v.variable AND u.o = v.low),
+p AS (SELECT DISTINCT cycle, latitude, longitude FROM w), n AS (SELECT DISTINCT cycle, date, run, variable, level FROM w)"""
+
+
+@query(_with(X.FIELDS_SQL, _DEALT + """ SELECT n.date || '/' || n.run || '/0h' AS cycle, n.variable, n.level, p.latitude, p.longitude, w.value FROM p JOIN n ON p.cycle = n.cycle
+LEFT JOIN w ON w.cycle = n.cycle AND w.variable = n.variable AND w.level IS NOT DISTINCT FROM n.level AND w.latitude = p.latitude AND w.longitude = p.longitude"""))
+def merge_files(spark, d):
+    """Cycles that lie in three files each: the first file that has a variable gives it, on the union of the grids."""
+    archive = scratch_path(spark, "archive")
+    J.write_files(X.dealt(spark, d), archive, "ieee").write.format("noop").mode("overwrite").save()
+    return B.cells(G.merged(G.by_cycle(G.read_fields(spark, archive)))).select(*CELLS, "value")
+
+
 @query(_with(X.FIELDS_SQL, f"""SELECT {_NAME} AS source_file, date, run, '0h' AS lead, n_fields, CASE WHEN n_fields = 69 THEN 'ok' ELSE 'incomplete' END AS status, CAST(0 AS BIGINT) AS n_errors,
  CAST(CASE WHEN n_fields = 69 THEN 69 * 64 ELSE 0 END AS BIGINT) AS n_rows, CAST(CASE WHEN n_fields = 69 THEN 9 ELSE 0 END AS BIGINT) AS n_variables, n_fields = 69 AS has_bytes
  FROM (SELECT cycle, date, run, count(*) AS n_fields FROM b GROUP BY ALL)"""))

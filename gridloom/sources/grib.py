@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import struct
@@ -11,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import StructType
@@ -294,12 +295,16 @@ class MessageReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType) -> None:
         self.path, self.names = options["path"], schema.fieldNames()
         self.split = int(options.get("split", SPLIT))
+        self.paths = json.loads(options["files"]) if "files" in options else None
         listed = lambda name: {x for x in options[name].split(",") if x} if name in options else None
         self.variables, levels, self.runs = listed("variables"), listed("levels"), listed("runs")
         self.levels = {None if x == "surface" else float(x) for x in levels} if levels is not None else None
 
     def partitions(self) -> list[InputPartition]:
         files, base = store(self.path)
+        if self.paths is not None:
+            infos = files.get_file_info([store(p)[1] for p in self.paths])
+            return [Range(x.path, a, a + self.split, x.size) for x in infos for a in range(0, x.size, self.split)] or [Range("", 0, 0, 0)]
         found = files.get_file_info(base)
         if found.type == fs.FileType.NotFound:
             raise FileNotFoundError(self.path)
@@ -355,7 +360,8 @@ class PushingReader(MessageReader):
 class GribSource(DataSource):
     """``spark.read.format("grib2")``: a row for each field of the .grib2 files at or below a path, which pyarrow can open.
 
-    Options: variables, levels ("surface" for none) and runs, lists with commas of what to read; split, bytes of a file to a
+    Options: variables, levels ("surface" for none) and runs, lists with commas of what to read; files, a JSON list of files
+    instead of all below the path; split, bytes of a file to a
     partition; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
     MESSAGES or a part given by ``.schema()``: without values and decode_error, no data section is read. Files may have any size.
     """
@@ -415,14 +421,39 @@ def read_fields(spark: SparkSession, path: str, default_date: str = "19700101",
     return rows
 
 
+def read_files(spark: SparkSession, paths: list[str], default_date: str = "19700101") -> DataFrame:
+    """Blocks of the files named, of one store."""
+    if _opens(paths[0]):
+        spark.dataSource.register(GribSource)
+        rows = spark.read.format("grib2").option("files", json.dumps(paths)).load(paths[0])
+        order = Window.partitionBy("source_file", "variable", "level").orderBy("offset")
+        return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date)
+    return decode(spark.read.format("binaryFile").load(paths), default_date)
+
+
 def read_merged(spark: SparkSession, path: str, default_date: str = "19700101", variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None) -> DataFrame:
     """The merged dataset of each file: decoded fields without dropped coordinates, of the first dataset that has them, on
     one regular grid, from north to south."""
     return merged(read_fields(spark, path, default_date, variables, levels))
 
 
-def merged(blocks: DataFrame) -> DataFrame:
+def merged(blocks: DataFrame, each: tuple[str, ...] = ("variable",)) -> DataFrame:
+    """Decoded blocks merged by cycle: of datasets that have the same variable, or what ``each`` names, the first gives it."""
     from gridloom.operators import fields as B
 
     good = blocks.where("decode_error is null").drop("decode_error")
-    return B.lat_descending(B.align_blocks(B.first_wins(B.drop_coords(B.regular_grid(good)))))
+    return B.lat_descending(B.align_blocks(B.first_wins(B.drop_coords(B.regular_grid(good)), ["cycle", *each])))
+
+
+def by_cycle(blocks: DataFrame, priority: Column | None = None) -> DataFrame:
+    """Blocks of several files as datasets of one cycle, ``DATE/RUN/LEAD``, which becomes their source_file. Datasets are in the
+    order of ``priority`` (of the file), then of the file's key, then as they are in the file.
+
+    Only the names of files and datasets are ordered; blocks stay where they are and get their number by a join."""
+    cycle = F.concat_ws("/", "date", "run", "lead")
+    rank = priority if priority is not None else F.lit(0)
+    names = blocks.select(cycle.alias("cycle"), "source_file", "dataset_ord", rank.alias("_rank")).distinct()
+    order = Window.partitionBy("cycle").orderBy("_rank", "source_file", "dataset_ord")
+    names = names.withColumn("_ord", (F.row_number().over(order) - 1).cast("int")).select("source_file", "dataset_ord", "_ord")
+    out = blocks.join(names, ["source_file", "dataset_ord"]).withColumn("dataset_ord", F.col("_ord")).drop("_ord")
+    return out.withColumn("cycle", cycle).withColumn("source_file", cycle)
