@@ -115,7 +115,7 @@ def with_next(docs: DataFrame, order: str, columns: list[str]) -> DataFrame:
     """Adds ``next``, a struct of ``columns`` of the next row in descending ``order`` (nulls last), the first one's after the last.
 
     Ids are dealt to ranges between percentiles; a range's first row is also given to the range above it, so that a
-    window within each range finds all successors. Only one row a range is broadcast.
+    window within each range finds all successors. Ranges are ordered within 64 parts of the ids.
     """
     key = F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 63)))
     steps = 64
@@ -129,11 +129,17 @@ def with_next(docs: DataFrame, order: str, columns: list[str]) -> DataFrame:
     span = F.coalesce(F.least(F.greatest(part, F.lit(0)), F.lit(fine - 1)), F.lit(0))
     safe = F.when((low > -(1 << 62)) & (high < (1 << 62)), span).otherwise(F.lit(0))  # no overflow of the differences
     rows = docs.withColumn("_key", key).withColumn("_range", coarse.cast("long") * fine + safe)
-    heads = rows.select("_key", "_range").groupBy("_range").agg(F.max("_key").alias("_head"))
-    every = Window.partitionBy(F.lit(0)).orderBy("_range")  # one row a range
-    above = F.coalesce(F.lead("_range").over(every), F.min("_range").over(Window.partitionBy(F.lit(0)))).alias("_above")
-    heads = heads.select("_head", above)
-    rows = rows.join(F.broadcast(heads), F.col("_key") == F.col("_head"), "left")
+    heads = rows.groupBy("_range").agg(F.max("_key").alias("_head")).withColumn("_part", F.floor(F.col("_range") / fine))
+    # the range above is the next one of the same part; above a part's last one it is the first one of the next part
+    firsts = dict(heads.groupBy("_part").agg(F.min("_range")).collect())  # a row for each part, ``steps`` + 2 at most
+    after, following = {}, min(firsts.values(), default=0)
+    for part, first in sorted(firsts.items(), reverse=True):
+        after[part], following = following, first
+    over = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in after.items() for x in pair]), F.col("_part")) if after else F.lit(None).cast("long")
+    above = F.coalesce(F.lead("_range").over(Window.partitionBy("_part").orderBy("_range")), over).alias("_above")
+    heads = heads.select(F.col("_range").alias("_of"), "_head", above)
+    # Spark broadcasts the heads where they are small, and else joins by key
+    rows = rows.join(heads, (F.col("_range") == F.col("_of")) & (F.col("_key") == F.col("_head")), "left").drop("_of")
     own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("ghost"))
     ghost = F.when(F.col("_above").isNotNull(), F.struct(F.col("_above").alias("r"), F.lit(True).alias("ghost")))
     rows = rows.withColumn("_at", F.explode(F.array_compact(F.array(own, ghost)))).withColumn("_r", F.col("_at.r")).withColumn("_ghost", F.col("_at.ghost"))

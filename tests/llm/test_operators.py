@@ -196,6 +196,20 @@ def test_order_minhash_is_that_of_all_permutations(docs):
     assert [i for i, t in enumerate(texts) if got[i] != _plain_signature(t)] == []
 
 
+def test_order_minhash_puts_nothing_in_one_task(spark, monkeypatch):
+    """The next row is found with ranges of few rows too, and no plan gathers all rows or is told to broadcast."""
+    ids = list(range(0, 900, 3)) + [None, None, -5]
+    rows = spark.createDataFrame([(i, f"text number {i} {n}") for n, i in enumerate(ids)], "doc_id long, text string")
+    want = [t for _, t in sorted(rows.collect(), key=lambda r: (-(r[0] if r[0] is not None else -(1 << 63)), r[1]))]
+    for size in (4, 64, 4096):
+        monkeypatch.setattr(order_minhash, "RANGE_ROWS", size)
+        out = order_minhash.with_next(rows, "doc_id", ["text"])
+        plan = out._jdf.queryExecution()
+        assert "SinglePartition" not in plan.executedPlan().toString() and "hint" not in plan.analyzed().toString().lower()
+        got = {r["text"]: r["next"]["text"] for r in out.collect()}
+        assert got == dict(zip(want, want[1:] + want[:1], strict=True))
+
+
 def test_order_minhash_tells_edits_from_other_orders(docs):
     r = random.Random(3)
     words = [f"v{r.randrange(400)}" for _ in range(400)]
