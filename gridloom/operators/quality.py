@@ -134,6 +134,11 @@ def dim_mean(cells: DataFrame, keep: list[str]) -> DataFrame:
     return cells.groupBy(*keep).agg(F.avg(F.col("value").cast("double")).alias("mean"))
 
 
+def write_report(stats: DataFrame, key: str, path: str) -> None:
+    """The report as text below ``path``, its lines in the order of ``key``: one line for each method."""
+    text_report(stats, key).orderBy(key).select("line").write.mode("overwrite").text(path)
+
+
 #: Bytes of sums that a task holds before it sends them on.
 HELD_BYTES = 256 << 20
 

@@ -16,6 +16,7 @@ from gridloom.plans import fixtures as X
 from gridloom.plans import job as J
 from gridloom.plans import publish as P
 from gridloom.plans.scratch import Scratch, scratch_path
+from gridloom.plans.snapshots import Snapshots
 from gridloom.sources import catalog as C
 from gridloom.sources import grib as G
 
@@ -117,6 +118,15 @@ def tidy_consolidated(spark, d):
     return _published(spark, d)
 
 
+@query(_with(X.FIELDS_SQL, f"SELECT {_TIDY.replace('value', 'CASE WHEN cycle % 2 = 0 THEN CAST(-value AS FLOAT) ELSE value END AS value')}, date[:4] AS year, date[5:6] AS month, date[7:8] AS day, source_file FROM z {_COMPLETE}"))
+def snapshot_rows(spark, d):
+    """All complete cycles are published as a snapshot, and every other one again, negated, as the next."""
+    snapshots, blocks = Snapshots(spark, scratch_path(spark, "snapshots")), B.complete_only(X.blocks(spark, d))
+    snapshots.publish(blocks)
+    snapshots.publish(blocks.where("cycle % 2 = 0").withColumn("values", F.transform("values", lambda x: -x)))
+    return snapshots.read()
+
+
 @query(_with(X.FIELDS_SQL, f"SELECT run, variable, latitude, longitude, value FROM z {_COMPLETE} WHERE run = '06z' AND (variable = 't2m' OR (variable = 'z' AND level = 500))"))
 def tidy_scan_filter(spark, d):
     rows = _published(spark, d).where("run = '06z'").where("variable = 't2m' OR (variable = 'z' AND isobaricInhPa = 500)")
@@ -327,6 +337,15 @@ def bench_report(spark, d):
     return Q.text_report(Q.sample_stats(e, "method", "value"), "method")
 
 
+@query("SELECT format('{:<16s} {:>10d} {:>14.3f} {:>14.3f}', event_type, count(value), round(avg(value), 3), round(stddev_samp(value), 3)) AS line FROM events GROUP BY event_type")
+def bench_report_file(spark, d):
+    """The report as a text file, read back."""
+    e = spark.read.parquet(f"{d}/events.parquet").select(F.col("event_type").alias("method"), "value")
+    path = scratch_path(spark, "report")
+    Q.write_report(Q.sample_stats(e, "method", "value"), "method", path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query(_with(X.FIELDS_SQL, "SELECT variable, level, latitude, longitude, round(avg(value::DOUBLE), 6) AS mean FROM c GROUP BY ALL"))
 def dim_mean(spark, d):
     return Q.block_mean(X.blocks(spark, d), CELLS[1:3]).select(*CELLS[1:], F.round("mean", 6).alias("mean"))

@@ -255,8 +255,11 @@ def decode(files: DataFrame, default_date: str = "19700101") -> DataFrame:
 # Message by message, for stores that pyarrow opens
 
 
-def store(path: str) -> tuple[fs.FileSystem, str]:
+def store(path: str, anonymous: bool = False, region: str | None = None) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path in it; an ``anonymous`` one sends no credentials to a public bucket."""
     path = re.sub(r"^s3[an]:", "s3:", path)
+    if anonymous and path.startswith("s3:"):
+        return fs.S3FileSystem(anonymous=True, region=region), re.sub(r"^s3:/*", "", path)
     return fs.FileSystem.from_uri(path) if re.match(r"\w+:/", path) else (fs.LocalFileSystem(), path)
 
 
@@ -294,6 +297,7 @@ class MessageReader(DataSourceReader):
 
     def __init__(self, options: dict, schema: StructType) -> None:
         self.path, self.names = options["path"], schema.fieldNames()
+        self.access = {"anonymous": options.get("anonymous", "false") == "true", "region": options.get("region")}
         self.split = int(options.get("split", SPLIT))
         self.paths = json.loads(options["files"]) if "files" in options else None
         listed = lambda name: {x for x in options[name].split(",") if x} if name in options else None
@@ -301,9 +305,9 @@ class MessageReader(DataSourceReader):
         self.levels = {None if x == "surface" else float(x) for x in levels} if levels is not None else None
 
     def partitions(self) -> list[InputPartition]:
-        files, base = store(self.path)
+        files, base = store(self.path, **self.access)
         if self.paths is not None:
-            infos = files.get_file_info([store(p)[1] for p in self.paths])
+            infos = files.get_file_info([store(p, **self.access)[1] for p in self.paths])
             return [Range(x.path, a, a + self.split, x.size) for x in infos for a in range(0, x.size, self.split)] or [Range("", 0, 0, 0)]
         found = files.get_file_info(base)
         if found.type == fs.FileType.NotFound:
@@ -322,7 +326,7 @@ class MessageReader(DataSourceReader):
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         if not partition.path:
             return
-        files, _ = store(self.path)
+        files, _ = store(self.path, **self.access)
         prefix = self.path[: self.path.index(":") + 1] if re.match(r"\w+:/", self.path) else ""
         name = partition.path if not prefix else f"{prefix}{'' if prefix == 'file:' else '//'}{partition.path}"
         with files.open_input_file(partition.path) as file:
@@ -362,7 +366,7 @@ class GribSource(DataSource):
 
     Options: variables, levels ("surface" for none) and runs, lists with commas of what to read; files, a JSON list of files
     instead of all below the path; split, bytes of a file to a
-    partition; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
+    partition; anonymous and region, for a public bucket; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
     MESSAGES or a part given by ``.schema()``: without values and decode_error, no data section is read. Files may have any size.
     """
 
@@ -431,6 +435,16 @@ def read_files(spark: SparkSession, paths: list[str], default_date: str = "19700
     return decode(spark.read.format("binaryFile").load(paths), default_date)
 
 
+def read_public(spark: SparkSession, bucket: str, date: str, run: str, prefix: str = "", lead: str = "0h", region: str | None = None) -> DataFrame:
+    """Blocks of the file that a public archive has for a date and run (00z), read without credentials."""
+    spark.dataSource.register(GribSource)
+    key = spark.range(1).select(K.candidate_key(F.lit(prefix), F.lit(date), K.normalize_run(F.lit(run)), lead)).first()[0]
+    reader = spark.read.format("grib2").option("anonymous", "true")
+    rows = (reader.option("region", region) if region else reader).load(f"s3://{bucket}/{key}")
+    order = Window.partitionBy("variable", "level").orderBy("offset")
+    return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), date)
+
+
 def read_merged(spark: SparkSession, path: str, default_date: str = "19700101", variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None) -> DataFrame:
     """The merged dataset of each file: decoded fields without dropped coordinates, of the first dataset that has them, on
     one regular grid, from north to south."""

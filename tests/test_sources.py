@@ -230,8 +230,8 @@ def test_only_the_wanted_message_is_read(tmp_path, monkeypatch):
     plain = grib.store
     stores = []
 
-    def store(path):
-        inner, local = plain(path)
+    def store(path, **more):
+        inner, local = plain(path, **more)
         stores.append(Counting(inner))
         return stores[-1], local
 
@@ -295,3 +295,21 @@ def test_damage_is_reported_and_passed(spark, tmp_path):
     (tmp_path / "x.grib2").write_bytes(good[:60] + good + good[:-30])
     rows = grib.messages(spark, str(tmp_path)).orderBy("offset").collect()
     assert [(r["offset"], r["decode_error"] is None) for r in rows] == [(0, False), (60, True), (60 + len(good), False)]
+
+
+def test_a_public_bucket_is_read_without_credentials(tmp_path, monkeypatch):
+    asked = []
+
+    class Public:
+        def __new__(cls, **options):
+            asked.append(options)
+            return grib.fs.SubTreeFileSystem(str(tmp_path), grib.fs.LocalFileSystem())
+
+    monkeypatch.setattr(grib.fs, "S3FileSystem", Public)
+    (tmp_path / "bucket").mkdir()
+    (tmp_path / "bucket" / "x.grib2").write_bytes(grib.encode("t2m", None, LATS, LONS, FIELD.reshape(-1)))
+    names = StructType([StructField("source_file", StringType()), StructField("variable", StringType())])
+    reader = grib.MessageReader({"path": "s3a://bucket/x.grib2", "anonymous": "true", "region": "eu-central-1"}, names)
+    (part,) = reader.partitions()
+    assert [b.to_pylist() for b in reader.read(part)] == [[{"source_file": "s3a://bucket/x.grib2", "variable": "t2m"}]]
+    assert asked == [{"anonymous": True, "region": "eu-central-1"}] * 2
