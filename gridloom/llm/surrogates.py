@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from gridloom.llm._shared import free, materialize
 
 EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}"
-IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
+IP = r"(?<![\d.])(?<![vV])(?<![vV]ersion )(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)"
 CARD = r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"
-PHONE = r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d)|(?<![\d.-])(?<!\d )\d{3}[ .-]\d{3}[ .-]\d{4}(?![ .-]?\d)|(?<![\d.-])(?<!\d )0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,4}){0,2}(?![ .-]?\d)"
+PHONE = r"(?<![\d(])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d){7,12}(?!\d)|(?<![\d.-])(?<!\d )\d{3}[ .-]\d{3}[ .-]\d{4}(?![ .-]?\d)|(?<![\d.-])(?<!\d )(?<![vV]ersion )(?=0(?:[ /-]?\d){8})0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,4}){0,2}(?![ .-]?\d)"
 #: Social security numbers, and IPv6 addresses with eight groups or with ::.
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-IP6 = r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}:){0,5}[0-9A-Fa-f]{1,4})(?![\w:.]*\w)"
+IP6 = r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}:){0,5}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){1,6}::(?!:))(?![\w:.]*\w)"
 #: International bank account numbers, whole or in groups of four.
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?!\w)"
 MALE_TITLES, FEMALE_TITLES = ("Mr", "Herr", "Señor", "Sr", "Monsieur"), ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme")
@@ -45,6 +45,34 @@ def kind_of(m: Column) -> Column:
     return F.when(m.contains("@"), "email").when(m.rlike(f"^(?:{IP})$"), "ip").when(m.rlike(f"^(?:{IP6})$"), "ip6").when(m.rlike(f"^(?:{SSN})$"), "ssn").when(m.rlike(f"^(?:{IBAN})$"), "iban").when(m.rlike(r"^\d[\d -]*$") & (digits >= 13), "card").when(m.rlike(r"\d"), "phone").otherwise("name")
 
 
+def _luhn(digits: Column) -> Column:
+    """The sum that a card number's check digit makes a multiple of ten."""
+    turned = F.transform(F.reverse(F.split(digits, "")), lambda c: c.cast("int"))
+    return F.aggregate(F.transform(turned, lambda d, i: F.when(i % 2 == 0, d).when(d > 4, d * 2 - 9).otherwise(d * 2)), F.lit(0), lambda a, d: a + d)
+
+
+def _mod97(account: Column) -> Column:
+    """An account number, its country and check digits behind it, modulo 97; a letter counts as two digits."""
+    turned = F.concat(F.substring(account, 5, 40), F.substring(account, 1, 4))
+    value = lambda c: F.when(c.rlike(r"\d"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+    return F.aggregate(F.split(turned, ""), F.lit(0), lambda a, c: F.pmod(F.when(c.rlike(r"\d"), a * 10).otherwise(a * 100) + value(c), F.lit(97)).cast("int"))
+
+
+def valid(kind: Column, m: Column) -> Column:
+    """Whether a mention is what its form says: cards and accounts by their check digits, so that book numbers, timestamps and
+    order numbers stay; an IPv6 address has a digit, so that names with :: in programs stay."""
+    return F.when(kind == "card", _luhn(F.regexp_replace(m, r"\D", "")) % 10 == 0).when(kind == "iban", _mod97(F.regexp_replace(m, " ", "")) == 1).when(kind == "ip6", m.rlike(r"\d")).otherwise(F.lit(True))
+
+
+def _groups(m: Column) -> Column:
+    """The eight groups of an IPv6 address, without leading zeros."""
+    cut = lambda c: F.filter(F.split(c, ":"), lambda g: g != "")
+    low = F.lower(m)
+    left, right = cut(F.substring_index(low, "::", 1)), cut(F.when(low.contains("::"), F.substring_index(low, "::", -1)).otherwise(F.lit("")))
+    whole = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0))), right)
+    return F.transform(whole, lambda g: F.regexp_replace(g, "^0+(?=.)", ""))
+
+
 def canonical(kind: Column, m: Column) -> Column:
     """What all mentions of an entity have in common."""
     bare = F.regexp_replace(m, rf"^(?:{_TITLE})\.? ", "")
@@ -53,7 +81,7 @@ def canonical(kind: Column, m: Column) -> Column:
     digits = F.regexp_replace(m, r"\D", "")
     # a number of the North American plan is the same with and without its country code
     national = F.when(m.startswith("+1") & (F.length(digits) == 11), F.substring(digits, 2, 10)).otherwise(digits)
-    return F.when(kind == "phone", national).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.regexp_replace(m, " ", "")).when(kind == "ip", m).when(kind == "ip6", F.lower(m)).when(kind == "email", F.lower(m)).otherwise(name)
+    return F.when(kind == "phone", national).when(kind.isin("card", "ssn"), digits).when(kind == "iban", F.regexp_replace(m, " ", "")).when(kind == "ip", m).when(kind == "ip6", F.array_join(_groups(m), ":")).when(kind == "email", F.lower(m)).otherwise(name)
 
 
 def _bare(entity: Column) -> Column:
@@ -105,14 +133,12 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     site = F.regexp_extract(entity, r"@(.*)\.[^.]+$", 1)
     email = F.concat(_letters(F.substring_index(entity, "@", 1), seed), longer, F.lit("@"), _letters(site, part(1)), last)
     octet = lambda i: (F.pmod(part(i), F.lit(254)) + 1).cast("string")
-    ip = F.concat_ws(".", octet(0), octet(1), octet(2), octet(3))
+    ip = F.concat_ws(".", octet(0), octet(1), octet(2), octet(3), F.nullif(longer, F.lit("")))
     body = _letters(entity, seed)
     n = F.length(entity)
     # a card keeps its first digit and gets a valid check digit
     front = F.concat(F.substring(entity, 1, 1), body.substr(F.lit(2), n - 2))
-    digits = F.reverse(F.split(front, ""))
-    twice = F.transform(F.transform(digits, lambda c: c.cast("int")), lambda d, i: F.when(i % 2 == 0, F.when(d > 4, d * 2 - 9).otherwise(d * 2)).otherwise(d))
-    check = F.pmod(F.lit(10) - F.pmod(F.aggregate(twice, F.lit(0), lambda a, d: a + d), F.lit(10)), F.lit(10)).cast("string")
+    check = F.pmod(F.lit(10) - F.pmod(F.when(kind == "card", _luhn(F.concat(front, F.lit("0")))), F.lit(10)), F.lit(10)).cast("string")
     card = F.concat(front, check, longer)
     # a phone number keeps what comes before its last ten digits, and a 555 exchange
     head = F.greatest(n - 10, F.lit(0))
@@ -124,19 +150,20 @@ def surrogate(kind: Column, entity: Column, key: str, attempt: int) -> Column:
     given, family = F.regexp_extract(_bare(entity), r"^(\S+) ", 1), F.regexp_extract(entity, r"(\S+)$", 1)
     chosen = (
         F.when(given == "", "").when(given.isin(*MALE_CYRILLIC), _pick(MALE_CYRILLIC, part(3))).when(given.isin(*FEMALE_CYRILLIC), _pick(FEMALE_CYRILLIC, part(3)))
-        .when(given.isin(*FEMALE) | (mark == _MRS), _pick(FEMALE, part(3))).otherwise(_pick(MALE, part(3)))
+        .when(given.isin(*FEMALE) | (mark == _MRS), _pick(FEMALE, part(3))).when(given.isin(*MALE) | (mark == _MR), _pick(MALE, part(3))).otherwise(_pick((*MALE, *FEMALE), part(3)))
     )
     latin = F.concat(_pick(SYLLABLES, part(4)), _pick(SYLLABLES, part(5)), _pick(SYLLABLES, part(6)))
     cyrillic = F.concat(_pick(SYLLABLES_CYRILLIC, part(4)), _pick(SYLLABLES_CYRILLIC, part(5)), _pick(SYLLABLES_CYRILLIC, part(6)))
     made = F.initcap(F.concat(F.when(family.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin), F.translate(longer, "0123456789", "abcdefghij")))
     name = F.concat(mark, F.when(chosen == "", made).otherwise(F.concat(chosen, F.lit(" "), made)))
-    # an address keeps its groups and zeros shortened, a bank account its country, and check digits that are right
-    groups = F.array_join(F.transform(F.split(entity, ":"), lambda g, i: F.when(g == "", "").otherwise(F.substring(F.lower(F.hex(F.xxhash64(seed, i))), 3, 4))), ":")
+    # an address keeps its zero groups, until all groups are needed to find a free one; no group begins with 0
+    group = lambda i: F.regexp_replace(F.substring(F.lower(F.hex(F.xxhash64(seed, i))), 3, 4), "^0", "f")
+    groups = F.array_join(F.transform(F.split(entity, ":"), lambda g, i: F.when((g == "0") & F.lit(attempt < ROUNDS), "0").otherwise(F.lpad(group(i), 4, "a"))), ":")
+    # a bank account keeps its country, and its check digits are right
     letter = lambda c, i: F.when(c.rlike(r"\d"), F.pmod(F.xxhash64(seed, i), F.lit(10)).cast("string")).otherwise(_pick(_UPPER, F.xxhash64(seed, i)))
     account = F.array_join(F.transform(F.split(F.substring(entity, 5, 40), ""), letter), "")
     account = F.concat(account, F.translate(longer, "0123456789", "ABCDEFGHIJ"))
-    value = lambda c: F.when(c.rlike(r"\d"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
-    left = F.aggregate(F.split(F.concat(account, F.substring(entity, 1, 2), F.lit("00")), ""), F.lit(0), lambda a, c: F.pmod(F.when(c.rlike(r"\d"), a * 10).otherwise(a * 100) + value(c), F.lit(97)).cast("int"))
+    left = _mod97(F.concat(F.substring(entity, 1, 2), F.lit("00"), account))
     iban = F.concat(F.substring(entity, 1, 2), F.lpad((98 - left).cast("string"), 2, "0"), account)
     return F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ip6", groups).when(kind == "ssn", F.concat(body, longer)).when(kind == "iban", iban).when(kind == "card", card).when(kind == "phone", phone).otherwise(name)
 
@@ -157,7 +184,15 @@ def render(kind: Column, mention: Column, canon: Column) -> Column:
     seen = lambda i: F.size(F.filter(F.slice(chars, F.lit(1), i), lambda c: c != " "))
     spread = F.array_join(F.transform(chars, lambda c, i: F.when(c == " ", c).otherwise(canon.substr(seen(i) + 1, F.lit(1)))), "")
     signs = F.size(F.filter(chars, lambda c: c != " "))
-    return F.when(kind.isin("card", "phone", "ssn"), F.concat(poured, canon_digits.substr(last + 1, F.length(canon_digits)))).when(kind == "iban", F.concat(spread, canon.substr(signs + 1, F.length(canon)))).when(kind.isin("email", "ip6"), cased).when(kind == "name", F.concat(title, named)).otherwise(canon)
+    # an address with :: has its groups before and behind it, if those between are still zeros
+    own, sides = F.split(canon, ":"), F.split(mention, "::")
+    n_left, n_right = (F.size(F.filter(F.split(F.get(sides, i), ":"), lambda g: g != "")) for i in (0, 1))
+    middle = F.slice(own, n_left + 1, F.greatest(F.lit(8) - n_left - n_right, F.lit(0)))
+    short = F.concat(F.array_join(F.slice(own, F.lit(1), n_left), ":"), F.lit("::"), F.array_join(F.slice(own, F.lit(9) - n_right, n_right), ":"))
+    full = F.array_join(F.transform(own, lambda g, i: F.lpad(g, F.greatest(F.length(g), F.length(F.get(F.split(mention, ":"), i))), "0")), ":")
+    address = F.when(mention.contains("::"), F.when(F.forall(middle, lambda g: g == "0"), short).otherwise(canon)).otherwise(full)
+    address = F.when(mention == F.upper(mention), F.upper(address)).otherwise(address)
+    return F.when(kind == "ip6", address).when(kind.isin("card", "phone", "ssn"), F.concat(poured, canon_digits.substr(last + 1, F.length(canon_digits)))).when(kind == "iban", F.concat(spread, canon.substr(signs + 1, F.length(canon)))).when(kind == "email", cased).when(kind == "name", F.concat(title, named)).otherwise(canon)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
@@ -186,7 +221,8 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal data in text replaced, and n_entities, the number of mentions (with an underscore more where
     ``docs`` has such a column). Other columns stay. ``key`` is secret: who has it can test guesses.
 
-    Emails, phone, card, social security and bank account (IBAN) numbers, IP addresses and persons' names are found by form. An entity has the same surrogate
+    Emails, phone, card, social security and bank account (IBAN) numbers, IP addresses and persons' names are found by form; of
+    cards and accounts the check digits have to be right, all spellings of an IPv6 address are one. An entity has the same surrogate
     wherever it is mentioned, in the mention's own format (separators, case, title); different entities have different
     ones. A surname behind a title is the person of the one full name of its text that it fits. Names keep gender and script, letters their script and case, cards a valid check digit. Null text stays null
     with 0 mentions; n_chars, where there is one, isn't changed. Equal texts get equal results.
@@ -199,17 +235,18 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
     # a text's own hash is its key, so that copies are looked up once
     mentions = docs.select(F.sha2("text", 256).alias(_text), F.explode(F.array_distinct(found)).alias("mention")).distinct()
-    mentions = mentions.withColumn("kind", kind_of(F.col("mention"))).withColumn("entity", canonical(F.col("kind"), F.col("mention")))
+    mentions = mentions.withColumn("kind", kind_of(F.col("mention"))).where(valid(F.col("kind"), F.col("mention"))).withColumn("entity", canonical(F.col("kind"), F.col("mention")))
     mentions = materialize(linked(materialize(mentions, "surrogate-found"), _text), "surrogate-mentions")
     table = assign(mentions, key)
     named = mentions.join(table, ["kind", "entity"]).select(_text, "mention", render(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("to"))
     maps = named.groupBy(_text).agg(F.map_from_entries(F.collect_set(F.struct("mention", "to"))).alias(_map))
-    docs = docs.withColumn(_text, F.sha2("text", 256)).join(maps, _text)
+    docs = docs.withColumn(_text, F.sha2("text", 256)).join(maps, _text, "left")
     gaps = F.split("text", ANY, -1)
     new = F.transform(_found, lambda m: F.try_element_at(_map, m))
     docs = docs.withColumn(_found, found).withColumn(_gaps, gaps)
-    whole = F.array_join(F.transform(_gaps, lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), "")
-    docs = docs.withColumn("text", whole).withColumn(number, F.size(_found).cast("long")).drop(_text, _map, _found, _gaps)
+    # a mention that isn't what its form says stays
+    whole = F.array_join(F.transform(_gaps, lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.get(_found, i), F.lit("")))), "")
+    docs = docs.withColumn("text", whole).withColumn(number, F.size(F.filter(new, lambda m: m.isNotNull())).cast("long")).drop(_text, _map, _found, _gaps)
     return plain.unionByName(docs.select(*plain.columns))
 
 

@@ -468,6 +468,38 @@ def test_numbers_and_addresses_of_other_forms(spark):
     assert got[4].startswith("at 10:30:45 and ")
 
 
+def test_what_only_looks_like_personal_data_stays(spark):
+    stays = ["Published 05/2024 and 07-1985.", "version 0123-456789", "ISBN 978-3-16-148410-1 and 1700000000001", "PO AB12 2023 ABCD WXYZ", "use add::bad or a::b in C++", "version 1.2.3.4 or v1.2.3.4", "at 10:30:45"]
+    goes = ["card 4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00", "fe80::1", "10.1.2.3", "030 1234567"]
+    rows = surrogates.replace_entities(spark.createDataFrame(list(enumerate(stays + goes)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    assert [r["text"] for r in rows[: len(stays)]] == stays and not any(r["n_entities"] for r in rows[: len(stays)])
+    assert [r["n_entities"] for r in rows[len(stays) :]] == [1] * len(goes) and all(r["text"] != t for r, t in zip(rows[len(stays) :], goes, strict=True))
+
+
+def test_spellings_of_an_address_are_one_entity(spark):
+    import ipaddress
+
+    texts = ["::1", "0:0:0:0:0:0:0:1", "2001:db8::1", "2001:0db8::1", "2001:DB8:0:0:0:0:0:1", "2001:db8:0:0:1::", "fe80::2"]
+    got = [r["text"] for r in surrogates.replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    a = [ipaddress.ip_address(x) for x in got]
+    assert a[0] == a[1] and a[2] == a[3] == a[4] and len(set(a)) == 4 and not set(a) & {ipaddress.ip_address(x) for x in texts}
+    assert got[0].startswith("::") and "::" in got[2] and got[4].count(":") == 7 and got[4] == got[4].upper() and got[5].endswith("::")
+
+
+def test_rounds_end_for_every_kind(spark, monkeypatch):
+    """More entities of one form than it has surrogates: later rounds take longer ones."""
+    monkeypatch.setattr(surrogates, "ROUNDS", 1)
+    found = [("ip6", f"0:0:0:0:0:0:0:{i:x}") for i in range(1, 300)] + [("ip", f"1.2.3.{i}") for i in range(250)]
+    plain = surrogates.surrogate
+
+    def few(kind, entity, key, attempt):  # in the first rounds all propose one of two
+        return plain(kind, entity, key, attempt) if attempt >= 2 else F.concat(kind, (F.length(entity) % 2).cast("string"))
+
+    monkeypatch.setattr(surrogates, "surrogate", few)
+    table = surrogates.assign(spark.createDataFrame(found, "kind string, entity string"), "k").collect()
+    assert len(table) == len(found) == len({(r["kind"], r["surrogate"]) for r in table})
+
+
 def test_surrogates_keep_entities_apart_and_depend_on_the_key(spark):
     """Brute force over all documents: one surrogate for an entity, one entity for a surrogate, and none of the corpus."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
