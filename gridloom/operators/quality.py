@@ -42,7 +42,7 @@ def digests(cells: DataFrame, keys: list[str]) -> DataFrame:
     value = F.col("value").cast("double")
     rows = cells.select(*keys, value.alias("_v"), F.xxhash64(*cell).alias("_a"), F.xxhash64(F.lit(1), *cell).alias("_b"))
     return rows.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.count("_v").alias("held"), F.sum("_v").alias("total"), F.min("_v").alias("low"), F.max("_v").alias("high"), F.bit_xor("_a").alias("mixed"), F.sum(F.shiftrightunsigned("_b", 16)).alias("summed")
+        F.count("*").alias("n"), F.count("_v").alias("held"), F.sum("_v").alias("total"), F.min("_v").alias("low"), F.max("_v").alias("high"), F.bit_xor("_a").alias("mixed"), F.sum(F.shiftrightunsigned("_b", 32)).alias("summed")
     )
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +30,27 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def large_blocks(spark: SparkSession, sf_dir: str, n_lat: int = 721, n_lon: int = 1440) -> DataFrame:
+    """The first cycle on a grid of the real size: its fields' 8 x 8 values, stretched."""
+    first = blocks(spark, sf_dir).where("cycle = 0").repartition(16)
+    kind = first.schema
+
+    def stretch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, columns = np.linspace(0, 7, n_lat), np.linspace(0, 7, n_lon)
+        lats, lons = np.linspace(90.0, -90.0, n_lat).tolist(), (np.arange(n_lon) * 360.0 / n_lon).tolist()
+        for batch in batches:
+            for row in batch.to_pylist():
+                small = np.array(row["values"], np.float64).reshape(8, 8)
+                down = np.array([np.interp(rows, range(8), small[:, j]) for j in range(8)]).T
+                wide = np.array([np.interp(columns, range(8), line) for line in down]).astype(np.float32).reshape(-1)
+                out = pa.RecordBatch.from_pylist([row | {"lats": lats, "lons": lons, "values": []}], schema=batch.schema)
+                at = batch.schema.get_field_index("values")
+                flat = pa.ListArray.from_arrays(pa.array([0, len(wide)], pa.int32()), pa.array(wide))
+                yield pa.RecordBatch.from_arrays([flat if i == at else c for i, c in enumerate(out.columns)], names=batch.schema.names)
+
+    return first.mapInArrow(stretch, kind)
+
+
 def named_files(fields: DataFrame) -> DataFrame:
     """With the names that forecast files have."""
     return fields.withColumn("source_file", F.concat("date", F.substring("run", 1, 2), F.lit("0000-0h-oper-fc.grib2")))

@@ -216,6 +216,15 @@ def test_sample_depends_on_the_seed_only(spark):
     assert C.sample(objects.limit(0), 5).count() == 0
 
 
+def test_stretched_fields_are_decoded_whole(spark, tmp_path):
+    """A few fields of the job's real kind: many points, differences, several blocks of a file in tasks of their own."""
+    large = X.large_blocks(spark, SF, 121, 240).where("variable in ('t2m', 'gh')")
+    job.write_files(X.named_files(large), f"{tmp_path}/in", "differences").collect()
+    want = {(r["variable"], r["level"]): np.array(r["values"]) for r in large.collect()}
+    got = {(r["variable"], r["level"]): np.array(r["values"]) for r in grib.read_merged(spark, f"{tmp_path}/in").collect()}
+    assert len(want) == 14 == len(got) and all(np.abs(got[k] - want[k]).max() <= 2**-17 for k in want)
+
+
 def test_entry_and_registry(spark):
     import __spark_entry__ as e
 
@@ -313,6 +322,14 @@ def test_compare_by_digests(spark):
     assert [got[k][-1] for k in sorted(got, key=lambda k: k[0])] == ["ok", "drift", got["c", None][-1], "shape", "no_data", "no_data"]
 
 
+def test_digests_of_large_fields(spark):
+    cells = spark.range(300_000).selectExpr("'a' as k", "id / 1000 as latitude", "id % 1000 / 4 as longitude", "cast(id as float) as value")
+    (row,) = Q.digests(cells, ["k"]).collect()
+    (same,) = Q.digests(cells.repartition(5), ["k"]).collect()
+    (other,) = Q.digests(cells.withColumn("value", F.when(F.col("value") == 7, 8.0).otherwise(F.col("value"))), ["k"]).collect()
+    assert (row["mixed"], row["summed"]) == (same["mixed"], same["summed"]) != (other["mixed"], other["summed"]) and row["n"] == 300_000
+
+
 def test_equal_sides_are_not_matched_cell_by_cell(spark):
     cells = B.cells(X.blocks(spark, SF)).select("source_file", "variable", "level", "latitude", "longitude", "value")
     plan = Q.compare(cells, cells.repartition(3), ["source_file", "variable", "level"])
