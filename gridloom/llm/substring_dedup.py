@@ -83,7 +83,8 @@ def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows under a document's shared fingerprints; those known to repeat a smaller document have many = true.
 
-    A window is told by 96 bits of two independent hashes of its words: by 64 bits alone, some of 10^12 windows would meet others."""
+    A window is told by 96 bits of two independent hashes of its words: by 64 bits alone, some of 10^12 windows would meet others.
+    Within a chunk of about 1 MB, where there are few, 64 bits tell which come twice."""
     for batch in text_chunks(batches, "text"):
         words = Words(batch.column(1))
         hashes = words.hashes()
@@ -137,15 +138,48 @@ class SubstringIndex:
     windows under fingerprints that several documents share are compared by 96 bits of independent hashes of all 13
     words, and a window's smallest document is found. With more than ``fanout`` runs the index is compacted to one.
 
+    With a ``path`` in the shared store the index outlives its session: after each batch the runs, their folders and their number
+    of buckets are written to the next manifest below it, and opening the path again goes on from the last one that is
+    whole; without, runs lie in the scratch folder until ``close``.
+
     Batches must come in ascending order of doc_id; ``history`` gives the texts of all documents appended so far.
     Null text has no words; null doc_id counts as the largest. Rows of equal doc_id don't repeat each other. Empty
     batches give an empty result. Other columns are ignored.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
+    def __init__(self, spark: SparkSession, fanout: int = 4, path: str | None = None) -> None:
         self.spark, self.fanout, self.runs, self.buckets = spark, fanout, [], 0
         self.paths: dict[str, str] = {}
+        self.path, self.number = path.rstrip("/") if path else None, 0
         bound_batches(spark)
+        if self.path:
+            self._open()
+
+    def _open(self) -> None:
+        """Takes up the runs of the last manifest; tables that this session doesn't know are made known."""
+        files = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        store = files.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        path = lambda name: self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        found = [x.getPath().getName() for x in store.listStatus(files)] if store.exists(files) else []
+        numbers = sorted(int(x[9:]) for x in found if x.startswith("manifest-") and store.exists(path(f"{x}/_SUCCESS")))
+        if not numbers:
+            return
+        self.number = numbers[-1]
+        for row in self.spark.read.parquet(f"{self.path}/manifest-{self.number}").orderBy("place").collect():  # a row for each run, fanout + 1 at most
+            name, self.buckets = row["name"], row["buckets"]
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (print LONG, salt INT, doc LONG, many BOOLEAN, shared BOOLEAN) USING parquet CLUSTERED BY (print, salt) SORTED BY (print, salt, doc) INTO {self.buckets} BUCKETS LOCATION '{row['path']}'")
+            self.runs.append(name)
+            self.paths[name] = row["path"]
+
+    def _save(self, old: list[str]) -> None:
+        """Writes the next manifest; only then the runs that it doesn't have any more, and the manifest before, go."""
+        if self.path:
+            rows = [(i, name, self.paths[name], self.buckets) for i, name in enumerate(self.runs)]
+            self.spark.createDataFrame(rows, "place int, name string, path string, buckets int").coalesce(1).write.parquet(f"{self.path}/manifest-{self.number + 1}")
+            if self.number:
+                remove(self.spark, f"{self.path}/manifest-{self.number}")
+            self.number += 1
+        self._drop(old)
 
     def _write_run(self, rows: DataFrame) -> str:
         """A table in buckets by key, each sorted: runs of one index are merge-joined without another shuffle."""
@@ -154,7 +188,7 @@ class SubstringIndex:
         by = Window.partitionBy("print", "salt")
         rows = rows.repartition(n, "print", "salt").withColumn("shared", F.col("many") | (F.col("salt") > 0) | (F.count("*").over(by) > 1))
         name = f"gridloom_run_{uuid.uuid4().hex}"
-        self.paths[name] = new_path(self.spark, "substring-run")
+        self.paths[name] = f"{self.path}/{name}" if self.path else new_path(self.spark, "substring-run")
         with shuffles_dropped(self.spark):
             rows.write.bucketBy(n, "print", "salt").sortBy("print", "salt", "doc").option("path", self.paths[name]).saveAsTable(name)
         return name
@@ -165,16 +199,24 @@ class SubstringIndex:
             remove(self.spark, self.paths.pop(name))
 
     def close(self) -> None:
-        """Drops all runs."""
-        self._drop(self.runs)
+        """Drops all runs; of an index with a path only what this session knows of them."""
+        for name in self.runs if self.path else []:
+            self.spark.sql(f"DROP TABLE {name}")
+        if not self.path:
+            self._drop(self.runs)
         self.runs = []
 
     def compact(self) -> None:
         """Merges all runs into one."""
-        if len(self.runs) > 1:
-            merged = reduce(DataFrame.unionByName, [self.spark.table(r).select("print", "salt", "doc", "many") for r in self.runs])
-            old, self.runs = self.runs, [self._write_run(merged)]
-            self._drop(old)
+        self._save(self._merged())
+
+    def _merged(self) -> list[str]:
+        """Replaces the runs by one and returns the old ones, which are still there."""
+        if len(self.runs) < 2:
+            return []
+        merged = reduce(DataFrame.unionByName, [self.spark.table(r).select("print", "salt", "doc", "many") for r in self.runs])
+        old, self.runs = self.runs, [self._write_run(merged)]
+        return old
 
     def _candidates(self, new: str) -> tuple[DataFrame, DataFrame | None]:
         """(doc, print) of the batch's, and of older, documents with a fingerprint that the batch shares with others."""
@@ -210,8 +252,7 @@ class SubstringIndex:
         out = keyed.join(gone, "doc", "left").select("doc_id", "text", "windows").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
         out = materialize(out, "substring-kept")
         self.runs.append(new)
-        if len(self.runs) > self.fanout:
-            self.compact()
+        self._save(self._merged() if len(self.runs) > self.fanout else [])
         return out
 
 
@@ -221,16 +262,18 @@ def remove_repeats(docs: DataFrame, batches: int = 3, fanout: int = 2) -> DataFr
     docs = docs.select("doc_id", "text")
     cuts = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000).alias("c")).first()["c"] if batches > 1 else []
     index, edges, out, before = SubstringIndex(docs.sparkSession, fanout), [None, *sorted(set(cuts or [])), None], None, None
-    for low, high in zip(edges, edges[1:], strict=False):
-        part = F.lit(True)
-        if low is not None:
-            part = part & ((F.col("doc_id") > low) | F.col("doc_id").isNull())
-        if high is not None:
-            part = part & (F.col("doc_id") <= high)
-        done = index.append(docs.where(part), before)
-        before = docs.where(F.col("doc_id") <= high) if high is not None else None
-        out = done if out is None else out.unionByName(done)
-    index.close()
+    try:
+        for low, high in zip(edges, edges[1:], strict=False):
+            part = F.lit(True)
+            if low is not None:
+                part = part & ((F.col("doc_id") > low) | F.col("doc_id").isNull())
+            if high is not None:
+                part = part & (F.col("doc_id") <= high)
+            done = index.append(docs.where(part), before)
+            before = docs.where(F.col("doc_id") <= high) if high is not None else None
+            out = done if out is None else out.unionByName(done)
+    finally:
+        index.close()
     return out
 
 

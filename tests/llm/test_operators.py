@@ -59,6 +59,23 @@ def _brute_components(rows, k, percent):
     return [(d, len(sets[i]), low(least[find(i)]) if sets[i] else d) for i, (d, _) in enumerate(rows)]
 
 
+def test_an_index_is_reopened(spark, docs, tmp_path):
+    """Each batch by a new index on the same path; what a crashed batch left behind is not part of it."""
+    parts = [docs.where("doc_id < 15"), docs.where("doc_id >= 15 and doc_id < 30"), docs.where("doc_id >= 30 and doc_id < 45"), docs.where("doc_id >= 45 or doc_id is null")]
+    before, got = None, []
+    for n, p in enumerate(parts):
+        index = substring_dedup.SubstringIndex(spark, fanout=2, path=str(tmp_path / "index"))
+        assert len(index.runs) == [0, 1, 2, 1][n]
+        got += index.append(p, before).collect()
+        if n == 1:
+            index._write_run(p.select("doc_id", "text").mapInArrow(substring_dedup._fingerprint_rows, substring_dedup._ROWS))  # no manifest has it
+            (tmp_path / "index" / "manifest-99").mkdir()
+        index.close()
+        assert n == 1 or not [t for t in spark.catalog.listTables() if t.name in index.paths]
+        before = p if before is None else before.unionByName(p)
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr(tuple(r)) for r in substring_dedup.remove_repeats(docs, 1).collect())
+
+
 @pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80)])
 def test_jaccard_components(docs, k, percent):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
