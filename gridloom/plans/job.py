@@ -67,8 +67,9 @@ def _manifest(listed: DataFrame, blocks: DataFrame, whole: DataFrame, base: str)
     fields = B.completeness(blocks.where("decode_error is null").withColumn("cycle", F.col("source_file"))).withColumnRenamed("cycle", "source_file")
     rows = P.block_manifest(whole)
     out = listed.join(errors, "source_file", "left").join(fields, "source_file", "left").join(rows, "source_file", "left")
-    if _exists(spark, base):
-        out = out.join(P.published_bytes(spark, base), "source_file", "left")
+    runs = [tuple(r) for r in whole.select("date", "run").distinct().collect()]  # of what was published just now
+    if runs:
+        out = out.join(P.published_bytes(spark, base, runs), "source_file", "left")
     else:
         out = out.withColumn("bytes", F.lit(0))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
@@ -77,11 +78,6 @@ def _manifest(listed: DataFrame, blocks: DataFrame, whole: DataFrame, base: str)
                       zero("n_rows"), zero("n_values"), zero("n_variables"), F.when(good, F.coalesce("bytes", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("bytes"), F.when(good, "ok").otherwise("incomplete").alias("status"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def verify(source: DataFrame, published: DataFrame, fields: tuple[tuple[str, float | None], ...] = (("t2m", None), ("z", 500.0))) -> DataFrame:
     """source_file, variable, level and the comparison of published rows with the source's blocks, for each of ``fields``.
 
@@ -90,7 +86,9 @@ def verify(source: DataFrame, published: DataFrame, fields: tuple[tuple[str, flo
     keys = ["source_file", "variable", "isobaricInhPa"]
     named = B.geopotential(source).withColumn("isobaricInhPa", F.col("level").cast("double"))
     asked = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(x).cast("double").alias("isobaricInhPa")) for v, x in fields])
-    one = F.exists(asked, lambda f: (f.variable == F.col("variable")) & f.isobaricInhPa.eqNullSafe(F.col("isobaricInhPa")))
+    one = F.lit(False)  # plain comparisons, which reach the scan of the published files
+    for variable, level in fields:
+        one = one | ((F.col("variable") == variable) & (F.col("isobaricInhPa").isNull() if level is None else F.col("isobaricInhPa") == float(level)))
     chosen = named.where(one)
     report = kept(Q.compare(T.long_form(chosen.drop("isobaricInhPa"), ("source_file",)), published.where(one), keys), "comparison")
     wanted = named.select("source_file").distinct().select("source_file", F.explode(asked).alias("f")).select("source_file", "f.variable", "f.isobaricInhPa")

@@ -71,9 +71,10 @@ def block_manifest(blocks: DataFrame) -> DataFrame:
     return rows.groupBy("source_file").agg(F.sum("n").alias("n_rows"), F.sum("held").alias("n_values"), F.count_distinct("variable").alias("n_variables"))
 
 
-def published_bytes(spark: SparkSession, base: str) -> DataFrame:
-    """source_file, bytes and files below ``base``, from a listing: no file is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(base)
+def published_bytes(spark: SparkSession, base: str, runs: list[tuple[str, str]] | None = None) -> DataFrame:
+    """source_file, bytes and files below ``base``, or below the partitions of ``runs`` (date, run), from a listing: no file is read."""
+    folders = [base] if runs is None else [f"{base}/year={d[:4]}/month={d[4:6]}/day={d[6:8]}/run={r}" for d, r in runs]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folders)
     source = F.url_decode(F.regexp_replace(F.regexp_extract("path", r"/source_file=([^/]+)/", 1), r"\+", "%2B"))
     return files.select(source.alias("source_file"), "length").groupBy("source_file").agg(F.sum("length").alias("bytes"), F.count("*").alias("files"))
 
