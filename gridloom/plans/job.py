@@ -14,11 +14,12 @@ from gridloom.plans.scratch import Scratch, kept
 from gridloom.sources import grib
 
 
-def run(spark: SparkSession, source: str, base: str, tensor_base: str | None = None, default_date: str = "19700101") -> DataFrame:
-    """Publishes all GRIB2 files below ``source`` to ``base`` (and tensors to ``tensor_base``) and returns the manifest."""
+def run(spark: SparkSession, source: str, base: str, tensor_base: str | None = None, default_date: str = "19700101", codecs: dict[str, str] | None = None) -> DataFrame:
+    """Publishes all GRIB2 files below ``source`` to ``base`` (and tensors to ``tensor_base``) and returns the manifest.
+    ``codecs`` decode packings that the library doesn't (``grib.fields``)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(source)
     root = grib.qualified(spark, source)
-    return _publish(_listed(files, default_date, root), _keyed(grib.read_fields(spark, source, default_date), root), base, tensor_base)
+    return _publish(_listed(files, default_date, root), _keyed(grib.read_fields(spark, source, default_date, codecs=codecs), root), base, tensor_base)
 
 
 def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, default_date: str = "19700101", root: str = "") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import math
 import re
 import struct
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from gridloom.sources import packing as P
 
 #: Names of (discipline, category, number, type of level) (fixed values).
 NAMES = {(0, 3, 1, 101): "msl", (0, 3, 0, 101): "msl", (0, 2, 2, 103): "u10", (0, 2, 3, 103): "v10", (0, 0, 0, 103): "t2m", (0, 3, 5, 100): "gh", (0, 1, 0, 100): "q", (0, 0, 0, 100): "t", (0, 2, 2, 100): "u", (0, 2, 3, 100): "v"}
-#: Decoders of other packings, by template: (section 5, section 7 without its header, number of values) -> values.
-CODECS: dict[int, Callable[[bytes, bytes, int], np.ndarray]] = {}
+#: A decoder of another packing: (section 5, section 7 without its header, number of values) -> values.
+Codec = Callable[[bytes, bytes, int], np.ndarray]
 SCHEMA = "source_file string, dataset_ord int, variable string, level double, lats array<double>, lons array<double>, row_points array<int>, values array<float>, decode_error string"
 MESSAGES = "source_file string, offset long, variable string, level double, lats array<double>, lons array<double>, row_points array<int>, values array<float>, decode_error string"
 #: Columns that need the grid, or also the data, of a message.
@@ -88,7 +89,14 @@ def _grid(grid: bytes) -> tuple[dict, Callable[[np.ndarray], np.ndarray]]:
     return {"lats": lats, "lons": lons}, placed
 
 
-def _values(packing: bytes, bitmap: bytes | None, data: bytes) -> np.ndarray:
+@lru_cache
+def _codec(name: str) -> Codec:
+    """The function ``module:name``, which the tasks can import."""
+    module, function = name.split(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def _values(packing: bytes, bitmap: bytes | None, data: bytes, codecs: dict[str, str]) -> np.ndarray:
     """All values in scanning order, NaN where they are missing."""
     count, template = struct.unpack(">IH", packing[5:11])
     if template in (0, 2, 3, 42):
@@ -105,8 +113,8 @@ def _values(packing: bytes, bitmap: bytes | None, data: bytes) -> np.ndarray:
             values[gone] = np.nan
     elif template == 4 and packing[11] in (1, 2):
         values = np.frombuffer(data, ">f4" if packing[11] == 1 else ">f8", count).astype(np.float64)
-    elif template in CODECS:
-        values = np.asarray(CODECS[template](packing, data, count), np.float64)
+    elif str(template) in codecs:
+        values = np.asarray(_codec(codecs[str(template)])(packing, data, count), np.float64)
     else:
         raise ValueError(f"packing template {template}")
     if bitmap is not None:
@@ -117,9 +125,9 @@ def _values(packing: bytes, bitmap: bytes | None, data: bytes) -> np.ndarray:
     return values
 
 
-def fields(read: Read, at: int, columns: tuple[str, ...], wanted: Callable[[dict], bool] = lambda row: True) -> Iterator[dict]:
+def fields(read: Read, at: int, columns: tuple[str, ...], wanted: Callable[[dict], bool] = lambda row: True, codecs: dict[str, str] = {}) -> Iterator[dict]:  # noqa: B006
     """The fields of the message at byte ``at`` that are ``wanted`` by variable and level. Sections that ``columns`` don't need
-    aren't read."""
+    aren't read. ``codecs``: functions (module:name) for packing templates that have no decoder here."""
     size, discipline = struct.unpack(">Q", read(at + 8, 8))[0], read(at + 6, 1)[0]
     end, pos, part = at + size - 4, at + 16, {}
     bitmap = None
@@ -148,7 +156,7 @@ def fields(read: Read, at: int, columns: tuple[str, ...], wanted: Callable[[dict
                         told = read(start + 5, 1)[0] if n else 255
                         bitmap = read(start + 6, n - 6) if told == 0 else bitmap if told == 254 else None
                         points = sum(grid["row_points"]) if "row_points" in grid else len(grid["lats"]) * len(grid["lons"])
-                        values = _values(part[5], bitmap, read(pos + 5, length - 5))
+                        values = _values(part[5], bitmap, read(pos + 5, length - 5), codecs)
                         if len(values) < points:
                             raise ValueError("data are cut off")
                         row["values"] = placed(values[:points]).astype(np.float32)
@@ -160,9 +168,9 @@ def fields(read: Read, at: int, columns: tuple[str, ...], wanted: Callable[[dict
         raise ValueError("its sections don't end where it does")
 
 
-def message(raw: bytes) -> dict:
+def message(raw: bytes, codecs: dict[str, str] = {}) -> dict:  # noqa: B006
     """The block of a message that has one field, or decode_error."""
-    found = list(fields(lambda at, n: raw[at : at + n], 0, tuple(_NOTHING)))
+    found = list(fields(lambda at, n: raw[at : at + n], 0, tuple(_NOTHING), codecs=codecs))
     return found[0] if found else _NOTHING | {"decode_error": "no field"}
 
 
@@ -219,7 +227,7 @@ def _batch(row: dict, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([_cell(row, n) for n in names], names=names)
 
 
-def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _decode(batches: Iterator[pa.RecordBatch], codecs: dict[str, str]) -> Iterator[pa.RecordBatch]:
     """A batch for each field: a task holds one file and one field."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     for batch in batches:
@@ -229,7 +237,7 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size = struct.unpack(">Q", raw[at + 8 : at + 16])[0] if len(raw) >= at + 16 else 0
                 one = raw[at : at + size]
                 try:
-                    rows = list(fields(lambda a, n, one=one: one[a : a + n], 0, tuple(names)))
+                    rows = list(fields(lambda a, n, one=one: one[a : a + n], 0, tuple(names), codecs=codecs))
                 except (struct.error, IndexError, ValueError, KeyError) as e:
                     rows = [_NOTHING | {"decode_error": f"damaged message: {e}"}]
                 for row in rows:
@@ -247,9 +255,9 @@ def _told(blocks: DataFrame, default_date: str) -> DataFrame:
     return blocks.withColumn("date", date).withColumn("run", run).withColumn("lead", lead).withColumn("cycle", F.col("source_file"))
 
 
-def decode(files: DataFrame, default_date: str = "19700101") -> DataFrame:
+def decode(files: DataFrame, default_date: str = "19700101", codecs: dict[str, str] | None = None) -> DataFrame:
     """Blocks of GRIB2 files (path, content): a repeated field gets the next dataset_ord."""
-    return _told(files.select("path", "content").mapInArrow(_decode, SCHEMA), default_date)
+    return _told(files.select("path", "content").mapInArrow(partial(_decode, codecs=codecs or {}), SCHEMA), default_date)
 
 
 # Message by message, for stores that pyarrow opens
@@ -299,6 +307,7 @@ class MessageReader(DataSourceReader):
         self.path, self.names = options["path"], schema.fieldNames()
         self.access = {"anonymous": options.get("anonymous", "false") == "true", "region": options.get("region")}
         self.split = int(options.get("split", SPLIT))
+        self.codecs = json.loads(options.get("codecs", "{}"))
         self.paths = json.loads(options["files"]) if "files" in options else None
         listed = lambda name: {x for x in options[name].split(",") if x} if name in options else None
         self.variables, levels, self.runs = listed("variables"), listed("levels"), listed("runs")
@@ -340,7 +349,7 @@ class MessageReader(DataSourceReader):
                     at += 1 + step if step >= 0 else max(min(PEEK, partition.size - at) - 3, 1)
                     continue
                 try:
-                    for row in fields(read, at, tuple(self.names), self.wanted):
+                    for row in fields(read, at, tuple(self.names), self.wanted, self.codecs):
                         yield _batch(row | {"source_file": name, "offset": at}, self.names)
                 except (struct.error, IndexError, ValueError, KeyError) as e:
                     yield _batch(_NOTHING | {"source_file": name, "offset": at, "decode_error": f"damaged message: {e}"}, self.names)
@@ -366,7 +375,7 @@ class GribSource(DataSource):
 
     Options: variables, levels ("surface" for none) and runs, lists with commas of what to read; files, a JSON list of files
     instead of all below the path; split, bytes of a file to a
-    partition; anonymous and region, for a public bucket; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
+    partition; codecs, a JSON map of packing templates to functions (module:name) that decode them in the tasks; anonymous and region, for a public bucket; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
     MESSAGES or a part given by ``.schema()``: without values and decode_error, no data section is read. Files may have any size.
     """
 
@@ -382,10 +391,12 @@ class GribSource(DataSource):
         return (PushingReader if pushing else MessageReader)(dict(self.options), schema)
 
 
-def messages(spark: SparkSession, path: str, variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None, runs: tuple[str, ...] | None = None, columns: tuple[str, ...] | None = None) -> DataFrame:
+def messages(spark: SparkSession, path: str, variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None, runs: tuple[str, ...] | None = None, columns: tuple[str, ...] | None = None, codecs: dict[str, str] | None = None) -> DataFrame:
     """Rows of ``GribSource``. Predicates of the query itself reach it where spark.sql.python.filterPushdown.enabled is set."""
     spark.dataSource.register(GribSource)
     reader = spark.read.format("grib2").option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+    if codecs:
+        reader = reader.option("codecs", json.dumps(codecs))
     if variables is not None:
         reader = reader.option("variables", ",".join(variables))
     if levels is not None:
@@ -407,16 +418,16 @@ def _opens(path: str) -> bool:
     return re.match(r"(file|s3a?|s3n|gs|hdfs|abfss?):", path) is not None
 
 
-def read_fields(spark: SparkSession, path: str, default_date: str = "19700101", variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None) -> DataFrame:
+def read_fields(spark: SparkSession, path: str, default_date: str = "19700101", variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None, codecs: dict[str, str] | None = None) -> DataFrame:
     """Blocks of all GRIB2 files below ``path``, or of the chosen variables and levels: message by message where pyarrow opens
     the store, else a file as a whole (2 GB at most)."""
     path = qualified(spark, path)
     if _opens(path):
-        rows = messages(spark, path, variables, levels)
+        rows = messages(spark, path, variables, levels, codecs=codecs)
         order = Window.partitionBy("source_file", "variable", "level").orderBy("offset")
         return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(path)
-    rows = decode(files, default_date)
+    rows = decode(files, default_date, codecs)
     if variables is not None:
         rows = rows.where(F.col("variable").isin(*variables))
     if levels is not None:

@@ -159,13 +159,22 @@ def test_scanning_modes(mode):
     assert row["lons"] == LONS and np.array_equal(row["values"], FIELD.reshape(-1))
 
 
-def test_unknown_packings_are_told_or_given_to_a_codec(monkeypatch):
+def singles(packing_, data, count):
+    """A codec."""
+    return np.frombuffer(data, ">f4", count)
+
+
+def test_unknown_packings_are_told_or_given_to_a_codec(spark, tmp_path):
     good = grib.encode("t", 500.0, LATS, LONS, FIELD.reshape(-1))
     at = good.index(b"\0\4\1", good.index(struct.pack(">IB", 12, 5)))
     other = good[:at] + b"\0\x28\1" + good[at + 3 :]
     assert grib.message(other)["decode_error"] == "packing template 40"
-    monkeypatch.setitem(grib.CODECS, 40, lambda packing_, data, count: np.frombuffer(data, ">f4")[:count])
-    assert np.array_equal(grib.message(other)["values"], FIELD.reshape(-1))
+    (tmp_path / "x.grib2").write_bytes(other)
+    codecs = {"40": "tests.test_sources:singles"}
+    assert grib.read_fields(spark, str(tmp_path)).first()["decode_error"] == "packing template 40"
+    assert np.array_equal(grib.read_fields(spark, str(tmp_path), codecs=codecs).first()["values"], FIELD.reshape(-1))
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    assert np.array_equal(grib.decode(files, codecs=codecs).first()["values"], FIELD.reshape(-1))
 
 
 def test_gaussian_latitudes():
