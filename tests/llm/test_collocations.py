@@ -48,7 +48,7 @@ def texts(seed, n, words="ab Ab c d é the of x-1  y".split(" ")):
         yield r.choice(["en", "en", "en", "de", None]), "".join(r.choice(words) + r.choices(ends, weights)[0] for _ in range(r.randint(0, 60)))
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_equals_brute_force(spark, seed):
     rows = list(texts(seed, 80))
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
