@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridloom.llm._shared import materialize
+
 #: A token is a run of at most 16 code points that are no space; longer runs are cut, so text without spaces has tokens too.
 TOKEN = r"[^\x20\x09-\x0D]{1,16}"
 K = 3
@@ -137,8 +139,8 @@ def with_next(docs: DataFrame, order: str, columns: list[str]) -> DataFrame:
         after[part], following = following, first
     over = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in after.items() for x in pair]), F.col("_part")) if after else F.lit(None).cast("long")
     above = F.coalesce(F.lead("_range").over(Window.partitionBy("_part").orderBy("_range")), over).alias("_above")
-    heads = heads.select(F.col("_range").alias("_of"), "_head", above)
-    # Spark broadcasts the heads where they are small, and else joins by key
+    # a table, whose size Spark knows when it plans: it broadcasts the heads where they are small, and else joins by key
+    heads = materialize(heads.select(F.col("_range").alias("_of"), "_head", above), "ranges")
     rows = rows.join(heads, (F.col("_range") == F.col("_of")) & (F.col("_key") == F.col("_head")), "left").drop("_of")
     own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("ghost"))
     ghost = F.when(F.col("_above").isNotNull(), F.struct(F.col("_above").alias("r"), F.lit(True).alias("ghost")))
