@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,8 +34,24 @@ def key_date(key: Column, default: str) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(key, r"(20\d{6})", 1), F.lit("")), F.lit(default))
 
 
-def key_run(key: Column) -> Column:
-    return F.coalesce(F.nullif(F.regexp_extract(F.lower(key), rf"/({'|'.join(RUNS)})/", 1), F.lit("")), F.lit("00z"))
+def key_run(key: Column, default: str = "00z") -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(F.lower(key), rf"/({'|'.join(RUNS)})/", 1), F.lit("")), F.lit(default))
+
+
+def root_date_run(root: str, default: str) -> tuple[str, str]:
+    """What the folders of a root tell that are nothing but a date or a run; digits within other names tell nothing."""
+    folders = root.lower().split("/")
+    dates, runs = [x for x in folders if re.fullmatch(r"20\d{6}", x)], [x for x in folders if x in RUNS]
+    return (dates or [default])[-1], (runs or ["00z"])[-1]
+
+
+def path_date_run(path: Column, root: str, default: str) -> tuple[Column, Column]:
+    """Date and run of a file by its key below ``root``; what the key doesn't tell, the root's folders do."""
+    if root.endswith(".grib2"):  # a file of its own
+        root = root.rpartition("/")[0]
+    date, run = root_date_run(root, default)
+    key = F.concat(F.lit("/"), relative_key(path, root))
+    return key_date(key, date), key_run(key, run)
 
 
 def run_hour(run: Column) -> Column:

@@ -29,7 +29,7 @@ def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, d
     manifest: one row a file with date, run, lead, n_fields, missing, n_errors (fields that couldn't be decoded), n_rows,
     n_values, n_variables, bytes and status: ok; incomplete, if a field lacks: then nothing of the file is published.
     """
-    return _publish(_listed(files, default_date, root), _keyed(grib.decode(files, default_date), root), base, tensor_base)
+    return _publish(_listed(files, default_date, root), _keyed(grib.decode(files, default_date, root=root), root), base, tensor_base)
 
 
 def publish_cycles(fields: DataFrame, base: str, tensor_base: str | None = None, each: tuple[str, ...] = ("variable", "level")) -> DataFrame:
@@ -45,7 +45,7 @@ def _keyed(fields: DataFrame, root: str) -> DataFrame:
 
 
 def _listed(files: DataFrame, default_date: str, root: str) -> DataFrame:
-    date, run = K.effective_date_run(F.col("path"), F.lit(""), F.lit(""), default_date)
+    date, run = K.path_date_run(F.col("path"), root, default_date)
     lead = F.split_part(K.base_name(F.col("path")), F.lit("-"), F.lit(2))
     return files.select(K.relative_key(F.col("path"), root).alias("source_file"), date.alias("date"), run.alias("run"), lead.alias("lead"))
 

@@ -248,16 +248,16 @@ def _decode(batches: Iterator[pa.RecordBatch], codecs: dict[str, str]) -> Iterat
                 at += 4 if any((r["decode_error"] or "").startswith("damaged") for r in rows) else max(size, 4)
 
 
-def _told(blocks: DataFrame, default_date: str) -> DataFrame:
-    """With what the key tells: date, run and lead. A file is a cycle of its own, so lead times of one run stay apart."""
-    date, run = K.effective_date_run(F.col("source_file"), F.lit(""), F.lit(""), default_date)
+def _told(blocks: DataFrame, default_date: str, root: str = "") -> DataFrame:
+    """With what the key below ``root`` tells: date, run and lead. A file is a cycle of its own, so lead times of one run stay apart."""
+    date, run = K.path_date_run(F.col("source_file"), root, default_date)
     lead = F.split_part(K.base_name(F.col("source_file")), F.lit("-"), F.lit(2))
     return blocks.withColumn("date", date).withColumn("run", run).withColumn("lead", lead).withColumn("cycle", F.col("source_file"))
 
 
-def decode(files: DataFrame, default_date: str = "19700101", codecs: dict[str, str] | None = None) -> DataFrame:
-    """Blocks of GRIB2 files (path, content): a repeated field gets the next dataset_ord."""
-    return _told(files.select("path", "content").mapInArrow(partial(_decode, codecs=codecs or {}), SCHEMA), default_date)
+def decode(files: DataFrame, default_date: str = "19700101", codecs: dict[str, str] | None = None, root: str = "") -> DataFrame:
+    """Blocks of GRIB2 files (path, content) below ``root``: a repeated field gets the next dataset_ord."""
+    return _told(files.select("path", "content").mapInArrow(partial(_decode, codecs=codecs or {}), SCHEMA), default_date, root)
 
 
 # Message by message, for stores that pyarrow opens
@@ -324,7 +324,8 @@ class MessageReader(DataSourceReader):
         infos = [found] if found.type == fs.FileType.File else files.get_file_info(fs.FileSelector(base, recursive=True))
         infos = [x for x in sorted(infos, key=lambda x: x.path) if x.type == fs.FileType.File and x.base_name.endswith(".grib2")]
         if self.runs is not None:
-            told = lambda path: (re.search(r"/(00z|06z|12z|18z)/", path.lower()) or ["", "00z"])[1]
+            run = K.root_date_run(base, "")[1]
+            told = lambda path: (re.search(r"/(00z|06z|12z|18z)/", path[len(base.rstrip("/")) :].lower()) or ["", run])[1]
             infos = [x for x in infos if told(x.path) in self.runs]
         out = [Range(x.path, a, a + self.split, x.size) for x in infos for a in range(0, x.size, self.split)]
         return out or [Range("", 0, 0, 0)]
@@ -425,9 +426,9 @@ def read_fields(spark: SparkSession, path: str, default_date: str = "19700101",
     if _opens(path):
         rows = messages(spark, path, variables, levels, codecs=codecs)
         order = Window.partitionBy("source_file", "variable", "level").orderBy("offset")
-        return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date)
+        return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date, path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.grib2").load(path)
-    rows = decode(files, default_date, codecs)
+    rows = decode(files, default_date, codecs, path)
     if variables is not None:
         rows = rows.where(F.col("variable").isin(*variables))
     if levels is not None:
@@ -436,14 +437,14 @@ def read_fields(spark: SparkSession, path: str, default_date: str = "19700101",
     return rows
 
 
-def read_files(spark: SparkSession, paths: list[str], default_date: str = "19700101") -> DataFrame:
-    """Blocks of the files named, of one store."""
+def read_files(spark: SparkSession, paths: list[str], default_date: str = "19700101", root: str = "") -> DataFrame:
+    """Blocks of the files named, of one store, below ``root``."""
     if _opens(paths[0]):
         spark.dataSource.register(GribSource)
         rows = spark.read.format("grib2").option("files", json.dumps(paths)).load(paths[0])
         order = Window.partitionBy("source_file", "variable", "level").orderBy("offset")
-        return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date)
-    return decode(spark.read.format("binaryFile").load(paths), default_date)
+        return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date, root)
+    return decode(spark.read.format("binaryFile").load(paths), default_date, root=root)
 
 
 def read_public(spark: SparkSession, bucket: str, date: str, run: str, prefix: str = "", lead: str = "0h", region: str | None = None) -> DataFrame:
@@ -453,7 +454,7 @@ def read_public(spark: SparkSession, bucket: str, date: str, run: str, prefix: s
     reader = spark.read.format("grib2").option("anonymous", "true")
     rows = (reader.option("region", region) if region else reader).load(f"s3://{bucket}/{key}")
     order = Window.partitionBy("variable", "level").orderBy("offset")
-    return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), date)
+    return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), date, f"s3://{bucket}")
 
 
 def read_merged(spark: SparkSession, path: str, default_date: str = "19700101", variables: tuple[str, ...] | None = None, levels: tuple[float | None, ...] | None = None) -> DataFrame:

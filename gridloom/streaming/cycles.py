@@ -39,7 +39,7 @@ def arriving_fields(spark: SparkSession, path: str, default_date: str = "1970010
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.grib2").option("recursiveFileLookup", "true").schema(schema).load(path)
     fields = files.select("path").mapInArrow(_heads, "source_file string, field string")
-    told = grib._told(fields, default_date)
+    told = grib._told(fields, default_date, grib.qualified(spark, path))
     return told.select(F.concat_ws("/", "date", "run", "lead").alias("cycle"), "field", F.col("source_file").alias("path"))
 
 
@@ -96,7 +96,7 @@ def follow(spark: SparkSession, path: str, checkpoint: str, base: str, report: s
         batch = batch.persist()
         files = sorted({f for r in batch.where("event = 'whole'").select("files").collect() for f in json.loads(r["files"])})
         if files:
-            job.publish_cycles(grib.read_files(spark, files), base, tensor_base)
+            job.publish_cycles(grib.read_files(spark, files, root=grib.qualified(spark, path)), base, tensor_base)
         batch.write.mode("overwrite").parquet(f"{report}/batch={number}")  # what is reported has been published
         batch.unpersist()
 

@@ -157,6 +157,18 @@ def test_two_leads_of_a_run_stay_apart(spark, tmp_path):
         assert np.array_equal(data[0, 0].reshape(-1), np.array(want[69 * cycle + 4]["values"], np.float32))
 
 
+def test_digits_in_the_path_above_are_no_date(spark, tmp_path):
+    """Scratch folders have random names; eight digits in one aren't the files' date."""
+    _two_leads(spark, f"{tmp_path}/a-f20481231e/18z/in")
+    got = job.run(spark, f"{tmp_path}/a-f20481231e/18z/in", f"{tmp_path}/out").collect()
+    assert {(r["date"], r["run"], r["status"]) for r in got} == {("20240101", "06z", "ok")}
+    assert {tuple(r) for r in P.read_published(spark, f"{tmp_path}/out").select("date", "year", "month", "day", "run").distinct().collect()} == {("20240101", "2024", "01", "01", "06z")}
+    below = grib.read_fields(spark, f"{tmp_path}/a-f20481231e/18z/in/20240101/06z").select("date", "run", "lead").distinct()
+    assert {tuple(r) for r in below.collect()} == {("20240101", "06z", "0h"), ("20240101", "06z", "6h")}
+    one = spark.read.format("binaryFile").load(f"{tmp_path}/a-f20481231e/18z/in/20240101/06z/*-0h-*").first()["path"]
+    assert {tuple(r) for r in grib.read_fields(spark, one).select("date", "run").distinct().collect()} == {("20240101", "06z")}
+
+
 def test_arriving_files_are_published_once(spark, tmp_path):
     _two_leads(spark, f"{tmp_path}/in")
     for _ in range(2):
