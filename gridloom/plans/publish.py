@@ -20,6 +20,8 @@ from gridloom.operators import tidy as T
 from gridloom.sources.grib import qualified, store
 
 PARTITIONS = ("year", "month", "day", "run", "source_file")
+#: Points of a field that is written by a task, and to a file, of its own.
+LARGE = 1 << 17
 
 
 def _dated(rows: DataFrame) -> DataFrame:
@@ -42,11 +44,13 @@ def publish(tidy: DataFrame, base: str, sort: tuple[str, ...] = ("variable", "is
 
 
 def publish_blocks(blocks: DataFrame, base: str) -> None:
-    """Publishes the tidy rows of merged blocks: blocks are dealt, a field to a task where fields are large, and sorted; their cells,
-    from the north and in the order of their grid, are exploded in the task that writes them. ``source_file`` is a file's whole
-    key: files with one name in two folders keep a partition each."""
-    dealt = _dated(T.chosen(blocks)).repartition(*PARTITIONS[:4], "source_file", "variable", "level").sortWithinPartitions(*PARTITIONS, "variable", "level")
-    rows = B.cells(dealt)
+    """Publishes the tidy rows of merged blocks: blocks are dealt by source file, those of LARGE fields also by field, and sorted;
+    their cells, from the north and in the order of their grid, are exploded in the task that writes them. A source file of
+    small fields thus is one file, not one for each of the tasks that its fields would be dealt to. ``source_file`` is a
+    file's whole key: files with one name in two folders keep a partition each."""
+    large = F.size("values") >= LARGE
+    dealt = _dated(T.chosen(blocks)).repartition(*PARTITIONS, F.when(large, F.col("variable")), F.when(large, F.col("level")))
+    rows = B.cells(dealt.sortWithinPartitions(*PARTITIONS, "variable", "level"))
     columns = [F.col("level").cast("double").alias("isobaricInhPa"), "latitude", "longitude", "variable", F.col("value").cast("float").alias("value"), "date", *PARTITIONS]
     _write(rows.select(*columns), base)
 

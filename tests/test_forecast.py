@@ -289,6 +289,26 @@ def test_blocks_are_published_as_their_rows(spark, tmp_path):
     assert "Exchange" not in plan.split("Generate")[0]
 
 
+def test_small_fields_of_a_source_are_one_file(spark, tmp_path, monkeypatch):
+    """Files grow with the sources, not with their fields or the tasks; fields of real size have files of their own."""
+    blocks = B.complete_only(X.blocks(spark, SF)).repartition(7)
+    n = blocks.select("source_file").distinct().count()
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 20)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        P.publish_blocks(blocks, f"{tmp_path}/a")
+        monkeypatch.setattr(P, "LARGE", 64)
+        P.publish_blocks(blocks, f"{tmp_path}/b")
+    finally:
+        for c, x in before.items():
+            spark.conf.set(c, x)
+    a, b = ({r["source_file"]: r["files"] for r in P.published_bytes(spark, f"{tmp_path}/{x}").collect()} for x in "ab")
+    assert len(a) == len(b) == n and set(a.values()) == {1} and min(b.values()) > 10
+    rows = [P.read_published(spark, f"{tmp_path}/{x}") for x in "ab"]
+    assert rows[0].count() == n * 69 * 64 and rows[0].exceptAll(rows[1]).count() == 0 == rows[1].exceptAll(rows[0]).count()
+
+
 def test_box_is_filtered_cells(spark):
     blocks = X.blocks(spark, SF)
     columns = ["vec_id", "pos", "latitude", "longitude", "value"]
