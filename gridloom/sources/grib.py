@@ -31,6 +31,10 @@ MESSAGES = "source_file string, offset long, variable string, level double, lats
 _GRID, _DATA = ("lats", "lons", "row_points", "decode_error"), ("values", "decode_error")
 #: Bytes read at once where only headers are wanted, and of a file that make a partition.
 PEEK, SPLIT = 2048, 128 << 20
+#: What opening a file costs, in bytes read.
+OPEN = 1 << 20
+#: Partitions that small files are packed into, about, where ``tasks`` isn't given.
+TASKS = 64
 _LISTS = {"lats": pa.float64(), "lons": pa.float64(), "row_points": pa.int32(), "values": pa.float32()}
 _KINDS = {"dataset_ord": pa.int32(), "level": pa.float64(), "offset": pa.int64()}
 _NOTHING = {"variable": None, "level": None, "lats": None, "lons": None, "row_points": None, "values": None, "decode_error": None}
@@ -284,13 +288,33 @@ class _Window:
         return self.held[at - self.start : at - self.start + n]
 
 
-class Range(InputPartition):
+class Range:
     """The messages of a file that begin in a range of its bytes."""
 
     def __init__(self, path: str, start: int, stop: int, size: int) -> None:
         self.path, self.start, self.stop, self.size = path, start, stop, size
 
 
+class Ranges(InputPartition):
+    """Ranges that one task reads."""
+
+    def __init__(self, ranges: list[Range]) -> None:
+        self.ranges = ranges
+
+
+def _packed(ranges: list[Range], most: int, tasks: int) -> list[Ranges]:
+    """Neighbouring ranges by up to ``most`` bytes, in about ``tasks`` partitions where they are small. To open a file counts as OPEN bytes."""
+    cost = [min(r.stop, r.size) - r.start + OPEN for r in ranges]
+    limit, out, held = min(most, -(-sum(cost) // max(1, tasks))), [], 0
+    for r, c in zip(ranges, cost, strict=True):
+        if not out or held + c > limit:
+            out.append(Ranges([]))
+            held = 0
+        out[-1].ranges.append(r)
+        held += c
+    return out or [Ranges([])]
+
+
 def _begins(read: _Window, at: int) -> int:
     """The message's length, if one begins here: its last bytes are the end mark. 0 if none does, -1 if it is cut off."""
     head = read(at, 21)
@@ -306,7 +330,7 @@ class MessageReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType) -> None:
         self.path, self.names = options["path"], schema.fieldNames()
         self.access = {"anonymous": options.get("anonymous", "false") == "true", "region": options.get("region")}
-        self.split = int(options.get("split", SPLIT))
+        self.split, self.tasks = int(options.get("split", SPLIT)), int(options.get("tasks", TASKS))
         self.codecs = json.loads(options.get("codecs", "{}"))
         self.paths = json.loads(options["files"]) if "files" in options else None
         listed = lambda name: {x for x in options[name].split(",") if x} if name in options else None
@@ -317,7 +341,7 @@ class MessageReader(DataSourceReader):
         files, base = store(self.path, **self.access)
         if self.paths is not None:
             infos = files.get_file_info([store(p, **self.access)[1] for p in self.paths])
-            return [Range(x.path, a, a + self.split, x.size) for x in infos for a in range(0, x.size, self.split)] or [Range("", 0, 0, 0)]
+            return self._planned(infos)
         found = files.get_file_info(base)
         if found.type == fs.FileType.NotFound:
             raise FileNotFoundError(self.path)
@@ -327,15 +351,20 @@ class MessageReader(DataSourceReader):
             run = K.root_date_run(base, "")[1]
             told = lambda path: (re.search(r"/(00z|06z|12z|18z)/", path[len(base.rstrip("/")) :].lower()) or ["", run])[1]
             infos = [x for x in infos if told(x.path) in self.runs]
-        out = [Range(x.path, a, a + self.split, x.size) for x in infos for a in range(0, x.size, self.split)]
-        return out or [Range("", 0, 0, 0)]
+        return self._planned(infos)
+
+    def _planned(self, infos: list[fs.FileInfo]) -> list[InputPartition]:
+        ranges = [Range(x.path, a, a + self.split, x.size) for x in infos for a in range(0, x.size, self.split)]
+        return _packed(ranges, max(self.split, OPEN), self.tasks)
 
     def wanted(self, row: dict) -> bool:
         return (self.variables is None or row["variable"] in self.variables) and (self.levels is None or row["level"] in self.levels)
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
-            return
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges:
+            yield from self._read(part)
+
+    def _read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         files, _ = store(self.path, **self.access)
         prefix = self.path[: self.path.index(":") + 1] if re.match(r"\w+:/", self.path) else ""
         name = partition.path if not prefix else f"{prefix}{'' if prefix == 'file:' else '//'}{partition.path}"
@@ -376,7 +405,7 @@ class GribSource(DataSource):
 
     Options: variables, levels ("surface" for none) and runs, lists with commas of what to read; files, a JSON list of files
     instead of all below the path; split, bytes of a file to a
-    partition; codecs, a JSON map of packing templates to functions (module:name) that decode them in the tasks; anonymous and region, for a public bucket; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
+    partition; tasks, about how many partitions small files are packed into; codecs, a JSON map of packing templates to functions (module:name) that decode them in the tasks; anonymous and region, for a public bucket; pushdown, whether a query's own predicates on variable and level are tested on headers too. Columns are those of
     MESSAGES or a part given by ``.schema()``: without values and decode_error, no data section is read. Files may have any size.
     """
 
@@ -396,6 +425,7 @@ def messages(spark: SparkSession, path: str, variables: tuple[str, ...] | None =
     """Rows of ``GribSource``. Predicates of the query itself reach it where spark.sql.python.filterPushdown.enabled is set."""
     spark.dataSource.register(GribSource)
     reader = spark.read.format("grib2").option("pushdown", spark.conf.get("spark.sql.python.filterPushdown.enabled", "false"))
+    reader = reader.option("tasks", _tasks(spark))
     if codecs:
         reader = reader.option("codecs", json.dumps(codecs))
     if variables is not None:
@@ -409,6 +439,10 @@ def messages(spark: SparkSession, path: str, variables: tuple[str, ...] | None =
     return reader.load(qualified(spark, path))
 
 
+def _tasks(spark: SparkSession) -> int:
+    return max(TASKS, 4 * spark.sparkContext.defaultParallelism)
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """With its scheme; without one a path is on Spark's default file system."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -441,7 +475,7 @@ def read_files(spark: SparkSession, paths: list[str], default_date: str = "19700
     """Blocks of the files named, of one store, below ``root``."""
     if _opens(paths[0]):
         spark.dataSource.register(GribSource)
-        rows = spark.read.format("grib2").option("files", json.dumps(paths)).load(paths[0])
+        rows = spark.read.format("grib2").option("files", json.dumps(paths)).option("tasks", _tasks(spark)).load(paths[0])
         order = Window.partitionBy("source_file", "variable", "level").orderBy("offset")
         return _told(rows.withColumn("dataset_ord", (F.row_number().over(order) - 1).cast("int")).drop("offset"), default_date, root)
     return decode(spark.read.format("binaryFile").load(paths), default_date, root=root)

@@ -269,6 +269,18 @@ def test_ranges_of_a_file_hold_each_message_once(spark, tmp_path):
     assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole))
 
 
+def test_small_files_share_partitions(spark, tmp_path):
+    one = grib.encode("t", 500.0, LATS, LONS, FIELD.reshape(-1))
+    for i in range(300):
+        (tmp_path / f"{i:03d}.grib2").write_bytes(one)
+    rows = grib.messages(spark, str(tmp_path), columns=("source_file", "offset"))
+    assert rows.rdd.getNumPartitions() <= 2 * grib._tasks(spark) < 300
+    assert sorted(r["source_file"].rsplit("/", 1)[1] for r in rows.collect()) == [f"{i:03d}.grib2" for i in range(300)]
+    ranges = [grib.Range(str(i), 0, n, n) for i, n in enumerate([5, 40 << 20, 60 << 20, 200 << 20, 3, 3])]
+    packed = [[r.path for r in p.ranges] for p in grib._packed(ranges, 128 << 20, 1)]
+    assert packed == [["0", "1", "2"], ["3"], ["4", "5"]] and [p.ranges for p in grib._packed([], 1, 1)] == [[]]
+
+
 def test_predicates_of_a_query_reach_the_source(spark, tmp_path):
     _big_file(tmp_path, 20)
     key = "spark.sql.python.filterPushdown.enabled"
