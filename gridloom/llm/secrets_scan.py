@@ -6,6 +6,7 @@ import math
 import random
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -14,13 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm._shared import bound_batches, text_chunks
+from gridloom.llm._shared import bound_batches, materialize, text_chunks
 from gridloom.llm._text import buffer
 
-#: Rows of labelled documents and words of the dictionary that fit the model; trees and their depth.
-FIT_ROWS, DICTIONARY, TREES, DEPTH = 20_000, 20_000, 15, 6
-#: Shortest run of token characters with a digit that is a candidate, shortest assigned value, and bytes of a value that the fit looks at.
-RUN, VALUE, FIT_VALUE = 16, 8, 512
+#: Words of the dictionary, the most frequent ones; trees and their depth.
+DICTIONARY, TREES, DEPTH = 20_000, 15, 6
+#: Share of the fit's weight that the seed's findings have at least, however many others there are.
+SEED_SHARE = 0.03
+#: Bins of the forest, far more than STEPS has: from the square of it on Spark takes a sample of rows for its splits.
+MAX_BINS = 4096
+#: Shortest run of token characters with a digit that is a candidate, and shortest assigned value.
+RUN, VALUE = 16, 8
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_-"]] = True
 _DIGIT = np.zeros(256, bool)
@@ -35,6 +40,14 @@ _SHORTEST_FORM = 13
 FEATURES = ("length", "entropy", "digits", "upper", "hex", "switches", "transition", "dictionary", "published form", "assigned", "credential word before", "quoted", "code path", "plain words around")
 
 
+_PARTS = [i / 32 for i in range(33)]
+#: Where the forest may split each feature: fixed steps, so that they depend on no sample.
+STEPS = (
+    [*range(8, 41), 48, 56, 64, 80, 96, 128, 192, 256, 512, 1024], [i / 8 for i in range(56)], _PARTS, _PARTS, [0.0], _PARTS, [-9 + i / 8 for i in range(65)],
+    _PARTS, [0.0], [0.0], [0.0], [0.0], [0.0], _PARTS,
+)
+
+
 def candidates(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
     """Text, start, end (bytes in the text) and whether a credential word is assigned the value, in text order, longer ones first.
 
@@ -146,11 +159,41 @@ def _outer(found: Iterator[tuple[int, int, int, bool, bytes]]) -> Iterator[tuple
             yield x
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_chunks(batches, "text"):
-        rows = [(v[:FIT_VALUE], before, after, assigned, batch.column(1)[t].as_py() or "") for t, s, e, assigned, raw in _outer(_each(batch, 0)) for v, before, after in (_context(raw, s, e),)]
-        cols = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.string()] * 3 + [pa.bool_(), pa.string()], strict=True)], names=["value", "before", "after", "assigned", "path"])
+def stepped(x: list[float]) -> list[int]:
+    """How many of its STEPS each feature exceeds."""
+    return [bisect_left(steps, v) for steps, v in zip(STEPS, x, strict=True)]
+
+
+_BINNED = [f"f{i}" for i in range(len(FEATURES))]
+
+
+def _found(shared):
+    """The features of each candidate in steps, and its weak label; equal ones of a chunk are counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, logs = shared.value
+        for batch in text_chunks(batches, "text"):
+            count: Counter[tuple[int, ...]] = Counter()
+            for t, s, e, assigned, raw in _outer(_each(batch, 0)):
+                value, before, after = _context(raw, s, e)
+                count[*stepped(features(value, before, after, assigned, batch.column(1)[t].as_py() or "", words, logs)), _label(value, assigned)] += 1
+            cols = list(zip(*count, strict=True)) or [()] * (len(FEATURES) + 1)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in cols), pa.array(count.values(), pa.int64())], names=[*_BINNED, "label", "n"])
+
+    return run
+
+
+def _given(shared):
+    """The same of labelled findings (value, before, after, assigned, path, label)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, logs = shared.value
+        for batch in batches:
+            rows = [(*stepped(features(r["value"] or "", r["before"] or "", r["after"] or "", bool(r["assigned"]), r["path"] or "", words, logs)), r["label"]) for r in batch.to_pylist()]
+            cols = list(zip(*rows, strict=True)) or [()] * (len(FEATURES) + 1)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in cols), pa.array([1] * len(rows), pa.int64())], names=[*_BINNED, "label", "n"])
+
+    return run
 
 
 class Model:
@@ -169,40 +212,52 @@ class Model:
 
 
 def _tree(lines: list[str]):
+    """A tree over steps, with the features' own thresholds."""
     head = lines.pop(0).strip()
     if head.startswith("Predict:"):
         return int(float(head.split(":")[1]))
     m = re.match(r"If \(feature (\d+) <= (\S+)\)", head)
     left = _tree(lines)
     lines.pop(0)
-    return (int(m[1]), float(m[2]), left, _tree(lines))
+    steps = STEPS[int(m[1])]
+    at = math.floor(float(m[2]))
+    return (int(m[1]), float(steps[at]) if at < len(steps) else math.inf, left, _tree(lines))
 
 
-def fit(docs: DataFrame, rows: int = FIT_ROWS, findings: DataFrame | None = None) -> Model:
+def fit(docs: DataFrame, findings: DataFrame | None = None) -> Model:
     """A forest from labelled findings: those of ``findings`` (value, before, after, assigned, path, label), the seed's,
-    and weakly labelled ones of about ``rows`` documents chosen by hash, at most ``rows``. The dictionary has the most frequent
-    words of these documents."""
+    and the weakly labelled ones of all ``docs``. The dictionary has the most frequent words of all documents.
+
+    Findings are told by their features in steps; equal ones are one row with a weight, in whatever order they come. All trees
+    see all of them and differ by the features that they may split. Spark takes a sample for its splits from 16 million
+    distinct rows (``MAX_BINS`` squared) on; as no feature has more steps than it may have splits, each step counts."""
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.feature import VectorAssembler
 
     spark = docs.sparkSession
     bound_batches(spark)
-    share = min(1.0, rows / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("text", F.col("source").cast("string").alias("path"))
-    counted = chosen.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,20}"), F.lit(0))).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(DICTIONARY).collect()
+    rows = docs.select("text", F.col("source").cast("string").alias("path"))
+    counted = rows.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,20}"), F.lit(0))).alias("w")).groupBy("w").count()
+    counted = materialize(counted.orderBy(F.desc("count"), "w").limit(DICTIONARY), "words").collect()  # written first: else each task sends as many to the driver
     pairs: Counter[str] = Counter()
     for r in counted:
         for i in range(len(r["w"]) - 1):
             pairs[r["w"][i : i + 2]] += r["count"]
     total = max(1, sum(pairs.values()))
     words, logs = frozenset(r["w"] for r in counted), {k: math.log(v / total) for k, v in pairs.items()}
-    seen = chosen.mapInArrow(_found, "value string, before string, after string, assigned boolean, path string")
-    seen = seen.orderBy(F.xxhash64(*seen.columns), *seen.columns).limit(rows).collect()  # as many of any partitioning
-    labelled = [(r["value"], r["before"], r["after"], r["assigned"], r["path"], _label(r["value"], r["assigned"])) for r in seen]
-    labelled += [tuple(r) for r in findings.select("value", "before", "after", "assigned", "path", "label").limit(rows).collect()] if findings is not None else []
-    labelled = sorted(labelled) + seed_findings()
-    frame = spark.createDataFrame([(float(x[5]), Vectors.dense(features(*x[:5], words, logs))) for x in labelled], ["label", "features"])
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=4, featureSubsetStrategy="onethird").fit(frame.coalesce(1))
+    shared = spark.sparkContext.broadcast((words, logs))  # bounded by DICTIONARY
+    kinds = ", ".join(f"{c} int" for c in (*_BINNED, "label")) + ", n long"
+    seen = rows.mapInArrow(_found(shared), kinds)
+    if findings is not None:
+        seen = seen.unionByName(findings.select("value", "before", "after", "assigned", "path", F.col("label").cast("int")).mapInArrow(_given(shared), kinds))
+    seen = materialize(seen.groupBy(*_BINNED, "label").agg(F.sum("n").alias("n")), "findings")
+    seed = seed_findings()
+    weight = max(1, round(SEED_SHARE * (seen.agg(F.sum("n")).first()[0] or 0) / len(seed)))
+    seeded = spark.createDataFrame([(*stepped(features(*x[:5], words, logs)), x[5], weight) for x in seed], kinds)
+    labelled = seen.unionByName(seeded).groupBy(*_BINNED, "label").agg(F.sum("n").cast("double").alias("n"))
+    frame = VectorAssembler(inputCols=_BINNED, outputCol="features").transform(labelled.withColumn("label", F.col("label").cast("double")))
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=4, featureSubsetStrategy="onethird", bootstrap=False, weightCol="n", maxBins=MAX_BINS).fit(frame)
+    shared.destroy()
     lines = [x for x in forest.toDebugString.split("\n") if re.match(r"\s*(If|Else|Predict)", x)]
     trees = []
     while lines:
