@@ -325,11 +325,11 @@ class JaccardJoin:
         """id and signature of each set."""
         return heads.where("n > 0").groupBy("id").agg(*[F.first(c).alias(c) for c in _SIGNATURE])
 
-    def _differ(self) -> Column:
-        """Bits in which the signatures of rows x and y differ."""
+    def _differ(self, other: str = "y") -> Column:
+        """Bits in which the signatures of rows x and y (or ``other``) differ."""
         out = F.lit(0)
         for s in _SIGNATURE:
-            out = out + F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}")))
+            out = out + F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"{other}.{s}")))
         return out
 
     def _named(self, lists: DataFrame, comps: DataFrame) -> DataFrame:
@@ -361,19 +361,28 @@ class JaccardJoin:
         pairs = pairs.where(self._enough(F.col("c"), F.least("n", "m"), F.col("high")) & self._room(F.col("rest"), F.col("n"), F.col("m")))
         return self.scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "meet")
 
-    def _undecided(self, heads: DataFrame, spokes: DataFrame, open_: DataFrame) -> DataFrame:
+    def _undecided(self, heads: DataFrame, spokes: DataFrame, open_: DataFrame, radius: DataFrame) -> DataFrame:
         """a, b, x_comp, y_comp: pairs of members of the ``open_`` components that may still link, by distances from the
-        representatives, sizes and signatures."""
+        representatives, sizes and signatures.
+
+        A member meets another component only where the other's sizes, and its representative's signature less the bits in
+        which members differ from that, leave room for a link: else each member of a large component would be a row for each
+        of the components around it."""
         involved = open_.select(F.explode(F.array("a", "b")).alias("comp")).distinct()
         member = spokes.select("comp", "id", "d").join(involved, "comp", "left_semi")
         member = member.unionByName(involved.select("comp", F.col("comp").alias("id"), F.lit(0.0).alias("d")))
         sizes = heads.where("n > 0").groupBy("id").agg(F.first("n").alias("n"))
         member = self.scratch.keep(member.join(sizes, "id").join(self._marks(heads), "id"), "members")
         # only members far enough from their representative, towards the other component, can have a link
-        x, y, o = member.alias("x"), member.alias("y"), open_.alias("o")
+        span = member.groupBy("comp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+        other = member.where("id = comp").select("comp", *_SIGNATURE).join(span, "comp").join(radius.select("comp", "apart"), "comp", "left").fillna(0, ["apart"])
+        x, y, o = member.alias("x"), member.alias("y"), open_.join(other.withColumnRenamed("comp", "b"), "b").alias("o")
         far = F.col("o.d") - F.col("x.d")
-        ahead = x.join(o, (F.col("x.comp") == F.col("o.a")) & (far - F.col("o.r_b") <= self.near + 1e-9))
-        ahead = ahead.select("id", "n", *_SIGNATURE, F.col("x.comp").alias("comp"), F.col("o.b").alias("to"), far.alias("gap")).alias("x")
+        near = far - F.col("o.r_b") <= self.near + 1e-9
+        room = self._fits(F.col("x.n"), F.col("o.low")) & self._fits(F.col("o.high"), F.col("x.n"))
+        alike = (self._differ("o") - F.col("o.apart")) * (100 + self.percent) <= (F.col("x.n") + F.col("o.high")) * (100 - self.percent)
+        ahead = x.join(o, (F.col("x.comp") == F.col("o.a")) & near & room & alike)
+        ahead = ahead.select("id", "n", *[f"x.{s}" for s in _SIGNATURE], F.col("x.comp").alias("comp"), F.col("o.b").alias("to"), far.alias("gap")).alias("x")
         on = (F.col("x.to") == F.col("y.comp")) & self._fits(F.least("x.n", "y.n"), F.greatest("x.n", "y.n")) & (F.col("x.gap") - F.col("y.d") <= self.near + 1e-9)
         on = on & (self._differ() * (100 + self.percent) <= (F.col("x.n") + F.col("y.n")) * (100 - self.percent))
         return ahead.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.comp").alias("x_comp"), F.col("y.comp").alias("y_comp"))
@@ -392,7 +401,7 @@ class JaccardJoin:
         for side in "ab":
             open_ = open_.join(radius.select(F.col("comp").alias(side), F.col("r").alias(f"r_{side}")), side, "left").fillna(0.0, [f"r_{side}"])
         open_ = open_.where("r_a + r_b > 0").where(F.col("d") - F.col("r_a") - F.col("r_b") <= self.near + 1e-9).select("a", "b", "d", "r_b")
-        last = self.scratch.keep(self._undecided(heads, spokes, self.scratch.keep(open_, "open")), "undecided")
+        last = self.scratch.keep(self._undecided(heads, spokes, self.scratch.keep(open_, "open"), radius), "undecided")
         found = self._compare(last, sets).where(self._linked()).select("a", "b")
         found = last.join(found, ["a", "b"]).select(F.col("x_comp").alias("a"), F.col("y_comp").alias("b"))
         return first.where(self._linked()).select("a", "b").unionByName(found)
