@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from gridloom.llm._shared import bound_batches, free, materialize, text_chunks
 from gridloom.llm._text import Words, buffer
 
-#: Hashed byte trigrams of a language model, labelled rows that fit all models, and those that fit each language at least.
-TRIGRAMS, FIT_ROWS, LEAST_ROWS = 1 << 14, 20_000, 200
+#: Hashed byte trigrams of a language model, and languages that a task counts at once (128 KB each).
+TRIGRAMS, COUNTED = 1 << 14, 128
 #: A text is in a language if its mean log likelihood of a trigram is at most so far below the expected one, and so many
 #: standard errors for its length. For a model of few rows, half the way to trigrams it hasn't seen counts, if that is less.
 MARGIN, ERRORS = 1.6, 3.0
@@ -53,15 +53,29 @@ def _codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's trigrams by language."""
+    held: dict[str, np.ndarray] = {}
+
+    def told() -> pa.RecordBatch:
+        kinds, table = list(held), np.concatenate(list(held.values()))
+        some = np.flatnonzero(table)
+        return pa.RecordBatch.from_arrays([pa.array([kinds[i] for i in some // TRIGRAMS], pa.string()), pa.array((some % TRIGRAMS).astype(np.int32)), pa.array(table[some])], names=["lang", "code", "n"])
+
     for batch in text_chunks(batches, "text"):
         code, off = _codes(batch.column(0))
-        names = batch.column(1).to_pylist()
-        kinds = sorted(set(names))
-        at = {name: i for i, name in enumerate(kinds)}
-        own = np.repeat(np.array([at[x] for x in names], np.int64), np.diff(off)) * TRIGRAMS
-        count = np.bincount((own + code)[code >= 0], minlength=len(kinds) * TRIGRAMS)
-        some = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array([kinds[i] for i in some // TRIGRAMS], pa.string()), pa.array((some % TRIGRAMS).astype(np.int32)), pa.array(count[some].astype(np.int64))], names=["lang", "code", "n"])
+        names = np.array(batch.column(1).to_pylist(), object)
+        home = np.repeat(np.arange(len(names)), np.diff(off))[code >= 0]
+        code = code[code >= 0]
+        kinds, own = np.unique(names.astype(str), return_inverse=True)
+        lang = own[home]
+        for i, kind in enumerate(kinds.tolist()):
+            if kind not in held and len(held) >= COUNTED:
+                yield told()
+                held.clear()
+            held.setdefault(kind, np.zeros(TRIGRAMS, np.int64))
+            held[kind] += np.bincount(code[lang == i], minlength=TRIGRAMS)
+    if held:
+        yield told()
 
 
 def code_of(declared: Column) -> Column:
@@ -69,16 +83,12 @@ def code_of(declared: Column) -> Column:
     return F.nullif(F.lower(F.split(F.trim(declared), "[-_]")[0]), F.lit(""))
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> tuple[list[str], np.ndarray]:
-    """All labelled languages and their trigram log likelihoods, from about ``rows`` rows of ``labelled`` (text, lang),
-    chosen by hash, as many of each language. As much probability as trigrams seen once have goes to those not seen."""
+def fit(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All labelled languages and their trigram log likelihoods, from all rows of ``labelled`` (text, lang). As much probability
+    as trigrams seen once have goes to those not seen."""
     bound_batches(labelled.sparkSession)
     labelled = labelled.select("text", code_of(F.col("lang")).alias("lang")).where("text is not null and lang is not null")
-    each = materialize(labelled.groupBy("lang").count(), "languages")
-    quota = max(LEAST_ROWS, rows // max(1, each.count()))
-    share = each.select("lang", (F.least(F.lit(1.0), F.lit(quota) / F.col("count")) * (1 << 20) + 1).alias("share"))
-    chosen = labelled.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.col("share")).select("text", "lang")
-    counts = chosen.mapInArrow(_counted, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = labelled.mapInArrow(_counted, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "language-counts").toArrow()  # at most languages x TRIGRAMS rows
     names = sorted(pc.unique(counts["lang"]).to_pylist())
     table = np.zeros((len(names), TRIGRAMS))
@@ -200,12 +210,12 @@ def page_rows(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", text.alias("text"), declared.alias("declared"), "url", F.lit(None).cast("string").alias("host"))
 
 
-def keep_identified(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, source, ...) that aren't rejected, all columns as they were.
 
     The model is fitted on declared languages; lang is the declared one and source stands for the host.
     """
-    names, table = fit(docs, rows)
+    names, table = fit(docs)
     key = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.col("lang").alias("declared"), F.lit(None).cast("string").alias("url"), F.col("source").alias("host"))
     found = identify(key, ["doc_id", "text_key"], names, table).where("rejected").select("doc_id", "text_key").distinct()
     a, b = free(docs, "_gone"), free(docs, "_gone_text")

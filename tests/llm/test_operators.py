@@ -409,6 +409,31 @@ def test_forest_on_held_out_findings(spark):
     assert again.trees == model.trees
 
 
+def test_models_are_fitted_on_all_rows(spark):
+    import pyarrow as pa
+
+    rare = ["".join(chr(97 + i // 26**j % 26) for j in range(3)) for i in range(1, 300, 7)]
+    rare = [f"{x}qxj{x}" for x in rare]
+    some = spark.createDataFrame([(x,) for x in rare], "text string")
+    docs = spark.range(30_000).select(F.lit("the cat").alias("text")).unionByName(some).withColumn("source", F.lit("a")).withColumn("lang", F.lit("en"))
+    assert set(rare) < secrets_scan.fit(docs.drop("lang")).words
+    names, table = language.fit(docs)
+    code = language._codes(pa.array(rare))[0]
+    assert names == ["en"] and (table[0, code[code >= 0]] > table[0].min()).all()
+
+
+def test_given_findings_all_count(spark):
+    """No labelled finding is left out, and each counts: the forest takes the greater number's side."""
+    kinds = "value string, before string, after string, assigned boolean, path string, label int"
+    value = ("feedfacecafe12345678", "commit ", " fixes", False, "")
+    given = spark.range(25_000).select(F.lit(1).alias("label")).unionByName(spark.range(24_000).select(F.lit(0).alias("label")))
+    given = given.select(*[F.lit(x).alias(c.split()[0]) for c, x in zip(kinds.split(", "), value, strict=False)], "label")
+    none = spark.createDataFrame([], "text string, source string")
+    model = secrets_scan.fit(none, findings=given)
+    assert model.score(secrets_scan.features(*value, model.words, model.pairs)) > 0.5
+    assert secrets_scan.fit(none, findings=given.repartition(9)).trees == model.trees
+
+
 def test_secrets(spark, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = secrets_scan.fit(d)
