@@ -35,9 +35,11 @@ def publish_files(files: DataFrame, base: str, tensor_base: str | None = None, d
 def publish_cycles(fields: DataFrame, base: str, tensor_base: str | None = None, each: tuple[str, ...] = ("variable", "level")) -> DataFrame:
     """The same for the fields of several files, published by cycle: all files of one date, run and lead are one source,
     ``DATE/RUN/LEAD``. Of files that have the same field (or variable, as ``each`` tells) the one with the least key gives it."""
-    fields = grib.by_cycle(fields)
-    listed = fields.select("source_file", "date", "run", "lead").distinct()
-    return _publish(listed, fields, base, tensor_base, each)
+    with Scratch(fields.sparkSession) as scratch:
+        # decoded once: the order of the files, the list and the merge read these
+        fields = grib.by_cycle(scratch.keep(fields, "files"))
+        listed = fields.select("source_file", "date", "run", "lead").distinct()
+        return _publish(listed, fields, base, tensor_base, each)
 
 
 def _keyed(fields: DataFrame, root: str) -> DataFrame:

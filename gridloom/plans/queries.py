@@ -480,9 +480,12 @@ p AS (SELECT DISTINCT cycle, latitude, longitude FROM w), n AS (SELECT DISTINCT
 LEFT JOIN w ON w.cycle = n.cycle AND w.variable = n.variable AND w.level IS NOT DISTINCT FROM n.level AND w.latitude = p.latitude AND w.longitude = p.longitude"""))
 def merge_files(spark, d):
     """Cycles that lie in three files each: the first file that has a variable gives it, on the union of the grids."""
-    archive = scratch_path(spark, "archive")
-    J.write_files(X.dealt(spark, d), archive, "ieee").write.format("noop").mode("overwrite").save()
-    return B.cells(G.merged(G.by_cycle(G.read_fields(spark, archive)))).select(*CELLS, "value")
+    with Scratch(spark) as scratch:
+        archive = scratch.path("archive")
+        J.write_files(X.dealt(spark, d), archive, "ieee").write.format("noop").mode("overwrite").save()
+        fields = scratch.keep(G.read_fields(spark, archive), "fields")  # decoded once: the names and the merge read these
+        merged = kept(G.merged(scratch.keep(G.by_cycle(fields), "cycles")), "merged")
+    return B.cells(merged).select(*CELLS, "value")
 
 
 @query(_with(X.FIELDS_SQL, f"""SELECT {_NAME} AS source_file, date, run, '0h' AS lead, n_fields, CASE WHEN n_fields = 69 THEN 'ok' ELSE 'incomplete' END AS status, CAST(0 AS BIGINT) AS n_errors,

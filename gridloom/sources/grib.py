@@ -31,6 +31,8 @@ MESSAGES = "source_file string, offset long, variable string, level double, lats
 _GRID, _DATA = ("lats", "lons", "row_points", "decode_error"), ("values", "decode_error")
 #: Bytes read at once where only headers are wanted, and of a file that make a partition.
 PEEK, SPLIT = 2048, 128 << 20
+#: A file of at most so many bytes is read at once; decoded fields share an Arrow batch up to so many points or rows.
+SMALL, BATCH_POINTS, BATCH_ROWS = 1 << 16, 1 << 16, 1000
 #: What opening a file costs, in bytes read.
 OPEN = 1 << 20
 #: Partitions that small files are packed into, about, where ``tasks`` isn't given.
@@ -56,6 +58,7 @@ def gaussian_latitudes(n: int) -> tuple[float, ...]:
     return tuple(np.degrees(np.arcsin(x)).tolist())
 
 
+@lru_cache(maxsize=16)  # of the fields of a file most have one grid
 def _grid(grid: bytes) -> tuple[dict, Callable[[np.ndarray], np.ndarray]]:
     """lats, lons and row_points of a regular or reduced grid, and how its values come to rows from west to east."""
     template = struct.unpack(">H", grid[12:14])[0]
@@ -220,20 +223,46 @@ def encode(variable: str, level: float | None, lats: list[float], lons: list[flo
     return b"GRIB\0\0" + bytes([discipline, 2]) + struct.pack(">Q", 16 + len(body) + 4) + body + b"7777"
 
 
-def _cell(row: dict, name: str) -> pa.Array:
-    if name in _LISTS and row[name] is not None:
-        flat = pa.array(row[name], _LISTS[name])
-        return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
-    return pa.array([row[name]], pa.list_(_LISTS[name]) if name in _LISTS else _KINDS.get(name, pa.string()))
+def _column(rows: list[dict], name: str) -> pa.Array:
+    values = [r[name] for r in rows]
+    if name not in _LISTS:
+        return pa.array(values, _KINDS.get(name, pa.string()))
+    kind = _LISTS[name]
+    ends = np.cumsum([0, *(0 if x is None else len(x) for x in values)]).tolist()
+    # a null offset makes a null list
+    offsets = pa.array([None if x is None else at for x, at in zip(values, ends, strict=False)] + ends[-1:], pa.int32())
+    held = [np.asarray(x, kind.to_pandas_dtype()) for x in values if x is not None]
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(held) if held else [], kind))
 
 
-def _batch(row: dict, names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_cell(row, n) for n in names], names=names)
+def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([_column(rows, n) for n in names], names=names)
+
+
+def _batches(rows: Iterator[dict], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Small decoded fields share a batch; a large field, or a row of headers only, has its own."""
+    held, points = [], 0
+    for row in rows:
+        n = len(row["values"]) if row["values"] is not None else 0
+        if held and points + n > BATCH_POINTS:
+            yield _batch(held, names)
+            held, points = [], 0
+        held.append(row)
+        points += n
+        if "values" not in names or len(held) == BATCH_ROWS:
+            yield _batch(held, names)
+            held, points = [], 0
+    if held:
+        yield _batch(held, names)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], codecs: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    """A batch for each field: a task holds one file and one field."""
+    """A task holds one file and one batch of fields."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
+    yield from _batches(_decoded(batches, names, codecs), names)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], names: list[str], codecs: dict[str, str]) -> Iterator[dict]:
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             raw, at, seen = content.as_py() or b"", 0, {}
@@ -247,7 +276,7 @@ def _decode(batches: Iterator[pa.RecordBatch], codecs: dict[str, str]) -> Iterat
                 for row in rows:
                     key = (row["variable"], row["level"])
                     seen[key] = seen.get(key, -1) + 1
-                    yield _batch(row | {"source_file": path, "dataset_ord": seen[key]}, names)
+                    yield row | {"source_file": path, "dataset_ord": seen[key]}
                 # behind a damaged one the next may begin anywhere
                 at += 4 if any((r["decode_error"] or "").startswith("damaged") for r in rows) else max(size, 4)
 
@@ -276,15 +305,19 @@ def store(path: str, anonymous: bool = False, region: str | None = None) -> tupl
 
 
 class _Window:
-    """Reads at any place, ``PEEK`` bytes at least."""
+    """Reads at any place, ``PEEK`` bytes at least; a SMALL file at once."""
 
     def __init__(self, file: pa.NativeFile, size: int) -> None:
         self.file, self.size, self.start, self.held = file, size, 0, b""
 
     def __call__(self, at: int, n: int) -> bytes:
+        wanted = n
         if not (self.start <= at and at + n <= self.start + len(self.held)):
-            self.file.seek(at)
-            self.start, self.held = at, self.file.read(min(max(n, PEEK), max(self.size - at, 0)))
+            start, n = (0, self.size) if self.size <= SMALL else (at, min(max(n, PEEK), max(self.size - at, 0)))
+            if (start, n) != (self.start, len(self.held)):
+                self.file.seek(start)
+                self.start, self.held = start, self.file.read(n)
+            return self.held[at - start : at - start + wanted]
         return self.held[at - self.start : at - self.start + n]
 
 
@@ -361,10 +394,9 @@ class MessageReader(DataSourceReader):
         return (self.variables is None or row["variable"] in self.variables) and (self.levels is None or row["level"] in self.levels)
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
-        for part in partition.ranges:
-            yield from self._read(part)
+        yield from _batches((row for part in partition.ranges for row in self._read(part)), self.names)
 
-    def _read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def _read(self, partition: Range) -> Iterator[dict]:
         files, _ = store(self.path, **self.access)
         prefix = self.path[: self.path.index(":") + 1] if re.match(r"\w+:/", self.path) else ""
         name = partition.path if not prefix else f"{prefix}{'' if prefix == 'file:' else '//'}{partition.path}"
@@ -373,16 +405,16 @@ class MessageReader(DataSourceReader):
             while at < min(partition.stop, partition.size):
                 size = _begins(read, at)
                 if size < 0:
-                    yield _batch(_NOTHING | {"source_file": name, "offset": at, "decode_error": "damaged message: its end is missing"}, self.names)
+                    yield _NOTHING | {"source_file": name, "offset": at, "decode_error": "damaged message: its end is missing"}
                 if size <= 0:  # a range begins in the middle of a message, or bytes between two are no message
                     step = read(at + 1, PEEK).find(b"GRIB")
                     at += 1 + step if step >= 0 else max(min(PEEK, partition.size - at) - 3, 1)
                     continue
                 try:
                     for row in fields(read, at, tuple(self.names), self.wanted, self.codecs):
-                        yield _batch(row | {"source_file": name, "offset": at}, self.names)
+                        yield row | {"source_file": name, "offset": at}
                 except (struct.error, IndexError, ValueError, KeyError) as e:
-                    yield _batch(_NOTHING | {"source_file": name, "offset": at, "decode_error": f"damaged message: {e}"}, self.names)
+                    yield _NOTHING | {"source_file": name, "offset": at, "decode_error": f"damaged message: {e}"}
                 at += size
 
 

@@ -278,6 +278,12 @@ def test_a_job_leaves_no_scratch(spark, tmp_path):
     assert left() == before
 
 
+def test_merged_files_are_decoded_once(spark):
+    # the result reads the merged fields, not the files again for each use
+    out = QUERIES["merge_files"](spark, SF)
+    assert "grib2" not in out._jdf.queryExecution().toString()
+
+
 def test_blocks_are_published_as_their_rows(spark, tmp_path):
     blocks = B.complete_only(X.blocks(spark, SF))
     P.publish(T.consolidated(blocks, ("source_file",)), f"{tmp_path}/a")

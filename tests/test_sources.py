@@ -311,6 +311,24 @@ def test_both_ways_of_reading_agree(spark, tmp_path):
     assert rows(grib.decode(files)) == rows(grib.read_fields(spark, f"{tmp_path}/in"))
 
 
+def test_small_fields_share_a_batch_and_large_ones_do_not(tmp_path):
+    names = StructType([StructField(x.split()[0], StringType()) for x in grib.MESSAGES.split(", ")])
+    small = [grib.encode("t", float(p), LATS, LONS, FIELD.reshape(-1) + p) for p in B.LEVELS]
+    (tmp_path / "a.grib2").write_bytes(b"".join(small) + small[0][:-30])
+    (tmp_path / "b.grib2").write_bytes(small[0])
+    reader = grib.MessageReader({"path": f"file:{tmp_path}", "tasks": "1"}, names)
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    assert len(batches) == 1
+    rows = batches[0].to_pylist()
+    assert [r["level"] for r in rows] == [*map(float, B.LEVELS), None, float(B.LEVELS[0])]
+    assert rows[-2]["values"] is None and rows[-2]["lats"] is None and "damaged" in rows[-2]["decode_error"]
+    for r, p in zip([*rows[:-2], rows[-1]], [*B.LEVELS, B.LEVELS[0]], strict=True):
+        assert r["lats"] == LATS and r["lons"] == LONS and r["row_points"] is None
+        assert r["values"] == (FIELD.reshape(-1) + p).astype(np.float32).tolist()
+    large = [{**grib._NOTHING, "values": np.zeros(grib.BATCH_POINTS, np.float32)} for _ in range(3)]
+    assert [b.num_rows for b in grib._batches(iter(large), ["values"])] == [1, 1, 1]
+
+
 def test_damage_is_reported_and_passed(spark, tmp_path):
     good = grib.encode("t", 500.0, LATS, LONS, FIELD.reshape(-1))
     (tmp_path / "x.grib2").write_bytes(good[:60] + good + good[:-30])
