@@ -121,7 +121,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Rows of long texts that Spark hands to Python at once.
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -61,7 +61,8 @@ def candidates(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, in
     begin[off[:-1][full]] = token[off[:-1][full]]
     end[off[1:][full] - 1] = token[off[1:][full] - 1]
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[data], dtype=np.int64)])
+    digits = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(_DIGIT[data], out=digits[1:])
     keep = (ends - starts >= RUN) & (digits[ends] > digits[starts])
     found = dict.fromkeys(zip(starts[keep].tolist(), ends[keep].tolist(), strict=True), False)
     whole = data.tobytes()
@@ -253,7 +254,9 @@ def fit(docs: DataFrame, findings: DataFrame | None = None) -> Model:
     seen = materialize(seen.groupBy(*_BINNED, "label").agg(F.sum("n").alias("n")), "findings")
     seed = seed_findings()
     weight = max(1, round(SEED_SHARE * (seen.agg(F.sum("n")).first()[0] or 0) / len(seed)))
-    seeded = spark.createDataFrame([(*stepped(features(*x[:5], words, logs)), x[5], weight) for x in seed], kinds)
+    steps = zip(*[(*stepped(features(*x[:5], words, logs)), x[5], weight) for x in seed], strict=True)
+    # as Arrow: a list of rows goes through Python workers of its own on the executors, which stay there beside the others
+    seeded = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in steps], names=[*_BINNED, "label", "n"])).to(seen.schema)
     labelled = seen.unionByName(seeded).groupBy(*_BINNED, "label").agg(F.sum("n").cast("double").alias("n"))
     frame = VectorAssembler(inputCols=_BINNED, outputCol="features").transform(labelled.withColumn("label", F.col("label").cast("double")))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=4, featureSubsetStrategy="onethird", bootstrap=False, weightCol="n", maxBins=MAX_BINS).fit(frame)

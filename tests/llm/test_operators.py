@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.llm import language, maxscore, mixing, ngram_join, order_minhash, pieces, secrets_scan, substring_dedup, surrogates, warc
+from gridloom.llm._shared import bound_batches
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _text string"
 
@@ -434,6 +435,32 @@ def test_given_findings_all_count(spark):
     assert secrets_scan.fit(none, findings=given.repartition(9)).trees == model.trees
 
 
+def test_the_fit_of_secrets_starts_no_other_python_workers(spark, monkeypatch):
+    # a list of rows is parallelized and pickled anew by workers with a daemon of their own, beside those of Arrow functions
+    def refused(*args, **more):
+        raise AssertionError("rows went through an RDD")
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(50)
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refused)
+    model = secrets_scan.fit(docs)
+    precision, recall = secrets_scan.measure(model, secrets_scan.seed_findings(seed=77, each=20))
+    assert precision > 0.9 and recall > 0.9
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        bound_batches(spark)
+        assert int(spark.conf.get(key)) <= 250
+        spark.conf.set(key, "77")  # the caller's
+        bound_batches(spark)
+        assert spark.conf.get(key) == "77"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_secrets(spark, empty):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = secrets_scan.fit(d)
